@@ -30,7 +30,7 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
 
 
-def stored(df: DataFrame, compression: str = "lz4raw") -> DataFrame:
+def stored(df: DataFrame, compression: str = "lz4_raw") -> DataFrame:
     """Writes df as Parquet in the shared scratch folder and reads it back: a cut in the lineage
     that outlives executors."""
     spark = df.sparkSession

@@ -6,7 +6,9 @@ import importlib
 
 #: Module by query; the query is a function of that name, its SQL (if any) the module's SQL.
 MODULES = {
+    "op3_best_fit_packing": "packing",
     "op6_quality_rules": "quality",
+    "op8_token_files": "tokens",
 }
 
 
