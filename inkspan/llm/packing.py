@@ -85,7 +85,7 @@ def pack_pieces(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SH
     def place(frame):
         frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
         bins, offsets = sum_of_squares(frame["length"].to_numpy(), capacity)
-        return frame.assign(sequence_id=(frame["shard"].astype("int64") << 40) + bins, offset=offsets).drop(columns="shard")
+        return frame.assign(sequence_id=frame["shard"].to_numpy(np.int64) * (1 << 40) + bins, offset=offsets).drop(columns="shard")
 
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
