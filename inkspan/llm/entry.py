@@ -9,6 +9,7 @@ MODULES = {
     "op3_best_fit_packing": "packing",
     "op6_quality_rules": "quality",
     "op8_token_files": "tokens",
+    "op10_minhash_near_dedup": "neardup",
 }
 
 
