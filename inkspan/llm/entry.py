@@ -10,6 +10,7 @@ MODULES = {
     "op6_quality_rules": "quality",
     "op7_line_dedup": "linededup",
     "op8_token_files": "tokens",
+    "op9_substring_dedup": "chunkdedup",
     "op10_minhash_near_dedup": "neardup",
 }
 
