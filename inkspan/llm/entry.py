@@ -8,6 +8,7 @@ import importlib
 MODULES = {
     "op3_best_fit_packing": "packing",
     "op4_language_id": "langid",
+    "op5_pii": "pii",
     "op6_quality_rules": "quality",
     "op7_line_dedup": "linededup",
     "op8_token_files": "tokens",
