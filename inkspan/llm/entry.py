@@ -7,6 +7,7 @@ import importlib
 #: Module by query; the query is a function of that name, its SQL (if any) the module's SQL.
 MODULES = {
     "op1_sentencepiece_codec": "sentencepiece_codec",
+    "op2_exact_topk": "topk",
     "op3_best_fit_packing": "packing",
     "op4_language_id": "langid",
     "op5_pii": "pii",
