@@ -8,7 +8,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 #: Modules that register queries when imported.
-MODULES = ("q_geometry", "q_text")
+MODULES = ("q_geometry", "q_text", "q_joins", "q_structure")
 
 
 def query(name: str, sql: str | None = None):
