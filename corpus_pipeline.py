@@ -1,10 +1,13 @@
-"""The corpus pipeline: documents through stages, each written as Parquet and read again."""
+"""The corpus pipeline: documents through stages, each written as Parquet and read as the next one's input.
+
+Every stage but the last returns the columns of documents; each works on all that its predecessor kept.
+Empty tables pass through; further columns of the input are kept by the filtering stages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkspan.llm import quality
+from inkspan.llm import linededup, neardup, packing, pii, quality
 from inkspan.llm.common import documents, stored
 
 
@@ -13,7 +16,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.apply_quality(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that another line stands for; those of such lines alone go."""
+    return linededup.drop_duplicate_lines(docs, emptied=False)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (5-word shingles, similarity 0.8)."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redact(docs, pii.fit(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' pieces in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("pii_redaction", pii_redaction),
+    ("best_fit_packing", best_fit_packing),
+]
+#: Fuzzy links, a trained tagger and a tokenizer are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 

@@ -30,13 +30,47 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
 
 
-def stored(df: DataFrame, compression: str = "lz4_raw") -> DataFrame:
+_SCRATCH: dict[int, tuple[DataFrame, str]] = {}
+
+
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Writes df as Parquet in the shared scratch folder and reads it back: a cut in the lineage
-    that outlives executors."""
+    that outlives executors. What was shuffled to make it can go at once, so the driver's collector
+    is asked to run; otherwise a long operator's shuffle files all stay on disk to its end."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/inkspan-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    _SCRATCH[id(out)] = (out, path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing yet to run reads."""
+    for df in tables:
+        _, path = _SCRATCH.pop(id(df), (None, None))
+        if path:
+            p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+#: Bits of the filter below, 1 MB.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of df whose key may be in keys (one column): all that are, and others by chance. Put before a
+    join that shuffles df, it leaves most of df where it is while keys are few against FILTER_BITS; beyond
+    that it keeps everything. The filter is a bitmap of hashes: what is broadcast never exceeds 1 MB."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    p = place(F.col(keys.columns[0]))
+    bitmaps = keys.select(F.bitmap_bucket_number(p).alias("_bucket"), F.bitmap_bit_position(p).alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    p = place(F.col(key))
+    at = F.bitmap_bit_position(p)
+    byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    out = df.withColumn("_bucket", F.bitmap_bucket_number(p)).join(F.broadcast(bitmaps), "_bucket")
+    return out.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)
 
 
 def fields(schema: str) -> T.StructType:
@@ -67,7 +101,7 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def row_slices(offsets: np.ndarray, limit: int = 4 << 20):
+def row_slices(offsets: np.ndarray, limit: int = 1 << 20):
     """Ranges of rows of about `limit` bytes, one row at least: bounds the vectors below."""
     start, n = 0, len(offsets) - 1
     while start < n:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import stored
+from inkspan.llm.common import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,7 +25,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return stored(out.filter("a <> b").distinct())
+    out = stored(out.filter("a <> b").distinct())
+    discard(least, edges)
+    return out
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import documents, mix, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.common import WS, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8
 from inkspan.llm.components import components
 from inkspan.llm.links import SKETCH, linked
 
@@ -117,25 +117,25 @@ def _line_rows(batches):
             yield pa.RecordBatch.from_pydict({k: pa.array(np.ascontiguousarray(v)) for k, v in cols.items()})
 
 
-def _shingle_rows(sketch: bool):
-    def run(batches):
-        import pyarrow as pa
+def line_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each row."""
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    h, begins = char_shingles(code_points(data), chars[:-1], chars[1:])
+    h = h.view(np.int64)
+    return [np.unique(h[x:y]) for x, y in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
 
-        for batch in batches:
-            all_data, all_offsets = utf8(batch.column("line"))
-            ids = batch.column("item").to_numpy(zero_copy_only=False)
-            for a, b in row_slices(all_offsets):
-                data, offsets = all_data[all_offsets[a] : all_offsets[b]], all_offsets[a : b + 1] - all_offsets[a]
-                chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-                h, begins = char_shingles(code_points(data), chars[:-1], chars[1:])
-                h = h.view(np.int64)
-                sets = [np.unique(h[x:y]) for x, y in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
-                cut = [s[:SKETCH] for s in sets] if sketch else sets
-                flat = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(s) for s in cut])]).astype(np.int32), np.concatenate(cut))
-                head = {"item": pa.array(ids[a:b])} | ({"n": pa.array([len(s) for s in sets], pa.int64())} if sketch else {})
-                yield pa.RecordBatch.from_pydict(head | {"sketch" if sketch else "hashes": flat})
 
-    return run
+def _sketch_rows(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        ids = batch.column("item").to_numpy(zero_copy_only=False)
+        for a, b in row_slices(offsets):
+            sets = line_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            cut = [s[:SKETCH] for s in sets]
+            flat = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(s) for s in cut])]).astype(np.int32), np.concatenate(cut))
+            yield pa.RecordBatch.from_pydict({"item": pa.array(ids[a:b]), "n": pa.array([len(s) for s in sets], pa.int64()), "sketch": flat})
 
 
 def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -150,31 +150,33 @@ def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     # Buckets of one item lead nowhere. lag and lead look at neighbours alone, however large a bucket is.
     w = Window.partitionBy("bucket").orderBy("item")
     members = stored(entries.withColumns({"_p": F.lag("item").over(w), "_n": F.lead("item").over(w)}).filter("_p is not null or _n is not null").select("bucket", "item"))
-    involved = members.select("item").distinct()
-    at = stored(lines.select("item", "doc_id", "line_no").join(involved, "item", "left_semi").groupBy("item").agg(F.min(F.struct("doc_id", "line_no")).alias("f")).select("item", "f.*"))
+    involved = stored(members.select("item").distinct())
+    at = stored(maybe_in(lines.select("item", "doc_id", "line_no"), "item", involved).join(involved, "item", "left_semi").groupBy("item").agg(F.min(F.struct("doc_id", "line_no")).alias("f")).select("item", "f.*"))
     wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "item")).alias("w"))
-    parts = docs.join(wanted, "doc_id").select(F.explode("w").alias("w"), F.split("text", "\n", -1).alias("l")).select("w.item", F.get("l", F.col("w.line_no")).alias("line"))
-    texts = stored(parts.dropDuplicates(["item"]), "snappy")
-    sketches = stored(texts.mapInArrow(_shingle_rows(True), "item long, n long, sketch array<long>"))
-
-    def sets_of(items: DataFrame) -> DataFrame:
-        return texts.join(items, "item", "left_semi").mapInArrow(_shingle_rows(False), "item long, hashes array<long>")
+    parts = maybe_in(docs, "doc_id", at.select("doc_id")).join(wanted, "doc_id").select(F.explode("w").alias("w"), F.split("text", "\n", -1).alias("l")).select("w.item", F.get("l", F.col("w.line_no")).alias("text"))
+    texts = stored(parts.dropDuplicates(["item"]))
+    sketches = stored(texts.mapInArrow(_sketch_rows, "item long, n long, sketch array<long>"))
 
-    found = stored(components(linked(members, sketches, sets_of, percent)))
+    links = linked(members, sketches, lambda items: maybe_in(texts, "item", items).join(items, "item", "left_semi"), line_sets, percent)
+    found = stored(components(links))
+    discard(at, involved, members, texts, sketches, links)
     placed = lines.select("item", "doc_id", "line_no").join(found.withColumnRenamed("id", "item"), "item", "left").withColumn("class", F.coalesce("component", "item"))
     heads = stored(placed.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.count("*").alias("c")).filter("c > 1").select("class", F.col("f.doc_id").alias("first_doc_id"), F.col("f.line_no").alias("first_line_no")))
     out = placed.join(heads, "class", "left").withColumns({"first_doc_id": F.coalesce("first_doc_id", "doc_id"), "first_line_no": F.coalesce("first_line_no", "line_no")})
     return out.select("doc_id", "line_no", "first_doc_id", "first_line_no", ((F.col("doc_id") == F.col("first_doc_id")) & (F.col("line_no") == F.col("first_line_no"))).alias("kept"))
 
 
-def drop_duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", **how) -> DataFrame:
+def drop_duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", emptied: bool = True, **how) -> DataFrame:
     """df with lines that another stands for taken out of its texts (n_chars, if there, follows). A text
-    that loses every line that holds a word becomes empty; its row stays."""
+    that loses every line that holds a word is a copy throughout: its row stays, without them, only if
+    `emptied`."""
     gone = line_classes(df, doc_id, text, **how).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_lines")).select(F.col("doc_id").alias("_doc"), "_lines")
     left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("_lines"), i)), "\n")
     out = df.join(gone, F.col(doc_id) == F.col("_doc"), "left").withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left))
     if n_chars and n_chars in df.columns:
         out = out.withColumn(n_chars, F.when(F.col("_lines").isNull(), F.col(n_chars)).otherwise(F.length(text).cast(df.schema[n_chars].dataType)))
+    if not emptied:
+        out = out.filter(F.col("_lines").isNull() | (F.length(F.translate(text, WS, "")) > 0))
     return out.select(*df.columns)
 
 

@@ -1,6 +1,7 @@
 """Links between sets that share a bucket, enough of them for exact components.
 
-Input: members (bucket, item), and a way to get each item's set of 64-bit hashes. Two items link if
+Input: members (bucket, item), each item's text, and the function that makes texts into sets of 64-bit
+hashes. Texts are moved, not sets: a set takes several times its text, and does not compress. Two items link if
 100 |A and B| >= percent |A or B|. All pairs within a bucket are judged, but never emitted:
 
 1. Stars. Each bucket's items are compared with one leader; a sketch of the smallest hashes of a union
@@ -21,9 +22,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import stored
+from inkspan.llm.common import discard, row_slices, stored, utf8
 from inkspan.llm.components import components
 
+SetsFrom = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
 SKETCH = 64
 #: Items of one side of a block.
 BLOCK = 1024
@@ -81,93 +83,175 @@ def forest(pairs: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
     return out
 
 
-def _exact(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    one = sets.select(F.col("item").alias("a"), F.col("hashes").alias("_a"))
-    two = sets.select(F.col("item").alias("b"), F.col("hashes").alias("_b"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").withColumn("_i", F.size(F.array_intersect("_a", "_b")))
-    return both.filter(100 * F.col("_i") >= percent * (F.size("_a") + F.size("_b") - F.col("_i"))).select("a", "b")
+def _exact(pairs: DataFrame, texts: DataFrame, sets_from: SetsFrom, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets are linked."""
 
+    def run(batches):
+        import pyarrow as pa
 
-def linked(members: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 80) -> DataFrame:
+        for batch in batches:
+            (da, oa), (db, ob) = utf8(batch.column("_a")), utf8(batch.column("_b"))
+            for lo, hi in row_slices(oa + ob):
+                one = sets_from(da[oa[lo] : oa[hi]], oa[lo : hi + 1] - oa[lo])
+                two = sets_from(db[ob[lo] : ob[hi]], ob[lo : hi + 1] - ob[lo])
+                n = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)])
+                sizes = np.array([len(x) + len(y) for x, y in zip(one, two, strict=True)])
+                good = pa.array(100 * n >= percent * (sizes - n))
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo).filter(good) for c in "ab"], names=["a", "b"])
+
+    one = texts.select(F.col("item").alias("a"), F.col("text").alias("_a"))
+    two = texts.select(F.col("item").alias("b"), F.col("text").alias("_b"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+
+
+def _blocks(batches, names: list[str], work, sets_from: SetsFrom | None):
+    """work(key, arrays) for each run of rows of equal (bucket, i, j) in sorted batches, whatever batches
+    its rows come in; yields what it returns in record batches of the columns named."""
+    import pyarrow as pa
+
+    def columns(batch):
+        if sets_from:
+            data, offsets = utf8(batch.column("text"))
+            sets = [x for a, b in row_slices(offsets) for x in sets_from(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])]
+        else:
+            h = batch.column("hashes")
+            sets = np.split(np.asarray(h.flatten()), (np.asarray(h.offsets) - h.offsets[0].as_py())[1:-1])
+        return {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "item", "component", "n", "is_row")} | {"hashes": sets}
+
+    def cut(part, lo, hi):
+        return {c: v[lo:hi] for c, v in part.items()}
+
+    def join(parts):
+        return {c: sum((p[c] for p in parts), []) if c == "hashes" else np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
+    held, out = [], {n: [] for n in names}
+
+    def flush():
+        done = pa.RecordBatch.from_pydict({n: pa.array(v, pa.bool_() if n == "dense" else pa.int32() if n in "ij" else pa.int64()) for n, v in out.items()})
+        for v in out.values():
+            v.clear()
+        return done
+
+    def emit(group):
+        for row in work((int(group["bucket"][0]), int(group["i"][0]), int(group["j"][0])), group):
+            for n, v in zip(names, row, strict=True):
+                out[n].append(v)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = columns(batch)
+        key = [part[c] for c in ("bucket", "i", "j")]
+        edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+        edges = [0, *edges.tolist(), batch.num_rows]
+        if held and any(held[-1][c][-1] != part[c][0] for c in ("bucket", "i", "j")):
+            emit(join(held))
+            held = []
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            held.append(cut(part, lo, hi))
+            if hi < batch.num_rows:
+                emit(join(held) if len(held) > 1 else held[0])
+                held = []
+        if len(out[names[0]]) > 10_000:
+            yield flush()
+    if held:
+        emit(join(held))
+    yield flush()
+
+
+def _compare(percent: int, full: bool):
+    """Pairs of a block that may be linked (sketches) or are linked (full sets)."""
+
+    def block(key, group):
+        row = group["is_row"]
+        ia, ib = np.flatnonzero(row), np.flatnonzero(~row)
+        if not len(ia) or not len(ib):
+            return
+        item, n, component, sets = group["item"], group["n"], group["component"], group["hashes"]
+        na, nb = n[ia][:, None], n[ib][None, :]
+        possible = (component[ia][:, None] != component[ib][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+        # Two items that are both rows meet twice.
+        rows = item[ia]
+        possible &= ~np.isin(item[ib], rows)[None, :] | (rows[:, None] < item[ib][None, :])
+        x, y = np.nonzero(possible)
+        if not len(x):
+            return
+        if len(x) <= 64:
+            common = np.array([len(np.intersect1d(sets[ia[p]], sets[ib[q]], assume_unique=True)) for p, q in zip(x.tolist(), y.tolist(), strict=True)])
+        else:
+            common = shared([sets[p] for p in ia.tolist()], [sets[q] for q in ib.tolist()])[x, y]
+        na, nb = n[ia[x]], n[ib[y]]
+        exact = 100 * common >= percent * (na + nb - common)
+        if full:
+            good = exact
+        else:
+            good = np.where(np.maximum(na, nb) <= SKETCH, exact, common >= retained(np.minimum(np.minimum(na, nb), SKETCH), percent))
+        x, y = ia[x[good]], ib[y[good]]
+        if full:
+            keep = forest(np.arange(len(x)), component[x], component[y])
+            x, y = x[keep], y[keep]
+        elif len(x) > FEW * len(item):
+            yield (*key, 0, 0, True)
+            return
+        for p, q in zip(item[x].tolist(), item[y].tolist(), strict=True):
+            yield (*key, p, q, False)
+
+    return block
+
+
+def _in_blocks(rows: DataFrame, percent: int, sets_from: SetsFrom | None = None) -> DataFrame:
+    """On full sets where sets_from is given, else on sketches."""
+    names, full = ["bucket", "i", "j", "a", "b", "dense"], sets_from is not None
+    ordered = rows.select("bucket", "i", "j", "item", "component", "n", "is_row", "text" if full else "hashes").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return ordered.mapInArrow(lambda b: _blocks(b, names, _compare(percent, full), sets_from), "bucket long, i int, j int, a long, b long, dense boolean")
+
+
+def linked(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFrame], DataFrame], sets_from: SetsFrom, percent: int = 80) -> DataFrame:
     """Links (a, b) that connect all items whose link lies within a bucket.
 
     members (bucket long, item long); sketches (item, n, sketch array<long>, the smallest hashes in
-    order); sets_of(items) gives (item, hashes) for a table of items. All are stored tables."""
-    size = {r: F.col(f"n{r}") for r in "ab"}
-    # A leader is the item of the most central size; ties go to the smallest.
-    sized = members.join(sketches.select("item", "n"), "item")
-    sized = stored(sized)
-    heads = stored(sized.groupBy("bucket").agg(F.min(F.struct("n", "item")).alias("h")).select("bucket", F.col("h.item").alias("a"), F.col("h.n").alias("na")))
-    stars = sized.join(heads, "bucket").filter("item <> a").select("a", F.col("item").alias("b"), "na", F.col("n").alias("nb"))
-    stars = stored(stars.filter(100 * F.least(size["a"], size["b"]) >= percent * F.greatest(size["a"], size["b"])).select("a", "b").distinct())
+    order), both stored tables; texts_of(items) gives (item, text) for a table of items, and sets_from the
+    sorted distinct hashes of each of the texts in a byte vector."""
+    # A leader is the item of the smallest set: in a group of edited copies, the one with the fewest edits.
+    sized = stored(members.join(sketches.select("item", "n"), "item"))
+    heads = stored(sized.groupBy("bucket").agg(F.min(F.struct("n", "item")).alias("h"), F.count("*").alias("c")).select("bucket", F.col("h.item").alias("a"), F.col("h.n").alias("na"), "c"))
+    stars = sized.withColumnsRenamed({"item": "b", "n": "nb"}).join(heads, "bucket").filter("a <> b")
+    stars = stored(stars.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct())
     sk = lambda r: sketches.select(F.col("item").alias(r), F.col("sketch").alias(f"_{r}"))
     union = F.slice(F.sort_array(F.array_union("_a", "_b")), 1, SKETCH)
     near = stars.join(sk("b"), "b").join(sk("a"), "a").withColumns({"_u": union, "_s": F.array_intersect("_a", "_b")}).withColumn("_k", F.size("_u"))
     p = percent / 100
     near = stored(near.filter(F.size(F.array_intersect("_s", "_u")) >= p * F.col("_k") - 4.5 * F.sqrt(p * (1 - p) * F.col("_k"))).select("a", "b"))
-    sets = stored(sets_of(near.select(F.col("a").alias("item")).union(near.select("b")).distinct()))
-    links = stored(_exact(near, sets, percent))
+    discard(stars)
+    wanted = stored(near.select(F.col("a").alias("item")).union(near.select("b")).distinct())
+    texts = stored(texts_of(wanted))
+    links = stored(_exact(near, texts, sets_from, percent))
+    discard(near, texts, wanted)
     parts = stored(components(links))
 
-    # Buckets of several components.
-    placed = sized.join(parts.withColumnRenamed("id", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
+    # Buckets of several components. Leaders have met everyone, so a bucket of two is done.
+    more = heads.filter("c > 2").select("bucket", "a")
+    placed = sized.join(more, "bucket").filter("item <> a").drop("a").join(parts.withColumnRenamed("id", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
     placed = stored(placed)
+    discard(sized, heads, parts)
     per = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    open_buckets = stored(
-        per.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("top.component").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("outside"))
-    )
+    top = per.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("parts")).filter("parts > 1")
+    open_buckets = stored(top.select("bucket", F.col("top.component").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("outside")))
     rest = placed.join(open_buckets, "bucket").withColumn("out", F.col("component") != F.col("top"))
     rows, cols = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("all") / BLOCK)
     mine, theirs = F.pmod(F.xxhash64("item"), rows).cast("int"), F.pmod(F.xxhash64("item", F.lit(7)), cols).cast("int")
     left = rest.filter("out").select("bucket", "item", "component", "n", mine.alias("i"), F.explode(F.sequence(F.lit(0), (cols - 1).cast("int"))).alias("j"), F.lit(True).alias("is_row"))
     right = rest.select("bucket", "item", "component", "n", F.explode(F.sequence(F.lit(0), (rows - 1).cast("int"))).alias("i"), theirs.alias("j"), F.lit(False).alias("is_row"))
     blocks = stored(left.unionByName(right))
-
-    def compare(full: bool):
-        def block(key, frame):
-            import pandas as pd
-
-            empty = pd.DataFrame({"bucket": [], "i": [], "j": [], "a": [], "b": [], "dense": []}).astype({"bucket": "int64", "i": "int32", "j": "int32", "a": "int64", "b": "int64", "dense": "bool"})
-            a, b = frame[frame["is_row"]], frame[~frame["is_row"]]
-            if not len(a) or not len(b):
-                return empty
-            na, nb = a["n"].to_numpy(), b["n"].to_numpy()
-            possible = a["component"].to_numpy()[:, None] != b["component"].to_numpy()[None, :]
-            possible &= 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
-            if not possible.any():
-                return empty
-            common = shared(list(a["hashes"]), list(b["hashes"]))
-            if full:
-                possible &= 100 * common >= percent * (na[:, None] + nb[None, :] - common)
-            else:
-                least = np.minimum(np.minimum(na[:, None], nb[None, :]), SKETCH)
-                whole = np.maximum(na[:, None], nb[None, :]) <= SKETCH
-                possible &= np.where(whole, 100 * common >= percent * (na[:, None] + nb[None, :] - common), common >= retained(least, percent))
-            x, y = np.nonzero(possible)
-            ia, ib = a["item"].to_numpy()[x], b["item"].to_numpy()[y]
-            once = (ia < ib) | ~np.isin(ia, b["item"].to_numpy()) | ~np.isin(ib, a["item"].to_numpy())
-            x, y, ia, ib = x[once], y[once], ia[once], ib[once]
-            dense = not full and len(x) > FEW * len(frame)
-            if full:
-                keep = forest(np.arange(len(x)), a["component"].to_numpy()[x], b["component"].to_numpy()[y])
-                ia, ib = ia[keep], ib[keep]
-            elif dense:
-                ia, ib = ia[:1], ib[:1]
-            return pd.DataFrame({"bucket": key[0], "i": np.int32(key[1]), "j": np.int32(key[2]), "a": ia, "b": ib, "dense": dense})
-
-        return block
-
-    schema = "bucket long, i int, j int, a long, b long, dense boolean"
-    found = blocks.join(sketches.select("item", F.col("sketch").alias("hashes")), "item").groupBy("bucket", "i", "j").applyInPandas(compare(False), schema)
-    found = stored(found)
+    discard(placed, open_buckets)
+    found = stored(_in_blocks(blocks.join(sketches.select("item", F.col("sketch").alias("hashes")), "item"), percent))
     pairs = found.filter("not dense").select("a", "b").distinct()
-    more = found.filter("dense").select("bucket", "i", "j")
-    dense = stored(blocks.join(more, ["bucket", "i", "j"]))
-    wanted = pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(dense.select("item")).distinct()
-    sets = stored(sets_of(wanted))
-    confirmed = _exact(pairs, sets, percent)
-    bulk = dense.join(sets, "item").groupBy("bucket", "i", "j").applyInPandas(compare(True), schema).select("a", "b")
-    return links.union(confirmed).union(bulk)
+    dense = stored(blocks.join(found.filter("dense").select("bucket", "i", "j"), ["bucket", "i", "j"]))
+    wanted = stored(pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(dense.select("item")).distinct())
+    texts = stored(texts_of(wanted))
+    out = stored(links.union(_exact(pairs, texts, sets_from, percent)).union(_in_blocks(dense.join(texts, "item"), percent, sets_from).select("a", "b")))
+    discard(links, blocks, found, dense, texts, wanted)
+    return out
 
 
 def retained(k, percent: int):

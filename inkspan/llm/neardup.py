@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import LOWER, documents, mix, row_slices, slice_hashes, stored, utf8, word_bounds
+from inkspan.llm.common import LOWER, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8, word_bounds
 from inkspan.llm.components import components
 from inkspan.llm.links import SKETCH, linked
 
@@ -58,8 +58,8 @@ def _columns(arrays: list[np.ndarray]):
     return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32), flat)
 
 
-def _map_sets(docs: DataFrame, words: int, schema: str, rows_of) -> DataFrame:
-    """docs (item, text) through rows_of(ids, sets), a few MB of text at a time."""
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
+    """Size, digest and sketch of the set of each of docs (item, text)."""
 
     def run(batches):
         import pyarrow as pa
@@ -69,9 +69,9 @@ def _map_sets(docs: DataFrame, words: int, schema: str, rows_of) -> DataFrame:
             ids = batch.column("item").to_numpy(zero_copy_only=False)
             for a, b in row_slices(offsets):
                 sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
-                yield pa.RecordBatch.from_pydict(rows_of(ids[a:b], sets))
+                yield pa.RecordBatch.from_pydict(_sketch_rows(ids[a:b], sets))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "item long, n long, d0 long, d1 long, sketch array<long>")
 
 
 def _sketch_rows(ids, sets):
@@ -82,16 +82,10 @@ def _sketch_rows(ids, sets):
     return {"item": pa.array(ids), "n": pa.array([len(s) for s in sets], pa.int64()), "d0": pa.array(halves[:, 0]), "d1": pa.array(halves[:, 1]), "sketch": _columns([s[:SKETCH] for s in sets])}
 
 
-def _set_rows(ids, sets):
-    import pyarrow as pa
-
-    return {"item": pa.array(ids), "hashes": _columns(sets)}
-
-
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): component_id is the smallest doc_id reachable over links."""
     docs = df.select(F.col(doc_id).cast("long").alias("item"), F.col(text).alias("text"))
-    sketched = stored(_map_sets(docs, words, "item long, n long, d0 long, d1 long, sketch array<long>", _sketch_rows))
+    sketched = stored(_sketches(docs, words))
     full = sketched.filter("n > 0")
     # One of each group of equal sets goes on.
     groups = stored(full.groupBy("d0", "d1", "n").agg(F.min("item").alias("first"), F.count("*").alias("c")))
@@ -103,19 +97,23 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     # Rarest retained hashes; those of one document alone lead nowhere but count as the rarest.
     retained = first.select("item", F.size("sketch").alias("k"), F.explode("sketch").alias("bucket"))
     often = stored(retained.groupBy("bucket").agg(F.count("*").alias("f")).filter("f > 1"))
-    ranked = retained.join(often, "bucket").groupBy("item", "k").agg(F.sort_array(F.collect_list(F.struct("f", "bucket"))).alias("s"))
+    ranked = maybe_in(retained, "bucket", often.select("bucket")).join(often, "bucket").groupBy("item", "k").agg(F.sort_array(F.collect_list(F.struct("f", "bucket"))).alias("s"))
     k = F.col("k")
     p = percent / 100
     o = F.when(100 * k <= percent * SKETCH, F.ceil(percent * k / 100)).otherwise(F.floor(p * k - 4.5 * F.sqrt(p * (1 - p) * k)))
     entries = F.greatest(F.lit(0), (k - o + 1) - (k - F.size("s"))).cast("int")
     members = ranked.select("item", F.explode(F.slice("s", F.lit(1), entries)).alias("e")).select(F.col("e.bucket").alias("bucket"), "item")
     members = stored(members)
+    discard(often)
+    involved = stored(members.select("item").distinct())
+    sketches = stored(maybe_in(first, "item", involved).join(involved, "item", "left_semi"))
 
-    def sets_of(items: DataFrame) -> DataFrame:
-        return _map_sets(docs.join(items, "item", "left_semi"), words, "item long, hashes array<long>", _set_rows)
+    def texts_of(items: DataFrame) -> DataFrame:
+        return maybe_in(docs, "item", items).join(items, "item", "left_semi")
 
-    links = linked(members, first.select("item", "n", "sketch"), sets_of, percent)
+    links = linked(members, sketches, texts_of, lambda data, offsets: shingle_sets(data, offsets, words), percent)
     parts = stored(components(links))
+    discard(members, links, first, involved, sketches)
     roots = copies.join(parts.withColumnRenamed("id", "first"), "first", "left").select("item", F.coalesce("component", "first").alias("component"))
     singles = parts.join(copies.select(F.col("item").alias("id")), "id", "left_anti").select(F.col("id").alias("item"), "component")
     out = sketched.select("item", "n").join(roots.union(singles), "item", "left")
