@@ -9,15 +9,24 @@ from inkspan.functions import geometry as G
 from inkspan.plans.registry import query
 
 KEYS = ("doc_id", "line_no")
-LINE = G.box("x0", "y0", "x1", "y1")
-OTHER = G.box("u0", "v0", "u1", "v1")
-#: The second band of the line's page, by formula.
-SECOND = {"u0": F.lit(75.0), "v0": F.lit(74.0) + F.col("doc_id") % 5, "u1": F.lit(500.0), "v1": F.lit(119.0) + F.col("doc_id") % 5}
+
+
+def LINE():  # noqa: N802
+    return G.box("x0", "y0", "x1", "y1")
+
+
+def OTHER():  # noqa: N802
+    return G.box("u0", "v0", "u1", "v1")
+
+
+def SECOND():  # noqa: N802
+    """The second band of the line's page, by formula."""
+    return {"u0": F.lit(75.0), "v0": F.lit(74.0) + F.col("doc_id") % 5, "u1": F.lit(500.0), "v1": F.lit(119.0) + F.col("doc_id") % 5}
 FROM = "from (select *, 75.0::double u0, 74.0::double + doc_id % 5 v0, 500.0::double u1, 119.0::double + doc_id % 5 v1 from layout_lines)"
 
 
 def lines(t):
-    return t.layout_lines().withColumns(SECOND)
+    return t.layout_lines().withColumns(SECOND())
 
 
 def spread(b, names=("a", "b", "c", "d"), digits=None):
@@ -35,18 +44,18 @@ def _(t):
 
 @query("g02_box_measures", f"select doc_id, line_no, y1 - y0 as height, x1 - x0 as width, x0 as x_start, y0 as y_start, (x1 - x0) * (y1 - y0) as area {FROM}")
 def _(t):
-    return lines(t).select(*KEYS, G.height(LINE).alias("height"), G.width(LINE).alias("width"), F.col("x0").alias("x_start"), F.col("y0").alias("y_start"), G.area(LINE).alias("area"))
+    return lines(t).select(*KEYS, G.height(LINE()).alias("height"), G.width(LINE()).alias("width"), F.col("x0").alias("x_start"), F.col("y0").alias("y_start"), G.area(LINE()).alias("area"))
 
 
 @query("g03_merge_boxes", f"select doc_id, line_no, least(x0, u0) a, least(y0, v0) b, greatest(x1, u1) c, greatest(y1, v1) d {FROM}")
 def _(t):
-    return lines(t).select(*KEYS, *spread(G.envelope(LINE, OTHER)))
+    return lines(t).select(*KEYS, *spread(G.envelope(LINE(), OTHER())))
 
 
 @query("g04_boxes_intersect", f"select doc_id, line_no, x0 < u1 and x1 > u0 and y0 < v1 and y1 > v0 as hit, (x0 < u1 and x1 > u0 and y0 < v1 and y1 > v0) or (x0 < 90 and x1 > 0 and y0 < 50 and y1 > 0) as any_hit {FROM}")
 def _(t):
     corner = G.box(0.0, 0.0, 90.0, 50.0)
-    return lines(t).select(*KEYS, G.intersects(LINE, OTHER).alias("hit"), G.intersects_any(LINE, F.array(OTHER, corner)).alias("any_hit"))
+    return lines(t).select(*KEYS, G.intersects(LINE(), OTHER()).alias("hit"), G.intersects_any(LINE(), F.array(OTHER(), corner)).alias("any_hit"))
 
 
 SHARE = "case when least(x1, u1) < greatest(x0, u0) or least(y1, v1) < greatest(y0, v0) then 0.0 when x1 = x0 then {none} else (least(x1, u1) - greatest(x0, u0)) * (least(y1, v1) - greatest(y0, v0)) / nullif((x1 - x0) * (y1 - y0), 0) end"
@@ -54,7 +63,7 @@ SHARE = "case when least(x1, u1) < greatest(x0, u0) or least(y1, v1) < greatest(
 
 @query("g05_intersection_share", f"select doc_id, line_no, round({SHARE.format(none='1.0')}, 9) as share, round({SHARE.format(none='0.0')}, 9) as element_share {FROM}")
 def _(t):
-    return lines(t).select(*KEYS, F.round(G.overlap_share(LINE, OTHER), 9).alias("share"), F.round(G.element_overlap_share(LINE, OTHER), 9).alias("element_share"))
+    return lines(t).select(*KEYS, F.round(G.overlap_share(LINE(), OTHER()), 9).alias("share"), F.round(G.element_overlap_share(LINE(), OTHER()), 9).alias("element_share"))
 
 
 @query(
@@ -63,7 +72,7 @@ def _(t):
     f"from (select *, floor(least(x1 - x0, u1 - u0) * 0.1) m, greatest(0, least(x1, u1) - greatest(x0, u0)) * greatest(0, least(y1, v1) - greatest(y0, v0)) ia {FROM})",
 )
 def _(t):
-    return lines(t).select(*KEYS, G.intersection_area(LINE, OTHER).alias("area"), F.round(G.intersection_share(LINE, OTHER, 0.1), 9).alias("share"))
+    return lines(t).select(*KEYS, G.intersection_area(LINE(), OTHER()).alias("area"), F.round(G.intersection_share(LINE(), OTHER(), 0.1), 9).alias("share"))
 
 
 @query(
@@ -73,14 +82,14 @@ def _(t):
 def _(t):
     w = Window.partitionBy("doc_id", "page_id").orderBy("line_id")
     x0 = F.col("x0") + F.col("line_id")
-    df = t.layout_lines().select("doc_id", "page_id", "line_id", x0.alias("x0"), "y0", (x0 + (F.col("x1") - F.col("x0")) / 100).alias("x1"), "y1").withColumn("b", LINE)
+    df = t.layout_lines().select("doc_id", "page_id", "line_id", x0.alias("x0"), "y0", (x0 + (F.col("x1") - F.col("x0")) / 100).alias("x1"), "y1").withColumn("b", LINE())
     df = df.withColumn("p", F.lag("b").over(w))
     return df.select("doc_id", "page_id", "line_id", F.coalesce(G.should_merge(F.col("p"), F.col("b"), 15), F.lit(False)).alias("merged"))
 
 
 @query("g08_rescale_box", f"select doc_id, line_no, round(x0 / (200.0 / 100), 6) a, round(y0 / (100.0 / 150), 6) b, round(x1 / (200.0 / 100), 6) c, round(y1 / (100.0 / 150), 6) d {FROM}")
 def _(t):
-    return lines(t).select(*KEYS, *spread(G.rescale(LINE, G.box(0, 0, 200, 100), G.box(0, 0, 100, 150)), digits=6))
+    return lines(t).select(*KEYS, *spread(G.rescale(LINE(), G.box(0, 0, 200, 100), G.box(0, 0, 100, 150)), digits=6))
 
 
 @query(
@@ -88,26 +97,26 @@ def _(t):
     f"select doc_id, line_no, trunc(x0 * (1000.0 / 768))::int::double a, trunc(y0 * (800.0 / 768))::int::double b, trunc(x1 * (1000.0 / 768))::int::double c, trunc(y1 * (800.0 / 768))::int::double d, round_even(x1 * (1000.0 / 768), 0)::int::double rounded {FROM}",
 )
 def _(t):
-    b = G.rescale_pixels(LINE, (768, 768), (1000, 800))
-    return lines(t).select(*KEYS, *spread(b), G.rescale_pixels(LINE, (768, 768), (1000, 800), True)["x1"].alias("rounded"))
+    b = G.rescale_pixels(LINE(), (768, 768), (1000, 800))
+    return lines(t).select(*KEYS, *spread(b), G.rescale_pixels(LINE(), (768, 768), (1000, 800), True)["x1"].alias("rounded"))
 
 
 @query("g10_unnormalize", f"select doc_id, line_no, round(612.0 * (x0 / 1000), 6) a, round(792.0 * (y0 / 1000), 6) b, round_even(x1 / 1000 * 612.0, 1) c, round_even(y1 / 1000 * 792.0, 1) d {FROM}")
 def _(t):
-    k, u = G.from_thousandths(LINE, 612, 792), G.from_unit(G.box(F.col("x0") / 1000, F.col("y0") / 1000, F.col("x1") / 1000, F.col("y1") / 1000), 612, 792)
+    k, u = G.from_thousandths(LINE(), 612, 792), G.from_unit(G.box(F.col("x0") / 1000, F.col("y0") / 1000, F.col("x1") / 1000, F.col("y1") / 1000), 612, 792)
     return lines(t).select(*KEYS, F.round(k["x0"], 6).alias("a"), F.round(k["y0"], 6).alias("b"), u["x1"].alias("c"), u["y1"].alias("d"))
 
 
 @query("g11_polygon", f"select doc_id, line_no, least(x1, x0) a, least(y1, y0) b, greatest(x1, x0) c, greatest(y1, y0) d, x1 as corner_x, y1 as corner_y {FROM}")
 def _(t):
     turned = F.array(F.array("x1", "y1"), F.array("x0", "y1"), F.array("x0", "y0"), F.array("x1", "y0"))
-    return lines(t).select(*KEYS, *spread(G.from_polygon(turned)), G.to_polygon(LINE)[2][0].alias("corner_x"), G.to_polygon(LINE)[2][1].alias("corner_y"))
+    return lines(t).select(*KEYS, *spread(G.from_polygon(turned)), G.to_polygon(LINE())[2][0].alias("corner_x"), G.to_polygon(LINE())[2][1].alias("corner_y"))
 
 
 @query("g12_fit_and_round", f"select doc_id, line_no, greatest(least(x0, 300), 75) a, greatest(least(y0, 100), 50) b, greatest(least(x1, 300), 75) c, greatest(least(y1, 100), 50) d, floor(x1 / 8) * 8 as rx, floor(y1 / 8) * 8 as ry {FROM}")
 def _(t):
-    r = G.floor_to(LINE, 8.0)
-    return lines(t).select(*KEYS, *spread(G.fit(LINE, G.box(75, 50, 300, 100))), r["x1"].alias("rx"), r["y1"].alias("ry"))
+    r = G.floor_to(LINE(), 8.0)
+    return lines(t).select(*KEYS, *spread(G.fit(LINE(), G.box(75, 50, 300, 100))), r["x1"].alias("rx"), r["y1"].alias("ry"))
 
 
 @query(
@@ -115,7 +124,7 @@ def _(t):
     f"select doc_id, line_no, case k when 1 then 800 - y1 when 2 then 600 - x1 when 3 then y0 else x0 end a, case k when 1 then x0 when 2 then 800 - y1 when 3 then 600 - x1 else y0 end b, case k when 1 then 800 - y0 when 2 then 600 - x0 when 3 then y1 else x1 end c, case k when 1 then x1 when 2 then 800 - y0 when 3 then 600 - x0 else y1 end d from (select *, line_no % 4 k {FROM})",
 )
 def _(t):
-    return lines(t).select(*KEYS, *spread(G.rotate(LINE, 90 * (F.col("line_no") % 4), 600, 800)))
+    return lines(t).select(*KEYS, *spread(G.rotate(LINE(), 90 * (F.col("line_no") % 4), 600, 800)))
 
 
 @query("g14_line_angle", f"select doc_id, line_no, round(degrees(atan((v1 - y0) / nullif(u1 - x0, 0))), 6) as angle {FROM}")

@@ -10,7 +10,12 @@ from inkspan.operators import relational as R
 from inkspan.plans.registry import query
 
 BOX = ("x0", "y0", "x1", "y1")
-LINE = G.box(*BOX)
+
+
+def LINE():  # noqa: N802
+    return G.box(*BOX)
+
+
 KEYS = ("doc_id", "page_id", "line_id")
 SHARE = "(case when least(l.x1, r.x1) < greatest(l.x0, r.x0) or least(l.y1, r.y1) < greatest(l.y0, r.y0) then 0.0 when l.x1 = l.x0 then 1.0 else (least(l.x1, r.x1) - greatest(l.x0, r.x0)) * (least(l.y1, r.y1) - greatest(l.y0, r.y0)) / ((l.x1 - l.x0) * (l.y1 - l.y0)) end)"
 PAIRS = f"pairs as (select l.*, r.region_id, r.label, {SHARE} as share from layout_lines l join regions r using (doc_id, page_id))"
@@ -25,7 +30,7 @@ def lines_with_regions(t, lines=None):
 
 
 def share(x):
-    return G.overlap_share(LINE, item_box(x))
+    return G.overlap_share(LINE(), item_box(x))
 
 
 @query("j01_line_region_argmax", f", {PAIRS} select doc_id, page_id, line_id, region_id, round(share, 9) share from pairs where share > 0 qualify row_number() over (partition by doc_id, page_id, line_id order by share desc, region_id) = 1")
@@ -113,7 +118,7 @@ def _(t):
 )
 def _(t):
     df = R.with_page_items(t.regions(), t.layout_lines(), BOX)
-    total = F.aggregate(F.transform("items", lambda x: G.overlap_share(LINE, item_box(x))), F.lit(0.0), lambda a, v: a + v)
+    total = F.aggregate(F.transform("items", lambda x: G.overlap_share(LINE(), item_box(x))), F.lit(0.0), lambda a, v: a + v)
     found = F.count_if(total > 0.5)
     return df.groupBy("doc_id", "page_id").agg(F.count("*").alias("total"), found.alias("found"), (found / F.count("*") > 0.4).alias("covered"))
 
@@ -204,7 +209,7 @@ def _(t):
 @query("u03_pixel_sets", "select l.doc_id, l.page_id, l.line_id, r.region_id, greatest(0, least(floor(l.x1), floor(r.x1)) - greatest(floor(l.x0), floor(r.x0)))::bigint * greatest(0, least(floor(l.y1), floor(r.y1)) - greatest(floor(l.y0), floor(r.y0)))::bigint as common from layout_lines l join regions r using (doc_id, page_id)")
 def _(t):
     low = lambda b: G.box(F.floor(b["x0"]), F.floor(b["y0"]), F.floor(b["x1"]), F.floor(b["y1"]))
-    df = lines_with_regions(t).select(*KEYS, LINE.alias("b"), F.explode("items").alias("r"))
+    df = lines_with_regions(t).select(*KEYS, LINE().alias("b"), F.explode("items").alias("r"))
     return df.select(*KEYS, "r.region_id", G.intersection_area(low(F.col("b")), low(item_box(F.col("r")))).cast("long").alias("common"))
 
 

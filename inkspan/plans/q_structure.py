@@ -13,7 +13,12 @@ from inkspan.plans.derive import _pick
 from inkspan.plans.registry import query
 
 KEYS = ("doc_id", "line_no")
-L = F.col("line")
+
+
+def L():  # noqa: N802
+    return F.col("line")
+
+
 ATTR = "(['text', 'doc_title', 'text_title'])[(doc_id + line_no) % 3 + 1]"
 
 
@@ -35,13 +40,13 @@ def plain(p: str) -> str:
 
 @query("t27_title_labels", ", d as (select doc_id, line_no, lower(line || (['', '指南', ' Study', '专家共识'])[line_no % 4 + 1]) as s from doc_lines) select doc_id, line_no, concat_ws(',', " + ", ".join(f"case when regexp_matches(s, '{p}') then '{n}' end" for n, p in T.TITLE_LABELS.items()) + ") as labels from d")
 def _(t):
-    df = t.doc_lines().withColumn("line", F.concat(L, _pick(("", "指南", " Study", "专家共识"), F.col("line_no") % 4)))
-    return df.select(*KEYS, F.array_join(T.title_labels(L), ",").alias("labels"))
+    df = t.doc_lines().withColumn("line", F.concat(L(), _pick(("", "指南", " Study", "专家共识"), F.col("line_no") % 4)))
+    return df.select(*KEYS, F.array_join(T.title_labels(L()), ",").alias("labels"))
 
 
 @query("t28_field_predicates", "select doc_id, line_no, " + ", ".join(f"regexp_matches(line, '{q(p)}') as {n}" for n, p in T.FIELDS.items()) + " from decorated_lines")
 def _(t):
-    return t.decorated_lines().select(*KEYS, *[T.is_field(L, n).alias(n) for n in T.FIELDS])
+    return t.decorated_lines().select(*KEYS, *[T.is_field(L(), n).alias(n) for n in T.FIELDS])
 
 
 VETO = "case " + " ".join(f"when regexp_matches(trim(s), '{q(plain(p))}') then {i + 1}" for i, p in enumerate(T.NOT_TITLES)) + " else 0 end"
@@ -64,19 +69,19 @@ when found > -1 then found when attr <> 'text' and regexp_matches(s, '{q(T.LOWES
 
 @query("t29_title_slot", f", {SLOT_SQL} select doc_id, line_no, slot from sl")
 def _(t):
-    return t.decorated_lines().select(*KEYS, T.title_slot(L, attr()).alias("slot"))
+    return t.decorated_lines().select(*KEYS, T.title_slot(L(), attr()).alias("slot"))
 
 
 @query("t30_title_predicates", f", v as (select doc_id, line_no, line as s, line from decorated_lines) select doc_id, line_no, {any_of([plain(p) for p in T.STARTS])} as starts, ({VETO})::int as veto from v")
 def _(t):
-    return t.decorated_lines().select(*KEYS, T.starts_level(L).alias("starts"), T.not_title(L).alias("veto"))
+    return t.decorated_lines().select(*KEYS, T.starts_level(L()).alias("starts"), T.not_title(L()).alias("veto"))
 
 
 @query("t31_title_order", f", {SLOT_SQL} select doc_id, line_no, case slot when 1 then 1 when 2 then null when 3 then 1 when 5 then 1 when 6 then coalesce(try_cast(regexp_extract(s, '(\\d{{1,9}})', 1) as int), null) when 11 then 1 when 12 then 1 end as ord from sl")
 def _(t):
-    s = T.title_slot(L, attr())
+    s = T.title_slot(L(), attr())
     df = t.decorated_lines().select(*KEYS, "line", s.alias("slot"))
-    return df.select(*KEYS, T.title_order(X.strip(L), F.col("slot")).alias("ord"))
+    return df.select(*KEYS, T.title_order(X.strip(L()), F.col("slot")).alias("ord"))
 
 
 @query("t33_document_marks", "select doc_id, " + " + ".join(f"regexp_matches(text, '{p}')::int" for p in T.DRUG_MARKS) + " >= 3 as drug, " + " + ".join(f"regexp_matches(text, '{q(p)}')::int" for p in T.GUIDELINE_MARKS) + " >= 2 as guideline from (select doc_id, (['【药品名称】【成份】【性状】', '指南 DOI: 文章编号', ''])[doc_id % 3 + 1] || text as text from documents)")

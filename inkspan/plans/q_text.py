@@ -32,7 +32,12 @@ def on(t, **columns):
     return t.select(*KEYS, *[v.alias(k) for k, v in columns.items()])
 
 
-L = F.col("line")
+
+
+def L():  # noqa: N802
+    return F.col("line")
+
+
 STRIP = "regexp_replace({0}, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')"
 RSTRIP = "regexp_replace({0}, '[\\s\\x0b]+$', '')"
 LSTRIP = "regexp_replace({0}, '^[\\s\\x0b]+', '')"
@@ -40,28 +45,28 @@ LSTRIP = "regexp_replace({0}, '^[\\s\\x0b]+', '')"
 
 @query("t01_clean_text", "select doc_id, line_no, replace(replace(replace(replace(replace(replace(line, chr(13)||chr(10), chr(10)), chr(65534), ' '), chr(65279), ' '), chr(160), ' '), chr(13), chr(10)), 'ﬁ', 'fi') as line " + MARKED)
 def _(t):
-    return on(marked(t), line=X.clean_text(L))
+    return on(marked(t), line=X.clean_text(L()))
 
 
 @query("t02_keep_hyphens", "select doc_id, line_no, replace(line, chr(2), '-' || chr(10)) as kept, replace(line, 'x' || chr(2) || chr(10) || 'y z', 'xy' || chr(10) || 'z') as joined " + MARKED)
 def _(t):
     df = marked(t)
-    return on(df, kept=X.keep_hyphens(L), joined=X.join_hyphens(L))
+    return on(df, kept=X.keep_hyphens(L()), joined=X.join_hyphens(L()))
 
 
 @query("t03_halfwidth", "select doc_id, line_no, replace(replace(replace(line, 'Ａ', 'A'), 'Ｂ', 'B'), '！', '!') as line " + MARKED)
 def _(t):
-    return on(marked(t), line=X.to_halfwidth(L))
+    return on(marked(t), line=X.to_halfwidth(L()))
 
 
 @query("t04_cleanup", r"select doc_id, line_no, replace(regexp_replace(regexp_replace(line, '\n{3,}', chr(10)||chr(10), 'g'), '(\n[\s\x0b]){3,}', chr(10)||chr(10), 'g'), chr(160), ' ') as line " + MARKED)
 def _(t):
-    return on(marked(t), line=X.cleanup(L))
+    return on(marked(t), line=X.cleanup(L()))
 
 
 @query("t05_bullets", r"select doc_id, line_no, regexp_replace(line, '(^|[\n ])[•●○■▪▫–—]( )', '\1-\2', 'g') as line " + MARKED)
 def _(t):
-    return on(marked(t), line=X.replace_bullets(L))
+    return on(marked(t), line=X.replace_bullets(L()))
 
 
 RATIO = r"case when length(regexp_replace(line, '[ \n]', '', 'g')) = 0 then 1.0 else length(regexp_replace(regexp_replace(line, '[ \n]', '', 'g'), '[^\pL\pN]', '', 'g')) / length(regexp_replace(line, '[ \n]', '', 'g')) end"
@@ -69,7 +74,7 @@ RATIO = r"case when length(regexp_replace(line, '[ \n]', '', 'g')) = 0 then 1.0
 
 @query("t06_alphanum_ratio", f"select doc_id, line_no, round({RATIO}, 9) as ratio {MARKED}")
 def _(t):
-    return on(marked(t), ratio=F.round(X.alphanum_ratio(L), 9))
+    return on(marked(t), ratio=F.round(X.alphanum_ratio(L()), 9))
 
 
 @query(
@@ -80,7 +85,7 @@ def _(t):
 def _(t):
     k = F.col("line_no") % 5
     line = F.when(k == 1, F.concat(F.substring("line", 1, 1), F.lit("\n\n"))).when(k == 2, F.concat(F.lit(" ! " * 9), F.substring("line", 1, 4))).otherwise(F.substring("line", 1, 9))
-    return on(t.doc_lines().withColumn("line", line), bad=F.coalesce(X.is_bad_text(L), F.lit(False)))
+    return on(t.doc_lines().withColumn("line", line), bad=F.coalesce(X.is_bad_text(L()), F.lit(False)))
 
 
 @query("t08_garbage_share", r"select doc_id, round(length(regexp_replace(text, '[^\x00-\x40]', '', 'g')) / nullif(length(text), 0), 9) as share from documents")
@@ -90,17 +95,17 @@ def _(t):
 
 @query("t09_outer_digits", "select doc_id, line_no, regexp_replace(regexp_replace(line, '^[0-9]+', ''), '[0-9]+$', '') as line " + MARKED)
 def _(t):
-    return on(marked(t), line=X.replace_outer_digits(L))
+    return on(marked(t), line=X.replace_outer_digits(L()))
 
 
 @query("t10_scripts", "select doc_id, line_no, regexp_matches(line, '[一-\u9fff]') as has_chinese, regexp_matches(line, '^[一-\u9fff㐀-\u4dbf豈-\ufaff]') as first_chinese, case when regexp_matches(line, '^[一-\u9fa5]') then 'chinese' when regexp_matches(line, '^[A-Za-z]') then 'english' else 'other' end as script from decorated_lines")
 def _(t):
-    return on(t.decorated_lines(), has_chinese=X.contains_chinese(L), first_chinese=X.first_is_chinese(L), script=X.is_chinese_or_english(L))
+    return on(t.decorated_lines(), has_chinese=X.contains_chinese(L()), first_chinese=X.first_is_chinese(L()), script=X.is_chinese_or_english(L()))
 
 
 @query("t11_counters", "select doc_id, line_no, length(regexp_replace(line, '[^一-\u9fa5]', '', 'g')) as chinese, length(regexp_replace(line, '[^A-Za-z]', '', 'g')) as english, regexp_replace(line, '[^一-\u9fa5a-zA-Z]', '', 'g') as letters from decorated_lines")
 def _(t):
-    return on(t.decorated_lines(), chinese=X.chinese_count(L), english=X.english_count(L), letters=X.letters_only(L))
+    return on(t.decorated_lines(), chinese=X.chinese_count(L()), english=X.english_count(L()), letters=X.letters_only(L()))
 
 
 CUT = "from (select doc_id, line_no, case when line_no % 3 = 0 then regexp_replace(line, '[\\pL0-9]', '', 'g') else substr(line, 1, 6) end as line from decorated_lines)"
@@ -115,12 +120,12 @@ PUNCT = r"""regexp_matches(replace(line, ' ', ''), '^[!-/:-@\[-`{-~。？，！
 
 @query("t12_only_punctuation", f"select doc_id, line_no, {PUNCT.replace(chr(39) + '^', chr(39) + '^')} as punctuation {CUT}")
 def _(t):
-    return on(cut(t), punctuation=X.is_punctuation(L))
+    return on(cut(t), punctuation=X.is_punctuation(L()))
 
 
 @query("t13_escape_markdown", r"select doc_id, line_no, replace(line, '#', '\#') as line from (select doc_id, line_no, '#' || line || '#' as line from doc_lines)")
 def _(t):
-    return on(t.doc_lines().withColumn("line", F.concat(F.lit("#"), L, F.lit("#"))), line=X.escape_markdown(L))
+    return on(t.doc_lines().withColumn("line", F.concat(F.lit("#"), L(), F.lit("#"))), line=X.escape_markdown(L()))
 
 
 @query(
@@ -128,13 +133,13 @@ def _(t):
     rf"select doc_id, line_no, length({STRIP.format('line')}) <= 9 and length(regexp_replace(line, '[^A-Z]', '', 'g')) <= 3 and length(regexp_replace(line, '[^a-z]', '', 'g')) <= 4 and not {PUNCT} and not regexp_matches(line, '[一-龥.]') and not regexp_matches(line, '[&%$#_}}{{~^【】？～、，；：;:,。》><《￥`·()]') as script {CUT}",
 )
 def _(t):
-    return on(cut(t), script=X.is_script(L))
+    return on(cut(t), script=X.is_script(L()))
 
 
 @query("t15_surround", rf"select doc_id, line_no, regexp_extract(line, '^({W}*)', 1) || '**' || {STRIP.format('line')} || '**' || regexp_extract(line, '({W}*)$', 1) as line from (select doc_id, line_no, repeat(' ', line_no % 3) || line || repeat(' ', line_no % 2) as line from doc_lines)")
 def _(t):
-    line = F.concat(F.repeat(F.lit(" "), F.col("line_no") % 3), L, F.repeat(F.lit(" "), F.col("line_no") % 2))
-    return on(t.doc_lines().withColumn("line", line), line=X.surround(L, "**"))
+    line = F.concat(F.repeat(F.lit(" "), F.col("line_no") % 3), L(), F.repeat(F.lit(" "), F.col("line_no") % 2))
+    return on(t.doc_lines().withColumn("line", line), line=X.surround(L(), "**"))
 
 
 KIND = "(['table', 'code', 'text', 'list_item', 'formula', 'figure', 'doc_title'])[line_no % 7 + 1]"
@@ -146,8 +151,8 @@ KIND = "(['table', 'code', 'text', 'list_item', 'formula', 'figure', 'doc_title'
 )
 def _(t):
     kind = _pick(("table", "code", "text", "list_item", "formula", "figure", "doc_title"), F.col("line_no") % 7)
-    df = t.doc_lines().withColumn("kind", kind).withColumn("line", F.when(F.col("line_no") % 7 == 4, F.lit("$$x$$ ")).otherwise(F.concat(F.lit("# "), L)))
-    return on(df, line=X.block_markdown(L, F.col("kind")))
+    df = t.doc_lines().withColumn("kind", kind).withColumn("line", F.when(F.col("line_no") % 7 == 4, F.lit("$$x$$ ")).otherwise(F.concat(F.lit("# "), L())))
+    return on(df, line=X.block_markdown(L(), F.col("kind")))
 
 
 S, H = r"\p{Lo}\p{Ll}0-9", "\\-—¬"
@@ -168,18 +173,18 @@ def _(t):
 
 @query("t18_sentence_and_list", rf"select doc_id, line_no, regexp_matches(line, '[。ๆ.?!？！]{W}?$') as ends, regexp_matches(line, '^([①②③④⑤⑥⑦⑧⑨⑩]|\([0-9]\)).') as starts from decorated_lines")
 def _(t):
-    return on(t.decorated_lines(), ends=X.ends_sentence(L), starts=X.starts_list(L))
+    return on(t.decorated_lines(), ends=X.ends_sentence(L()), starts=X.starts_list(L()))
 
 
 @query("t19_block_separator", "select doc_id, line_no, case when line_no % 2 = 0 then chr(10) || chr(10) else chr(10) end || line as line from doc_lines")
 def _(t):
-    return on(t.doc_lines(), line=X.block_separator(F.when(F.col("line_no") % 2 == 0, "text").otherwise("table"), L))
+    return on(t.doc_lines(), line=X.block_separator(F.when(F.col("line_no") % 2 == 0, "text").otherwise("table"), L()))
 
 
 @query("t20_dots_and_newlines", rf"select doc_id, line_no, regexp_replace(line, '({W}*\.{W}*){{4,}}', ' ', 'g') as dots, regexp_replace({STRIP.format('line')}, '[\r\n]+', ' ', 'g') as newlines from (select doc_id, line_no, line || ' . . . . ' || line_no || chr(10) || chr(10) || 'z' as line from doc_lines)")
 def _(t):
-    df = t.doc_lines().withColumn("line", F.concat(L, F.lit(" . . . . "), F.col("line_no").cast("string"), F.lit("\n\nz")))
-    return on(df, dots=X.replace_dots(L), newlines=X.replace_newlines(L))
+    df = t.doc_lines().withColumn("line", F.concat(L(), F.lit(" . . . . "), F.col("line_no").cast("string"), F.lit("\n\nz")))
+    return on(df, dots=X.replace_dots(L()), newlines=X.replace_newlines(L()))
 
 
 @query("t21_font_flags", "select doc_id, concat_ws('_', " + ", ".join(f"case when f & {1 << b} > 0 then '{n}' end" for b, n in X.FONT_FLAGS.items()) + ") as flags from (select doc_id, (doc_id * 7919) % 1048576 f from documents)")
@@ -205,12 +210,12 @@ def formulas(t):
 
 @query("t24_latex_scrub", rf"select doc_id, line_no, contains(line, '$') or contains(line, '\[') or contains(line, '<math') as math, regexp_replace(line, '\\(label|ref|cite)\{{[^}}]*\}}', '', 'g') as line, regexp_replace(regexp_replace(line, '^\$+', ''), '\$+$', '') as bare {FORMULA}")
 def _(t):
-    return on(formulas(t), math=X.contains_math(L), line=X.remove_labels(L), bare=X.strip_fences(L))
+    return on(formulas(t), math=X.contains_math(L()), line=X.remove_labels(L()), bare=X.strip_fences(L()))
 
 
 @query("t25_latex_slices", rf"select doc_id, line_no, (i - 1)::int as pos, p[i] as chunk, regexp_matches(p[i], '(?s)^\$.+\$$') as is_formula from (select *, unnest(range(1, len(p) + 1)) i from (select doc_id, line_no, list_filter(regexp_extract_all(line, '(?s)(\$\$.+?\$\$|\$[^$]+\$|[^$]+|\$)', 1), lambda x: length(x) > 0) p {FORMULA}))")
 def _(t):
-    df = formulas(t).select(*KEYS, F.posexplode(X.latex_chunks(L)).alias("pos", "chunk"))
+    df = formulas(t).select(*KEYS, F.posexplode(X.latex_chunks(L())).alias("pos", "chunk"))
     return df.withColumn("is_formula", X.is_formula(F.col("chunk")))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 #: Modules that register queries when imported.
-MODULES = ("q_geometry", "q_text", "q_joins", "q_aggregates", "q_sequences", "q_sources", "q_structure")
+MODULES = ("q_geometry", "q_text", "q_joins", "q_aggregates", "q_sequences", "q_sources", "q_structure", "q_folds")
 
 
 def query(name: str, sql: str | None = None):
@@ -32,7 +32,7 @@ def _load() -> None:
 
 def flagship(spark, sf_dir):
     _load()
-    return next(iter(QUERIES.values()))(spark, sf_dir)
+    return QUERIES["a14_markdown_assembly"](spark, sf_dir)
 
 
 def queries() -> dict[str, Callable]:

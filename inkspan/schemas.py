@@ -10,8 +10,33 @@ from pyspark.sql import types as T
 LABELS = ("doc_title", "text_title", "text", "table", "figure", "table_title", "figure_title", "header", "footer", "footnote", "contents", "box", "formula")
 
 
+_TYPES = {"long": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "string": T.StringType, "boolean": T.BooleanType, "timestamp": T.TimestampType, "binary": T.BinaryType}
+
+
+def _split(s: str) -> list[str]:
+    """Parts of a list of fields, at commas outside brackets."""
+    out, depth = [""], 0
+    for c in s:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x.strip() for x in out]
+
+
+def data_type(name: str) -> T.DataType:
+    name = name.strip()
+    if name.startswith("array<"):
+        return T.ArrayType(data_type(name[6:-1]))
+    if name.startswith("struct<"):
+        return T.StructType([T.StructField(f.split(":")[0].strip(), data_type(f.split(":", 1)[1])) for f in _split(name[7:-1])])
+    return _TYPES[name]()
+
+
 def schema(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl)
+    """A schema from "name type, ..."; unlike Spark's own parser it needs no session."""
+    return T.StructType([T.StructField(f.split(" ", 1)[0], data_type(f.split(" ", 1)[1])) for f in _split(ddl)])
 
 
 _BOX = "x0 double, y0 double, x1 double, y1 double"

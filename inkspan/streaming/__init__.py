@@ -1 +1 @@
-
+"""Streams of file requests and of processing state."""
