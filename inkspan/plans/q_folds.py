@@ -41,3 +41,17 @@ def _(t):
     cell = F.concat(F.lit("<td rowspan="), (1 + F.col("doc_id") % 2).cast("string"), F.lit(">"), F.col("lang"), F.lit("</td>"))
     html = F.concat(F.lit("<table><tr>"), cell, F.lit("<td>b</td></tr><tr><td>"), F.col("source"), F.lit("</td></tr></table>"))
     return t.read("documents").select("doc_id", F.explode(folds.table_cells(html)).alias("c")).select("doc_id", "c.*")
+
+
+@query("l01_document_pipeline")
+def _(t):
+    from inkspan.plans.document import elements
+
+    return elements(t.layout_lines().drop("line_no"), t.regions())
+
+
+@query("l01_document_markdown")
+def _(t):
+    from inkspan.plans.document import convert
+
+    return convert(t.layout_lines().drop("line_no"), t.regions())[1]

@@ -1 +1 @@
-
+"""Sources and sinks."""
