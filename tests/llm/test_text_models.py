@@ -45,7 +45,7 @@ def test_policies_and_ablation(spark):
 @pytest.fixture(scope="module")
 def tagger():
     hosts = [t for t in data.texts() if t and re.search("[0-9@]", t)] * 30
-    return pii.Tagger().train(*pii.training_windows(hosts, 400), epochs=6)
+    return pii.Tagger().train(*pii.training_windows(hosts, 600), epochs=25)
 
 
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
