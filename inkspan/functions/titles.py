@@ -158,3 +158,30 @@ def is_english_title(c: Column) -> Column:
 
 def is_field(c: Column, field: str) -> Column:
     return c.rlike(FIELDS[field])
+
+
+_I = r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*"
+_J = rf"[\d{_H}a-zA-Z\s\(\)αβ（）ⅡⅢⅣⅤⅥⅠ/、，\.,~‑\-]"
+# Titles at the beginning of a paragraph, in the order they are tried.
+INLINE = (
+    rf"^[\[【][{_H}、]{{1,20}}[】\]]", rf"{_I}{_J}{{1,30}}[:：;；]", rf"{_I}{_J}{{1,50}}[\(（][A-Za-z,‑\-\s]+[）\)]", rf"{_I}[\d{_H}a-zA-Z\(\)αβⅡⅢⅣⅤⅥⅠ（）/、~\-]{{2,30}}\s", rf"{_I}{_J}{{1,50}}[\(（]",
+    rf"{_I}[{_H}a-zA-Z\(\)αβⅡⅢⅣⅤⅥⅠ（）/、~\-]{{1,30}}[\(（]图\d+\-\d+[）\)]", rf"{_I}[{_H}a-zA-Z\(\)αβ（）/、~\-\s]{{1,30}}[①②③④⑤]", rf"{_I}.{{10}}\]", rf"^\d+\s*[{_H}a-zA-Z，,\(\)\.\-‑（）/、~\s]{{3,30}}[:：;；]",
+    rf"^\d+\s*[{_H}a-zA-Z\(\)\.\-‑（）/、~]{{3,30}}\s", r"^[^。！？!?,，]{3,30}[:：;；]", r"^[^。！？!?,，]{1,30}[\(（][A-Za-z,\s\-]+[）\)]", rf"^[^。！？!?,，\s][{_H}a-zA-Z\(\)（）/、~\-]{{3,30}}\s",
+    r"^[^。！？!?,，]{1,30}[\(（]图\d+\-\d+[）\)]", rf"^[{_H}a-zA-Z、,\(\)（）\s\.\d，]{{1,30}}[。?？！①②③④⑤]",
+)
+#: Patterns whose title is taken out of what follows, and the one that ends in a space.
+TAKEN_OUT, SPACED = (0, 1, 2, 3, 4, 7), 3
+
+
+def split_inline_title(c: Column) -> Column:
+    """A paragraph with its leading title set apart; as it is where no pattern fits or it is all title.
+    (Where a word segmenter is at hand, callers may split what no pattern fits.)"""
+    t = strip(c)
+
+    def split(i: int, p: str) -> Column:
+        head = F.regexp_extract(t, p, 0)
+        shown = F.substring(head, F.lit(1), F.length(head) - 1) if i == SPACED else head
+        rest = F.substring(t, F.length(head) + 1, F.length(t)) if i in TAKEN_OUT else t
+        return F.when(t.rlike(p), F.when(F.length(head) == F.length(t), c).otherwise(F.concat(shown, F.lit("\n\n"), rest)))
+
+    return F.coalesce(*[split(i, p) for i, p in enumerate(INLINE)], c)

@@ -84,6 +84,22 @@ def _(t):
     return df.select(*KEYS, T.title_order(X.strip(L()), F.col("slot")).alias("ord"))
 
 
+def _inline_sql() -> str:
+    s = "regexp_replace(line, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')"
+    cases = []
+    for i, p in enumerate(T.INLINE):
+        head = f"regexp_extract(s, '{q(p)}')"
+        shown = f"substr({head}, 1, length({head}) - 1)" if i == T.SPACED else head
+        rest = f"substr(s, length({head}) + 1)" if i in T.TAKEN_OUT else "s"
+        cases.append(f"when regexp_matches(s, '{q(p)}') then case when length({head}) = length(s) then line else {shown} || chr(10) || chr(10) || {rest} end")
+    return f", v as (select doc_id, line_no, line, {s} as s from decorated_lines) select doc_id, line_no, case {' '.join(cases)} else line end as line from v"
+
+
+@query("t32_inline_title", _inline_sql())
+def _(t):
+    return t.decorated_lines().select(*KEYS, T.split_inline_title(L()).alias("line"))
+
+
 @query("t33_document_marks", "select doc_id, " + " + ".join(f"regexp_matches(text, '{p}')::int" for p in T.DRUG_MARKS) + " >= 3 as drug, " + " + ".join(f"regexp_matches(text, '{q(p)}')::int" for p in T.GUIDELINE_MARKS) + " >= 2 as guideline from (select doc_id, (['【药品名称】【成份】【性状】', '指南 DOI: 文章编号', ''])[doc_id % 3 + 1] || text as text from documents)")
 def _(t):
     text = F.concat(_pick(("【药品名称】【成份】【性状】", "指南 DOI: 文章编号", ""), F.col("doc_id") % 3), F.col("text"))

@@ -132,3 +132,11 @@ def test_table_grid(spark):
 def test_scripts():
     line = [("H", 0, 10), ("2", 8, 13), ("O", 0, 10)]
     assert folds.line_with_scripts(line) == "H$_{2}$O" and folds.line_with_scripts([("x", 0, 10), ("2", -3, 2)]) == "x$^{2}$" and folds.line_with_scripts([]) == ""
+
+
+def test_inline_titles(spark):
+    assert value(spark, T.split_inline_title(F.lit("【摘要】 text"))) == "【摘要】\n\n text" and value(spark, T.split_inline_title(F.lit("【摘要】"))) == "【摘要】"
+
+
+def test_segments_are_merged():
+    assert folds.merge_segments([(100, 0, 50), (100, 60, 90), (120, 10, 40), (300, 0, 10)]) == [(0, 0, 90), (300, 0, 10)] and folds.merge_segments([]) == []
