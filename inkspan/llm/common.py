@@ -14,15 +14,37 @@ WS = "\t\n\x0b\x0c\r "
 MASK64 = (1 << 64) - 1
 
 
+#: Rows of an Arrow batch: texts of some KB each make it a few MB, on either side of the pipe.
+BATCH_ROWS = 2000
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    set_up(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def set_up(spark: SparkSession) -> None:
-    """Uses the cluster's checkpoint folder; sets a local one only where none is configured."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(scratch_root(spark))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow, whose Python worker gives freed memory back to the system after each task."""
+
+    def task(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return df.mapInArrow(task, schema)
 
 
 def scratch_root(spark: SparkSession) -> str:

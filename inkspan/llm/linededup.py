@@ -19,9 +19,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import WS, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8
-from inkspan.llm.components import components
-from inkspan.llm.links import SKETCH, linked
+from inkspan.llm.common import WS, arrow_map, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.links import SKETCH, classes
 
 WIDTH = 8
 BANDS, ROWS = 10, 3
@@ -77,8 +76,8 @@ def bands(hashes: np.ndarray, begins: np.ndarray, n_bands: int = BANDS, n_rows:
     near = np.minimum.accumulate(near[:, ::-1], axis=1)[:, ::-1][:, :bins]
     low = np.take_along_axis(low, near % bins, axis=1) + (near - np.arange(bins)).astype(np.uint64) * np.uint64(_FACTOR)
     out = np.zeros((n, n_bands), np.uint64)
-    for r in range(n_rows):
-        out = out * np.uint64(_FACTOR) + low[:, r::n_rows]
+    for r in range(n_rows):  # a band's bins stand far apart, so that they seldom borrow from one another
+        out = out * np.uint64(_FACTOR) + low[:, r * n_bands : (r + 1) * n_bands]
     return mix(out * np.uint64(_FACTOR) + np.arange(n_bands, dtype=np.uint64)).view(np.int64)
 
 
@@ -143,7 +142,7 @@ def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     that stands for its class) and kept (it is that line)."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     names = [f"b{i}" for i in range(BANDS)]
-    lines = stored(docs.mapInArrow(_line_rows, "item long, doc_id long, line_no int, " + ", ".join(f"{b} long" for b in names)))
+    lines = stored(arrow_map(docs, _line_rows, "item long, doc_id long, line_no int, " + ", ".join(f"{b} long" for b in names)))
     # One row for each text of a line; equal lines have equal bands.
     first = lines.groupBy("item").agg(*[F.first(b).alias(b) for b in names])
     entries = first.select("item", F.explode(F.array(*names)).alias("bucket"))
@@ -155,11 +154,10 @@ def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "item")).alias("w"))
     parts = maybe_in(docs, "doc_id", at.select("doc_id")).join(wanted, "doc_id").select(F.explode("w").alias("w"), F.split("text", "\n", -1).alias("l")).select("w.item", F.get("l", F.col("w.line_no")).alias("text"))
     texts = stored(parts.dropDuplicates(["item"]))
-    sketches = stored(texts.mapInArrow(_sketch_rows, "item long, n long, sketch array<long>"))
+    sketches = stored(arrow_map(texts, _sketch_rows, "item long, n long, sketch array<long>"))
 
-    links = linked(members, sketches, lambda items: maybe_in(texts, "item", items).join(items, "item", "left_semi"), line_sets, percent)
-    found = stored(components(links))
-    discard(at, involved, members, texts, sketches, links)
+    found = classes(members, sketches, lambda items: maybe_in(texts, "item", items).join(items, "item", "left_semi"), line_sets, percent)
+    discard(at, involved, members, texts, sketches)
     placed = lines.select("item", "doc_id", "line_no").join(found.withColumnRenamed("id", "item"), "item", "left").withColumn("class", F.coalesce("component", "item"))
     heads = stored(placed.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.count("*").alias("c")).filter("c > 1").select("class", F.col("f.doc_id").alias("first_doc_id"), F.col("f.line_no").alias("first_line_no")))
     out = placed.join(heads, "class", "left").withColumns({"first_doc_id": F.coalesce("first_doc_id", "doc_id"), "first_line_no": F.coalesce("first_line_no", "line_no")})

@@ -1,4 +1,4 @@
-"""Links between sets that share a bucket, enough of them for exact components.
+"""Components of the links between sets that share a bucket.
 
 Input: members (bucket, item), each item's text, and the function that makes texts into sets of 64-bit
 hashes. Texts are moved, not sets: a set takes several times its text, and does not compress. Two items link if
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import discard, row_slices, stored, utf8
+from inkspan.llm.common import arrow_map, discard, row_slices, stored, utf8
 from inkspan.llm.components import components
 
 SetsFrom = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
@@ -101,7 +101,7 @@ def _exact(pairs: DataFrame, texts: DataFrame, sets_from: SetsFrom, percent: int
 
     one = texts.select(F.col("item").alias("a"), F.col("text").alias("_a"))
     two = texts.select(F.col("item").alias("b"), F.col("text").alias("_b"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+    return arrow_map(pairs.select("a", "b").join(one, "a").join(two, "b"), run, "a long, b long")
 
 
 def _blocks(batches, names: list[str], work, sets_from: SetsFrom | None):
@@ -177,7 +177,8 @@ def _compare(percent: int, full: bool):
         if not len(x):
             return
         if len(x) <= 64:
-            common = np.array([len(np.intersect1d(sets[ia[p]], sets[ib[q]], assume_unique=True)) for p, q in zip(x.tolist(), y.tolist(), strict=True)])
+            plain = {p: frozenset(sets[p].tolist()) for p in {*ia[x].tolist(), *ib[y].tolist()}}
+            common = np.array([len(plain[p] & plain[q]) for p, q in zip(ia[x].tolist(), ib[y].tolist(), strict=True)])
         else:
             common = shared([sets[p] for p in ia.tolist()], [sets[q] for q in ib.tolist()])[x, y]
         na, nb = n[ia[x]], n[ib[y]]
@@ -203,11 +204,11 @@ def _in_blocks(rows: DataFrame, percent: int, sets_from: SetsFrom | None = None)
     """On full sets where sets_from is given, else on sketches."""
     names, full = ["bucket", "i", "j", "a", "b", "dense"], sets_from is not None
     ordered = rows.select("bucket", "i", "j", "item", "component", "n", "is_row", "text" if full else "hashes").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInArrow(lambda b: _blocks(b, names, _compare(percent, full), sets_from), "bucket long, i int, j int, a long, b long, dense boolean")
+    return arrow_map(ordered, lambda b: _blocks(b, names, _compare(percent, full), sets_from), "bucket long, i int, j int, a long, b long, dense boolean")
 
 
-def linked(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFrame], DataFrame], sets_from: SetsFrom, percent: int = 80) -> DataFrame:
-    """Links (a, b) that connect all items whose link lies within a bucket.
+def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFrame], DataFrame], sets_from: SetsFrom, percent: int = 80) -> DataFrame:
+    """(id, component) of all items that have a link within a bucket.
 
     members (bucket long, item long); sketches (item, n, sketch array<long>, the smallest hashes in
     order), both stored tables; texts_of(items) gives (item, text) for a table of items, and sets_from the
@@ -219,9 +220,12 @@ def linked(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFram
     stars = stored(stars.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct())
     sk = lambda r: sketches.select(F.col("item").alias(r), F.col("sketch").alias(f"_{r}"))
     union = F.slice(F.sort_array(F.array_union("_a", "_b")), 1, SKETCH)
-    near = stars.join(sk("b"), "b").join(sk("a"), "a").withColumns({"_u": union, "_s": F.array_intersect("_a", "_b")}).withColumn("_k", F.size("_u"))
     p = percent / 100
-    near = stored(near.filter(F.size(F.array_intersect("_s", "_u")) >= p * F.col("_k") - 4.5 * F.sqrt(p * (1 - p) * F.col("_k"))).select("a", "b"))
+    least = lambda k: p * k - 4.5 * F.sqrt(p * (1 - p) * k)
+    common = F.array_intersect("_a", "_b")
+    # Few in common settles most pairs; the rest are estimated on the union's sketch.
+    near = stars.join(sk("b"), "b").join(sk("a"), "a").filter(F.size(common) >= F.floor(least(p * F.least(F.size("_a"), F.size("_b")))))
+    near = stored(near.filter(F.size(F.array_intersect(common, union)) >= least(F.size(union))).select("a", "b"))
     discard(stars)
     wanted = stored(near.select(F.col("a").alias("item")).union(near.select("b")).distinct())
     texts = stored(texts_of(wanted))
@@ -233,7 +237,7 @@ def linked(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFram
     more = heads.filter("c > 2").select("bucket", "a")
     placed = sized.join(more, "bucket").filter("item <> a").drop("a").join(parts.withColumnRenamed("id", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
     placed = stored(placed)
-    discard(sized, heads, parts)
+    discard(sized, heads)
     per = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
     top = per.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("parts")).filter("parts > 1")
     open_buckets = stored(top.select("bucket", F.col("top.component").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("outside")))
@@ -249,8 +253,16 @@ def linked(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFram
     dense = stored(blocks.join(found.filter("dense").select("bucket", "i", "j"), ["bucket", "i", "j"]))
     wanted = stored(pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(dense.select("item")).distinct())
     texts = stored(texts_of(wanted))
-    out = stored(links.union(_exact(pairs, texts, sets_from, percent)).union(_in_blocks(dense.join(texts, "item"), percent, sets_from).select("a", "b")))
-    discard(links, blocks, found, dense, texts, wanted)
+    more = _exact(pairs, texts, sets_from, percent).union(_in_blocks(dense.join(texts, "item"), percent, sets_from).select("a", "b"))
+    # These join components, so they are links of components.
+    component = lambda c: F.coalesce(f"_{c}", c).alias(c)
+    of = lambda c: parts.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+    more = stored(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(component("a"), component("b")))
+    joined = components(more).select(F.col("id").alias("component"), F.col("component").alias("_whole"))
+    grown = parts.join(joined, "component", "left").select("id", F.coalesce("_whole", "component").alias("component"))
+    new = joined.select(F.col("component").alias("id"), F.col("_whole").alias("component")).join(parts, "id", "left_anti")
+    out = stored(grown.union(new))
+    discard(links, blocks, found, dense, texts, wanted, parts, more)
     return out
 
 

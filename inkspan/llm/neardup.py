@@ -21,9 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import LOWER, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8, word_bounds
-from inkspan.llm.components import components
-from inkspan.llm.links import SKETCH, linked
+from inkspan.llm.common import LOWER, arrow_map, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8, word_bounds
+from inkspan.llm.links import SKETCH, classes
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
@@ -71,7 +70,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                 sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
                 yield pa.RecordBatch.from_pydict(_sketch_rows(ids[a:b], sets))
 
-    return docs.mapInArrow(run, "item long, n long, d0 long, d1 long, sketch array<long>")
+    return arrow_map(docs, run, "item long, n long, d0 long, d1 long, sketch array<long>")
 
 
 def _sketch_rows(ids, sets):
@@ -111,9 +110,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     def texts_of(items: DataFrame) -> DataFrame:
         return maybe_in(docs, "item", items).join(items, "item", "left_semi")
 
-    links = linked(members, sketches, texts_of, lambda data, offsets: shingle_sets(data, offsets, words), percent)
-    parts = stored(components(links))
-    discard(members, links, first, involved, sketches)
+    parts = classes(members, sketches, texts_of, lambda data, offsets: shingle_sets(data, offsets, words), percent)
+    discard(members, first, involved, sketches)
     roots = copies.join(parts.withColumnRenamed("id", "first"), "first", "left").select("item", F.coalesce("component", "first").alias("component"))
     singles = parts.join(copies.select(F.col("item").alias("id")), "id", "left_anti").select(F.col("id").alias("item"), "component")
     out = sketched.select("item", "n").join(roots.union(singles), "item", "left")
