@@ -8,31 +8,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from inkspan.llm import linededup, neardup, packing, pii, quality
-from inkspan.llm.common import documents, stored
+from inkspan.llm.common import documents, set_up, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality policy keeps."""
+    set_up(spark)
     return quality.apply_quality(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that another line stands for; those of such lines alone go."""
+    set_up(spark)
     return linededup.drop_duplicate_lines(docs, emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (5-word shingles, similarity 0.8)."""
+    set_up(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
+    set_up(spark)
     return pii.redact(docs, pii.fit(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' pieces in sequences."""
+    set_up(spark)
     return packing.pack_documents(docs)
 
 

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import documents, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.common import arrow_map, documents, row_slices, slice_hashes, stored, utf8
 
 MIN, MAX = 16, 1024
 #: One position in 2 ** BITS is a candidate: chunks have MIN + 2 ** BITS bytes on average.
@@ -122,13 +122,13 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     (chunks that occurred earlier), first_doc_id (the earliest document that shares a chunk) and cuts (the
     ranges that occurred earlier)."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chunked = stored(docs.mapInArrow(_chunk_rows, "doc_id long, digests array<long>, ends array<int>, sizes array<int>"))
+    chunked = stored(arrow_map(docs, _chunk_rows, "doc_id long, digests array<long>, ends array<int>, sizes array<int>"))
     chunks = chunked.select("doc_id", F.posexplode("digests").alias("k", "digest"))
     place = F.col("doc_id") * PER_DOC + F.col("k")
     often = stored(chunks.groupBy("digest").agg(F.min(place).alias("f"), F.count("*").alias("c")).filter("c > 1").select("digest", "f"))
     marks = chunks.join(often, "digest").groupBy("doc_id").agg(F.collect_list(F.struct("k", "f")).alias("marks"))
     fewer = marks.filter(F.size("marks") >= MIN_CHUNKS)
-    return fewer.join(chunked.select("doc_id", "ends", "sizes"), "doc_id").mapInArrow(_run_rows, "doc_id long, start int, end int, n_bytes long, n_chunks int, n_repeated int, first_doc_id long, cuts array<array<int>>")
+    return arrow_map(fewer.join(chunked.select("doc_id", "ends", "sizes"), "doc_id"), _run_rows, "doc_id long, start int, end int, n_bytes long, n_chunks int, n_repeated int, first_doc_id long, cuts array<array<int>>")
 
 
 def drop_repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

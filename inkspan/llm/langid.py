@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import LOWER, documents, row_slices, utf8
+from inkspan.llm.common import LOWER, arrow_map, documents, row_slices, utf8
 
 #: Families of languages by ISO 639-1 code.
 FAMILIES = {
@@ -196,7 +196,7 @@ def identify(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                 langs[~some], scores[~some] = "und", 0.0
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return arrow_map(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, "doc_id long, lang_pred string, score double")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import documents, stored
+from inkspan.llm.common import arrow_map, documents, stored
 from inkspan.llm.tokens import END, VOCABULARY, batches, encoder
 
 CAPACITY = 4096
@@ -75,7 +75,7 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
                             out[k].append(v)
             yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "piece" else pa.int64()) for k, v in out.items()})
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return arrow_map(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack_pieces(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:

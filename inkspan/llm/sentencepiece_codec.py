@@ -25,11 +25,11 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import documents
+from inkspan.llm.common import arrow_map, documents
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-KEEP = 1_500_000
+KEEP = 800_000
 
 
 class Codec:
@@ -146,7 +146,7 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str
             ends = np.concatenate([[0], np.cumsum([len(g) for g in got])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(ends, np.concatenate(got) if got else np.zeros(0, np.int32))], names=["doc_id", "ids"])
 
-    return df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {df.schema[doc_id].dataType.simpleString()}, ids array<int>")
+    return arrow_map(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {df.schema[doc_id].dataType.simpleString()}, ids array<int>")
 
 
 def decode(df: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str = MODEL) -> DataFrame:
@@ -160,7 +160,7 @@ def decode(df: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str =
             texts = [c.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return df.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, f"doc_id {df.schema[doc_id].dataType.simpleString()}, text string")
+    return arrow_map(df.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")), run, f"doc_id {df.schema[doc_id].dataType.simpleString()}, text string")
 
 
 def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,4 +180,4 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                     out[k].append(v)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "ids_crc32": pa.array(out["ids_crc32"], pa.int64()), "round_trip": pa.array(out["round_trip"], pa.bool_())})
 
-    return documents(spark, sf_dir).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")
+    return arrow_map(documents(spark, sf_dir).select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")

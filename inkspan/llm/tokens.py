@@ -25,12 +25,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import documents, fields, scratch_root
+from inkspan.llm.common import arrow_map, documents, fields, scratch_root
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Chunks an Encoder keeps; at about 200 bytes each.
-KEEP = 1_500_000
+KEEP = 800_000
 BLOCK_TOKENS = 1 << 16
 
 
@@ -198,7 +198,7 @@ def write_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
             yield flush()
 
     ordered = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(blocks, FILE_SCHEMA).write.option("compression", "uncompressed").mode("overwrite").parquet(path)
+    arrow_map(ordered, blocks, FILE_SCHEMA).write.option("compression", "uncompressed").mode("overwrite").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -239,7 +239,7 @@ def document_tokens(blocks: DataFrame, ids: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.list_(pa.int64()) if k == "ids" else pa.int64()) for k, v in out.items()})
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids
-    return blocks.select("doc_ids", "ends", "payload", "bits", "n_tokens", "first_token", "shard_start").mapInArrow(unpacked, schema)
+    return arrow_map(blocks.select("doc_ids", "ends", "payload", "bits", "n_tokens", "first_token", "shard_start"), unpacked, schema)
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import LOWER, documents, row_slices, slice_hashes, stored, utf8, word_bounds
+from inkspan.llm.common import LOWER, arrow_map, documents, row_slices, slice_hashes, stored, utf8, word_bounds
 
 K1, B = 1.2, 0.75
 K = 10
@@ -195,12 +195,12 @@ def search(df: DataFrame, queries: DataFrame, k: int = K, doc_id: str = "doc_id"
     """(query_id, rank, doc_id, score): the k best rows of df for each row of queries."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     asked = queries.select(F.col(query_id).cast("long").alias("doc_id"), F.col(query).alias("text"))
-    counts = docs.mapInArrow(_count_rows, "term long, df long, docs long, words long")
+    counts = arrow_map(docs, _count_rows, "term long, df long, docs long, words long")
     counts = stored(counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "docs", "words")]))
     total = counts.filter("term is null").first()
     n, words = (total["docs"], total["words"]) if total else (0, 0)
     average = max(words, 1) / max(n, 1)
-    terms = asked.mapInArrow(_query_rows, "query_id long, term long, n long").join(counts.filter("term is not null").select("term", "df"), "term")
+    terms = arrow_map(asked, _query_rows, "query_id long, term long, n long").join(counts.filter("term is not null").select("term", "df"), "term")
     weight = F.col("n") * F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = stored(terms.select("query_id", "term", weight.alias("weight")))
     blocks = max(1, -(-terms.select("query_id").distinct().count() // QUERIES))
@@ -209,7 +209,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = K, doc_id: str = "doc_id"
         got = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).toPandas()
         block = Queries(got["query_id"].to_numpy(np.int64), got["term"].to_numpy(np.int64), got["weight"].to_numpy(np.float64))
         sent = spark.sparkContext.broadcast(block)
-        rows = stored(docs.mapInArrow(lambda b, sent=sent: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
+        rows = stored(arrow_map(docs, lambda b, sent=sent: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
         found = rows if found is None else found.union(rows)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
