@@ -11,6 +11,11 @@ from inkspan.llm import linededup, neardup, packing, pii, quality
 from inkspan.llm.common import documents, set_up, stored
 
 
+#: Chunks whose ids a Python worker keeps: fewer than the packing operator's own bound, as the workers'
+#: memory also serves the other stages.
+KEPT_CHUNKS = 600_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality policy keeps."""
     set_up(spark)
@@ -38,7 +43,7 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' pieces in sequences."""
     set_up(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, keep=KEPT_CHUNKS)
 
 
 STAGES = [

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.llm.common import arrow_map, documents, stored
-from inkspan.llm.tokens import END, VOCABULARY, batches, encoder
+from inkspan.llm.tokens import END, KEEP, VOCABULARY, batches, encoder
 
 CAPACITY = 4096
 #: Pieces a shard has about; one shard is packed by one task in memory that grows with this alone.
@@ -57,13 +57,13 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
     return bins, offsets
 
 
-def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, end: int = END) -> DataFrame:
+def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, end: int = END, keep: int = KEEP) -> DataFrame:
     """doc_id, piece, start, length and the CRC of the ids of each piece; a null text is empty."""
 
     def cut(rows):
         import pyarrow as pa
 
-        encode, tail = encoder(vocabulary), np.array([end], "<u4").tobytes()
+        encode, tail = encoder(vocabulary, keep), np.array([end], "<u4").tobytes()
         for batch in rows:
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
             for keys, texts in batches(batch, "doc_id", "text"):

@@ -29,7 +29,7 @@ from inkspan.llm.common import arrow_map, documents
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-KEEP = 800_000
+KEEP = 1_500_000
 
 
 class Codec:

@@ -30,7 +30,7 @@ from inkspan.llm.common import arrow_map, documents, fields, scratch_root
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Chunks an Encoder keeps; at about 200 bytes each.
-KEEP = 800_000
+KEEP = 1_500_000
 BLOCK_TOKENS = 1 << 16
 
 
@@ -112,14 +112,14 @@ class Encoder:
         return list(map(b"".join, found))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(vocabulary: str = VOCABULARY) -> Encoder:
-    """One for each Python worker."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+def encoder(vocabulary: str = VOCABULARY, keep: int = KEEP) -> Encoder:
+    """One for each Python worker, which outlives its tasks."""
+    if (vocabulary, keep) not in _ENCODERS:
+        _ENCODERS[vocabulary, keep] = Encoder(vocabulary, keep)
+    return _ENCODERS[vocabulary, keep]
 
 
 def batches(batch, id_col: str, text_col: str, limit: int = 1 << 18) -> Iterator[tuple[list, list[bytes]]]:
