@@ -206,8 +206,9 @@ def search(df: DataFrame, queries: DataFrame, k: int = K, doc_id: str = "doc_id"
     blocks = max(1, -(-terms.select("query_id").distinct().count() // QUERIES))
     spark, found = df.sparkSession, None
     for i in range(blocks):
-        got = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).toPandas()
-        block = Queries(got["query_id"].to_numpy(np.int64), got["term"].to_numpy(np.int64), got["weight"].to_numpy(np.float64))
+        got = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).toArrow()
+        block = Queries(*[got.column(c).to_numpy() for c in ("query_id", "term", "weight")])
+        del got
         sent = spark.sparkContext.broadcast(block)
         rows = stored(arrow_map(docs, lambda b, sent=sent: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
         found = rows if found is None else found.union(rows)
