@@ -2,10 +2,12 @@
 
 Lines are the \\n-split parts of a text that hold a word. Equal lines collapse to their first occurrence
 (the smallest doc_id, then line number), so a line that a third of all documents carry is one item. Each
-item's character shingles give a signature of minima: a shingle's hash picks a bin and competes there
-(one hash for all bins; an empty bin borrows from the next one that has a value). Bands of ROWS bins send
-items to buckets; at a similarity of 0.8 a pair shares none of the bands with a chance of about 0.0008.
-What shares a bucket is estimated, then confirmed by the exact Jaccard similarity of shingle sets (see
+item's character shingles give a signature of minima. In lines of more than SHORT distinct shingles a
+shingle's hash picks a bin and competes there (one hash for all bins; an empty bin borrows from the next one
+that has a value). Fewer shingles leave neighbouring bins with the same value, so lines of up to SHORT, and
+those long enough to be linked with one, get a minimum of each of SHORT_BANDS * ROWS independent orders.
+Bands of ROWS minima send items to buckets. A pair at a similarity of 0.8 shares none of the bands with a
+chance of about 0.00001 if one of the lines has up to SHORT distinct shingles, else of about 0.0008. What shares a bucket is estimated, then confirmed by the exact Jaccard similarity of shingle sets (see
 links.py), and distributed union-find keeps one line of each component: its first occurrence.
 
 A null text has no lines; blank lines are never removed and never linked; a line shorter than a shingle is
@@ -24,7 +26,10 @@ from inkspan.llm.links import SKETCH, classes
 
 WIDTH = 8
 BANDS, ROWS = 10, 3
+#: Distinct shingles up to which all of a line's links are looked for by independent orders, and their bands.
+SHORT, SHORT_BANDS = 64, 16
 _FACTOR = 0x9E3779B97F4A7C15
+_ORDERS = mix(np.arange(1, SHORT_BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(_FACTOR)) | np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -81,6 +86,45 @@ def bands(hashes: np.ndarray, begins: np.ndarray, n_bands: int = BANDS, n_rows:
     return mix(out * np.uint64(_FACTOR) + np.arange(n_bands, dtype=np.uint64)).view(np.int64)
 
 
+def set_sizes(hashes: np.ndarray, begins: np.ndarray, most: int) -> np.ndarray:
+    """Number of distinct hashes of each range: exact between SHORT and `most`; at most SHORT, or above
+    `most`, wherever the exact number is."""
+    counts = np.diff(begins)
+    sizes, width = counts.copy(), 2 * most
+    many = np.flatnonzero(counts > SHORT)
+    for i in range(0, len(many), 4096):
+        some = many[i : i + 4096]
+        head = np.sort(hashes[begins[some][:, None] + np.minimum(np.arange(width), counts[some][:, None] - 1)], axis=1)
+        sizes[some] = 1 + (head[:, 1:] != head[:, :-1]).sum(axis=1)
+    for i in many[(counts[many] > width) & (sizes[many] <= most)].tolist():  # lines that repeat themselves
+        sizes[i] = len(np.unique(hashes[begins[i] : begins[i + 1]]))
+    return sizes
+
+
+def short_bands(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Bucket of each range in each band of minima of independent orders."""
+    out = np.zeros((len(begins) - 1, SHORT_BANDS), np.uint64)
+    if len(out):
+        for i, order in enumerate(_ORDERS):
+            out[:, i // ROWS] = out[:, i // ROWS] * np.uint64(_FACTOR) + np.minimum.reduceat(hashes * order, begins[:-1])
+    return mix(out * np.uint64(_FACTOR) + np.arange(BANDS, BANDS + SHORT_BANDS, dtype=np.uint64)).view(np.int64)
+
+
+def line_bands(hashes: np.ndarray, begins: np.ndarray, percent: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each range, and where there is none. Any two linked ranges have bands of the same kind."""
+    most = SHORT * 100 // percent
+    sizes = set_sizes(hashes, begins, most)
+    out, none = np.zeros((len(sizes), BANDS + SHORT_BANDS), np.int64), np.zeros((len(sizes), BANDS + SHORT_BANDS), bool)
+    out[:, :BANDS] = bands(hashes, begins)
+    none[:, :BANDS] = (sizes <= SHORT)[:, None]
+    few = np.flatnonzero(sizes <= most)
+    counts = np.diff(begins)[few]
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    out[few, BANDS:] = short_bands(hashes[np.arange(starts[-1]) + np.repeat(begins[few] - starts[:-1], counts)], starts)
+    none[:, BANDS:] = (sizes > most)[:, None]
+    return out, none
+
+
 def text_lines(data: np.ndarray, offsets: np.ndarray):
     """Row, number, start and end (bytes) of each line that holds a word."""
     breaks = np.flatnonzero(data == 10)
@@ -97,7 +141,7 @@ def text_lines(data: np.ndarray, offsets: np.ndarray):
     return rows[some], numbers[some], starts[some], ends[: len(starts)][some]
 
 
-def _line_rows(batches):
+def _line_rows(batches, percent: int):
     import pyarrow as pa
 
     for batch in batches:
@@ -111,9 +155,10 @@ def _line_rows(batches):
             items = slice_hashes(data, starts, ends).view(np.int64)
             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # bytes to characters
             h, begins = char_shingles(code_points(data), chars[starts], chars[ends])
-            buckets = bands(h, begins)
-            cols = {"item": items, "doc_id": ids[a:b][rows], "line_no": numbers.astype(np.int32)} | {f"b{i}": buckets[:, i] for i in range(BANDS)}
-            yield pa.RecordBatch.from_pydict({k: pa.array(np.ascontiguousarray(v)) for k, v in cols.items()})
+            buckets, none = line_bands(h, begins, percent)
+            cols = {"item": items, "doc_id": ids[a:b][rows], "line_no": numbers.astype(np.int32)}
+            found = {f"b{i}": pa.array(np.ascontiguousarray(buckets[:, i]), mask=np.ascontiguousarray(none[:, i])) for i in range(BANDS + SHORT_BANDS)}
+            yield pa.RecordBatch.from_pydict({k: pa.array(np.ascontiguousarray(v)) for k, v in cols.items()} | found)
 
 
 def line_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -141,11 +186,11 @@ def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     """One row for each line that holds a word: doc_id, line_no, first_doc_id and first_line_no (the line
     that stands for its class) and kept (it is that line)."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    names = [f"b{i}" for i in range(BANDS)]
-    lines = stored(arrow_map(docs, _line_rows, "item long, doc_id long, line_no int, " + ", ".join(f"{b} long" for b in names)))
+    names = [f"b{i}" for i in range(BANDS + SHORT_BANDS)]
+    lines = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent), "item long, doc_id long, line_no int, " + ", ".join(f"{b} long" for b in names)))
     # One row for each text of a line; equal lines have equal bands.
-    first = lines.groupBy("item").agg(*[F.first(b).alias(b) for b in names])
-    entries = first.select("item", F.explode(F.array(*names)).alias("bucket"))
+    first = lines.groupBy("item").agg(*[F.max(b).alias(b) for b in names])
+    entries = first.select("item", F.explode(F.array(*names)).alias("bucket")).filter("bucket is not null")
     # Buckets of one item lead nowhere. lag and lead look at neighbours alone, however large a bucket is.
     w = Window.partitionBy("bucket").orderBy("item")
     members = stored(entries.withColumns({"_p": F.lag("item").over(w), "_n": F.lead("item").over(w)}).filter("_p is not null or _n is not null").select("bucket", "item"))

@@ -150,3 +150,30 @@ def test_chunks_resist_insertions():
     a, b = chunks(t), chunks(t[:700] + "inserted " + t[700:])
     assert len(a - b) <= 4
     assert len(chunks("z" * 5000)) <= 2
+
+
+def test_short_lines_at_the_threshold_are_linked(spark):
+    import random
+
+    rng, rows = random.Random(5), []
+    for i in range(600):  # one end character edited: n - 1 of n + 1 shingles are shared
+        line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range((16, 17, 18, 24, 40, 70)[i % 6]))
+        rows += [(2 * i, line), (2 * i + 1, line[:-1] + "0")]
+    for i, (k, last) in enumerate([(9, ""), (12, "0"), (60, ""), (200, "0")], 600):  # a line that repeats itself
+        rows += [(2 * i, f"{'xyz ' * 20}{last}{i}"), (2 * i + 1, f"{'xyz ' * (20 + k)}{last}{i}")]
+    want = brute({d: {t[k : k + 8] for k in range(len(t) - 7)} for d, t in rows if d < 1200})
+    want |= brute({d: {t[k : k + 8] for k in range(len(t) - 7)} for d, t in rows if d >= 1200})
+    got = linededup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["first_doc_id"] for r in got} == want
+
+
+@pytest.mark.parametrize("n,most", [(9, 4), (10, 4), (18, 4), (27, 4), (45, 4), (64, 4), (72, 20), (81, 20), (117, 20), (198, 20)])
+def test_miss_rate_by_length(n, most):
+    """Of 8000 pairs of n shingles each at a similarity of 0.8 or just above, those that share no bucket."""
+    import numpy as np
+
+    common, pairs = -(-8 * n // 9), 8000
+    h = np.random.default_rng(n).integers(0, 1 << 64, (pairs, 2 * n - common), np.uint64)
+    begins = np.arange(pairs + 1) * n
+    (a, no), (b, _) = [linededup.line_bands(np.ascontiguousarray(x).ravel(), begins) for x in (h[:, :n], h[:, n - common :])]
+    assert (~((a == b) & ~no).any(axis=1)).sum() <= most
