@@ -77,9 +77,12 @@ def _(t):
     return on(marked(t), ratio=F.round(X.alphanum_ratio(L()), 9))
 
 
+BAD = rf"length(line) = 0 or s / nullif(length(regexp_replace(line, '{W}+', '', 'g')) + s, 0) > 0.7 or n / nullif(length(regexp_replace(line, '\n+', '', 'g')) + n, 0) > 0.6 or {RATIO} < 0.3 or length(line) - length(replace(line, chr(65533), '')) > greatest(6.0, length(line) * 0.03)"
+
+
 @query(
     "t07_bad_text",
-    rf"select doc_id, line_no, length(line) = 0 or s / nullif(length(regexp_replace(line, '{W}+', '', 'g')) + s, 0) > 0.7 or n / nullif(length(regexp_replace(line, '\n+', '', 'g')) + n, 0) > 0.6 or {RATIO} < 0.3 or length(line) - length(replace(line, chr(65533), '')) > greatest(6.0, length(line) * 0.03) as bad "
+    rf"select doc_id, line_no, {BAD} as bad "
     rf"from (select *, len(regexp_extract_all(line, '{W}+')) s, len(regexp_extract_all(line, '\n+')) n from (select doc_id, line_no, case line_no % 5 when 1 then substr(line, 1, 1) || chr(10) || chr(10) when 2 then repeat(' ! ', 9) || substr(line, 1, 4) else substr(line, 1, 9) end as line from doc_lines))",
 )
 def _(t):
@@ -88,6 +91,16 @@ def _(t):
     return on(t.doc_lines().withColumn("line", line), bad=F.coalesce(X.is_bad_text(L()), F.lit(False)))
 
 
+@query(
+    "t07_bad_text_whole",
+    rf"select doc_id, line_no, {BAD} as bad from (select *, len(regexp_extract_all(line, '{W}+')) s, len(regexp_extract_all(line, '\n+')) n from (select doc_id, line_no, case line_no % 5 when 1 then replace(line, ' ', chr(10) || chr(10)) when 2 then repeat(' ! ', 9) || line when 3 then line || repeat(chr(65533), 7) else line end as line from doc_lines))",
+)
+def _(t):
+    k = F.col("line_no") % 5
+    line = F.when(k == 1, F.replace("line", F.lit(" "), F.lit("\n\n"))).when(k == 2, F.concat(F.lit(" ! " * 9), L())).when(k == 3, F.concat(L(), F.lit("�" * 7))).otherwise(L())
+    return on(t.doc_lines().withColumn("line", line), bad=F.coalesce(X.is_bad_text(L()), F.lit(False)))
+
+
 @query("t08_garbage_share", r"select doc_id, round(length(regexp_replace(text, '[^\x00-\x40]', '', 'g')) / nullif(length(text), 0), 9) as share from documents")
 def _(t):
     return t.read("documents").select("doc_id", F.round(X.low_code_share(F.col("text")), 9).alias("share"))
@@ -123,19 +136,39 @@ def _(t):
     return on(cut(t), punctuation=X.is_punctuation(L()))
 
 
+BARE = "from (select doc_id, line_no, case when line_no % 3 = 0 then regexp_replace(line, '[\\pL0-9]', '', 'g') else line end as line from decorated_lines)"
+
+
+def bare(t):
+    return t.decorated_lines().withColumn("line", F.when(F.col("line_no") % 3 == 0, F.regexp_replace("line", r"[\p{L}0-9]", "")).otherwise(L()))
+
+
+@query("t12_only_punctuation_whole", f"select doc_id, line_no, {PUNCT} as punctuation {BARE}")
+def _(t):
+    return on(bare(t), punctuation=X.is_punctuation(L()))
+
+
 @query("t13_escape_markdown", r"select doc_id, line_no, replace(line, '#', '\#') as line from (select doc_id, line_no, '#' || line || '#' as line from doc_lines)")
 def _(t):
     return on(t.doc_lines().withColumn("line", F.concat(F.lit("#"), L(), F.lit("#"))), line=X.escape_markdown(L()))
 
 
+SCRIPT = rf"length({STRIP.format('line')}) <= 9 and length(regexp_replace(line, '[^A-Z]', '', 'g')) <= 3 and length(regexp_replace(line, '[^a-z]', '', 'g')) <= 4 and not {PUNCT} and not regexp_matches(line, '[一-龥.]') and not regexp_matches(line, '[&%$#_}}{{~^【】？～、，；：;:,。》><《￥`·()]')"
+
+
 @query(
     "t14_script_predicate",
-    rf"select doc_id, line_no, length({STRIP.format('line')}) <= 9 and length(regexp_replace(line, '[^A-Z]', '', 'g')) <= 3 and length(regexp_replace(line, '[^a-z]', '', 'g')) <= 4 and not {PUNCT} and not regexp_matches(line, '[一-龥.]') and not regexp_matches(line, '[&%$#_}}{{~^【】？～、，；：;:,。》><《￥`·()]') as script {CUT}",
+    rf"select doc_id, line_no, {SCRIPT} as script {CUT}",
 )
 def _(t):
     return on(cut(t), script=X.is_script(L()))
 
 
+@query("t14_script_predicate_whole", f"select doc_id, line_no, {SCRIPT} as script {BARE}")
+def _(t):
+    return on(bare(t), script=X.is_script(L()))
+
+
 @query("t15_surround", rf"select doc_id, line_no, regexp_extract(line, '^({W}*)', 1) || '**' || {STRIP.format('line')} || '**' || regexp_extract(line, '({W}*)$', 1) as line from (select doc_id, line_no, repeat(' ', line_no % 3) || line || repeat(' ', line_no % 2) as line from doc_lines)")
 def _(t):
     line = F.concat(F.repeat(F.lit(" "), F.col("line_no") % 3), L(), F.repeat(F.lit(" "), F.col("line_no") % 2))
@@ -171,6 +204,13 @@ def _(t):
     return on(t.doc_lines(), line=X.join_lines(a, b, _pick(("text", "table", "doc_title"), F.col("line_no") % 3)))
 
 
+@query("t17_line_separator_whole", f"select doc_id, line_no, {SEPARATOR} as line from (select doc_id, line_no, line || (['a-', '中', '. ', ''])[line_no % 4 + 1] a, (case when line_no % 8 = 1 then '文' else '' end) || line b, (['text', 'table', 'doc_title'])[line_no % 3 + 1] as label from doc_lines)")
+def _(t):
+    a = F.concat(L(), _pick(("a-", "中", ". ", ""), F.col("line_no") % 4))
+    b = F.concat(F.when(F.col("line_no") % 8 == 1, "文").otherwise(""), L())
+    return on(t.doc_lines(), line=X.join_lines(a, b, _pick(("text", "table", "doc_title"), F.col("line_no") % 3)))
+
+
 @query("t18_sentence_and_list", rf"select doc_id, line_no, regexp_matches(line, '[。ๆ.?!？！]{W}?$') as ends, regexp_matches(line, '^([①②③④⑤⑥⑦⑧⑨⑩]|\([0-9]\)).') as starts from decorated_lines")
 def _(t):
     return on(t.decorated_lines(), ends=X.ends_sentence(L()), starts=X.starts_list(L()))
@@ -208,17 +248,39 @@ def formulas(t):
     return t.doc_lines().withColumn("line", F.when(k == 0, F.concat(F.lit("$"), F.substring(line, 1, 5), F.lit("$ and "), F.substring(line, 1, 4))).when(k == 1, F.lit("x \\label{a} $$y$$ \\ref{b} \\cite{c}")).otherwise(F.substring(line, 1, 8)))
 
 
-@query("t24_latex_scrub", rf"select doc_id, line_no, contains(line, '$') or contains(line, '\[') or contains(line, '<math') as math, regexp_replace(line, '\\(label|ref|cite)\{{[^}}]*\}}', '', 'g') as line, regexp_replace(regexp_replace(line, '^\$+', ''), '\$+$', '') as bare {FORMULA}")
+SCRUBBED = rf"contains(line, '$') or contains(line, '\[') or contains(line, '<math') as math, regexp_replace(line, '\\(label|ref|cite)\{{[^}}]*\}}', '', 'g') as line, regexp_replace(regexp_replace(line, '^\$+', ''), '\$+$', '') as bare"
+
+
+@query("t24_latex_scrub", rf"select doc_id, line_no, {SCRUBBED} {FORMULA}")
 def _(t):
     return on(formulas(t), math=X.contains_math(L()), line=X.remove_labels(L()), bare=X.strip_fences(L()))
 
 
+WHOLE_FORMULA = "from (select doc_id, line_no, case line_no % 4 when 0 then '$' || line || '$ and ' || line when 1 then line || ' \\label{a} $$y$$ \\ref{b} ' || line || ' \\cite{c}' else line end as line from doc_lines)"
+
+
+def whole_formulas(t):
+    k = F.col("line_no") % 4
+    return t.doc_lines().withColumn("line", F.when(k == 0, F.concat(F.lit("$"), L(), F.lit("$ and "), L())).when(k == 1, F.concat(L(), F.lit(" \\label{a} $$y$$ \\ref{b} "), L(), F.lit(" \\cite{c}"))).otherwise(L()))
+
+
+@query("t24_latex_scrub_whole", f"select doc_id, line_no, {SCRUBBED} {WHOLE_FORMULA}")
+def _(t):
+    return on(whole_formulas(t), math=X.contains_math(L()), line=X.remove_labels(L()), bare=X.strip_fences(L()))
+
+
 @query("t25_latex_slices", rf"select doc_id, line_no, (i - 1)::int as pos, p[i] as chunk, regexp_matches(p[i], '(?s)^\$.+\$$') as is_formula from (select *, unnest(range(1, len(p) + 1)) i from (select doc_id, line_no, list_filter(regexp_extract_all(line, '(?s)(\$\$.+?\$\$|\$[^$]+\$|[^$]+|\$)', 1), lambda x: length(x) > 0) p {FORMULA}))")
 def _(t):
     df = formulas(t).select(*KEYS, F.posexplode(X.latex_chunks(L())).alias("pos", "chunk"))
     return df.withColumn("is_formula", X.is_formula(F.col("chunk")))
 
 
+@query("t25_latex_slices_whole", rf"select doc_id, line_no, (i - 1)::int as pos, p[i] as chunk, regexp_matches(p[i], '(?s)^\$.+\$$') as is_formula from (select *, unnest(range(1, len(p) + 1)) i from (select doc_id, line_no, list_filter(regexp_extract_all(line, '(?s)(\$\$.+?\$\$|\$[^$]+\$|[^$]+|\$)', 1), lambda x: length(x) > 0) p {WHOLE_FORMULA}))")
+def _(t):
+    df = whole_formulas(t).select(*KEYS, F.posexplode(X.latex_chunks(L())).alias("pos", "chunk"))
+    return df.withColumn("is_formula", X.is_formula(F.col("chunk")))
+
+
 @query("t26_language_codes", "select doc_id, case lang when 'en' then 'English' when 'de' then 'German' when 'fr' then 'French' when 'es' then 'Spanish' end as name, case lang when 'en' then 'eng' when 'de' then 'deu' when 'fr' then 'fra' when 'es' then 'spa' end as code3 from documents")
 def _(t):
     from inkspan.operators.languages import language_table
@@ -234,6 +296,13 @@ def _(t):
     return df.select(*KEYS, F.array_join(F.transform(ids, lambda x: x.cast("string")), ",").alias("ids"), X.byte_ids(F.col("s"), 64)["length"].cast("long").alias("n"))
 
 
+@query("t35_tokenizers_whole", "select doc_id, line_no, list_aggregate(list_transform(range(1, length(s) + 1), lambda i: unicode(s[i]) + 3), 'string_agg', ',') as ids, least(strlen(s), 1048576) as n from (select doc_id, line_no, line s from doc_lines) where length(s) > 0")
+def _(t):
+    df = t.doc_lines().filter("length(line) > 0")
+    ids = X.utf16_ids(L())
+    return df.select(*KEYS, F.array_join(F.transform(ids, lambda x: x.cast("string")), ",").alias("ids"), X.byte_ids(L(), 1 << 20)["length"].cast("long").alias("n"))
+
+
 @query("t36_token_strings", "select doc_id, line_no, string_agg(q, ';' order by k) as quads from (select doc_id, line_no, k, (4 * k + 1) || ',' || (4 * k + 2) || ',' || (4 * k + 3) || ',' || (4 * k + 4) as q from (select doc_id, line_no, unnest(range(0, (line_no % 9) // 4)) k from doc_lines)) group by 1, 2")
 def _(t):
     from inkspan.functions.tokens import box_quads
