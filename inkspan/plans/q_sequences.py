@@ -116,3 +116,7 @@ def _(t):
     return t.doc_lines().select("doc_id", "line_no", S.apply_edits(chars, labels).alias("line"))
 
 
+@query("m07_apply_edits_whole", "select doc_id, line_no, regexp_replace(replace(line, ' ', ''), 'e', 'e' || chr(10), 'g') as line from doc_lines")
+def _(t):
+    labels = F.transform(F.split("line", ""), lambda c: F.when(c == " ", "delete").when(c == "e", "newline-1").otherwise("equal"))
+    return t.doc_lines().select("doc_id", "line_no", S.apply_edits(F.split("line", ""), labels).alias("line"))

@@ -43,3 +43,7 @@ def test_joins_and_formulas(rows):
 def test_tokenizers(rows):
     (r,) = rows("t35_tokenizers_whole", LONG + " \u4e2d")
     assert r["ids"] == ",".join(str(ord(c) + 3) for c in LONG + " \u4e2d") and r["n"] == len(LONG) + 4
+
+
+def test_edits(rows):
+    assert by_line(rows("m07_apply_edits_whole", LONG), "line")[0] == LONG.replace(" ", "").replace("e", "e\n")
