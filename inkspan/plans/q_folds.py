@@ -20,8 +20,8 @@ def _(t):
 @query("j14_contents_match")
 def _(t):
     lines = t.layout_lines()
-    toc = lines.filter("line_id = 0").select("doc_id", "page_id", F.lit(0).alias("ord"), F.lit(1).alias("level"), F.upper(F.substring("line", 1, 60)).alias("title"))
-    return folds.match_contents(toc, lines.select("doc_id", "page_id", F.col("line_no").alias("global_index"), F.substring("line", 1, 64).alias("text")))
+    toc = lines.filter("line_id = 0").select("doc_id", "page_id", F.lit(0).alias("ord"), F.lit(1).alias("level"), F.upper("line").alias("title"))
+    return folds.match_contents(toc, lines.select("doc_id", "page_id", F.col("line_no").alias("global_index"), F.col("line").alias("text")))
 
 
 @query("j15_table_titles")

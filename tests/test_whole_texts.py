@@ -47,3 +47,29 @@ def test_tokenizers(rows):
 
 def test_edits(rows):
     assert by_line(rows("m07_apply_edits_whole", LONG), "line")[0] == LONG.replace(" ", "").replace("e", "e\n")
+
+
+def test_contents_match(rows):
+    long = "A heading that is followed by much more text than a title would hold, so that only its beginning looks like an entry"
+    (r,) = rows("j14_contents_match", long, long[:60])  # the second line is like the beginning of the first alone
+    assert (r["page_id"], r["global_index"]) == (0, 0)
+
+
+def test_contents_match_is_the_plain_maximum(spark):
+    import difflib
+    import random
+
+    from inkspan.operators import folds
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.choice((0, 3, 20, 150, 260)))) for _ in range(40)]
+    texts += [t[: len(t) * 3 // 4] + "X" for t in texts] + texts[:5]
+    titles = [t.upper() for t in texts[:40]]
+    toc = spark.createDataFrame([(1, 0, i, 1, t) for i, t in enumerate(titles)], "doc_id long, page_id int, ord int, level int, title string")
+    elements = spark.createDataFrame([(1, 0, i, t) for i, t in enumerate(texts)], "doc_id long, page_id int, global_index int, text string")
+    plain, want = lambda s: s.lower().replace(" ", ""), {}
+    for i, t in enumerate(titles):
+        ratios = [difflib.SequenceMatcher(None, plain(t), plain(x)).ratio() for x in texts]
+        if max(ratios) > 0.7:
+            want[i] = ratios.index(max(ratios))
+    assert {r["ord"]: r["global_index"] for r in folds.match_contents(toc, elements).collect()} == want
