@@ -156,6 +156,22 @@ def _(t):
     return v.join(hits.select("doc_id", "title"), ["doc_id", "title"], "left_semi").select(*return_keys)
 
 
+@query("j13_fuzzy_titles_whole")
+def _(t):
+    v = t.doc_lines().select("doc_id", "line_no", F.col("line").alias("title"))
+    d = v.groupBy("doc_id", "title").agg(F.count("*").alias("k"))
+    n = v.groupBy("doc_id").agg(F.count("*").alias("n"))
+    # Lengths within a tenth of the longer one are at most one step apart, so a title goes to three bands however long it is.
+    band = F.floor(F.log(F.greatest(F.length("title"), F.lit(1))) / F.log(F.lit(1 / 0.89))).cast("int")
+    right = d.select("doc_id", F.col("title").alias("other"), F.col("k").alias("k2"), band.alias("band"))
+    left = d.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+    most = 0.1 * F.greatest(F.length("title"), F.length("other"))
+    near = left.join(right, ["doc_id", "band"]).filter(F.abs(F.length("title") - F.length("other")) <= most)
+    near = near.filter(F.call_function("levenshtein", "title", "other", F.floor(most).cast("int")) >= 0)
+    hits = near.groupBy("doc_id", "title").agg((F.sum("k2") - 1).alias("hits")).join(n, "doc_id").filter(F.col("hits") >= F.greatest(F.lit(3.0), F.col("n") * 0.05))
+    return v.join(hits.select("doc_id", "title"), ["doc_id", "title"], "left_semi").select("doc_id", "line_no")
+
+
 TABLES = "tb as (select doc_id, page_id, line_id, string_split(line, ' ')[1] as id from layout_lines where line_id = 0 and length(string_split(line, ' ')[1]) > 2)"
 
 

@@ -73,3 +73,30 @@ def test_contents_match_is_the_plain_maximum(spark):
         if max(ratios) > 0.7:
             want[i] = ratios.index(max(ratios))
     assert {r["ord"]: r["global_index"] for r in folds.match_contents(toc, elements).collect()} == want
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_fuzzy_titles_of_any_length_and_script(rows):
+    import random
+
+    rng = random.Random(8)
+    lines = ["", "", "", "", "ab", "ab", "ab", "ab", "中文标题一二三四五六", "中文标题一二三四五七", "中文标题一二三四五八", "中文标题一二三四五九", "另外的一个标题在这里呀"]
+    for n in (9, 10, 20, 100, 300):
+        base = [rng.choice("abcdefg 章节") for _ in range(n)]
+        for _ in range(5):
+            line = list(base)
+            for _ in range(rng.randint(0, n // 12)):
+                line[rng.randrange(n)] = rng.choice("xyz")
+            lines.append("".join(line)[: rng.choice((n, n - 1, n - n // 20))])
+    near = lambda a, b: abs(len(a) - len(b)) <= 0.1 * max(len(a), len(b)) and distance(a, b) <= 0.1 * max(len(a), len(b))
+    want = {i for i, a in enumerate(lines) if sum(near(a, b) for j, b in enumerate(lines) if i != j) >= max(3.0, 0.05 * len(lines))}
+    assert {4, 8} <= want and any(len(lines[i]) > 80 for i in want) and len(want) < len(lines)
+    assert {r["line_no"] for r in rows("j13_fuzzy_titles_whole", *lines)} == want
