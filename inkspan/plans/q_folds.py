@@ -62,5 +62,5 @@ def _(t):
     from inkspan.operators.title_levels import title_levels
 
     attr = _pick(("text", "doc_title", "text_title"), (F.col("doc_id") + F.col("line_no")) % 3)
-    e = t.decorated_lines().select("doc_id", F.col("line_no").alias("global_index"), F.floor(F.col("line_no") / 8).cast("int").alias("page_id"), F.substring("line", 1, 40).alias("text"), attr.alias("attr"), F.lit(None).cast("string").alias("meta_name"))
+    e = t.decorated_lines().select("doc_id", F.col("line_no").alias("global_index"), F.floor(F.col("line_no") / 8).cast("int").alias("page_id"), F.col("line").alias("text"), attr.alias("attr"), F.lit(None).cast("string").alias("meta_name"))
     return title_levels(e, F.when(F.col("doc_id") % 2 == 0, "book").otherwise("guideline"))

@@ -100,3 +100,11 @@ def test_fuzzy_titles_of_any_length_and_script(rows):
     want = {i for i, a in enumerate(lines) if sum(near(a, b) for j, b in enumerate(lines) if i != j) >= max(3.0, 0.05 * len(lines))}
     assert {4, 8} <= want and any(len(lines[i]) > 80 for i in want) and len(want) < len(lines)
     assert {r["line_no"] for r in rows("j13_fuzzy_titles_whole", *lines)} == want
+
+
+def test_title_levels(rows):
+    # A chapter's beginning with 250 characters after it is no chapter; a short one is.
+    got = rows("w12_title_levels", *["x" * 250 if i == 16 else "ab" for i in range(33)])
+    at = {r["global_index"]: r for r in got}
+    assert at[16]["text"] == "第一章 " + "x" * 250
+    assert at[32]["slot"] == 1 and at[16]["slot"] != 1
