@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
+import tempfile
 import uuid
 
 import numpy as np
@@ -48,51 +51,128 @@ def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir (a local one only where that is unset)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """The shared folder named in spark.checkpoint.dir; where that is unset, a folder of this machine, which
+    only a local master may use."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), "checkpoints")
 
 
-_SCRATCH: dict[int, tuple[DataFrame, str]] = {}
+#: Spark's own switch: an execution's shuffle files go as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_OPEN: list[list[DataFrame]] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def scratch_folder(spark: SparkSession, kind: str = "table") -> str:
+    """A new path in the shared scratch folder."""
+    return f"{scratch_root(spark)}/inkspan-{kind}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
-    """Writes df as Parquet in the shared scratch folder and reads it back: a cut in the lineage
-    that outlives executors. What was shuffled to make it can go at once, so the driver's collector
-    is asked to run; otherwise a long operator's shuffle files all stay on disk to its end."""
+    """Writes df as Parquet in the shared scratch folder and reads it back: a cut in the lineage that outlives
+    executors. What was shuffled to make it goes as soon as it is written. The folder is deleted by `discard`
+    or with its `scope`; a table that a returned DataFrame has yet to read stays to the application's end."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/inkspan-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    out = spark.read.schema(df.schema).parquet(path)
-    _SCRATCH[id(out)] = (out, path)
-    return out
+    path = scratch_folder(spark)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return owned(spark.read.schema(df.schema).parquet(path), path)
+
+
+def owned(df: DataFrame, path: str) -> DataFrame:
+    """df, which reads a scratch folder that goes with it, or else when the application ends."""
+    fs, p = _file_system(df.sparkSession, path)
+    fs.deleteOnExit(p)
+    df._inkspan_path = path
+    if _OPEN:
+        _OPEN[-1].append(df)
+    return df
 
 
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that nothing yet to run reads."""
     for df in tables:
-        _, path = _SCRATCH.pop(id(df), (None, None))
+        path = df.__dict__.pop("_inkspan_path", None)
         if path:
-            p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+            fs, p = _file_system(df.sparkSession, path)
+            fs.delete(p, True)
+            fs.cancelDeleteOnExit(p)
+
+
+@contextlib.contextmanager
+def scope():
+    """Deletes, at its end, every table stored meanwhile: for what has been written elsewhere by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        discard(*_OPEN.pop())
 
 
 #: Bits of the filter below, 1 MB.
 FILTER_BITS = 1 << 23
 
 
-def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of df whose key may be in keys (one column): all that are, and others by chance. Put before a
-    join that shuffles df, it leaves most of df where it is while keys are few against FILTER_BITS; beyond
-    that it keeps everything. The filter is a bitmap of hashes: what is broadcast never exceeds 1 MB."""
+def flag_in(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """df with a boolean column: true where the key is in keys (one column), and by chance elsewhere. Put before
+    a join that shuffles df, it leaves most of df where it is while keys are few against FILTER_BITS; beyond
+    that it says true throughout. The filter is a bitmap of hashes: what is broadcast never exceeds 1 MB."""
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
     p = place(F.col(keys.columns[0]))
     bitmaps = keys.select(F.bitmap_bucket_number(p).alias("_bucket"), F.bitmap_bit_position(p).alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
     p = place(F.col(key))
     at = F.bitmap_bit_position(p)
     byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    out = df.withColumn("_bucket", F.bitmap_bucket_number(p)).join(F.broadcast(bitmaps), "_bucket")
-    return out.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)
+    out = df.withColumn("_bucket", F.bitmap_bucket_number(p)).join(F.broadcast(bitmaps), "_bucket", "left")
+    return out.select(*df.columns, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)).alias(name))
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of df whose key is in keys, and others by chance (see flag_in)."""
+    return flag_in(df, key, keys, "_maybe").filter("_maybe").drop("_maybe")
+
+
+def repeated(df: DataFrame, key: str) -> DataFrame | None:
+    """The keys (stored) that several rows have, if there are any; only keys are shuffled."""
+    again = stored(df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows")).filter("_rows > 1").select(key))
+    if again.isEmpty():
+        discard(again)
+        return None
+    return again
+
+
+def one_text_each(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """docs (key, text) without rows whose key is null; of rows with equal keys, one with the text that comes
+    first in byte order (a null only where there is no other)."""
+    docs, again = docs.filter(F.col(key).isNotNull()), repeated(docs, key)
+    if again is None:
+        return docs
+    first = maybe_in(docs, key, again).join(again, key, "left_semi").groupBy(key).agg(F.min(text).alias(text))
+    return docs.join(again, key, "left_anti").unionByName(first.select(*docs.columns))
+
+
+def join_found(df: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """df left-joined with what was found in the texts that `one_text_each` takes: found has `_doc`, the key,
+    and columns of its own. Of rows with equal keys, those with that text get them."""
+    again = repeated(df, key)
+    on = F.col(key) == F.col("_doc")
+    if again is not None:
+        taken = one_text_each(df.join(again, key, "left_semi").select(key, text), key, text)
+        found = found.join(taken.select(F.col(key).alias("_doc"), F.xxhash64(text).alias("_taken")), "_doc", "left")
+        on &= F.coalesce(F.xxhash64(text) == F.col("_taken"), F.lit(True))
+    return df.join(found, on, "left")
 
 
 def fields(schema: str) -> T.StructType:
@@ -104,6 +184,47 @@ def n_words(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
+# ---- sets of hashes ---------------------------------------------------------------------------
+
+#: Bits of a hash in a set; the others number a row among ROWS while sets are sorted together.
+HASH_BITS, ROWS = 52, 4096
+
+
+def _keys(hashes: np.ndarray, begins: np.ndarray, a: int, b: int) -> np.ndarray:
+    """The sorted distinct (row, hash) of rows a to b, as single integers."""
+    flat = hashes[begins[a] : begins[b]] >> np.uint64(64 - HASH_BITS)
+    keys = flat | np.repeat(np.arange(b - a, dtype=np.uint64) << np.uint64(HASH_BITS), np.diff(begins[a : b + 1]))
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
+
+
+def row_sets(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes (their HASH_BITS highest bits) of each range, and where each row's begin."""
+    flat, sizes = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+    for a in range(0, len(begins) - 1, ROWS):
+        b = min(a + ROWS, len(begins) - 1)
+        keys = _keys(hashes, begins, a, b)
+        flat.append((keys & np.uint64((1 << HASH_BITS) - 1)).view(np.int64))
+        sizes.append(np.bincount((keys >> np.uint64(HASH_BITS)).view(np.int64), minlength=b - a))
+    return np.concatenate(flat), np.cumsum(np.concatenate(sizes))
+
+
+def pair_sizes(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the intersection, and of both sets together, of the i-th ranges of two lists of hashes."""
+    n = len(one[1]) - 1
+    common, both = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for a in range(0, n, ROWS):
+        b = min(a + ROWS, n)
+        keys = np.concatenate([_keys(*one, a, b), _keys(*two, a, b)])
+        keys.sort()
+        row = (keys >> np.uint64(HASH_BITS)).view(np.int64)
+        both[a:b] = np.bincount(row, minlength=b - a)
+        common[a:b] = np.bincount(row[1:][keys[1:] == keys[:-1]], minlength=b - a)
+    return common, both
+
+
 # ---- batches of texts as numpy vectors -------------------------------------------------------
 
 
@@ -171,6 +292,20 @@ def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(h + (ends - starts).astype(np.uint64))
 
 
+_OTHER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def double_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each byte range."""
+    up, down = _tables(len(data) + 1)
+    out = []
+    for table in (_BYTES, _OTHER):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(table[data] * up[: len(data)], out=sums[1:])
+        out.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+    return out[0], out[1]
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
