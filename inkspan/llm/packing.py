@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.llm.common import arrow_map, documents, stored
-from inkspan.llm.tokens import END, KEEP, VOCABULARY, batches, encoder
+from inkspan.llm.tokens import END, VOCABULARY, encoded, encoder
 
 CAPACITY = 4096
 #: Pieces a shard has about; one shard is packed by one task in memory that grows with this alone.
@@ -57,23 +57,30 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
     return bins, offsets
 
 
-def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, end: int = END, keep: int = KEEP) -> DataFrame:
-    """doc_id, piece, start, length and the CRC of the ids of each piece; a null text is empty."""
+def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, end: int = END, forget: bool = False) -> DataFrame:
+    """doc_id, piece, start, length and the CRC of the ids of each piece; a null text is empty. With `forget`,
+    a worker's table of known chunks goes at the end of each task, for the sake of what it does next."""
 
     def cut(rows):
         import pyarrow as pa
 
-        encode, tail = encoder(vocabulary, keep), np.array([end], "<u4").tobytes()
+        encode = encoder(vocabulary)
         for batch in rows:
-            out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for keys, texts in batches(batch, "doc_id", "text"):
-                for key, x in zip(keys, encode(texts), strict=True):
-                    x += tail
-                    for p in range(0, len(x), 4 * capacity):
-                        y = x[p : p + 4 * capacity]
-                        for k, v in zip(out, (key, p // (4 * capacity), p // 4, len(y) // 4, zlib.crc32(y)), strict=True):
-                            out[k].append(v)
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "piece" else pa.int64()) for k, v in out.items()})
+            parts = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
+            for keys, ids, bounds in encoded(batch, encode, end):
+                n = np.diff(bounds)
+                pieces = -(-n // capacity)
+                row = np.repeat(np.arange(len(n)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(n[row] - start, capacity)
+                at = (bounds[row] + start).tolist()
+                crcs = [zlib.crc32(ids[a : a + k]) for a, k in zip(at, length.tolist(), strict=True)]
+                for k, v in zip(parts, (keys[row], piece, start, length, crcs), strict=True):
+                    parts[k].append(v)
+            yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v) if v else [], pa.int32() if k == "piece" else pa.int64()) for k, v in parts.items()})
+        if forget:
+            encode.forget()
 
     return arrow_map(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -18,12 +18,32 @@ def library():
     return lambda s: np.array(t.encode(s, add_special_tokens=False).ids + [1], "<u4")
 
 
+def rows_of(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
 def test_encoder_equals_the_library(library):
-    odd = ["It's 123abc, DON'T!! <|endoftext|>x é İ ﬁ ÿ×÷", "\x00\x1f a\x85b\xa0c ß ẞ ''s 's", "..."]
-    for keep in (10, 10_000):
+    odd = ["It's 123abc, DON'T!! <|endoftext|>x é İ ﬁ ÿ×÷", "\x00\x1f a\x85b\xa0c ß ẞ ''s 's", "...", "", "a1b2c3,d4;e5 a1b2"]
+    texts = odd + [t for t in data.texts() if t]
+    for keep in (10, 200, 100_000):
         e = tokens.Encoder(keep=keep)
-        for t in odd + [t for t in data.texts() if t]:
-            assert e([t.encode()])[0] == library(t)[:-1].tobytes()
+        for _ in range(2):
+            for t in texts:
+                assert e(*rows_of([t]))[0].tolist() == library(t)[:-1].tolist()
+        ids, bounds = e(*rows_of(texts), 1)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [library(t).tolist() for t in texts]
+
+
+def test_another_vocabulary_goes_through_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    e, t = tokens.Encoder("byte_bpe_50k.json"), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not e.cuts and tokens.Encoder().cuts
+    texts = ["Two  words, it's", "", "naïve\n\nx"]
+    ids, bounds = e(*rows_of(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), min_size=1, max_size=80), st.data())
