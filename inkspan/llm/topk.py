@@ -1,18 +1,25 @@
-"""Exact top-k search by BM25 with block-max WAND pruning.
-
-Statistics (documents, words, document frequencies) come from all rows: each task counts its batches'
-terms before the shuffle. Queries go in blocks of bounded size; a block, with its terms' weights, is sent
-to all tasks. A task takes its rows shard by shard and builds an inverted index of each shard over the
-block's terms, its documents in an order that puts like ones together, cut into blocks of BLOCK documents
-with the largest impact of each term in each block. For a query the block maxima of its terms add up to an
-upper bound for every block; blocks are taken by falling bound, their documents scored in full, until the
-next bound is under the k-th best score so far, which a task carries from shard to shard. The bounds hold
-for whole documents, so the k best of a shard are exact, and so is their merge by score, then doc_id.
-
-Words are those of the contract, ASCII lower-cased; terms are their 64-bit hashes. idf is
-ln(1 + (N - df + 0.5) / (df + 0.5)); a term's weight in a query grows with its count there. Documents that
-share no term with a query are not returned, so a null or empty query has no rows; of equal scores (copies)
-the smaller doc_id wins; an empty table gives no rows.
+"""Exact top-k search by BM25 over an inverted index with block-max pruning.
+
+1. Statistics (documents, words, document frequencies) come from all rows: each task counts its batches' terms
+   before the shuffle.
+2. The index is written once, a row for each shard of at most SHARD documents: its terms (64-bit hashes of
+   words), their postings and impacts' parts. A shard's documents are in an order that puts like ones
+   together, so that the largest impact of a term in a block of BLOCK documents says much about the block.
+3. Queries go in blocks of at most QUERY_TERMS terms, with the corpus' statistics of their terms, to all tasks.
+   A task reads shards and takes queries in batches of like ones. Of a shard's terms, the frequent ones
+   (MaxScore's non-essential lists) form a matrix of impacts, the others stay lists. For each query the lists of
+   its rarer terms are added up by document; with the block maxima of its frequent terms this bounds every
+   document, and documents under the k-th best score so far are passed over, in whole blocks where no pivot
+   document is left. Blocks are taken by falling bound; what remains gets its frequent terms by a product of matrices.
+4. Bounds and sums are 32-bit with a margin; the documents near the k-th score are scored again in 64 bits, in
+   the order of terms. A task keeps its k best of each query from shard to shard, and the merge of all tasks' is
+   by score, then doc_id. As every score uses the global statistics, the merge is exact.
+
+Words are those of the contract, ASCII lower-cased. idf is ln(1 + (N - df + 0.5) / (df + 0.5)); a term's weight in
+a query grows with its count there. Documents that share no term with a query are not returned, so a null or
+empty query has no rows; of equal scores (copies) the smaller doc_id wins; an empty table gives no rows. Each
+row of documents ranks by itself, also if its doc_id is repeated; rows of queries with equal query_id are one
+query of all their words. Rows without a doc_id (or query_id) are left out.
 """
 
 from __future__ import annotations
@@ -21,12 +28,18 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import LOWER, arrow_map, documents, row_slices, slice_hashes, stored, utf8, word_bounds
+from inkspan.llm.common import LOWER, arrow_map, discard, documents, row_slices, slice_hashes, stored, utf8, word_bounds
 
 K1, B = 1.2, 0.75
 K = 10
-#: Queries of a block, documents of a shard, documents of a block of the index.
-QUERIES, SHARD, BLOCK = 4000, 8192, 32
+#: Terms of a block of queries, documents and postings of a shard, documents of a block, queries of a batch.
+QUERY_TERMS, SHARD, POSTINGS, BLOCK, BATCH = 1 << 20, 4096, 3 << 20, 64, 256
+#: A term in more than one document of DENSE counts as frequent; at most so many terms of a shard do.
+DENSE, COLUMNS = 48, 2048
+#: Blocks that are scored together; the share by which sums of 32 bits may be off.
+WAVE, MARGIN = 16, 2e-5
+#: Postings that are added up at a time.
+PART = 1 << 20
 
 
 def term_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,14 +86,27 @@ def _query_rows(batches):
 
 
 class Queries:
-    """A block of queries: their ids, and terms by query with weights, over a sorted vocabulary."""
+    """A block of queries: their ids, and terms by query with weights, over a sorted vocabulary. Queries whose
+    commonest word is the same stand together."""
 
-    def __init__(self, ids, terms, weights):
+    def __init__(self, ids, terms, counts, df, n_docs: int):
         order = np.lexsort((terms, ids))
-        ids, terms, self.weights = ids[order], terms[order], weights[order]
-        self.ids, first = np.unique(ids, return_index=True)
-        self.bounds = np.append(first, len(ids))
-        self.vocabulary, self.terms = np.unique(terms, return_inverse=True)
+        ids, terms, counts, df = ids[order], terms[order], counts[order], df[order]
+        new = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (terms[1:] != terms[:-1])])) if len(ids) else np.zeros(0, np.int64)
+        counts = np.add.reduceat(counts, new) if len(new) else counts
+        ids, terms, df = ids[new], terms[new], df[new]
+        weights = counts * np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+        self.vocabulary, terms = np.unique(terms, return_inverse=True)
+        names, first, number = np.unique(ids, return_index=True, return_inverse=True)
+        lead = np.zeros(len(names), np.int64)
+        by_count = np.lexsort((terms, counts, number))
+        lead[number[by_count]] = terms[by_count]  # the last of a query stays
+        size = np.diff(np.append(first, len(ids)))
+        order = np.lexsort((size, lead))
+        self.ids = names[order]
+        self.bounds = np.concatenate([[0], np.cumsum(size[order])])
+        at = np.arange(len(ids)) + np.repeat(first[order] - self.bounds[:-1], size[order])
+        self.terms, self.weights = terms[at], weights[at]
 
 
 class Best:
@@ -92,99 +118,177 @@ class Best:
         self.docs = np.full((n, k), np.iinfo(np.int64).max)
 
     def add(self, q: int, docs: np.ndarray, scores: np.ndarray) -> None:
-        if len(docs) > 4 * self.k:
-            keep = scores >= np.partition(scores, -self.k)[-self.k]
-            docs, scores = docs[keep], scores[keep]
         s, d = np.concatenate([self.scores[q], scores]), np.concatenate([self.docs[q], docs])
         order = np.lexsort((d, -s))[: self.k]
         self.scores[q], self.docs[q] = s[order], d[order]
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one after another."""
+    return np.arange(int(counts.sum())) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+
+
+def build(ids, rows, terms, counts, lengths) -> dict[str, np.ndarray]:
+    """A shard's index: ids and lengths of documents in their new order; terms, and where each one's postings
+    begin; documents and counts of postings, by term, then document."""
+    lead = np.full(len(ids), 0, np.int64)
+    by_count = np.lexsort((terms, counts, rows))
+    lead[rows[by_count]] = terms[by_count]  # the most frequent word tells languages apart
+    order = np.lexsort((lengths, lead))
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    rows = place[rows]
+    by_term = np.lexsort((rows, terms))
+    terms = terms[by_term]
+    first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.zeros(0, np.int64)
+    return {"ids": ids[order], "lengths": lengths[order].astype(np.int32), "terms": terms[first], "starts": np.append(first, len(terms)).astype(np.int32), "docs": rows[by_term].astype(np.uint16), "counts": counts[by_term].astype(np.int32)}
+
+
+INDEX = {"ids": np.int64, "lengths": np.int32, "terms": np.int64, "starts": np.int32, "docs": np.uint16, "counts": np.int32}
+
+
+def _index_rows(batches):
+    import pyarrow as pa
+
+    held, docs, postings = [], 0, 0
+
+    def shard():
+        base = np.cumsum([0, *[len(h[0]) for h in held]])
+        parts = [np.concatenate(x) for x in zip(*[(h[0], h[1] + o, *h[2:]) for h, o in zip(held, base.tolist(), strict=False)], strict=True)]
+        made = build(*parts)
+        return pa.RecordBatch.from_pydict({k: pa.array([v.tobytes()], pa.binary()) for k, v in made.items()})
+
+    for ids, rows, terms, counts, lengths in _batches(batches):
+        ends = np.searchsorted(rows, np.arange(1, len(ids) + 1))
+        a = 0
+        while a < len(ids):
+            begin = int(ends[a - 1]) if a else 0
+            b = min(len(ids), a + SHARD - docs, int(np.searchsorted(ends, begin + POSTINGS - postings, "right")))
+            b = max(b, a) if held else max(b, a + 1)
+            if b > a:
+                end = int(ends[b - 1])
+                held.append((ids[a:b], rows[begin:end] - a, terms[begin:end], counts[begin:end], lengths[a:b]))
+                docs, postings, a = docs + b - a, postings + end - begin, b
+            if a < len(ids):
+                yield shard()
+                held, docs, postings = [], 0, 0
+    if held:
+        yield shard()
+
+
 class Shard:
-    """An inverted index of some documents over a block's vocabulary, with block maxima; rows by document
-    too, for scoring."""
-
-    def __init__(self, ids, rows, terms, counts, lengths, vocabulary, average: float):
-        at = np.searchsorted(vocabulary, terms)
-        hit = at < len(vocabulary)
-        hit[hit] = vocabulary[at[hit]] == terms[hit]
-        rows, at, counts = rows[hit], at[hit], counts[hit]
-        # Documents by their most frequent term (common words tell languages apart), then by length.
-        lead = np.full(len(ids), -1, np.int64)
-        by_count = np.lexsort((at, counts, rows))
-        lead[rows[by_count]] = at[by_count]  # the last of a row stays
-        order = np.lexsort((lengths, lead))
-        place = np.empty(len(ids), np.int64)
-        place[order] = np.arange(len(ids))
-        self.ids, rows = ids[order], place[rows]
-        by_row = np.lexsort((at, rows))
-        self.terms, rows, counts = at[by_row], rows[by_row], counts[by_row].astype(np.float64)
-        self.impacts = counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[order][rows] / average))
-        self.starts = np.searchsorted(rows, np.arange(len(ids) + 1))
-        # Block maxima by term.
-        blocks = rows // BLOCK
-        by_term = np.lexsort((blocks, self.terms))
-        t, b, i = self.terms[by_term], blocks[by_term], self.impacts[by_term]
-        new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (b[1:] != b[:-1])])) if len(t) else np.zeros(0, np.int64)
-        self.max_blocks, self.maxima = b[new], np.maximum.reduceat(i, new) if len(new) else i
-        self.max_starts = np.searchsorted(t[new], np.arange(len(vocabulary) + 1))
-        self.blocks = -(-len(ids) // BLOCK)
-
-    def score(self, blocks: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Documents of blocks and their full scores, summed in the order of terms."""
-        docs = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-        docs = docs[docs < len(self.ids)]
-        a, n = self.starts[docs], self.starts[docs + 1] - self.starts[docs]
-        docs, a, n = docs[n > 0], a[n > 0], n[n > 0]
-        if not len(docs):
-            return docs, np.zeros(0)
-        begins = np.cumsum(n) - n
-        where = np.arange(int(n.sum())) + np.repeat(a - begins, n)
-        return docs, np.add.reduceat(weights[self.terms[where]] * self.impacts[where], begins)
+    """A shard's index as far as a block of queries needs it."""
+
+    def __init__(self, index: dict[str, np.ndarray], queries: Queries, average: float):
+        self.ids, n = index["ids"], len(index["ids"])
+        at = np.searchsorted(index["terms"], queries.vocabulary)
+        at[at == len(index["terms"])] = 0
+        hit = index["terms"][at] == queries.vocabulary if len(index["terms"]) else np.zeros(len(at), bool)
+        #: Of each query term: its number here, or -1.
+        self.number = np.where(hit, np.cumsum(hit) - 1, -1)
+        starts = index["starts"].astype(np.int64)
+        first, size = starts[at[hit]], np.diff(starts)[at[hit]]
+        where = _ranges(first, size)
+        self.docs, counts = index["docs"][where], index["counts"][where]
+        norm = K1 * (1 - B + B * index["lengths"] / average)
+        self.impacts = counts * (K1 + 1) / (counts + norm[self.docs])
+        self.starts = np.concatenate([[0], np.cumsum(size)])
+        self.size = size
+        # By document, for full scores: terms in the order of the queries' vocabulary.
+        order = np.argsort(self.docs, kind="stable")
+        self.row_terms = np.repeat(np.flatnonzero(hit), size)[order]
+        self.row_impacts = self.impacts[order]
+        self.row_starts = np.searchsorted(self.docs[order], np.arange(n + 1))
+        # The matrix of frequent terms, and its block maxima.
+        self.blocks = -(-n // BLOCK)
+        often = np.flatnonzero(size * DENSE > n)
+        often = often[np.argsort(-size[often], kind="stable")[:COLUMNS]]
+        self.column = np.full(len(size) + 1, -1)  # the last stands for terms that are not here
+        self.column[often] = np.arange(len(often))
+        self.matrix = np.zeros((self.blocks * BLOCK, len(often)), np.float32)
+        some = _ranges(self.starts[often], size[often])
+        self.matrix[self.docs[some], np.repeat(np.arange(len(often)), size[often])] = self.impacts[some]
+        self.maxima = self.matrix.reshape(self.blocks, BLOCK, len(often)).max(axis=1)
 
     def search(self, queries: Queries, best: Best) -> None:
-        weights = np.zeros(len(queries.vocabulary))
-        for q in range(len(queries.ids)):
-            a, b = queries.bounds[q], queries.bounds[q + 1]
-            terms, w = queries.terms[a:b], queries.weights[a:b]
-            first, n = self.max_starts[terms], self.max_starts[terms + 1] - self.max_starts[terms]
-            if not n.any():
+        for lo in range(0, len(queries.ids), BATCH):
+            self._batch(queries, best, lo, min(lo + BATCH, len(queries.ids)))
+
+    def _batch(self, queries: Queries, best: Best, lo: int, hi: int) -> None:
+        n, width = hi - lo, self.blocks * BLOCK
+        a, b = queries.bounds[lo], queries.bounds[hi]
+        row = np.repeat(np.arange(n), np.diff(queries.bounds[lo : hi + 1]))
+        number, weight = self.number[queries.terms[a:b]], queries.weights[a:b]
+        column = self.column[number]
+        rare = (number >= 0) & (column < 0)
+        if not (number >= 0).any():
+            return
+        size, first, base, w = self.size[number[rare]], self.starts[number[rare]], row[rare] * width, weight[rare]
+        sums, cuts = np.zeros(n * width), np.searchsorted(np.cumsum(size), np.arange(PART, int(size.sum()) + PART, PART))
+        for x, y in zip([0, *(cuts[:-1] + 1).tolist()], [*(cuts[:-1] + 1).tolist(), len(size)], strict=True):  # bounded vectors
+            where = _ranges(first[x:y], size[x:y])
+            sums += np.bincount(np.repeat(base[x:y], size[x:y]) + self.docs[where], np.repeat(w[x:y], size[x:y]) * self.impacts[where], n * width)
+        sums = sums.astype(np.float32).reshape(n, width)
+        often = column >= 0
+        weights = np.zeros((n, self.matrix.shape[1]), np.float32)
+        weights[row[often], column[often]] = weight[often]
+        bounds = weights @ self.maxima.T
+        tops = bounds + sums.reshape(n, self.blocks, BLOCK).max(axis=2)
+        # The k-th best so far; what a document needs at least, and something of it at all.
+        floor = np.maximum(best.scores[lo:hi, -1], 0).astype(np.float32) * np.float32(1 - MARGIN)
+        order = np.argsort(-tops.max(axis=0), kind="stable")
+        kept_q, kept_d, kept_s = [], [], []
+        highest = np.full((n, best.k), -np.inf, np.float32)
+        for at in range(0, self.blocks, WAVE):
+            wave = order[at : at + WAVE]
+            open_ = (tops[:, wave] * np.float32(1 + MARGIN) >= floor[:, None]) & (tops[:, wave] > 0)
+            asked = np.flatnonzero(open_.any(axis=1))
+            wave = wave[open_.any(axis=0)]
+            if not len(asked):
                 continue
-            where = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
-            bounds = np.bincount(self.max_blocks[where], np.repeat(w, n) * self.maxima[where], self.blocks)
-            order = np.argsort(-bounds, kind="stable")
-            weights[terms] = w
-            step, done = 2, 0
-            # Bounds and scores are sums in different orders: a bound within rounding still counts.
-            while done < len(order) and (top := bounds[order[done]]) > 0 and top * (1 + 1e-9) >= best.scores[q, -1]:
-                part = order[done : done + step]
-                part = part[bounds[part] * (1 + 1e-9) >= best.scores[q, -1]]
-                docs, scores = self.score(part, weights)
-                good = (scores >= best.scores[q, -1]) & (scores > 0)
-                best.add(q, self.ids[docs[good]], scores[good])
-                done, step = done + step, step * 2
-            weights[terms] = 0
+            docs = (wave[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+            part = sums[asked[:, None], docs]
+            pivots = (part + np.repeat(bounds[asked[:, None], wave], BLOCK, axis=1)) * np.float32(1 + MARGIN) >= floor[asked][:, None]
+            left = np.flatnonzero(pivots.any(axis=0))
+            docs = docs[left]
+            scores = part[:, left] + weights[asked] @ self.matrix[docs].T
+            if scores.shape[1] >= best.k:
+                high = np.concatenate([highest[asked], np.partition(scores, scores.shape[1] - best.k, axis=1)[:, -best.k :]], axis=1)
+                highest[asked] = np.partition(high, best.k, axis=1)[:, best.k :]
+                floor[asked] = np.maximum(floor[asked], highest[asked].min(axis=1) * np.float32(1 - MARGIN))
+            i, j = np.nonzero((scores >= floor[asked][:, None]) & (scores > 0))
+            kept_q.append(asked[i])
+            kept_d.append(docs[j])
+            kept_s.append(scores[i, j])
+        if not kept_q:
+            return
+        q, d, s = np.concatenate(kept_q), np.concatenate(kept_d), np.concatenate(kept_s)
+        near = s >= floor[q]
+        q, d = q[near], d[near]
+        order = np.argsort(q, kind="stable")
+        q, d = q[order], d[order]
+        full = np.zeros(len(queries.vocabulary))
+        ends = np.searchsorted(q, np.arange(n + 1))
+        for k in np.flatnonzero(np.diff(ends)).tolist():
+            mine = slice(queries.bounds[lo + k], queries.bounds[lo + k + 1])
+            full[queries.terms[mine]] = queries.weights[mine]
+            docs = d[ends[k] : ends[k + 1]]
+            begin, size = self.row_starts[docs], self.row_starts[docs + 1] - self.row_starts[docs]
+            where = _ranges(begin, size)
+            scores = np.add.reduceat(full[self.row_terms[where]] * self.row_impacts[where], np.cumsum(size) - size)
+            best.add(lo + k, self.ids[docs], scores)
+            full[queries.terms[mine]] = 0
 
 
 def _search_rows(queries: Queries, average: float, k: int):
     def run(batches):
         import pyarrow as pa
 
-        best, held, size = Best(len(queries.ids), k), [], 0
-
-        def shard():
-            base = np.cumsum([0, *[len(h[0]) for h in held]])
-            parts = [np.concatenate(x) for x in zip(*[(h[0], h[1] + o, *h[2:]) for h, o in zip(held, base.tolist(), strict=False)], strict=True)]
-            Shard(*parts, queries.vocabulary, average).search(queries, best)
-
-        for part in _batches(batches):
-            held.append(part)
-            size += len(part[0])
-            if size >= SHARD:
-                shard()
-                held, size = [], 0
-        if held:
-            shard()
+        best = Best(len(queries.ids), k)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                index = {c: np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in INDEX.items()}
+                Shard(index, queries, average).search(queries, best)
         q, r = np.nonzero(best.scores > -np.inf)
         yield pa.RecordBatch.from_pydict({"query_id": pa.array(queries.ids[q]), "doc_id": pa.array(best.docs[q, r]), "score": pa.array(best.scores[q, r])})
 
@@ -193,25 +297,28 @@ def _search_rows(queries: Queries, average: float, k: int):
 
 def search(df: DataFrame, queries: DataFrame, k: int = K, doc_id: str = "doc_id", text: str = "text", query_id: str = "query_id", query: str = "query") -> DataFrame:
     """(query_id, rank, doc_id, score): the k best rows of df for each row of queries."""
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    asked = queries.select(F.col(query_id).cast("long").alias("doc_id"), F.col(query).alias("text"))
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null")
+    asked = queries.select(F.col(query_id).cast("long").alias("doc_id"), F.col(query).alias("text")).filter("doc_id is not null")
     counts = arrow_map(docs, _count_rows, "term long, df long, docs long, words long")
     counts = stored(counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "docs", "words")]))
     total = counts.filter("term is null").first()
     n, words = (total["docs"], total["words"]) if total else (0, 0)
     average = max(words, 1) / max(n, 1)
     terms = arrow_map(asked, _query_rows, "query_id long, term long, n long").join(counts.filter("term is not null").select("term", "df"), "term")
-    weight = F.col("n") * F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    terms = stored(terms.select("query_id", "term", weight.alias("weight")))
-    blocks = max(1, -(-terms.select("query_id").distinct().count() // QUERIES))
+    terms = stored(terms)
+    discard(counts)
+    blocks = max(1, -(-terms.count() // QUERY_TERMS))
+    index = stored(arrow_map(docs, _index_rows, ", ".join(f"{c} binary" for c in INDEX)), "zstd")
     spark, found = df.sparkSession, None
     for i in range(blocks):
         got = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).toArrow()
-        block = Queries(*[got.column(c).to_numpy() for c in ("query_id", "term", "weight")])
+        block = Queries(*[got.column(c).to_numpy() for c in ("query_id", "term", "n", "df")], n)
         del got
         sent = spark.sparkContext.broadcast(block)
-        rows = stored(arrow_map(docs, lambda b, sent=sent: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
+        rows = stored(arrow_map(index, lambda b, sent=sent: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
+        sent.destroy()
         found = rows if found is None else found.union(rows)
+    discard(terms, index)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
