@@ -4,13 +4,14 @@ A gear hash rolls over a text's UTF-8 bytes, h = (h << 2) + T[byte] in 32 bits,
 bytes alone; a text is cut where its leading bits are zero, at least MIN bytes after the last cut. An
 insertion moves the cuts near it and no others. Chunks are compared by 64-bit digests. A digest that occurs
 again, in the same or another document, marks its chunks, and a maximal run of marked chunks in a
-document, of MIN_RUN bytes and MIN_CHUNKS chunks at least, is a repeated passage. The first occurrence of
+document, of min_run bytes and min_chunks chunks at least, is a repeated passage. The first occurrence of
 each digest (the smallest doc_id, then position) stays; later ones may be cut out.
 
 A null or empty text has no chunks; a text without a cut is one chunk, cut again every MAX bytes; equal
-texts repeat as a whole where they are long enough for a run; an empty table gives no rows. Digests are
-counted before the shuffle that gathers them, and a frequent digest meets its chunks in a join that Spark
-can split. Only positions and digests are moved, never texts.
+texts repeat as a whole where they are long enough for a run; an empty table gives no rows. Rows of equal doc_id
+are one document with the text that comes first (`one_text_each`); rows without a doc_id have no passages, and the
+filter lets them pass. Digests are counted before the shuffle that gathers them, and a frequent digest meets its
+chunks in a join that Spark can split. Only positions and digests are moved, never texts.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import arrow_map, documents, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.common import arrow_map, documents, join_found, one_text_each, row_slices, slice_hashes, stored, utf8
 
 MIN, MAX = 16, 1024
 #: One position in 2 ** BITS is a candidate: chunks have MIN + 2 ** BITS bytes on average.
 BITS = 4
+#: A passage's least bytes and chunks, unless asked otherwise.
 MIN_RUN, MIN_CHUNKS = 96, 3
-#: Chunks that a position in one long can number in a document.
-PER_DOC = 1 << 24
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 GEAR = _rng.integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -82,14 +82,17 @@ def _chunk_rows(batches):
             rows = np.repeat(np.arange(b - a), np.diff(counts))
             starts = np.where(np.arange(len(ends)) == counts[rows], offsets[rows], np.concatenate([[0], ends[:-1]]))
             digests = slice_hashes(data, starts, ends).view(np.int64)
+            order = np.lexsort((digests, rows))  # stable: of a row's equal digests, the first comes first
+            firsts = np.ones(len(digests), bool)
+            firsts[order[1:]] = (digests[order[1:]] != digests[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
             lists = lambda v, t: pa.ListArray.from_arrays(counts.astype(np.int32), pa.array(v, t))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[a:b]), lists(digests, pa.int64()), lists((chars[ends] - chars[offsets[rows]]).astype(np.int32), pa.int32()), lists((ends - starts).astype(np.int32), pa.int32())], names=["doc_id", "digests", "ends", "sizes"]
+                [pa.array(ids[a:b]), lists(digests, pa.int64()), lists((chars[ends] - chars[offsets[rows]]).astype(np.int32), pa.int32()), lists((ends - starts).astype(np.int32), pa.int32()), lists(firsts, pa.bool_())], names=["doc_id", "digests", "ends", "sizes", "firsts"]
             )
 
 
-def _run_rows(batches):
+def _run_rows(batches, min_run: int, min_chunks: int):
     import pyarrow as pa
 
     for batch in batches:
@@ -101,43 +104,44 @@ def _run_rows(batches):
             for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(ks)], strict=True):
                 a, b = int(ks[lo]), int(ks[hi - 1])
                 n_bytes = sum(r["sizes"][a : b + 1])
-                if n_bytes < MIN_RUN or b - a + 1 < MIN_CHUNKS:
+                if n_bytes < min_run or b - a + 1 < min_chunks:
                     continue
                 begin = lambda k: r["ends"][k - 1] if k else 0
-                later = [k for k, f in marks[lo:hi] if f != r["doc_id"] * PER_DOC + k]
+                later = [k for k, f in marks[lo:hi] if f != r["doc_id"] or not r["firsts"][k]]
                 cuts: list[list[int]] = []  # [start, end) of what repeats something earlier
                 for k in later:
                     if cuts and cuts[-1][1] == begin(k):
                         cuts[-1][1] = r["ends"][k]
                     else:
                         cuts.append([begin(k), r["ends"][k]])
-                for k, v in zip(out, (r["doc_id"], begin(a), r["ends"][b], n_bytes, b - a + 1, len(later), min(f for _, f in marks[lo:hi]) // PER_DOC, cuts), strict=True):
+                for k, v in zip(out, (r["doc_id"], begin(a), r["ends"][b], n_bytes, b - a + 1, len(later), min(f for _, f in marks[lo:hi]), cuts), strict=True):
                     out[k].append(v)
         kinds = {"start": pa.int32(), "end": pa.int32(), "n_chunks": pa.int32(), "n_repeated": pa.int32(), "cuts": pa.list_(pa.list_(pa.int32()))}
         yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
 
 
-def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN, min_chunks: int = MIN_CHUNKS) -> DataFrame:
     """One row for each repeated passage: doc_id, start and end (code points), n_bytes, n_chunks, n_repeated
     (chunks that occurred earlier), first_doc_id (the earliest document that shares a chunk) and cuts (the
-    ranges that occurred earlier)."""
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chunked = stored(arrow_map(docs, _chunk_rows, "doc_id long, digests array<long>, ends array<int>, sizes array<int>"))
+    ranges that occurred earlier). With min_run and min_chunks of 1, every repeated chunk is in a passage."""
+    docs = one_text_each(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id")
+    chunked = stored(arrow_map(docs, _chunk_rows, "doc_id long, digests array<long>, ends array<int>, sizes array<int>, firsts array<boolean>"))
     chunks = chunked.select("doc_id", F.posexplode("digests").alias("k", "digest"))
-    place = F.col("doc_id") * PER_DOC + F.col("k")
-    often = stored(chunks.groupBy("digest").agg(F.min(place).alias("f"), F.count("*").alias("c")).filter("c > 1").select("digest", "f"))
+    often = stored(chunks.groupBy("digest").agg(F.min("doc_id").alias("f"), F.count("*").alias("c")).filter("c > 1").select("digest", "f"))
     marks = chunks.join(often, "digest").groupBy("doc_id").agg(F.collect_list(F.struct("k", "f")).alias("marks"))
-    fewer = marks.filter(F.size("marks") >= MIN_CHUNKS)
-    return arrow_map(fewer.join(chunked.select("doc_id", "ends", "sizes"), "doc_id"), _run_rows, "doc_id long, start int, end int, n_bytes long, n_chunks int, n_repeated int, first_doc_id long, cuts array<array<int>>")
+    fewer = marks.filter(F.size("marks") >= min_chunks)
+    schema = "doc_id long, start int, end int, n_bytes long, n_chunks int, n_repeated int, first_doc_id long, cuts array<array<int>>"
+    return arrow_map(fewer.join(chunked.select("doc_id", "ends", "sizes", "firsts"), "doc_id"), lambda b: _run_rows(b, min_run, min_chunks), schema)
 
 
-def drop_repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with what repeats an earlier passage cut out of its texts."""
-    cuts = repeated_passages(df, doc_id, text).groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("cuts"))).alias("_cuts")).select(F.col("doc_id").alias("_doc"), "_cuts")
+def drop_repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """df with what repeats an earlier passage cut out of its texts. Of rows of equal doc_id, those with the text
+    that stands for them are cut."""
+    cuts = repeated_passages(df, doc_id, text, **how).groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("cuts"))).alias("_cuts")).select(F.col("doc_id").alias("_doc"), "_cuts")
     starts = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: c[1]))
     ends = F.concat(F.transform("_cuts", lambda c: c[0]), F.array(F.length(text)))
     kept = F.array_join(F.zip_with(starts, ends, lambda a, b: F.substring(F.col(text), a + 1, b - a)), "")
-    out = df.join(cuts, F.col(doc_id) == F.col("_doc"), "left").withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(kept))
+    out = join_found(df, cuts, doc_id, text).withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(kept))
     return out.select(*df.columns)
 
 

@@ -11,8 +11,9 @@ chance of about 0.00001 if one of the lines has up to SHORT distinct shingles, e
 links.py), and distributed union-find keeps one line of each component: its first occurrence.
 
 A null text has no lines; blank lines are never removed and never linked; a line shorter than a shingle is
-one shingle. Equal lines are linked; an empty table gives no rows. Items are named by 64-bit hashes of the
-line's bytes.
+one shingle. Equal lines are linked; an empty table gives no rows. Rows of equal doc_id are one document with
+the text that comes first (`one_text_each`); rows without a doc_id have no lines here, and filters let them
+pass. Items are named by 64-bit hashes of the line's bytes.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import WS, arrow_map, discard, documents, maybe_in, mix, row_slices, slice_hashes, stored, utf8
-from inkspan.llm.links import SKETCH, classes
+from inkspan.llm.common import WS, arrow_map, discard, documents, flag_in, join_found, maybe_in, mix, one_text_each, row_sets, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.links import classes
 
 WIDTH = 8
 BANDS, ROWS = 10, 3
+#: Hashes of a line's sketch: with 32, about as many bytes as a line.
+SKETCH = 32
 #: Distinct shingles up to which all of a line's links are looked for by independent orders, and their bands.
 SHORT, SHORT_BANDS = 64, 16
 _FACTOR = 0x9E3779B97F4A7C15
@@ -147,7 +150,7 @@ def _line_rows(batches, percent: int):
     for batch in batches:
         all_data, all_offsets = utf8(batch.column("text"))
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for a, b in row_slices(all_offsets):
+        for a, b in row_slices(all_offsets, 1 << 18):
             data, offsets = all_data[all_offsets[a] : all_offsets[b]], all_offsets[a : b + 1] - all_offsets[a]
             rows, numbers, starts, ends = text_lines(data, offsets)
             if not len(rows):
@@ -156,17 +159,18 @@ def _line_rows(batches, percent: int):
             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # bytes to characters
             h, begins = char_shingles(code_points(data), chars[starts], chars[ends])
             buckets, none = line_bands(h, begins, percent)
-            cols = {"item": items, "doc_id": ids[a:b][rows], "line_no": numbers.astype(np.int32)}
+            order = np.lexsort((items, rows))  # stable: a document's first of each item comes first
+            first = np.ones(len(rows), bool)
+            first[order[1:]] = (items[order[1:]] != items[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
+            cols = {"item": items, "doc_id": ids[a:b][rows], "line_no": numbers.astype(np.int32), "first": first}
             found = {f"b{i}": pa.array(np.ascontiguousarray(buckets[:, i]), mask=np.ascontiguousarray(none[:, i])) for i in range(BANDS + SHORT_BANDS)}
             yield pa.RecordBatch.from_pydict({k: pa.array(np.ascontiguousarray(v)) for k, v in cols.items()} | found)
 
 
-def line_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each row."""
+def line_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of each row, and where they begin."""
     chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-    h, begins = char_shingles(code_points(data), chars[:-1], chars[1:])
-    h = h.view(np.int64)
-    return [np.unique(h[x:y]) for x, y in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
+    return char_shingles(code_points(data), chars[:-1], chars[1:])
 
 
 def _sketch_rows(batches):
@@ -175,47 +179,61 @@ def _sketch_rows(batches):
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         ids = batch.column("item").to_numpy(zero_copy_only=False)
-        for a, b in row_slices(offsets):
-            sets = line_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            cut = [s[:SKETCH] for s in sets]
-            flat = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(s) for s in cut])]).astype(np.int32), np.concatenate(cut))
-            yield pa.RecordBatch.from_pydict({"item": pa.array(ids[a:b]), "n": pa.array([len(s) for s in sets], pa.int64()), "sketch": flat})
+        for a, b in row_slices(offsets, 1 << 18):
+            flat, begins = row_sets(*line_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+            n = np.diff(begins)
+            cut = np.minimum(n, SKETCH)
+            ends = np.cumsum(cut)
+            flat = flat[np.arange(int(ends[-1])) + np.repeat(begins[:-1] - (ends - cut), cut)]
+            yield pa.RecordBatch.from_pydict({"item": pa.array(ids[a:b]), "n": pa.array(n), "sketch": pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), flat)})
 
 
 def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """One row for each line that holds a word: doc_id, line_no, first_doc_id and first_line_no (the line
     that stands for its class) and kept (it is that line)."""
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = one_text_each(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id")
     names = [f"b{i}" for i in range(BANDS + SHORT_BANDS)]
-    lines = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent), "item long, doc_id long, line_no int, " + ", ".join(f"{b} long" for b in names)))
-    # One row for each text of a line; equal lines have equal bands.
-    first = lines.groupBy("item").agg(*[F.max(b).alias(b) for b in names])
-    entries = first.select("item", F.explode(F.array(*names)).alias("bucket")).filter("bucket is not null")
+    lines = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent), "item long, doc_id long, line_no int, first boolean, " + ", ".join(f"{b} long" for b in names)))
+    # One row for each text of a line: its bands (equal lines have equal ones), where it occurs first, how often.
+    # min_by sees a doc_id once for each item, so it has no ties.
+    once = F.when(F.col("first"), F.col("doc_id"))
+    items = stored(lines.groupBy("item").agg(*[F.max(b).alias(b) for b in names], F.min("doc_id").alias("doc_id"), F.min_by("line_no", once).alias("line_no"), F.count("*").alias("c")))
+    entries = items.select("item", F.explode(F.array(*names)).alias("bucket")).filter("bucket is not null")
     # Buckets of one item lead nowhere. lag and lead look at neighbours alone, however large a bucket is.
     w = Window.partitionBy("bucket").orderBy("item")
     members = stored(entries.withColumns({"_p": F.lag("item").over(w), "_n": F.lead("item").over(w)}).filter("_p is not null or _n is not null").select("bucket", "item"))
     involved = stored(members.select("item").distinct())
-    at = stored(maybe_in(lines.select("item", "doc_id", "line_no"), "item", involved).join(involved, "item", "left_semi").groupBy("item").agg(F.min(F.struct("doc_id", "line_no")).alias("f")).select("item", "f.*"))
+    places = items.select("item", "doc_id", "line_no")
+    at = stored(maybe_in(places, "item", involved).join(involved, "item", "left_semi"))
     wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "item")).alias("w"))
-    parts = maybe_in(docs, "doc_id", at.select("doc_id")).join(wanted, "doc_id").select(F.explode("w").alias("w"), F.split("text", "\n", -1).alias("l")).select("w.item", F.get("l", F.col("w.line_no")).alias("text"))
-    texts = stored(parts.dropDuplicates(["item"]))
+    parts = maybe_in(docs, "doc_id", at.select("doc_id")).join(wanted, "doc_id").select("w", F.split("text", "\n", -1).alias("l"))
+    texts = stored(parts.select(F.explode(F.expr("transform(w, x -> struct(x.item as item, l[x.line_no] as text))")).alias("x")).select("x.*"))
     sketches = stored(arrow_map(texts, _sketch_rows, "item long, n long, sketch array<long>"))
 
-    found = classes(members, sketches, lambda items: maybe_in(texts, "item", items).join(items, "item", "left_semi"), line_sets, percent)
+    found = classes(members, sketches, lambda some: maybe_in(texts, "item", some).join(some, "item", "left_semi"), line_sets, percent, SKETCH)
     discard(at, involved, members, texts, sketches)
-    placed = lines.select("item", "doc_id", "line_no").join(found.withColumnRenamed("id", "item"), "item", "left").withColumn("class", F.coalesce("component", "item"))
-    heads = stored(placed.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.count("*").alias("c")).filter("c > 1").select("class", F.col("f.doc_id").alias("first_doc_id"), F.col("f.line_no").alias("first_line_no")))
-    out = placed.join(heads, "class", "left").withColumns({"first_doc_id": F.coalesce("first_doc_id", "doc_id"), "first_line_no": F.coalesce("first_line_no", "line_no")})
-    return out.select("doc_id", "line_no", "first_doc_id", "first_line_no", ((F.col("doc_id") == F.col("first_doc_id")) & (F.col("line_no") == F.col("first_line_no"))).alias("kept"))
+    # The first line of each class: of the classes found, and of items that occur again.
+    linked = stored(maybe_in(places, "item", found.select("id")).join(found.withColumnRenamed("id", "item"), "item"))
+    by_doc = linked.groupBy("component", "doc_id").agg(F.min("line_no").alias("line_no"))
+    heads = stored(by_doc.groupBy("component").agg(F.min("doc_id").alias("first_doc_id"), F.min_by("line_no", "doc_id").alias("first_line_no")))
+    again = items.filter("c > 1").select("item", F.col("doc_id").alias("first_doc_id"), F.col("line_no").alias("first_line_no")).join(linked.select("item"), "item", "left_anti")
+    firsts = stored(linked.select("item", "component").join(heads, "component").select("item", "first_doc_id", "first_line_no").union(again))
+    discard(linked, heads, items, found)
+    # Lines that nothing repeats stay where they are.
+    placed = lines.select("item", "doc_id", "line_no")
+    maybe = flag_in(placed, "item", firsts.select("item"), "_maybe")
+    joined = maybe.filter("_maybe").join(firsts, "item", "left").select("doc_id", "line_no", F.coalesce("first_doc_id", "doc_id").alias("first_doc_id"), F.coalesce("first_line_no", "line_no").alias("first_line_no"))
+    out = joined.union(maybe.filter("not _maybe").select("doc_id", "line_no", "doc_id", "line_no"))
+    return out.select("*", ((F.col("doc_id") == F.col("first_doc_id")) & (F.col("line_no") == F.col("first_line_no"))).alias("kept"))
 
 
 def drop_duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", emptied: bool = True, **how) -> DataFrame:
     """df with lines that another stands for taken out of its texts (n_chars, if there, follows). A text
     that loses every line that holds a word is a copy throughout: its row stays, without them, only if
-    `emptied`."""
+    `emptied`. Of rows of equal doc_id, those with the text that stands for them lose lines."""
     gone = line_classes(df, doc_id, text, **how).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_lines")).select(F.col("doc_id").alias("_doc"), "_lines")
     left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("_lines"), i)), "\n")
-    out = df.join(gone, F.col(doc_id) == F.col("_doc"), "left").withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left))
+    out = join_found(df, gone, doc_id, text).withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left))
     if n_chars and n_chars in df.columns:
         out = out.withColumn(n_chars, F.when(F.col("_lines").isNull(), F.col(n_chars)).otherwise(F.length(text).cast(df.schema[n_chars].dataType)))
     if not emptied:

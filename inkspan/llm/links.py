@@ -22,13 +22,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import arrow_map, discard, row_slices, stored, utf8
+from inkspan.llm.common import arrow_map, discard, pair_sizes, row_sets, row_slices, stored, utf8
 from inkspan.llm.components import components
 
-SetsFrom = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
+#: Hashes of each row of a byte vector (repeated ones too), one row after another, and where each row's begin.
+SetsFrom = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 SKETCH = 64
-#: Items of one side of a block.
-BLOCK = 1024
+#: Items of one side of a block, and elements of their sets.
+BLOCK, ELEMENTS = 1024, 1 << 22
 #: Pairs per item beyond which a block counts as dense.
 FEW = 4
 
@@ -91,12 +92,9 @@ def _exact(pairs: DataFrame, texts: DataFrame, sets_from: SetsFrom, percent: int
 
         for batch in batches:
             (da, oa), (db, ob) = utf8(batch.column("_a")), utf8(batch.column("_b"))
-            for lo, hi in row_slices(oa + ob):
-                one = sets_from(da[oa[lo] : oa[hi]], oa[lo : hi + 1] - oa[lo])
-                two = sets_from(db[ob[lo] : ob[hi]], ob[lo : hi + 1] - ob[lo])
-                n = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)])
-                sizes = np.array([len(x) + len(y) for x, y in zip(one, two, strict=True)])
-                good = pa.array(100 * n >= percent * (sizes - n))
+            for lo, hi in row_slices(oa + ob, 1 << 19):
+                common, both = pair_sizes(sets_from(da[oa[lo] : oa[hi]], oa[lo : hi + 1] - oa[lo]), sets_from(db[ob[lo] : ob[hi]], ob[lo : hi + 1] - ob[lo]))
+                good = pa.array(100 * common >= percent * (both - common))
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo).filter(good) for c in "ab"], names=["a", "b"])
 
     one = texts.select(F.col("item").alias("a"), F.col("text").alias("_a"))
@@ -112,7 +110,10 @@ def _blocks(batches, names: list[str], work, sets_from: SetsFrom | None):
     def columns(batch):
         if sets_from:
             data, offsets = utf8(batch.column("text"))
-            sets = [x for a, b in row_slices(offsets) for x in sets_from(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])]
+            sets = []
+            for a, b in row_slices(offsets):
+                flat, begins = row_sets(*sets_from(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+                sets += np.split(flat, begins[1:-1])
         else:
             h = batch.column("hashes")
             sets = np.split(np.asarray(h.flatten()), (np.asarray(h.offsets) - h.offsets[0].as_py())[1:-1])
@@ -159,7 +160,7 @@ def _blocks(batches, names: list[str], work, sets_from: SetsFrom | None):
     yield flush()
 
 
-def _compare(percent: int, full: bool):
+def _compare(percent: int, full: bool, sketch: int):
     """Pairs of a block that may be linked (sketches) or are linked (full sets)."""
 
     def block(key, group):
@@ -186,7 +187,7 @@ def _compare(percent: int, full: bool):
         if full:
             good = exact
         else:
-            good = np.where(np.maximum(na, nb) <= SKETCH, exact, common >= retained(np.minimum(np.minimum(na, nb), SKETCH), percent))
+            good = np.where(np.maximum(na, nb) <= sketch, exact, common >= retained(np.minimum(np.minimum(na, nb), sketch), percent, sketch))
         x, y = ia[x[good]], ib[y[good]]
         if full:
             keep = forest(np.arange(len(x)), component[x], component[y])
@@ -200,26 +201,26 @@ def _compare(percent: int, full: bool):
     return block
 
 
-def _in_blocks(rows: DataFrame, percent: int, sets_from: SetsFrom | None = None) -> DataFrame:
+def _in_blocks(rows: DataFrame, percent: int, sketch: int, sets_from: SetsFrom | None = None) -> DataFrame:
     """On full sets where sets_from is given, else on sketches."""
     names, full = ["bucket", "i", "j", "a", "b", "dense"], sets_from is not None
     ordered = rows.select("bucket", "i", "j", "item", "component", "n", "is_row", "text" if full else "hashes").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return arrow_map(ordered, lambda b: _blocks(b, names, _compare(percent, full), sets_from), "bucket long, i int, j int, a long, b long, dense boolean")
+    return arrow_map(ordered, lambda b: _blocks(b, names, _compare(percent, full, sketch), sets_from), "bucket long, i int, j int, a long, b long, dense boolean")
 
 
-def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFrame], DataFrame], sets_from: SetsFrom, percent: int = 80) -> DataFrame:
+def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFrame], DataFrame], sets_from: SetsFrom, percent: int = 80, sketch: int = SKETCH) -> DataFrame:
     """(id, component) of all items that have a link within a bucket.
 
-    members (bucket long, item long); sketches (item, n, sketch array<long>, the smallest hashes in
-    order), both stored tables; texts_of(items) gives (item, text) for a table of items, and sets_from the
-    sorted distinct hashes of each of the texts in a byte vector."""
+    members (bucket long, item long); sketches (item, n, sketch array<long>, the `sketch` smallest hashes in
+    order), both stored tables; texts_of(items) gives (item, text), one row each, for a table of items, and
+    sets_from the hashes of each of the texts in a byte vector."""
     # A leader is the item of the smallest set: in a group of edited copies, the one with the fewest edits.
     sized = stored(members.join(sketches.select("item", "n"), "item"))
     heads = stored(sized.groupBy("bucket").agg(F.min(F.struct("n", "item")).alias("h"), F.count("*").alias("c")).select("bucket", F.col("h.item").alias("a"), F.col("h.n").alias("na"), "c"))
     stars = sized.withColumnsRenamed({"item": "b", "n": "nb"}).join(heads, "bucket").filter("a <> b")
     stars = stored(stars.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct())
     sk = lambda r: sketches.select(F.col("item").alias(r), F.col("sketch").alias(f"_{r}"))
-    union = F.slice(F.sort_array(F.array_union("_a", "_b")), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union("_a", "_b")), 1, sketch)
     p = percent / 100
     least = lambda k: p * k - 4.5 * F.sqrt(p * (1 - p) * k)
     common = F.array_intersect("_a", "_b")
@@ -238,22 +239,24 @@ def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFra
     placed = sized.join(more, "bucket").filter("item <> a").drop("a").join(parts.withColumnRenamed("id", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
     placed = stored(placed)
     discard(sized, heads)
-    per = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    top = per.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("parts")).filter("parts > 1")
-    open_buckets = stored(top.select("bucket", F.col("top.component").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("outside")))
+    per = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    top = per.groupBy("bucket").agg(F.max_by("component", "c").alias("top"), F.sum("c").alias("all"), F.sum("s").alias("elements"), F.count("*").alias("parts"), F.max("c").alias("most")).filter("parts > 1")
+    open_buckets = stored(top.select("bucket", "top", "all", "elements", (F.col("all") - F.col("most")).alias("outside")))
     rest = placed.join(open_buckets, "bucket").withColumn("out", F.col("component") != F.col("top"))
-    rows, cols = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("all") / BLOCK)
+    # Items outside take a share of the elements at most; blocks hold BLOCK items and about ELEMENTS elements a side.
+    rows = F.ceil(F.greatest(F.col("outside") / BLOCK, F.least(F.col("outside"), F.col("elements") / ELEMENTS)))
+    cols = F.ceil(F.greatest(F.col("all") / BLOCK, F.col("elements") / ELEMENTS))
     mine, theirs = F.pmod(F.xxhash64("item"), rows).cast("int"), F.pmod(F.xxhash64("item", F.lit(7)), cols).cast("int")
     left = rest.filter("out").select("bucket", "item", "component", "n", mine.alias("i"), F.explode(F.sequence(F.lit(0), (cols - 1).cast("int"))).alias("j"), F.lit(True).alias("is_row"))
     right = rest.select("bucket", "item", "component", "n", F.explode(F.sequence(F.lit(0), (rows - 1).cast("int"))).alias("i"), theirs.alias("j"), F.lit(False).alias("is_row"))
     blocks = stored(left.unionByName(right))
     discard(placed, open_buckets)
-    found = stored(_in_blocks(blocks.join(sketches.select("item", F.col("sketch").alias("hashes")), "item"), percent))
+    found = stored(_in_blocks(blocks.join(sketches.select("item", F.col("sketch").alias("hashes")), "item"), percent, sketch))
     pairs = found.filter("not dense").select("a", "b").distinct()
     dense = stored(blocks.join(found.filter("dense").select("bucket", "i", "j"), ["bucket", "i", "j"]))
     wanted = stored(pairs.select(F.col("a").alias("item")).union(pairs.select("b")).union(dense.select("item")).distinct())
     texts = stored(texts_of(wanted))
-    more = _exact(pairs, texts, sets_from, percent).union(_in_blocks(dense.join(texts, "item"), percent, sets_from).select("a", "b"))
+    more = _exact(pairs, texts, sets_from, percent).union(_in_blocks(dense.join(texts, "item"), percent, sketch, sets_from).select("a", "b"))
     # These join components, so they are links of components.
     component = lambda c: F.coalesce(f"_{c}", c).alias(c)
     of = lambda c: parts.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
@@ -266,8 +269,8 @@ def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFra
     return out
 
 
-def retained(k, percent: int):
+def retained(k, percent: int, sketch: int = SKETCH):
     """Hashes that the sketches of two linked sets share at least, k being the smaller sketch's length:
     exact where the larger set fits in a sketch too, else with slack."""
     k = np.asarray(k, float)
-    return np.where(k * 100 <= percent * SKETCH, np.ceil(percent * k / 100 - 1e-9), np.floor(slack(k, percent)))
+    return np.where(k * 100 <= percent * sketch, np.ceil(percent * k / 100 - 1e-9), np.floor(slack(k, percent)))

@@ -34,6 +34,23 @@ def rows():
     return [(i, t, ["en", "de", "fr", "es", None][i % 5], "s0" if i % 3 else None, len(t) if t is not None else None) for i, t in enumerate(texts())]
 
 
+def odd_rows(at=1 << 62):
+    """Repeated rows (equal, and of equal ids with other texts), rows without an id, and ids near the largest."""
+    base = rows()
+    again = [base[0], base[0], base[4], base[7], (2, base[8][1], "en", "s", None), (11, None, None, None, None)]
+    far = [(at + d, t, *rest) for d, t, *rest in base[:12]] + [((1 << 63) - 1, base[7][1], "en", "s", 0), (-(1 << 63), base[20][1], "en", "s", 0)]
+    return base + again + far + [(None, base[0][1], None, None, None), (None, None, None, None, None)]
+
+
+def one_each(rows):
+    """The text that stands for each id."""
+    out = {}
+    for d, t, *_ in rows:
+        if d is not None and (d not in out or out[d] is None or (t is not None and t.encode() < out[d].encode())):
+            out[d] = t
+    return out
+
+
 def frame(spark, extra=False):
     df = spark.createDataFrame(rows(), SCHEMA)
     if extra:  # clashing names

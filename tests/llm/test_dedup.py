@@ -177,3 +177,74 @@ def test_miss_rate_by_length(n, most):
     begins = np.arange(pairs + 1) * n
     (a, no), (b, _) = [linededup.line_bands(np.ascontiguousarray(x).ravel(), begins) for x in (h[:, :n], h[:, n - common :])]
     assert (~((a == b) & ~no).any(axis=1)).sum() <= most
+
+
+def test_repeated_rows_null_and_large_ids(spark):
+    rows = data.odd_rows()
+    df = spark.createDataFrame(rows, data.SCHEMA).repartition(5)
+    texts = data.one_each(rows)
+    want = brute({d: shingles(t, 4) for d, t in texts.items()})
+    got = neardup.near_duplicates(df, words=4).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == sorted((d, want[d], d == want[d]) for d, *_ in rows if d is not None)
+    kept = neardup.drop_near_duplicates(df, words=4).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(d for d, *_ in rows if d is not None and d == want[d])
+    assert sum(r["doc_id"] is None for r in kept) == 2
+
+    first = {}
+    for d, i, x in sorted((d, i, x) for d, t in texts.items() for i, x in lines_of(t)):
+        first.setdefault(x, (d, i))
+    want = brute({first[x]: {x} if len(x) < 8 else {x[k : k + 8] for k in range(len(x) - 7)} for x in first})
+    got = {(r["doc_id"], r["line_no"]): (r["first_doc_id"], r["first_line_no"]) for r in linededup.line_classes(df).collect()}
+    assert got == {(d, i): want[first[x]] for d, t in texts.items() for i, x in lines_of(t)}
+    out = linededup.drop_duplicate_lines(df).collect()
+    assert len(out) == len(rows) and sorted(r["text"] for r in out if r["doc_id"] == 2) == sorted(["", rows[8][1]])  # the text that stands for 2 is a near copy
+
+    got = chunkdedup.repeated_passages(df).collect()
+    found = {r["doc_id"] for r in got}
+    assert {0, 1, 1 << 62, (1 << 62) + 1, (1 << 63) - 1, -(1 << 63)} <= found and len({(r["doc_id"], r["start"]) for r in got}) == len(got)
+    out = chunkdedup.drop_repeated_passages(df).collect()
+    assert len(out) == len(rows) and [r["text"] for r in out if r["doc_id"] == 0] == [rows[0][1]] * 3
+
+
+def chunk_runs(texts, min_run, min_chunks):
+    """Passages by plain loops over chunks, each cut by the rolling hash a byte at a time."""
+    chunks = {}
+    for d, t in texts.items():
+        raw, h, at, out = (t or "").encode(), 0, 0, []
+        for i, x in enumerate(raw):
+            h = ((h << 2) + int(chunkdedup.GEAR[x])) & 0xFFFFFFFF
+            inside = i + 1 < len(raw) and raw[i + 1] & 0xC0 == 0x80
+            if i + 1 == len(raw) or (i + 1 - at >= chunkdedup.MIN and h >> (32 - chunkdedup.BITS) == 0 and not inside):
+                while i + 1 - at > chunkdedup.MAX:
+                    cut = at + chunkdedup.MAX
+                    while raw[cut] & 0xC0 == 0x80:
+                        cut -= 1
+                    out.append((at, cut))
+                    at = cut
+                out.append((at, i + 1))
+                at = i + 1
+        chunks[d] = [(raw[a:b], a, b) for a, b in out]
+    seen = {}
+    for d in sorted(chunks):
+        for k, (x, _, _) in enumerate(chunks[d]):
+            seen.setdefault(x, []).append((d, k))
+    out = set()
+    for d, parts in chunks.items():
+        k = 0
+        while k < len(parts):
+            e = k
+            while e < len(parts) and len(seen[parts[e][0]]) > 1:
+                e += 1
+            if e > k and e - k >= min_chunks and parts[e - 1][2] - parts[k][1] >= min_run:
+                later = sum(seen[parts[j][0]][0] != (d, j) for j in range(k, e))
+                out.add((d, len((texts[d].encode()[: parts[k][1]]).decode()), len((texts[d].encode()[: parts[e - 1][2]]).decode()), later, min(seen[parts[j][0]][0][0] for j in range(k, e))))
+            k = max(e, k + 1)
+    return out
+
+
+@pytest.mark.parametrize("least", [(96, 3), (1, 1)])
+def test_passages_equal_brute_force(spark, least):
+    texts = data.one_each(data.odd_rows())
+    df = spark.createDataFrame(data.odd_rows(), data.SCHEMA)
+    got = {(r["doc_id"], r["start"], r["end"], r["n_repeated"], r["first_doc_id"]) for r in chunkdedup.repeated_passages(df, min_run=least[0], min_chunks=least[1]).collect()}
+    assert got == chunk_runs(texts, *least)
