@@ -93,19 +93,30 @@ def starts_level(c: Column) -> Column:
 
 def title_slot(text: Column, attr: Column) -> Column:
     """Slot of a title's form: 0 to 13 by pattern, 14 and 15 unmarked, 16 lowest, -1 no title."""
-    t = strip(text)
+    t = title_text(text)
     found = F.coalesce(*[F.when(t.rlike(SLOTS[i]), i) for i in range(13, 1, -1)], F.lit(-1))
     early = F.when(t.rlike(SLOTS[0]), 0).when(t.rlike(SLOTS[1]), 1)
     by_attr = F.when(attr == "text_title", 15).when(attr == "doc_title", 14).otherwise(-1)
-    veto = not_title(t)
     bare = F.regexp_replace(t, r"^\d{1,3}\s*[\.﹒．]\s*", "")
     titled = attr.isin("doc_title", "text_title")
-    return (
-        F.when(early.isNotNull(), F.when(F.length(F.regexp_replace(t, "[A-Za-z]+", "")) < 35, early).otherwise(-1))
-        .when(found.isin(3, 4, 6), F.when(veto > 0, by_attr).otherwise(found))
-        .when(found == 7, F.when(veto.isin(2, 3, 4), -1).when(not_title(bare) > 0, 6).otherwise(7))
-        .when(found > -1, found).when(titled & t.rlike(LOWEST), 16).otherwise(F.when(attr == "doc_title", 15).when(attr == "text_title", 14).otherwise(-1))
-    )
+    # Bound once: each pattern runs at most once a text.
+    bound = F.struct(early.alias("early"), found.alias("found"), not_title(t).alias("veto"))
+
+    def choose(x: Column) -> Column:
+        return (
+            F.when(~contains_chinese(t) & t.contains("=+-√≤"), -1)
+            .when(x["early"].isNotNull(), F.when(F.length(F.regexp_replace(t, "[A-Za-z]+", "")) < 35, x["early"]).otherwise(-1))
+            .when(x["found"].isin(3, 4, 6), F.when(x["veto"] > 0, by_attr).otherwise(x["found"]))
+            .when(x["found"] == 7, F.when(x["veto"].isin(2, 3, 4), -1).when(not_title(bare) > 0, 6).otherwise(7))
+            .when(x["found"] > -1, x["found"]).when(titled & t.rlike(LOWEST), 16).otherwise(F.when(attr == "doc_title", 15).when(attr == "text_title", 14).otherwise(-1))
+        )
+
+    return F.transform(F.array(bound), choose)[0]
+
+
+def title_text(text: Column) -> Column:
+    """A title as it is matched: without outer white space and inline reference marks, a misread numeral put right."""
+    return F.replace(F.regexp_replace(strip(text), r"<\d+-\d+>", ""), F.lit("\\equiv"), F.lit("三"))
 
 
 def chinese_number(c: Column) -> Column:
@@ -160,15 +171,24 @@ def is_field(c: Column, field: str) -> Column:
     return c.rlike(FIELDS[field])
 
 
-_I = r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*"
-_J = rf"[\d{_H}a-zA-Z\s\(\)αβ（）ⅡⅢⅣⅤⅥⅠ/、，\.,~‑\-]"
 # Titles at the beginning of a paragraph, in the order they are tried.
 INLINE = (
-    rf"^[\[【][{_H}、]{{1,20}}[】\]]", rf"{_I}{_J}{{1,30}}[:：;；]", rf"{_I}{_J}{{1,50}}[\(（][A-Za-z,‑\-\s]+[）\)]", rf"{_I}[\d{_H}a-zA-Z\(\)αβⅡⅢⅣⅤⅥⅠ（）/、~\-]{{2,30}}\s", rf"{_I}{_J}{{1,50}}[\(（]",
-    rf"{_I}[{_H}a-zA-Z\(\)αβⅡⅢⅣⅤⅥⅠ（）/、~\-]{{1,30}}[\(（]图\d+\-\d+[）\)]", rf"{_I}[{_H}a-zA-Z\(\)αβ（）/、~\-\s]{{1,30}}[①②③④⑤]", rf"{_I}.{{10}}\]", rf"^\d+\s*[{_H}a-zA-Z，,\(\)\.\-‑（）/、~\s]{{3,30}}[:：;；]",
-    rf"^\d+\s*[{_H}a-zA-Z\(\)\.\-‑（）/、~]{{3,30}}\s", r"^[^。！？!?,，]{3,30}[:：;；]", r"^[^。！？!?,，]{1,30}[\(（][A-Za-z,\s\-]+[）\)]", rf"^[^。！？!?,，\s][{_H}a-zA-Z\(\)（）/、~\-]{{3,30}}\s",
-    r"^[^。！？!?,，]{1,30}[\(（]图\d+\-\d+[）\)]", rf"^[{_H}a-zA-Z、,\(\)（）\s\.\d，]{{1,30}}[。?？！①②③④⑤]",
-)
+    r"^[\[【][一-鿿、]{1,20}[】\]]",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*[\d一-鿿a-zA-Z\s\(\)αβ（）ⅡⅢⅣⅤⅥⅠ/、，\.,~‑\-]{1,30}[:：;；]",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*[\d一-鿿a-zA-Z\s\(\)αβ（）ⅡⅢⅣⅤⅥⅠ/、，\.,~‑\-]{1,50}[\(（][A-Za-z,‑\-\s]+[）\)]",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*[\d一-鿿a-zA-Z\(\)αβⅡⅢⅣⅤⅥⅠ（）/、~\-]{2,30}\s",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*[\d一-鿿a-zA-Z\s\(\)αβ（）ⅡⅢⅣⅤⅥⅠ/、，\.,~‑\-]{1,50}[\(（]",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*[一-鿿a-zA-Z\(\)αβⅡⅢⅣⅤⅥⅠ（）/、~\-]{1,30}[\(（]图\d+\-\d+[）\)]",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*[一-鿿a-zA-Z\(\)αβ（）/、~\-\s]{1,30}[①②③④⑤]",
+    r"^\d+(\s*[\.﹒．]\s*\d+){1,5}\s*.{10}\]",
+    r"^\d+\s*[一-鿿a-zA-Z，,\(\)\.\-‑（）/、~\s]{3,30}[:：;；]",
+    r"^\d+\s*[一-鿿a-zA-Z\(\)\.\-‑（）/、~]{3,30}\s",
+    r"^[^。！？!?,，]{3,30}[:：;；]",
+    r"^[^。！？!?,，]{1,30}[\(（][A-Za-z,\s\-]+[）\)]",
+    r"^[^。！？!?,，\s][一-鿿a-zA-Z\(\)（）/、~\-]{3,30}\s",
+    r"^[^。！？!?,，]{1,30}[\(（]图\d+\-\d+[）\)]",
+    r"^[一-鿿a-zA-Z、,\(\)（）\s\.\d，]{1,30}[。?？！①②③④⑤]",
+)
 #: Patterns whose title is taken out of what follows, and the one that ends in a space.
 TAKEN_OUT, SPACED = (0, 1, 2, 3, 4, 7), 3
 

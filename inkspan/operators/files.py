@@ -12,8 +12,11 @@ from inkspan.schemas import schema
 FILE = "file_id string, url string, file_content string, file_name string"
 ENVELOPE = schema(f"data array<struct<{FILE.replace(' string', ': string')}>>")
 FILES = schema(f"files array<struct<{FILE.replace(' string', ': string')}>>")
-#: Codes of object-name prefixes.
-PREFIXES = {"kg": "knowledge", "up": "upload", "tmp": "temporary"}
+# Registers by the first two parts of an object's name, any other name's, and that of examples.
+REGISTERS = {"public/undefined": 0, "public/kg": 1, "private/doc": 2, "public/h5": 3, "public/built-in": 4, "private/attach": 5}
+OTHER_REGISTER, EXAMPLES, EXAMPLES_REGISTER = 5, "public/built-in/examples", 2
+# States of a file.
+PREPARE, PROCESSING, SUCCESS, FAILED = 0, 1, 2, 3
 #: Leading bytes by type.
 SIGNATURES = {"pdf": "25504446", "png": "89504E47", "jpg": "FFD8FF", "gif": "47494638", "zip": "504B0304"}
 
@@ -48,21 +51,38 @@ def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"n.{c}").alias(c) for c in rest])
 
 
-def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str] = ("file_id",)) -> DataFrame:
-    """state with the newest change of each key; a finished file is not opened again."""
-    done = F.col("parse_status") == 2
-    return latest(state.unionByName(changes), keys, [done.cast("int"), F.col("update_time")])
+def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str] = ("file_id",), keep_finished: bool = False) -> DataFrame:
+    """state with the newest change of each key: an insert, or an update of all columns where the key is there. With
+    `keep_finished`, a finished file is not opened again, in whatever order changes come."""
+    first = [(F.col("parse_status") == SUCCESS).cast("int")] if keep_finished else []
+    return latest(state.unionByName(changes), keys, [*first, F.col("update_time")])
+
+
+def gate(status: Column) -> Column:
+    """What a request meets: `take` without a state or after a failure, or if only prepared; `done` after success;
+    `repeated` while another works on it. (A state of 0 counts as none for an insert, see `taken`.)"""
+    return F.when(F.coalesce(status, F.lit(PREPARE)).isin(PREPARE, FAILED), "take").when(status == SUCCESS, "done").otherwise("repeated")
 
 
 def may_process(status: Column) -> Column:
-    """Whether a request is taken up: no state, or one that is neither running nor done."""
-    return F.coalesce(~status.isin(1, 2), F.lit(True))
+    return gate(status) == "take"
+
+
+def taken(requests: DataFrame, state: DataFrame) -> DataFrame:
+    """requests (file_id, file_type, file_url, seen: the state that the caller has read) against the state table as it is
+    now: `outcome` is inserted (no row), updated (the row still has the state that was read, so one row changes),
+    conflict (another has changed it meanwhile), done or repeated; and the state that it leaves."""
+    met = requests.join(state.select("file_id", F.col("parse_status").alias("now")), "file_id", "left")
+    verdict = gate(F.col("seen"))
+    take = F.when(F.col("now").isNull(), "inserted").when(F.col("now") == F.col("seen"), "updated").otherwise("conflict")
+    outcome = F.when(verdict == "take", take).otherwise(verdict)
+    return met.select(*requests.columns, outcome.alias("outcome"), F.when(outcome.isin("inserted", "updated"), PROCESSING).otherwise(F.col("now")).alias("parse_status"))
 
 
-def object_code(name: Column) -> Column:
-    """The register of an object name by its prefix."""
-    known = F.create_map(*[F.lit(x) for kv in PREFIXES.items() for x in kv])
-    return F.coalesce(F.try_element_at(known, F.split(name, "[/_]", 2)[0]), F.lit("other"))
+def object_register(name: Column) -> Column:
+    """The register of an object's name: by its first two parts; examples have one of their own."""
+    known = F.create_map(*[F.lit(x) for kv in REGISTERS.items() for x in kv])
+    return F.when(name.startswith(EXAMPLES), EXAMPLES_REGISTER).otherwise(F.coalesce(F.try_element_at(known, F.substring_index(name, "/", 2)), F.lit(OTHER_REGISTER)))
 
 
 def watermark_images(images: DataFrame, pages: DataFrame) -> DataFrame:

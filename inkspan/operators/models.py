@@ -5,10 +5,13 @@ are never part of a plan. A batch's size is Arrow's (spark.sql.execution.arrow.m
 
 from __future__ import annotations
 
+import re
+import unicodedata
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +33,7 @@ OUTPUTS: dict[str, T.StructType] = {
 
 @dataclass(frozen=True)
 class Limits:
-    """Fixed values of the reference pipeline."""
+    """Fixed values."""
 
     image_dpi: int = 96
     layout_score: float = 0.35
@@ -39,15 +42,15 @@ class Limits:
     formula_tokens: int = 384
 
 
-def run_model(df: DataFrame, seam: str, load: Callable[[], object], predict: Callable[[object, object], object]) -> DataFrame:
-    """Rows of df through a model; `predict(model, pandas frame)` gives a frame of the seam's columns."""
-    out = OUTPUTS[seam]
+def run_model(df: DataFrame, seam: str, load: Callable[[], object], predict: Callable[[object, object], object], name: str | None = None) -> DataFrame:
+    """Rows of df through a model; `predict(model, pandas frame)` gives a frame of the seam's columns. A reused
+    worker keeps a model that has a name; without one, each call loads its own."""
+    out, key = OUTPUTS[seam], (seam, name or uuid.uuid4().hex)
 
     def run(frames: Iterator):
-        if seam not in _LOADED:
-            _LOADED[seam] = load()
+        model = _LOADED.get(key) or _LOADED.setdefault(key, load())
         for f in frames:
-            yield predict(_LOADED[seam], f)[out.names]
+            yield predict(model, f)[out.names]
 
     return df.mapInPandas(run, out)
 
@@ -62,14 +65,65 @@ def apply_formulas(found: DataFrame, regions: DataFrame, limits: Limits | None =
     return joined.withColumns({"text": F.when(good, F.concat(F.lit("$$"), "latex", F.lit("$$"))).otherwise(F.col("text")), "replaced": good}).drop("latex", "tokens")
 
 
-def repair_unicode(df: DataFrame, text: str, repair: Callable[[str], str] | None = None) -> DataFrame:
-    """Texts through a repair of wrongly decoded characters; without one, canonical composition alone."""
-    import unicodedata
+#: Runs of characters that bytes of one-byte Western encodings stand for.
+_WESTERN = re.compile("[\u0080-\u00ff\u0152\u0153\u0160\u0161\u0178\u017d\u017e\u0192\u02c6\u02dc\u2013\u2014\u2018-\u201a\u201c-\u201e\u2020-\u2022\u2026\u2030\u2039\u203a\u20ac\u2122]{2,}")
 
-    fix = repair or (lambda s: unicodedata.normalize("NFC", s))
+
+def mended(text: str) -> str:
+    """text with UTF-8 that was read as a one-byte Western encoding read anew, canonically composed."""
+
+    def byte(c: str) -> bytes:
+        try:
+            return c.encode("cp1252")
+        except UnicodeError:  # one of the few bytes that this encoding leaves out
+            return c.encode("latin-1")
+
+    def anew(m: re.Match) -> str:
+        try:
+            return b"".join(map(byte, m[0])).decode("utf-8")
+        except UnicodeError:
+            return m[0]
+
+    for _ in range(3):  # it may have happened more than once
+        again = _WESTERN.sub(anew, text)
+        if again == text:
+            break
+        text = again
+    return unicodedata.normalize("NFC", text)
+
+
+def repair_unicode(df: DataFrame, text: str, repair: Callable[[str], str] = mended) -> DataFrame:
+    """Texts through a repair of wrongly decoded characters."""
 
     @F.pandas_udf(T.StringType())
     def run(c):
-        return c.map(lambda s: None if s is None else fix(s))
+        return c.map(lambda s: None if s is None else repair(s))
 
     return df.withColumn(text, run(text))
+
+
+def top_scores(boxes: DataFrame, keys: list[str], scores: str, k: int = 100, least: float = 0.35) -> DataFrame:
+    """Detections of each image (keys): of all its boxes' class scores (boxes: keys, idx, an array of scores) the k best,
+    ties by box, then class, and of these the ones above `least`."""
+    flat = boxes.select(*keys, "idx", F.posexplode(scores).alias("label_id", "score"))
+    w = Window.partitionBy(*keys).orderBy(F.desc("score"), "idx", "label_id")
+    return flat.withColumn("rank", F.row_number().over(w)).filter((F.col("rank") <= k) & (F.col("score") > least))
+
+
+def greedy_decode(step: Callable[[list[list[int]]], object], prefixes: list[list[int]], most: int, eos: int, allowed: list[int] | None = None, blocked: list[int] = ()) -> list[list[int]]:
+    """Token ids after each prefix: `step` gives the scores of all tokens after each of the sequences; the best one that
+    is allowed goes on, ties by id, until `eos` or `most` tokens in all. Finished sequences leave the batch."""
+    import numpy as np
+
+    out, open_ = [list(p) for p in prefixes], [i for i, p in enumerate(prefixes) if len(p) < most]
+    while open_:
+        scores = np.array(step([out[i] for i in open_]), float)
+        if allowed is not None:
+            mask = np.ones(scores.shape[1], bool)
+            mask[allowed] = False
+            scores[:, mask] = -np.inf
+        scores[:, list(blocked)] = -np.inf
+        for i, t in zip(open_, scores.argmax(axis=1).tolist(), strict=True):
+            out[i].append(t)
+        open_ = [i for i in open_ if out[i][-1] != eos and len(out[i]) < most]
+    return out

@@ -1,9 +1,10 @@
-"""Dictionary phrases in texts: n-grams joined with a dictionary."""
+"""Dictionary phrases in texts: n-grams joined with a dictionary; titles that are like many others."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,3 +21,44 @@ def phrase_join(texts: DataFrame, dictionary: DataFrame, keys: Sequence[str], te
     size = int(str(dictionary._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     other = F.broadcast(dictionary) if size <= BROADCAST_BYTES else dictionary
     return grams.join(other, "phrase").select(*keys, "pos", "phrase", "tag")
+
+
+def indel_similar(a: str, b: str, share: float = 0.9) -> bool:
+    """Whether insertions and deletions that turn a into b are at most 1 - share of both lengths together: by the
+    longest common subsequence, a row of its table at a time in the bits of an integer."""
+    total = len(a) + len(b)
+    if a == b or not total:
+        return True
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    row = whole = (1 << len(a)) - 1
+    for c in b:
+        used = row & places.get(c, 0)
+        row = ((row + used) | (row - used)) & whole
+    return total - 2 * (len(a) - row.bit_count()) <= (1 - share) * total + 1e-9
+
+
+def common_titles(titles: DataFrame, share: float = 0.9, least: float = 3.0, overlap: float = 0.05) -> DataFrame:
+    """(doc_id, line_no) of titles (doc_id, line_no, title) that are like at least `least` others of their document, and
+    `overlap` of all its titles. Equal titles are one entry with its count, which meets those of a length within
+    reach; edit distance, which is never above the number of insertions and deletions, rules most of them
+    out before that number is taken."""
+    d = titles.groupBy("doc_id", "title").agg(F.count("*").alias("k"))
+    n = titles.groupBy("doc_id").agg(F.count("*").alias("n"))
+    # Lengths of like titles are at most one step of bands apart, so a title goes to three bands however long it is.
+    step = share / (2 - share) - 0.01
+    band = F.floor(F.log(F.greatest(F.length("title"), F.lit(1))) / F.log(F.lit(1 / step))).cast("int")
+    right = d.select("doc_id", F.col("title").alias("other"), F.col("k").alias("k2"), band.alias("band"))
+    left = d.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+    most = (1 - share) * (F.length("title") + F.length("other")) + 1e-9
+    near = left.join(right, ["doc_id", "band"]).filter(F.abs(F.length("title") - F.length("other")) <= most)
+    near = near.filter(F.call_function("levenshtein", "title", "other", F.floor(most).cast("int")) >= 0)
+
+    @F.pandas_udf("boolean")
+    def like(a, b):
+        return pd.Series([indel_similar(x, y, share) for x, y in zip(a, b, strict=True)])
+
+    near = near.filter((F.col("title") == F.col("other")) | like("title", "other"))
+    hits = near.groupBy("doc_id", "title").agg((F.sum("k2") - 1).alias("hits")).join(n, "doc_id").filter(F.col("hits") >= F.greatest(F.lit(least), F.col("n") * overlap))
+    return titles.join(hits.select("doc_id", "title"), ["doc_id", "title"], "left_semi").select("doc_id", "line_no")

@@ -31,6 +31,19 @@ def best(items: Column, score: Callable[[Column], Column], keep: Callable[[Colum
     return F.array_max(scored)
 
 
+def insert_points(regions: DataFrame, lines: DataFrame, share: Callable[[Column, Column], Column], least: float = 0.7) -> DataFrame:
+    """regions (doc_id, page_id, x0..y1) with `line_id`, where what replaces them goes: their first line, of those that
+    lie in them by more than `least` (share(region's box, line)); without one, the line whose corner is nearest, or
+    0 on a page without lines; and with their lines' text."""
+    box = F.struct("x0", "y0", "x1", "y1")
+    df = with_page_items(regions.withColumn("_box", box), lines, ("line_id", "line", "x0", "y0", "x1", "y1"))
+    inside = F.filter("items", lambda x: share(F.col("_box"), x) > least)
+    near = best(F.col("items"), lambda x: -((x["x0"] - F.col("x0")) ** 2 + (x["y0"] - F.col("y0")) ** 2))
+    df = df.withColumns({"_in": inside, "_near": near["item"]["line_id"]})
+    at = F.coalesce(F.try_element_at("_in", F.lit(1))["line_id"], "_near", F.lit(0))
+    return df.withColumns({"line_id": at, "text": F.array_join(F.transform("_in", lambda x: x["line"]), " ")}).drop("items", "_in", "_near", "_box")
+
+
 def islands(keys: Sequence[str], order: Sequence[str], start: Column) -> Column:
     """Number of the run that a row is in; a row with `start` begins one."""
     return F.sum(start.cast("int")).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).cast("long")

@@ -9,6 +9,7 @@ from inkspan.functions import geometry as G
 from inkspan.operators import metrics as M
 from inkspan.operators import pages as P
 from inkspan.operators import relational as R
+from inkspan.plans.q_joins import SHARE
 from inkspan.plans.registry import query
 
 KEYS = ("doc_id", "page_id", "line_id")
@@ -47,17 +48,6 @@ def _(t):
     return t.spans().filter("trim(text) <> ''").select(*KEYS, "span_id", "text")
 
 
-@query("a04_no_text", "select doc_id, sum(n) / count(*) < 300 as no_text from (select doc_id, page_id, sum(length(line)) n from layout_lines group by 1, 2) group by 1")
-def _(t):
-    return P.has_no_text(t.layout_lines(), 300)
-
-
-@query("a05_recognition_decision", "select doc_id, page_id, count(*) > 0 and (doc_id % 5 = 0 or not (page_id % 3 > 0)) as recognize from layout_lines group by 1, 2")
-def _(t):
-    df = t.layout_lines().groupBy("doc_id", "page_id").agg(R.ordered_concat(["line_id"], "line").alias("text"), F.count("*").alias("n"))
-    return df.select("doc_id", "page_id", P.should_recognize(F.col("doc_id") % 5 == 0, F.concat(F.lit("plain text "), F.substring("text", 1, 0)), F.col("page_id") % 3 > 0, F.col("n")).alias("recognize"))
-
-
 @query("a06_most_common_font", "select doc_id, font from (select doc_id, font, count(*) n, min((page_id, line_id, span_id)) seen from spans group by 1, 2) qualify row_number() over (partition by doc_id order by n desc, seen) = 1")
 def _(t):
     return P.most_common_font(t.spans(), ["doc_id"], ["page_id", "line_id", "span_id"])
@@ -91,21 +81,6 @@ def _(t):
     return t.layout_lines().groupBy("doc_id").agg(F.count_if(good).alias("success"), F.count_if(~good).alias("failed"))
 
 
-@query("a16_formula_replacements", "select doc_id, count(*) filter (where line_no * 20 < 384 and length(substr(line, 1, 200)) > 0.7 * length(line) and length(trim(substr(line, 1, 200))) > 0)::bigint as success, count(*)::bigint as total from doc_lines group by 1")
-def _(t):
-    good = P.replacement_is_good(F.col("line_no") * 20, F.substring("line", 1, 200), F.col("line"))
-    return t.doc_lines().groupBy("doc_id").agg(F.count_if(good).alias("success"), F.count("*").alias("total"))
-
-
-@query("a17_file_results", "select conv_id, turn, case role when 'system' then 'file_url' when 'user' then null else 'parse' end as fail, case role when 'user' then 2 else 3 end as parse_status from conversations")
-def _(t):
-    from inkspan.operators.structure import error_columns
-
-    e = F.when(F.col("role") == "system", "file_url").when(F.col("role") != "user", "parse")
-    cls, status, _ = error_columns(e)
-    return t.read("conversations").select("conv_id", "turn", cls.alias("fail"), status)
-
-
 @query("o01_reading_order", "select doc_id, page_id, line_id, (row_number() over (partition by doc_id, page_id order by round_even((y0 + line_id % 3) / 25, 0), x1, line_id))::int as pos from layout_lines")
 def _(t):
     w = Window.partitionBy("doc_id", "page_id").orderBy(F.bround((F.col("y0") + F.col("line_id") % 3) / 25), "x1", "line_id")
@@ -124,12 +99,6 @@ def _(t):
     return t.layout_lines().filter("page_id < 5").select(*KEYS, F.row_number().over(w).alias("n")).filter("n <= 6").drop("n")
 
 
-@query("o04_scores_top_k", "select event_id, user_id from events where value > 0.35 qualify row_number() over (partition by user_id order by value desc, event_id) <= 3")
-def _(t):
-    w = Window.partitionBy("user_id").orderBy(F.desc("value"), "event_id")
-    return t.read("events").filter("value > 0.35").withColumn("k", F.row_number().over(w)).filter("k <= 3").select("event_id", "user_id")
-
-
 @query("o05_width_batches", "select doc_id, page_id, line_id, ((row_number() over (partition by doc_id order by x1 - x0, page_id, line_id) - 1) // 4)::bigint as batch from layout_lines")
 def _(t):
     w = Window.partitionBy("doc_id").orderBy(F.col("x1") - F.col("x0"), "page_id", "line_id")
@@ -176,3 +145,81 @@ def _(t):
     return t.layout_lines().select(*KEYS, *[b[k].cast("int").alias(n) for k, n in zip(BOX, "abcd", strict=True)])
 
 
+#: A document's text: lines of a page joined by line breaks, pages by nothing; some pages blank at their ends.
+BLANKED = "bl as (select doc_id, page_id, line_id, case when doc_id % 3 = 0 or (doc_id % 3 = 1 and (line_id < 2 or page_id > 0)) then case when line_id % 2 = 0 then '' else '  ' end else line end as line from layout_lines)"
+TRIM = "regexp_replace({}, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')"
+
+
+def blanked(t):
+    d, k = F.col("doc_id") % 3, F.col("line_id")
+    blank = (d == 0) | ((d == 1) & ((k < 2) | (F.col("page_id") > 0)))
+    return t.layout_lines().withColumn("line", F.when(blank, F.when(k % 2 == 0, "").otherwise("  ")).otherwise(F.col("line")))
+
+
+@query("a04_no_text", f", {BLANKED}, p as (select doc_id, page_id, string_agg(line, chr(10) order by line_id) as t from bl group by 1, 2), d as (select doc_id, string_agg(t, '' order by page_id) as t, count(*) n from p group by 1) select doc_id, length({TRIM.format('t')}) / n < 50 as no_text from d")
+def _(t):
+    return P.has_no_text(blanked(t))
+
+
+BAD = r"length(t) = 0 or s / nullif(length(regexp_replace(t, '[\s\x0b]+', '', 'g')) + s, 0) > 0.7 or n / nullif(length(regexp_replace(t, '\n+', '', 'g')) + n, 0) > 0.6 or length(regexp_replace(t, '[^\pL\pN]', '', 'g')) / nullif(length(replace(replace(t, ' ', ''), chr(10), '')), 0) < 0.3"
+
+
+@query("a05_page_text_quality", f", {BLANKED}, p as (select doc_id, page_id, string_agg(line, chr(10) order by line_id) as t from bl group by 1, 2), q as (select *, len(regexp_extract_all(t, '[\\s\\x0b]+')) s, len(regexp_extract_all(t, '\\n+')) n from p) select doc_id, page_id, coalesce({BAD}, false) as bad from q")
+def _(t):
+    from inkspan.functions import text as X
+
+    df = blanked(t).groupBy("doc_id", "page_id").agg(R.ordered_concat(["line_id"], "line", "\n").alias("text"))
+    return df.select("doc_id", "page_id", F.coalesce(X.is_bad_text(F.col("text")), F.lit(False)).alias("bad"))
+
+
+@query("a16_formula_replacements", "select doc_id, count(*) filter (where tokens < 384 and length(new) > 0.7 * length(line) and length(trim(new)) > 0)::bigint as success, count(*)::bigint as total from (select doc_id, line, len(string_split(line, ' ')) as tokens, case line_no % 3 when 0 then line when 1 then replace(line, ' ', '') else regexp_replace(line, '[aeiou]', '', 'g') end as new from doc_lines) group by 1")
+def _(t):
+    k = F.col("line_no") % 3
+    new = F.when(k == 0, F.col("line")).when(k == 1, F.replace("line", F.lit(" "), F.lit(""))).otherwise(F.regexp_replace("line", "[aeiou]", ""))
+    good = P.replacement_is_good(F.size(F.split("line", " ", -1)), new, F.col("line"))
+    return t.doc_lines().groupBy("doc_id").agg(F.count_if(good).alias("success"), F.count("*").alias("total"))
+
+
+FAILED = "case conv_id % 5 when 0 then 'repeated' when 1 then 'file_url' when 2 then 'upload' when 3 then 'scan' end"
+
+
+@query(
+    "a17_file_results",
+    f"select conv_id, turn, error_class, case error_class when 'repeated' then '文档解析中，请勿重复提交解析。' when 'file_url' then '下载文件失败，请查看 fileurl 是否有效！' when 'upload' then '抱歉，文档解析结果存储失败，我们正在加急处理，很抱歉影响您的体验！' when 'scan' then 'PDF文件中包含了特殊的加密保护或非标准的对象结构，建议您查看文档后重新上传解析。' else '' end as parse_fail, case error_class when 'repeated' then 1 when 'file_url' then 3 when 'upload' then 3 when 'scan' then 3 else 2 end as parse_status from (select conv_id, turn, {FAILED} as error_class from conversations)",
+)
+def _(t):
+    from inkspan.operators.structure import error_columns
+
+    k = F.col("conv_id") % 5
+    e = F.when(k == 0, "repeated").when(k == 1, "file_url").when(k == 2, "upload").when(k == 3, "scan")
+    return t.read("conversations").select("conv_id", "turn", *error_columns(e))
+
+
+SCORES = "sc as (select doc_id, page_id, line_id, c::int as label_id, ((doc_id * 7 + page_id * 3 + line_id * 13 + c * 29) % 101) / 100.0::double as score from layout_lines, range(13) t(c))"
+
+
+@query("o04_scores_top_k", f", {SCORES} select doc_id, page_id, line_id as idx, label_id, score, rank from (select *, row_number() over (partition by doc_id, page_id order by score desc, line_id, label_id)::int as rank from sc) where rank <= 20 and score > 0.35")
+def _(t):
+    from inkspan.operators.models import top_scores
+
+    base = F.col("doc_id") * 7 + F.col("page_id") * 3 + F.col("line_id") * 13
+    scores = F.transform(F.sequence(F.lit(0), F.lit(12)), lambda c: ((base + c * 29) % 101) / F.lit(100.0))
+    boxes = t.layout_lines().select("doc_id", "page_id", F.col("line_id").alias("idx"), scores.alias("scores"))
+    return top_scores(boxes, ["doc_id", "page_id"], "scores", 20)
+
+
+@query(
+    "a05_recognition_decision",
+    f", {BLANKED}, p as (select doc_id, page_id, string_agg(line, chr(10) order by line_id) as t from bl group by 1, 2), d as (select doc_id, length({TRIM.format("string_agg(t, '' order by page_id)")}) / count(*) < 50 as no_text from p group by 1), q as (select *, len(regexp_extract_all(t, '[\\s\\x0b]+')) s, len(regexp_extract_all(t, '\\n+')) n from p), qb as (select doc_id, page_id, length(t) > 0 and coalesce({BAD}, false) as bad from q), o as (select r.doc_id, r.page_id, r.region_id, sum({SHARE.replace('l.', 'q.').replace('r.', 'l.').replace('q.', 'r.')}) s from regions r join layout_lines l using (doc_id, page_id) group by 1, 2, 3), c as (select doc_id, page_id, sum((s > 0.5)::int) / count(*) > 0.4 as covered from o group by 1, 2) select doc_id, page_id, no_text or bad or not covered as recognize from qb join d using (doc_id) join c using (doc_id, page_id)",
+)
+def _(t):
+    """Detected lines are the page's regions."""
+    from inkspan.functions import geometry as G
+    from inkspan.plans.q_joins import BOX, LINE, item_box
+
+    text = blanked(t).groupBy("doc_id", "page_id").agg(R.ordered_concat(["line_id"], "line", "\n").alias("text"))
+    found = R.with_page_items(t.regions(), t.layout_lines(), BOX)
+    total = F.aggregate(F.transform("items", lambda x: G.overlap_share(LINE(), item_box(x))), F.lit(0.0), lambda a, v: a + v)
+    cover = found.groupBy("doc_id", "page_id").agg(F.count("*").alias("n"), (F.count_if(total > 0.5) / F.count("*") > 0.4).alias("covered"))
+    df = text.join(P.has_no_text(blanked(t)), "doc_id").join(cover, ["doc_id", "page_id"])
+    return df.select("doc_id", "page_id", P.should_recognize(F.col("no_text"), F.col("text"), F.col("covered"), F.col("n")).alias("recognize"))

@@ -43,18 +43,25 @@ def _(t):
     return t.read("documents").select("doc_id", F.explode(folds.table_cells(html)).alias("c")).select("doc_id", "c.*")
 
 
+def converted(t):
+    from inkspan.plans.document import convert
+
+    return convert(t.layout_lines().drop("line_no"), t.regions())
+
+
 @query("l01_document_pipeline")
 def _(t):
-    from inkspan.plans.document import elements
-
-    return elements(t.layout_lines().drop("line_no"), t.regions())
+    return converted(t).elements
 
 
 @query("l01_document_markdown")
 def _(t):
-    from inkspan.plans.document import convert
+    return converted(t).markdown
+
 
-    return convert(t.layout_lines().drop("line_no"), t.regions())[1]
+@query("l01_document_tree")
+def _(t):
+    return converted(t).tree
 
 
 @query("w12_title_levels")
@@ -64,3 +71,73 @@ def _(t):
     attr = _pick(("text", "doc_title", "text_title"), (F.col("doc_id") + F.col("line_no")) % 3)
     e = t.decorated_lines().select("doc_id", F.col("line_no").alias("global_index"), F.floor(F.col("line_no") / 8).cast("int").alias("page_id"), F.col("line").alias("text"), attr.alias("attr"), F.lit(None).cast("string").alias("meta_name"))
     return title_levels(e, F.when(F.col("doc_id") % 2 == 0, "book").otherwise("guideline"))
+
+
+def levels(t, finished=False):
+    from inkspan.operators.title_levels import title_levels
+
+    attr = _pick(("text", "doc_title", "text_title", "header"), (F.col("doc_id") + F.col("line_no")) % 4)
+    e = t.decorated_lines().select("doc_id", F.col("line_no").alias("global_index"), F.floor(F.col("line_no") / 8).cast("int").alias("page_id"), F.col("line").alias("text"), attr.alias("attr"), F.lit(None).cast("string").alias("meta_name"))
+    return title_levels(e, F.when(F.col("doc_id") % 2 == 0, "book").otherwise("guideline"), finished)
+
+
+@query("w10_chapter_names")
+def _(t):
+    return levels(t).select("doc_id", "global_index", "text", "joined")
+
+
+@query("w11_repeated_chapters")
+def _(t):
+    return levels(t).filter("slot in (0, 1)").select("doc_id", "global_index", "repeated", "informative")
+
+
+@query("w13_finished_titles")
+def _(t):
+    return levels(t, True).select("doc_id", "global_index", "text", "title_level", "leaf")
+
+
+@query("w06_script_lines")
+def _(t):
+    """Lines whose seventh and eighth characters of eleven are small and raised, or small and lowered."""
+    small = lambda i: (i % 11).isin(6, 7)
+    up = F.col("line_no") % 2 == 0
+    char = lambda c, i: F.struct(c.alias("char"), F.when(small(i), F.when(up, 40.0).otherwise(49.0)).otherwise(42.0).alias("y0"), F.when(small(i), F.when(up, 44.0).otherwise(55.0)).otherwise(52.0).alias("y1"))
+    return t.doc_lines().filter("length(line) > 0").select("doc_id", "line_no", folds.with_scripts(F.transform(F.split("line", ""), char)).alias("line"))
+
+
+@query("w18_cell_alignment")
+def _(t):
+    """A table of two columns a page from its lines' boxes, some of them out of place."""
+    k = F.col("line_id")
+    x = F.when(k % 2 == 0, 0.0).otherwise(200.0) + F.when(F.col("doc_id") % 7 == k, 150.0).otherwise(0.0)
+    y = 20.0 * F.floor(k / 2) + F.when(F.col("doc_id") % 5 == k, 20.0).otherwise(0.0)
+    cell = F.struct("line_id", F.col("line").alias("text"), x.alias("x0"), y.alias("y0"), (x + 180).alias("x1"), (y + 16).alias("y1"))
+    tables = t.layout_lines().groupBy("doc_id", "page_id").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    html = F.concat(F.lit("<table>"), F.repeat(F.lit("<tr><td>[]</td><td>[]</td></tr>"), F.ceil(F.size("cells") / 2).cast("int")), F.lit("</table>"))
+    return tables.select("doc_id", "page_id", folds.filled_tables(html, F.col("cells")).alias("f")).select("doc_id", "page_id", "f.trusted", F.explode("f.cells").alias("c")).select("doc_id", "page_id", "trusted", "c.*")
+
+
+@query("j19_separator_lines")
+def _(t):
+    k = F.col("line_id")
+    return folds.separator_lines(t.layout_lines().select("doc_id", "page_id", (100 * (k % 3) + 10 * (F.col("doc_id") % 3)).cast("int").alias("x"), F.col("y0").cast("int").alias("y0"), (F.col("y1") + F.length("line") % 40).cast("int").alias("y1")))
+
+
+@query("j20_table_columns")
+def _(t):
+    cells = t.spans().select("doc_id", "page_id", F.col("line_id").alias("row_no"), (F.lit(90.0) * F.col("span_id")).alias("x0"), "text")
+    return folds.table_columns(cells, [90.0 * i for i in range(6)])
+
+
+@query("o07_greedy_decode")
+def _(t):
+    """Token ids after each line's number, by a score that depends on the last token alone."""
+    from inkspan.operators.models import greedy_decode
+
+    def run(frames):
+        for f in frames:
+            score = lambda seqs: [[(31 * s[-1] + 17 * c) % 97 for c in range(20)] for s in seqs]
+            made = greedy_decode(score, [[int(k) % 20] for k in f["line_no"]], 12, 19, [*range(3, 20)], [7])
+            yield f[["doc_id", "line_no"]].assign(ids=[",".join(map(str, x)) for x in made])
+
+    return t.doc_lines().select("doc_id", "line_no").mapInPandas(run, "doc_id long, line_no int, ids string")

@@ -91,6 +91,15 @@ def _(t):
     return df.filter(~F.exists("items", lambda x: share(x) > 0.7)).select(*KEYS)
 
 
+NEAREST = "select r.doc_id, r.page_id, r.region_id, l.line_id from f r join layout_lines l using (doc_id, page_id) qualify row_number() over (partition by r.doc_id, r.page_id, r.region_id order by (l.x0 - r.x0) * (l.x0 - r.x0) + (l.y0 - r.y0) * (l.y0 - r.y0), l.line_id) = 1"
+
+
+@query("j07_insert_points", f", {FORMULAS}, hit as (select l.doc_id, l.page_id, r.region_id, min(l.line_id) as line_id, string_agg(l.line, ' ' order by l.line_id) as text from layout_lines l join f r using (doc_id, page_id) where {SHARE} > 0.7 group by 1, 2, 3), near as ({NEAREST}) select n.doc_id, n.page_id, n.region_id, coalesce(h.line_id, n.line_id) as line_id, coalesce(h.text, '') as text from near n left join hit h using (doc_id, page_id, region_id)")
+def _(t):
+    found = t.regions().filter(F.col("label").isin("formula", "figure"))
+    return R.insert_points(found, t.layout_lines(), lambda region, x: G.overlap_share(item_box(x), region)).select("doc_id", "page_id", "region_id", "line_id", "text")
+
+
 TITLES = "t as (select * from regions where label in ('doc_title', 'text_title'))"
 
 
@@ -134,42 +143,11 @@ def _(t):
     return t.regions().filter(~F.col("label").isin("header", "footer", "figure")).select("doc_id", "page_id", "region_id", "label")
 
 
-TITLE_VIEW = "v as (select doc_id, line_no, regexp_replace(line, '[^\\x20-\\x7e]', '', 'g') as title from doc_lines where length(line) between 5 and 80), n as (select doc_id, count(*) n from v group by 1)"
-
-
-@query(
-    "j13_fuzzy_titles_levenshtein",
-    f", {TITLE_VIEW} select a.doc_id, a.line_no from v a join v b on a.doc_id = b.doc_id and a.line_no <> b.line_no and abs(length(a.title) - length(b.title)) <= 0.1 * greatest(length(a.title), length(b.title)) join n on n.doc_id = a.doc_id where levenshtein(a.title, b.title) <= 0.1 * greatest(length(a.title), length(b.title)) group by 1, 2, n.n having count(*) >= greatest(3.0, n.n * 0.05)",
-)
+@query("j13_fuzzy_titles")
 def _(t):
-    return_keys = ("doc_id", "line_no")
-    v = t.doc_lines().filter("length(line) between 5 and 80").select(*return_keys, F.regexp_replace("line", r"[^\x20-\x7e]", "").alias("title"))
-    # Equal titles are one entry with its count, and titles meet those of a length within reach alone.
-    d = v.groupBy("doc_id", "title").agg(F.count("*").alias("k"))
-    n = v.groupBy("doc_id").agg(F.count("*").alias("n"))
-    size = F.length("title")
-    right = d.select("doc_id", F.col("title").alias("other"), F.col("k").alias("k2"), size.alias("len"))
-    left = d.withColumn("len", F.explode(F.sequence(F.floor(size * 0.9).cast("int"), F.ceil(size / 0.9).cast("int"))))
-    longest = F.greatest(F.length("title"), F.length("other"))
-    near = left.join(right, ["doc_id", "len"]).filter((F.abs(F.length("title") - F.length("other")) <= 0.1 * longest) & (F.levenshtein("title", "other") <= 0.1 * longest))
-    hits = near.groupBy("doc_id", "title").agg((F.sum("k2") - 1).alias("hits")).join(n, "doc_id").filter(F.col("hits") >= F.greatest(F.lit(3.0), F.col("n") * 0.05))
-    return v.join(hits.select("doc_id", "title"), ["doc_id", "title"], "left_semi").select(*return_keys)
-
-
-@query("j13_fuzzy_titles_whole")
-def _(t):
-    v = t.doc_lines().select("doc_id", "line_no", F.col("line").alias("title"))
-    d = v.groupBy("doc_id", "title").agg(F.count("*").alias("k"))
-    n = v.groupBy("doc_id").agg(F.count("*").alias("n"))
-    # Lengths within a tenth of the longer one are at most one step apart, so a title goes to three bands however long it is.
-    band = F.floor(F.log(F.greatest(F.length("title"), F.lit(1))) / F.log(F.lit(1 / 0.89))).cast("int")
-    right = d.select("doc_id", F.col("title").alias("other"), F.col("k").alias("k2"), band.alias("band"))
-    left = d.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
-    most = 0.1 * F.greatest(F.length("title"), F.length("other"))
-    near = left.join(right, ["doc_id", "band"]).filter(F.abs(F.length("title") - F.length("other")) <= most)
-    near = near.filter(F.call_function("levenshtein", "title", "other", F.floor(most).cast("int")) >= 0)
-    hits = near.groupBy("doc_id", "title").agg((F.sum("k2") - 1).alias("hits")).join(n, "doc_id").filter(F.col("hits") >= F.greatest(F.lit(3.0), F.col("n") * 0.05))
-    return v.join(hits.select("doc_id", "title"), ["doc_id", "title"], "left_semi").select("doc_id", "line_no")
+    from inkspan.operators.phrases import common_titles
+
+    return common_titles(t.doc_lines().select("doc_id", "line_no", F.col("line").alias("title")))
 
 
 TABLES = "tb as (select doc_id, page_id, line_id, string_split(line, ' ')[1] as id from layout_lines where line_id = 0 and length(string_split(line, ' ')[1]) > 2)"

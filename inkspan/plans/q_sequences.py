@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from inkspan.operators import code as C
 from inkspan.operators import relational as R
 from inkspan.operators import sequences as S
 from inkspan.plans.derive import _pick
@@ -19,15 +20,6 @@ def label():
     return _pick(("text", "text_title", "table", "text", "text"), (F.col("doc_id") + F.col("line_no")) % 5)
 
 
-@query(
-    "w01_segment_by_rules",
-    ", g as (select doc_id, page_id, line_id, span_id, font, 9 * (span_id % 11) as x from spans), f as (select *, coalesce(x < lag(x) over w, true) as new_line, coalesce(font <> lag(font) over w or x < lag(x) over w, true) as new_span from g window w as (partition by doc_id, page_id, line_id order by span_id)) select doc_id, page_id, line_id, span_id, sum(new_line::int) over w::bigint as row_no, sum(new_span::int) over w::bigint as run_no from f window w as (partition by doc_id, page_id, line_id order by span_id)",
-)
-def _(t):
-    x = 9 * (F.col("span_id") % 11)
-    return S.segments(t.spans().select(*KEYS, "span_id", "font", x.alias("x")), KEYS, "span_id").select(*KEYS, "span_id", "row_no", "run_no")
-
-
 @query("w04_span_ids", "select doc_id, page_id, line_id, span_id, page_id || '_' || (row_number() over (partition by doc_id, page_id order by line_id, span_id) - 1) as id from spans")
 def _(t):
     w = Window.partitionBy(*PAGE).orderBy("line_id", "span_id")
@@ -64,59 +56,110 @@ def _(t):
     return t.doc_lines().select("doc_id", "line_no", F.coalesce(title, F.lag("line_no").over(Window.partitionBy(*keys).orderBy(*order))).alias("title"))
 
 
+@query("w21_insert_points", "select doc_id, page_id, line_id, line_id + coalesce(sum((length(line) > 300)::int) over (partition by doc_id, page_id order by line_id rows between unbounded preceding and 1 preceding), 0)::bigint as point from layout_lines")
+def _(t):
+    w = Window.partitionBy(*PAGE).orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
+    return t.layout_lines().select(*KEYS, (F.col("line_id") + F.coalesce(F.sum((F.length("line") > 300).cast("int")).over(w), F.lit(0))).cast("long").alias("point"))
+
+
+@query("w22_bold_italic", "select doc_id, page_id, line_id, span_id, lower(font) like '%bold%' or weight >= 600 as bold, lower(font) like '%ital%' as italic from spans")
+def _(t):
+    bold, italic = S.font_style(F.col("font"), F.col("weight"))
+    return t.spans().select(*KEYS, "span_id", bold.alias("bold"), italic.alias("italic"))
+
+
+@query("m07_apply_edits", "select doc_id, line_no, regexp_replace(replace(line, ' ', ''), 'e', 'e' || chr(10), 'g') as line from doc_lines")
+def _(t):
+    labels = F.transform(F.split("line", ""), lambda c: F.when(c == " ", "delete").when(c == "e", "newline-1").otherwise("equal"))
+    return t.doc_lines().select("doc_id", "line_no", S.apply_edits(F.split("line", ""), labels).alias("line"))
+
+
+#: Words of a line as glyphs: some go back, some leave wide gaps, some break the line.
+GLYPHS = "g as (select doc_id, page_id, line_id, span_id, font, case when span_id % 13 = 5 then chr(10) else text end as char, 40.0::double * (span_id % 11) + case when span_id % 7 = 3 then 100 else 0 end as x0, 40.0::double * (span_id % 11) + 30 as x1, 0.0::double as y0, 10.0::double as y1, ((doc_id + span_id * 7) % 10) / 10.0 as same, ((doc_id + span_id * 3) % 10) / 10.0 as fresh from spans)"
+
+
+def glyphs(t):
+    k = F.col("span_id")
+    x = F.lit(40.0) * (k % 11)
+    same, fresh = ((F.col("doc_id") + k * 7) % 10) / F.lit(10.0), ((F.col("doc_id") + k * 3) % 10) / F.lit(10.0)
+    return t.spans().select(*KEYS, "span_id", "font", F.when(k % 13 == 5, "\n").otherwise(F.col("text")).alias("char"), (x + F.when(k % 7 == 3, 100).otherwise(0)).alias("x0"), (x + 30).alias("x1"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("y1"), same.alias("same"), fresh.alias("fresh"))
+
+
+BROKEN = "coalesce(lag(char) over w in (chr(10), chr(13)) or lag(x0) over w > x1 or x0 - lag(x1) over w > 5 * (y1 - y0), false)"
+SEGMENTED = "w as (partition by doc_id, page_id, line_id order by span_id)"
+COUNTED = "select doc_id, page_id, line_id, span_id, sum(b::int) over w::bigint as block_no, sum(r::int) over w::bigint as row_no, sum((r or f)::int) over w::bigint as run_no from m window " + SEGMENTED
+
+
+@query("w01_segment_by_rules", f", {GLYPHS}, m as (select *, row_number() over w = 1 as b, row_number() over w = 1 or {BROKEN} as r, coalesce(font <> lag(font) over w, false) as f from g window {SEGMENTED}) {COUNTED}")
+def _(t):
+    return S.segments(glyphs(t), KEYS, "span_id").select(*KEYS, "span_id", "block_no", "row_no", "run_no")
+
+
+@query("w01_segment_by_scores", f", {GLYPHS}, m as (select *, row_number() over w = 1 or (same < 0.5 and fresh > 0.8) as b, row_number() over w = 1 or (same < 0.5 and (fresh > 0.8 or {BROKEN})) as r, coalesce(font <> lag(font) over w, false) as f from g window {SEGMENTED}) {COUNTED}")
+def _(t):
+    return S.segments(glyphs(t), KEYS, "span_id", F.col("same"), F.col("fresh")).select(*KEYS, "span_id", "block_no", "row_no", "run_no")
+
+
 @query(
     "w13_leaf_titles",
-    ", e as (select doc_id, line_no, (line_no * 5 + doc_id) % 4 as level from doc_lines), n as (select a.doc_id, a.line_no, a.level, (select b.level from e b where b.doc_id = a.doc_id and b.line_no < a.line_no and b.level <> a.level order by b.line_no desc limit 1) l, (select b.level from e b where b.doc_id = a.doc_id and b.line_no > a.line_no and b.level <> a.level order by b.line_no limit 1) r from e a) select doc_id, line_no, coalesce(level >= l, true) and coalesce(level >= r, true) and coalesce(l, 1) <> 0 and coalesce(r, 1) <> 0 as leaf from n",
+    ", e as (select doc_id, line_no, (line_no * 5 + doc_id) % 4 as level, ([6, 11, 12, 13, 7])[line_no % 5 + 1] as slot from doc_lines where line_no % 3 > 0), n as (select a.*, (select b.level from e b where b.doc_id = a.doc_id and b.line_no < a.line_no and b.level <> a.level order by b.line_no desc limit 1) l, (select b.level from e b where b.doc_id = a.doc_id and b.line_no > a.line_no and b.level <> a.level order by b.line_no limit 1) r from e a) select doc_id, line_no, coalesce(slot <> 7 and level >= l and level >= r and l <> 0 and r <> 0, false) as leaf from n",
 )
 def _(t):
-    df = t.doc_lines().select("doc_id", "line_no", ((F.col("line_no") * 5 + F.col("doc_id")) % 4).alias("level"))
+    df = t.doc_lines().filter("line_no % 3 > 0").select("doc_id", "line_no", ((F.col("line_no") * 5 + F.col("doc_id")) % 4).alias("level"), _pick((6, 11, 12, 13, 7), F.col("line_no") % 5).alias("slot"))
     return S.leaf_flags(df, "line_no").select("doc_id", "line_no", "leaf")
 
 
-@query("w18_cell_fill_in_order", "select doc_id, page_id, line_id, line, (row_number() over (partition by doc_id, page_id order by line_id) - 1)::int as cell from layout_lines")
+@query("w18_cells_in_order", "select doc_id, page_id, line_id, line, (row_number() over (partition by doc_id, page_id order by line_id) - 1)::int as cell from layout_lines")
 def _(t):
+    """The plain filling of a table's cells, for where alignment fails; see w18_cell_alignment."""
     w = Window.partitionBy(*PAGE).orderBy("line_id")
     return t.layout_lines().select(*KEYS, "line", (F.row_number().over(w) - 1).alias("cell"))
 
 
-@query("w19_table_rows", ", c as (select doc_id, page_id, line_id, (line_id * 3) % 5 * 20 as x, length(line) as n from layout_lines), s as (select *, coalesce(x < lag(x) over (partition by doc_id, page_id order by line_id), true) as st from c), r as (select *, sum(st::int) over (partition by doc_id, page_id order by line_id)::bigint as row_no from s) select doc_id, page_id, row_no, string_agg(n::varchar, '|' order by line_id) as cells from r group by 1, 2, 3")
-def _(t):
-    df = t.layout_lines().select(*KEYS, ((F.col("line_id") * 3) % 5 * 20).alias("x"), F.length("line").cast("string").alias("text"))
-    return S.table_rows(df).groupBy(*PAGE, "row_no").agg(R.ordered_concat(["line_id"], "text", "|").alias("cells"))
+CELLS = "c as (select doc_id, page_id, line_id, (line_id * 3) % 5 * 100.0::double as x0, (line_id * 3) % 5 * 100.0::double + 20 * (line_id % 4) + 30 as x1, line from layout_lines)"
 
 
-@query("w20_code_blocks", "select doc_id, page_id, line_id, repeat(' ', (trunc((x0 - 72) / 5.5))::int) || line as line from layout_lines")
+@query("w19_table_rows", f", {CELLS}, s as (select *, coalesce(x0 / 500.0 <= lag(x1) over (partition by doc_id, page_id order by line_id) / 500.0 - 0.01::double, true) as st from c), r as (select *, sum(st::int) over (partition by doc_id, page_id order by line_id)::bigint as row_no from s) select doc_id, page_id, row_no, string_agg(line, '|' order by line_id) as cells from r group by 1, 2, 3")
 def _(t):
-    return t.layout_lines().select(*KEYS, S.indented(F.col("line"), F.col("x0"), F.lit(72.0), F.lit(5.5)).alias("line"))
+    x = (F.col("line_id") * 3) % 5 * F.lit(100.0)
+    df = t.layout_lines().select(*KEYS, x.alias("x0"), (x + 20 * (F.col("line_id") % 4) + 30).alias("x1"), "line")
+    return S.table_rows(df, 500.0).groupBy(*PAGE, "row_no").agg(R.ordered_concat(["line_id"], "line", "|").alias("cells"))
 
 
-@query("t34_code_predicates", "select doc_id, page_id, sum(length(regexp_replace(line, '[^\\pL\\pN]', '', 'g'))) / greatest(count(*) - 1, 1) < 80 as short_lines, count(*) filter (where regexp_matches(line, '^(#|//|\\*|--)'))::bigint as comments from layout_lines group by 1, 2")
-def _(t):
-    c = F.length(F.regexp_replace("line", r"[^\p{L}\p{N}]", ""))
-    return t.layout_lines().groupBy(*PAGE).agg((F.sum(c) / F.greatest(F.count("*") - 1, F.lit(1)) < 80).alias("short_lines"), F.count_if(F.col("line").rlike(r"^(#|//|\*|--)")).alias("comments"))
+#: A line's words as the lines of a block: every other block in small type, two words of three indented.
+CODE = "k as (select doc_id, page_id, line_id as block_id, span_id, text, 72.0::double + 11 * (span_id % 3) as x0, 40.0::double as y0, case when line_id % 2 = 0 then 44.0::double else 52.0::double end as y1, case when line_id % 2 = 0 then 4.0::double else size::double end as size from spans)"
 
 
-@query("w21_insert_points", "select doc_id, page_id, line_id, line_id + coalesce(sum((length(line) > 300)::int) over (partition by doc_id, page_id order by line_id rows between unbounded preceding and 1 preceding), 0)::bigint as point from layout_lines")
-def _(t):
-    w = Window.partitionBy(*PAGE).orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
-    return t.layout_lines().select(*KEYS, (F.col("line_id") + F.coalesce(F.sum((F.length("line") > 300).cast("int")).over(w), F.lit(0))).cast("long").alias("point"))
+def code_lines(t):
+    even = F.col("line_id") % 2 == 0
+    return t.spans().select("doc_id", "page_id", F.col("line_id").alias("block_id"), "span_id", "text", (F.lit(72.0) + 11 * (F.col("span_id") % 3)).alias("x0"), F.lit(40.0).alias("y0"), F.when(even, 44.0).otherwise(52.0).alias("y1"), F.when(even, 4.0).otherwise(F.col("size").cast("double")).alias("size"))
 
 
-@query("w22_bold_italic", "select doc_id, page_id, line_id, span_id, lower(font) like '%bold%' or weight >= 600 as bold, lower(font) like '%ital%' as italic from spans")
+BLOCK = ("doc_id", "page_id", "block_id")
+WORDS = "length(regexp_replace(text, '[^\\pL\\pN_]', '', 'g'))"
+COMMENTED = "regexp_matches(text, '" + C.COMMENT.replace("'", "''") + "')"
+
+
+@query(
+    "w20_code_blocks",
+    f", {CODE}, d as (select doc_id, avg(size) s, median(y1 - y0) h from k group by 1), p as (select *, min(x0) over (partition by doc_id, page_id, block_id) as lx from k), b as (select doc_id, page_id, block_id, count(*) n, sum({WORDS}) c, sum((x0 > lx)::int + {COMMENTED}::int) i, avg(size) s, avg(y1 - y0) h from p group by 1, 2, 3) select b.doc_id, page_id, block_id, n as lines, n > 3 and c > 0 and c / greatest(n - 1, 1) < 80 and i > 0.7 * n and b.s <= 0.8 * d.s and b.h < 0.8 * d.h as is_code from b join d using (doc_id)",
+)
 def _(t):
-    bold, italic = S.font_style(F.col("font"), F.col("weight"))
-    return t.spans().select(*KEYS, "span_id", bold.alias("bold"), italic.alias("italic"))
+    return C.code_blocks(code_lines(t).withColumn("sizes", F.array("size")), BLOCK)
 
 
-@query("m07_apply_edits", "select doc_id, line_no, regexp_replace(replace(s, ' ', ''), 'e', 'e' || chr(10), 'g') as line from (select doc_id, line_no, substr(line, 1, 40) s from doc_lines)")
+@query(
+    "w20_indented_code",
+    f", {CODE}, e as (select *, case when span_id % 4 > 1 then '' else text end as tx from k), f as (select doc_id, page_id, block_id, first(5.0 order by span_id) filter (where length(tx) > 0) as width, least(1000, min(x0)) as lx from e group by 1, 2, 3), g as (select *, trim(tx) = '' and coalesce(trim(lag(tx) over (partition by doc_id, page_id, block_id order by span_id)) = '', false) as gone from e) select doc_id, page_id, block_id, string_agg(case when width is null then tx else repeat(' ', trunc((x0 - lx) / width)::int) || tx end || chr(10), '' order by span_id) as text from g join f using (doc_id, page_id, block_id) where not gone group by 1, 2, 3",
+)
 def _(t):
-    s = F.substring("line", 1, 40)
-    chars = F.split(s, "")
-    labels = F.transform(chars, lambda c: F.when(c == " ", "delete").when(c == "e", "newline-1").otherwise("equal"))
-    return t.doc_lines().select("doc_id", "line_no", S.apply_edits(chars, labels).alias("line"))
+    text = F.when(F.col("span_id") % 4 > 1, "").otherwise(F.col("text"))
+    df = code_lines(t).withColumn("text", text).withColumns({"first_text": text, "first_x0": F.lit(0.0), "first_x1": 5.0 * F.length(text)})
+    return C.indented_blocks(df, BLOCK, "span_id")
 
 
-@query("m07_apply_edits_whole", "select doc_id, line_no, regexp_replace(replace(line, ' ', ''), 'e', 'e' || chr(10), 'g') as line from doc_lines")
+@query("t34_code_predicates", f"select doc_id, page_id, sum({WORDS.replace('text', 'line')}) > 0 and sum({WORDS.replace('text', 'line')}) / greatest(count(*) - 1, 1) < 80 as short_lines, count(*) filter (where {COMMENTED.replace('text', 'line')})::bigint as comments from (select doc_id, page_id, (['', '# ', '-- ', '%'])[line_id % 4 + 1] || case when page_id % 3 = 1 then '' else line end as line from layout_lines) group by 1, 2")
 def _(t):
-    labels = F.transform(F.split("line", ""), lambda c: F.when(c == " ", "delete").when(c == "e", "newline-1").otherwise("equal"))
-    return t.doc_lines().select("doc_id", "line_no", S.apply_edits(F.split("line", ""), labels).alias("line"))
+    line = F.concat(_pick(("", "# ", "-- ", "%"), F.col("line_id") % 4), F.when(F.col("page_id") % 3 == 1, "").otherwise(F.col("line")))
+    df = t.layout_lines().withColumn("line", line)
+    return df.groupBy(*PAGE).agg(C.has_short_lines(F.sum(C.word_characters(F.col("line"))), F.count("*")).alias("short_lines"), F.count_if(C.is_comment(F.col("line"))).alias("comments"))

@@ -12,10 +12,10 @@ from inkspan.plans.registry import query
 KEYS = ("doc_id", "page_id", "line_id")
 
 
-@query("s03_inline_content", "select doc_id, case when doc_id % 3 = 2 then null else substr(source, 1, 5) end as content, case when doc_id % 3 = 2 then 'file_url' end as error from documents")
+@query("s03_inline_content", "select doc_id, case when doc_id % 3 = 2 then null else text end as content, case when doc_id % 3 = 2 then 'file_url' end as error from documents")
 def _(t):
-    fetched = F.when(F.col("doc_id") % 3 == 0, F.encode(F.substring("source", 1, 5), "UTF-8"))
-    coded = F.when(F.col("doc_id") % 3 == 1, F.base64(F.encode(F.substring("source", 1, 5), "UTF-8")))
+    fetched = F.when(F.col("doc_id") % 3 == 0, F.encode("text", "UTF-8"))
+    coded = F.when(F.col("doc_id") % 3 == 1, F.base64(F.encode("text", "UTF-8")))
     data, error = S.content(fetched, coded)
     return t.read("documents").select("doc_id", F.decode(data, "UTF-8").alias("content"), error.alias("error"))
 
@@ -97,19 +97,6 @@ def _(t):
     return c.join(newest, "file_id", "left").select("c_custkey", S.may_process(F.col("parse_status")).alias("take"))
 
 
-@query("s16_state_upsert", f", {STATE} select file_id, parse_status, event_id from st qualify row_number() over (partition by file_id order by (parse_status = 2)::int desc, update_time desc, parse_status desc, event_id desc) = 1")
-def _(t):
-    s = state(t)
-    return S.upsert(s.filter("event_id % 2 = 0"), s.filter("event_id % 2 = 1")).select("file_id", "parse_status", "event_id")
-
-
-@query("s17_object_codes", "select doc_id, case doc_id % 4 when 0 then 'knowledge' when 1 then 'upload' when 2 then 'temporary' else 'other' end as code from documents")
-def _(t):
-    k = F.col("doc_id") % 4
-    name = F.concat(F.when(k == 0, "kg/").when(k == 1, "up_").when(k == 2, "tmp/").otherwise("zz/"), F.col("source"))
-    return t.read("documents").select("doc_id", S.object_code(name).alias("code"))
-
-
 @query("s19_figure_names", "select doc_id, page_id, region_id, page_id || '_image_' || (row_number() over (partition by doc_id, page_id order by region_id) - 1) || '.png' as name from regions where label = 'figure'")
 def _(t):
     from pyspark.sql import Window
@@ -134,3 +121,64 @@ def _(t):
     images = lines.filter("line_id < 4").select("doc_id", "page_id", (100 * (F.col("line_id") % 3)).alias("w"), F.lit(50).alias("h"), F.lit(8).alias("bits"), F.concat(F.lit("im"), F.col("line_id").cast("string")).alias("name"))
     pages = lines.groupBy("doc_id").agg((F.max("page_id") + 1).alias("n_pages")).withColumns({"page_w": F.lit(200), "page_h": F.lit(50)})
     return S.watermark_images(images, pages).select("doc_id", "page_id", "name")
+
+
+@query("s16_state_upsert", f", {STATE} select file_id, parse_status, event_id from st qualify row_number() over (partition by file_id order by update_time desc, parse_status desc, event_id desc) = 1")
+def _(t):
+    s = state(t)
+    return S.upsert(s.filter("event_id % 2 = 0"), s.filter("event_id % 2 = 1")).select("file_id", "parse_status", "event_id")
+
+
+@query(
+    "s16_state_gate",
+    f", {STATE}, n as (select file_id, arg_max(parse_status, (update_time, event_id)) as now from st group by 1), r as (select c_custkey::varchar as file_id, case c_custkey % 4 when 0 then null else n.now end as seen, case when c_custkey % 5 = 0 then (n.now + 1) % 4 else n.now end as now from customer left join n on n.file_id = c_custkey::varchar), v as (select *, case when coalesce(seen, 0) in (0, 3) then case when now is null then 'inserted' when now = seen then 'updated' else 'conflict' end when seen = 2 then 'done' else 'repeated' end as outcome from r) select file_id, outcome, case when outcome in ('inserted', 'updated') then 1 else now end as parse_status from v",
+)
+def _(t):
+    """Requests that saw an older state, or none, than the table has."""
+    newest = S.latest(state(t), ["file_id"], [F.col("update_time"), F.col("event_id")]).select("file_id", "parse_status")
+    asked = t.read("customer").select(F.col("c_custkey").cast("string").alias("file_id"), "c_custkey").join(newest, "file_id", "left")
+    requests = asked.select("file_id", F.when(F.col("c_custkey") % 4 != 0, F.col("parse_status")).alias("seen"))
+    moved = asked.filter("parse_status is not null").select("file_id", F.when(F.col("c_custkey") % 5 == 0, (F.col("parse_status") + 1) % 4).otherwise(F.col("parse_status")).alias("parse_status"))
+    return S.taken(requests, moved).select("file_id", "outcome", "parse_status")
+
+
+OBJECTS = "(['public/undefined', 'public/kg', 'private/doc', 'public/h5', 'public/built-in', 'private/attach', 'public/built-in/examples', 'public', 'Public/kg'])[doc_id % 9 + 1] || '/' || source || '.md'"
+
+
+@query("s17_object_registers", f"select doc_id, case when name like 'public/built-in/examples%' then 2 when name like 'public/undefined/%' then 0 when name like 'public/kg/%' then 1 when name like 'private/doc/%' then 2 when name like 'public/h5/%' then 3 when name like 'public/built-in/%' then 4 else 5 end as register from (select doc_id, {OBJECTS} as name from documents)")
+def _(t):
+    from inkspan.plans.derive import _pick
+
+    names = ("public/undefined", "public/kg", "private/doc", "public/h5", "public/built-in", "private/attach", "public/built-in/examples", "public", "Public/kg")
+    return t.read("documents").select("doc_id", S.object_register(F.concat(_pick(names, F.col("doc_id") % 9), F.lit("/"), "source", F.lit(".md"))).alias("register"))
+
+
+@query("s01_local_files")
+def _(t):
+    from inkspan.sources.files import read_files
+
+    return read_files(t.spark, t.sf_dir).select("name", "kind", F.length("content").cast("long").alias("n_bytes"))
+
+
+@query("s11_file_pages")
+def _(t):
+    from inkspan.sources.files import load_pages
+
+    return load_pages(t.spark, t.sf_dir, lambda kind, data: 3 + len(data) % 3, 1, 3).select("name", "kind", "page_id")
+
+
+@query("s21_annotations", "select 'doc' || doc_id as filename, text as html from documents where doc_id % 3 = 1")
+def _(t):
+    from inkspan.sources.files import annotations
+
+    split = F.when(F.col("doc_id") % 3 == 1, "val").otherwise("train")
+    lines = t.read("documents").select(F.to_json(F.struct(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("filename"), split.alias("split"), F.col("text").alias("html"))).alias("value"))
+    return annotations(lines, "val")
+
+
+@query("t38_mended_text", "select doc_id, line_no, nfc_normalize(line || ' cafe' || chr(769) || ' é’ü') as line from doc_lines")
+def _(t):
+    from inkspan.operators.models import repair_unicode
+
+    wrong = F.concat(F.col("line"), F.lit(" cafe\u0301 "), F.lit("é’ü".encode().decode("cp1252")))
+    return repair_unicode(t.doc_lines().withColumn("line", wrong), "line").select("doc_id", "line_no", "line")

@@ -60,7 +60,17 @@ def slot(i: int) -> str:
     return f"regexp_matches(s, '{q(T.SLOTS[i])}')"
 
 
-SLOT_SQL = f"""v as (select doc_id, line_no, s, attr, case {" ".join(f"when {slot(i)} then {i}" for i in range(13, 1, -1))} else -1 end as found, case when {slot(0)} then 0 when {slot(1)} then 1 end as early, {VETO} as veto from (select doc_id, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') s, {ATTR} attr from decorated_lines)),
+#: Reference marks and a misread numeral in some lines, so that matching has to put them right.
+NOTED = "noted as (select doc_id, line_no, case line_no % 5 when 1 then '<1-2>' || line when 2 then replace(line, '一', '\\equiv') else line end as line from decorated_lines)"
+
+
+def noted(t):
+    k = F.col("line_no") % 5
+    line = F.when(k == 1, F.concat(F.lit("<1-2>"), F.col("line"))).when(k == 2, F.replace("line", F.lit("一"), F.lit("\\equiv"))).otherwise(F.col("line"))
+    return t.decorated_lines().withColumn("line", line)
+
+
+SLOT_SQL = f"""{NOTED}, v as (select doc_id, line_no, s, attr, case {" ".join(f"when {slot(i)} then {i}" for i in range(13, 1, -1))} else -1 end as found, case when {slot(0)} then 0 when {slot(1)} then 1 end as early, {VETO} as veto from (select doc_id, line_no, replace(regexp_replace(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), '<[0-9]+-[0-9]+>', '', 'g'), '\\equiv', '三') s, {ATTR} attr from noted)),
 sl as (select doc_id, line_no, s, attr, case when early is not null then case when length(regexp_replace(s, '[A-Za-z]+', '', 'g')) < 35 then early else -1 end
 when found in (3, 4, 6) then case when veto > 0 then case attr when 'text_title' then 15 when 'doc_title' then 14 else -1 end else found end
 when found = 7 then case when veto in (2, 3, 4) then -1 when ({VETO.replace("trim(s)", "regexp_replace(s, '^[0-9]{1,3}[ ]*[.][ ]*', '')")}) > 0 then 6 else 7 end
@@ -69,7 +79,7 @@ when found > -1 then found when attr <> 'text' and regexp_matches(s, '{q(T.LOWES
 
 @query("t29_title_slot", f", {SLOT_SQL} select doc_id, line_no, slot from sl")
 def _(t):
-    return t.decorated_lines().select(*KEYS, T.title_slot(L(), attr()).alias("slot"))
+    return noted(t).select(*KEYS, T.title_slot(L(), attr()).alias("slot"))
 
 
 @query("t30_title_predicates", f", v as (select doc_id, line_no, line as s, line from decorated_lines) select doc_id, line_no, {any_of([plain(p) for p in T.STARTS])} as starts, ({VETO})::int as veto from v")
@@ -77,11 +87,26 @@ def _(t):
     return t.decorated_lines().select(*KEYS, T.starts_level(L()).alias("starts"), T.not_title(L()).alias("veto"))
 
 
-@query("t31_title_order", f", {SLOT_SQL} select doc_id, line_no, case slot when 1 then 1 when 2 then null when 3 then 1 when 5 then 1 when 6 then coalesce(try_cast(regexp_extract(s, '(\\d{{1,9}})', 1) as int), null) when 11 then 1 when 12 then 1 end as ord from sl")
+def _numerals() -> list[str]:
+    """Chinese numerals from 0 to 100, by reading numbers aloud."""
+    ones = "零一二三四五六七八九"
+    say = lambda n: "一百" if n == 100 else ones[n] if n < 10 else (ones[n // 10] if n > 19 else "") + "十" + (ones[n % 10] if n % 10 else "")
+    return [say(n) for n in range(101)]
+
+
+def _order_sql() -> str:
+    position = lambda c: f"nullif(list_position([{', '.join(repr(x) for x in _numerals())}], {c}), 0) - 1"
+    mark = "regexp_extract(s, '第([○-一二三四五六七八九十\\d]*)(章|篇|部分).*', 1)"
+    numeral = "regexp_extract(s, '\\(?\\s*([一二三四五六七八九十][一二三四五六七八九十]?[一二三四五六七八九十]?)\\s*\\)?', 1)"
+    book = f"coalesce(case when regexp_matches({mark}, '^[0-9]+$') then try_cast({mark} as int) end, {position(mark)}, case when contains(s, '上篇') then 0 when contains(s, '下篇') then 1 end)"
+    return f"case when slot between 0 and 2 then {book} when slot in (3, 5) then {position(numeral)} when slot in (6, 11, 12) then try_cast(regexp_extract(s, '(\\d{{1,9}})', 1) as int) end::int"
+
+
+@query("t31_title_order", f", {SLOT_SQL} select doc_id, line_no, {_order_sql()} as ord from sl")
 def _(t):
     s = T.title_slot(L(), attr())
-    df = t.decorated_lines().select(*KEYS, "line", s.alias("slot"))
-    return df.select(*KEYS, T.title_order(X.strip(L()), F.col("slot")).alias("ord"))
+    df = noted(t).select(*KEYS, "line", s.alias("slot"))
+    return df.select(*KEYS, T.title_order(T.title_text(L()), F.col("slot")).alias("ord"))
 
 
 def _inline_sql() -> str:
@@ -159,10 +184,14 @@ def _(t):
     return S.toc_usable(toc)
 
 
-@query("l03_error_classes", "select event_id, case event_type when 'error' then 'parse' when 'click' then 'download' end as error_class, case event_type when 'error' then 3 when 'click' then 3 else 2 end as parse_status, event_type = 'click' as retryable from events")
+@query(
+    "l03_error_codes",
+    "select event_id, '[Code:' || (5000 + event_id % 20) || ']' || event_type || case when event_id % 3 = 0 then '' else ', user ' || user_id end as said, event_id % 20 in (0, 3, 6, 7, 8, 9, 11, 15, 17) as retryable from events",
+)
 def _(t):
-    e = F.when(F.col("event_type") == "error", "parse").when(F.col("event_type") == "click", "download")
-    return t.read("events").select("event_id", *S.error_columns(e))
+    code = 5000 + F.col("event_id") % 20
+    cause = F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("user "), F.col("user_id").cast("string")))
+    return t.read("events").select("event_id", S.error_text(code, F.col("event_type"), cause).alias("said"), S.is_retryable(code).alias("retryable"))
 
 
 @query("l04_element_order", "select doc_id, line_no, (row_number() over (partition by doc_id order by line_no) - 1)::int as global_index, line_no = max(line_no) over (partition by doc_id) as last from doc_lines")

@@ -82,17 +82,6 @@ BAD = rf"length(line) = 0 or s / nullif(length(regexp_replace(line, '{W}+', '',
 
 @query(
     "t07_bad_text",
-    rf"select doc_id, line_no, {BAD} as bad "
-    rf"from (select *, len(regexp_extract_all(line, '{W}+')) s, len(regexp_extract_all(line, '\n+')) n from (select doc_id, line_no, case line_no % 5 when 1 then substr(line, 1, 1) || chr(10) || chr(10) when 2 then repeat(' ! ', 9) || substr(line, 1, 4) else substr(line, 1, 9) end as line from doc_lines))",
-)
-def _(t):
-    k = F.col("line_no") % 5
-    line = F.when(k == 1, F.concat(F.substring("line", 1, 1), F.lit("\n\n"))).when(k == 2, F.concat(F.lit(" ! " * 9), F.substring("line", 1, 4))).otherwise(F.substring("line", 1, 9))
-    return on(t.doc_lines().withColumn("line", line), bad=F.coalesce(X.is_bad_text(L()), F.lit(False)))
-
-
-@query(
-    "t07_bad_text_whole",
     rf"select doc_id, line_no, {BAD} as bad from (select *, len(regexp_extract_all(line, '{W}+')) s, len(regexp_extract_all(line, '\n+')) n from (select doc_id, line_no, case line_no % 5 when 1 then replace(line, ' ', chr(10) || chr(10)) when 2 then repeat(' ! ', 9) || line when 3 then line || repeat(chr(65533), 7) else line end as line from doc_lines))",
 )
 def _(t):
@@ -121,21 +110,9 @@ def _(t):
     return on(t.decorated_lines(), chinese=X.chinese_count(L()), english=X.english_count(L()), letters=X.letters_only(L()))
 
 
-CUT = "from (select doc_id, line_no, case when line_no % 3 = 0 then regexp_replace(line, '[\\pL0-9]', '', 'g') else substr(line, 1, 6) end as line from decorated_lines)"
-
-
-def cut(t):
-    return t.decorated_lines().withColumn("line", F.when(F.col("line_no") % 3 == 0, F.regexp_replace("line", r"[\p{L}0-9]", "")).otherwise(F.substring("line", 1, 6)))
-
-
 PUNCT = r"""regexp_matches(replace(line, ' ', ''), '^[!-/:-@\[-`{-~。？，！：（）【】《》—“”‘’ \t\n\r\f\x0b]+$')"""
 
 
-@query("t12_only_punctuation", f"select doc_id, line_no, {PUNCT.replace(chr(39) + '^', chr(39) + '^')} as punctuation {CUT}")
-def _(t):
-    return on(cut(t), punctuation=X.is_punctuation(L()))
-
-
 BARE = "from (select doc_id, line_no, case when line_no % 3 = 0 then regexp_replace(line, '[\\pL0-9]', '', 'g') else line end as line from decorated_lines)"
 
 
@@ -143,7 +120,7 @@ def bare(t):
     return t.decorated_lines().withColumn("line", F.when(F.col("line_no") % 3 == 0, F.regexp_replace("line", r"[\p{L}0-9]", "")).otherwise(L()))
 
 
-@query("t12_only_punctuation_whole", f"select doc_id, line_no, {PUNCT} as punctuation {BARE}")
+@query("t12_only_punctuation", f"select doc_id, line_no, {PUNCT} as punctuation {BARE}")
 def _(t):
     return on(bare(t), punctuation=X.is_punctuation(L()))
 
@@ -156,15 +133,7 @@ def _(t):
 SCRIPT = rf"length({STRIP.format('line')}) <= 9 and length(regexp_replace(line, '[^A-Z]', '', 'g')) <= 3 and length(regexp_replace(line, '[^a-z]', '', 'g')) <= 4 and not {PUNCT} and not regexp_matches(line, '[一-龥.]') and not regexp_matches(line, '[&%$#_}}{{~^【】？～、，；：;:,。》><《￥`·()]')"
 
 
-@query(
-    "t14_script_predicate",
-    rf"select doc_id, line_no, {SCRIPT} as script {CUT}",
-)
-def _(t):
-    return on(cut(t), script=X.is_script(L()))
-
-
-@query("t14_script_predicate_whole", f"select doc_id, line_no, {SCRIPT} as script {BARE}")
+@query("t14_script_predicate", f"select doc_id, line_no, {SCRIPT} as script {BARE}")
 def _(t):
     return on(bare(t), script=X.is_script(L()))
 
@@ -196,15 +165,7 @@ when regexp_matches(a, '[{S}][,;(—"''*]?{W}?$') and regexp_matches(b, '^{W}?[\
 when label in ('text', 'footnote', 'text_tile', 'table_title', 'figure_title') and regexp_matches(a, '[。ๆ.?!]{W}?$') then a || ' ' || b when label = 'table' then a || chr(10) || chr(10) || b else a || ' ' || b end"""
 
 
-@query("t17_line_separator", f"select doc_id, line_no, {SEPARATOR} as line from (select doc_id, line_no, case line_no % 4 when 0 then substr(line, 1, 9) || 'a-' when 1 then substr(line, 1, 9) || '中' when 2 then substr(line, 1, 9) || '. ' else substr(line, 1, 9) end a, case when line_no % 8 = 1 then '文' else substr(line, 4, 9) end b, (['text', 'table', 'doc_title'])[line_no % 3 + 1] as label from doc_lines)")
-def _(t):
-    k, s = F.col("line_no") % 4, F.substring("line", 1, 9)
-    a = F.when(k == 0, F.concat(s, F.lit("a-"))).when(k == 1, F.concat(s, F.lit("中"))).when(k == 2, F.concat(s, F.lit(". "))).otherwise(s)
-    b = F.when(F.col("line_no") % 8 == 1, F.lit("文")).otherwise(F.substring("line", 4, 9))
-    return on(t.doc_lines(), line=X.join_lines(a, b, _pick(("text", "table", "doc_title"), F.col("line_no") % 3)))
-
-
-@query("t17_line_separator_whole", f"select doc_id, line_no, {SEPARATOR} as line from (select doc_id, line_no, line || (['a-', '中', '. ', ''])[line_no % 4 + 1] a, (case when line_no % 8 = 1 then '文' else '' end) || line b, (['text', 'table', 'doc_title'])[line_no % 3 + 1] as label from doc_lines)")
+@query("t17_line_separator", f"select doc_id, line_no, {SEPARATOR} as line from (select doc_id, line_no, line || (['a-', '中', '. ', ''])[line_no % 4 + 1] a, (case when line_no % 8 = 1 then '文' else '' end) || line b, (['text', 'table', 'doc_title'])[line_no % 3 + 1] as label from doc_lines)")
 def _(t):
     a = F.concat(L(), _pick(("a-", "中", ". ", ""), F.col("line_no") % 4))
     b = F.concat(F.when(F.col("line_no") % 8 == 1, "文").otherwise(""), L())
@@ -239,34 +200,20 @@ def _(t):
     return t.spans().groupBy("doc_id").agg(n.alias("n_chars"), (n <= 5).alias("supported"))
 
 
-FORMULA = "from (select doc_id, line_no, case line_no % 4 when 0 then '$' || substr(line, 1, 5) || '$ and ' || substr(line, 1, 4) when 1 then 'x \\label{a} $$y$$ \\ref{b} \\cite{c}' else substr(line, 1, 8) end as line from (select doc_id, line_no, replace(line, '$', '') as line from doc_lines))"
-
-
-def formulas(t):
-    line = F.replace("line", F.lit("$"), F.lit(""))
-    k = F.col("line_no") % 4
-    return t.doc_lines().withColumn("line", F.when(k == 0, F.concat(F.lit("$"), F.substring(line, 1, 5), F.lit("$ and "), F.substring(line, 1, 4))).when(k == 1, F.lit("x \\label{a} $$y$$ \\ref{b} \\cite{c}")).otherwise(F.substring(line, 1, 8)))
-
-
 SCRUBBED = rf"contains(line, '$') or contains(line, '\[') or contains(line, '<math') as math, regexp_replace(line, '\\(label|ref|cite)\{{[^}}]*\}}', '', 'g') as line, regexp_replace(regexp_replace(line, '^\$+', ''), '\$+$', '') as bare"
 
 
-@query("t24_latex_scrub", rf"select doc_id, line_no, {SCRUBBED} {FORMULA}")
-def _(t):
-    return on(formulas(t), math=X.contains_math(L()), line=X.remove_labels(L()), bare=X.strip_fences(L()))
-
+FORMULA = "from (select doc_id, line_no, case line_no % 4 when 0 then '$' || line || '$ and ' || line when 1 then line || ' \\label{a} $$y$$ \\ref{b} ' || line || ' \\cite{c}' else line end as line from doc_lines)"
 
-WHOLE_FORMULA = "from (select doc_id, line_no, case line_no % 4 when 0 then '$' || line || '$ and ' || line when 1 then line || ' \\label{a} $$y$$ \\ref{b} ' || line || ' \\cite{c}' else line end as line from doc_lines)"
 
-
-def whole_formulas(t):
+def formulas(t):
     k = F.col("line_no") % 4
     return t.doc_lines().withColumn("line", F.when(k == 0, F.concat(F.lit("$"), L(), F.lit("$ and "), L())).when(k == 1, F.concat(L(), F.lit(" \\label{a} $$y$$ \\ref{b} "), L(), F.lit(" \\cite{c}"))).otherwise(L()))
 
 
-@query("t24_latex_scrub_whole", f"select doc_id, line_no, {SCRUBBED} {WHOLE_FORMULA}")
+@query("t24_latex_scrub", f"select doc_id, line_no, {SCRUBBED} {FORMULA}")
 def _(t):
-    return on(whole_formulas(t), math=X.contains_math(L()), line=X.remove_labels(L()), bare=X.strip_fences(L()))
+    return on(formulas(t), math=X.contains_math(L()), line=X.remove_labels(L()), bare=X.strip_fences(L()))
 
 
 @query("t25_latex_slices", rf"select doc_id, line_no, (i - 1)::int as pos, p[i] as chunk, regexp_matches(p[i], '(?s)^\$.+\$$') as is_formula from (select *, unnest(range(1, len(p) + 1)) i from (select doc_id, line_no, list_filter(regexp_extract_all(line, '(?s)(\$\$.+?\$\$|\$[^$]+\$|[^$]+|\$)', 1), lambda x: length(x) > 0) p {FORMULA}))")
@@ -275,12 +222,6 @@ def _(t):
     return df.withColumn("is_formula", X.is_formula(F.col("chunk")))
 
 
-@query("t25_latex_slices_whole", rf"select doc_id, line_no, (i - 1)::int as pos, p[i] as chunk, regexp_matches(p[i], '(?s)^\$.+\$$') as is_formula from (select *, unnest(range(1, len(p) + 1)) i from (select doc_id, line_no, list_filter(regexp_extract_all(line, '(?s)(\$\$.+?\$\$|\$[^$]+\$|[^$]+|\$)', 1), lambda x: length(x) > 0) p {WHOLE_FORMULA}))")
-def _(t):
-    df = whole_formulas(t).select(*KEYS, F.posexplode(X.latex_chunks(L())).alias("pos", "chunk"))
-    return df.withColumn("is_formula", X.is_formula(F.col("chunk")))
-
-
 @query("t26_language_codes", "select doc_id, case lang when 'en' then 'English' when 'de' then 'German' when 'fr' then 'French' when 'es' then 'Spanish' end as name, case lang when 'en' then 'eng' when 'de' then 'deu' when 'fr' then 'fra' when 'es' then 'spa' end as code3 from documents")
 def _(t):
     from inkspan.operators.languages import language_table
@@ -289,14 +230,7 @@ def _(t):
     return t.read("documents").join(F.broadcast(dim), F.col("lang") == dim["code"], "left").select("doc_id", "name", "code3")
 
 
-@query("t35_tokenizers", "select doc_id, line_no, list_aggregate(list_transform(range(1, length(s) + 1), lambda i: unicode(s[i]) + 3), 'string_agg', ',') as ids, length(s) as n from (select doc_id, line_no, substr(regexp_replace(line, '[^\\x20-\\x7e]', '', 'g'), 1, 12) s from doc_lines) where length(s) > 0")
-def _(t):
-    df = t.doc_lines().withColumn("s", F.substring(F.regexp_replace("line", r"[^\x20-\x7e]", ""), 1, 12)).filter("length(s) > 0")
-    ids = X.utf16_ids(F.col("s"))
-    return df.select(*KEYS, F.array_join(F.transform(ids, lambda x: x.cast("string")), ",").alias("ids"), X.byte_ids(F.col("s"), 64)["length"].cast("long").alias("n"))
-
-
-@query("t35_tokenizers_whole", "select doc_id, line_no, list_aggregate(list_transform(range(1, length(s) + 1), lambda i: unicode(s[i]) + 3), 'string_agg', ',') as ids, least(strlen(s), 1048576) as n from (select doc_id, line_no, line s from doc_lines) where length(s) > 0")
+@query("t35_tokenizers", "select doc_id, line_no, list_aggregate(list_transform(range(1, length(s) + 1), lambda i: unicode(s[i]) + 3), 'string_agg', ',') as ids, least(strlen(s), 1048576) as n from (select doc_id, line_no, line s from doc_lines) where length(s) > 0")
 def _(t):
     df = t.doc_lines().filter("length(line) > 0")
     ids = X.utf16_ids(L())

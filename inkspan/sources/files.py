@@ -77,11 +77,33 @@ def upload(objects: DataFrame, uploader: Callable[[str, bytes], str], attempts:
     return objects.select("name", "content").mapInPandas(run, schema("name string, url string, error_class string"))
 
 
+ANNOTATION = "filename string, split string, html string"
+
+
+def annotations(lines: DataFrame, split: str, value: str = "value") -> DataFrame:
+    """(filename, html) of one split, of JSON lines."""
+    return lines.select(F.from_json(value, ANNOTATION).alias("r")).select("r.*").filter(F.col("split") == split).select("filename", "html")
+
+
 def read_annotations(spark: SparkSession, path: str, split: str) -> DataFrame:
     """(filename, html) of one split of a JSON-lines file."""
-    return spark.read.schema("filename string, split string, html string").json(path).filter(F.col("split") == split).select("filename", "html")
+    return annotations(spark.read.text(path), split)
+
+
+def load_pages(spark: SparkSession, path: str, count: Callable[[str, bytes], int], first: int = 0, most: int | None = None) -> DataFrame:
+    """(path, name, kind, page_id) of a file's or folder's files, a row for each page in the range asked for: `count` gives a
+    file's pages from its kind and content. Pictures have one page."""
+
+    def run(frames: Iterator):
+        for f in frames:
+            n = [1 if k in ("png", "jpg", "gif") else _with_retry(count, 1, k, c)[0] or 0 for k, c in zip(f["kind"], f["content"], strict=True)]
+            yield f[["path", "name", "kind"]].assign(n=n)
+
+    sized = read_files(spark, path).mapInPandas(run, schema("path string, name string, kind string, n int"))
+    last = F.col("n") - 1 if most is None else F.least(F.col("n"), F.lit(first + most)) - 1
+    return sized.filter(last >= first).select("path", "name", "kind", F.explode(F.sequence(F.lit(first), last)).alias("page_id"))
 
 
 def write_boxes(boxes: DataFrame, path: str) -> None:
-    """Boxes with their labels as JSON lines, by document, for inspection."""
-    boxes.write.mode("overwrite").partitionBy("doc_id").json(path)
+    """Boxes with their labels as JSON lines for inspection, a document's together and in order."""
+    boxes.repartition("doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").json(path)

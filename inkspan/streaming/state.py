@@ -37,7 +37,7 @@ class StateTable:
         return self.spark.read.schema(PARSE_STATE).parquet(f"{self.path}/v={found[-1]}")
 
     def merge(self, changes: DataFrame, version: int) -> None:
-        upsert(self.read(version), checked(changes, PARSE_STATE)).select(*PARSE_STATE.names).write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        upsert(self.read(version), checked(changes, PARSE_STATE), keep_finished=True).select(*PARSE_STATE.names).write.mode("overwrite").parquet(f"{self.path}/v={version}")
 
     def sink(self, changes: DataFrame, checkpoint: str):
         """Starts a stream that merges each micro-batch."""

@@ -140,3 +140,90 @@ def test_inline_titles(spark):
 
 def test_segments_are_merged():
     assert folds.merge_segments([(100, 0, 50), (100, 60, 90), (120, 10, 40), (300, 0, 10)]) == [(0, 0, 90), (300, 0, 10)] and folds.merge_segments([]) == []
+
+
+def test_object_registers(spark):
+    from inkspan.operators.files import object_register
+
+    want = {"public/undefined/a": 0, "public/kg/x/y.md": 1, "private/doc/z": 2, "public/h5/b": 3, "public/built-in/c": 4, "private/attach/d": 5, "public/built-in/examples/e": 2, "public/built-in/examples": 2, "other/kg": 5, "public": 5, "": 5}
+    df = spark.createDataFrame([(k,) for k in want], "n string")
+    assert {r["n"]: r["c"] for r in df.select("n", object_register(df["n"]).alias("c")).collect()} == want
+
+
+def test_requests_meet_the_state_table(spark):
+    from inkspan.operators.files import taken
+
+    state = spark.createDataFrame([("b", 3), ("c", 1), ("d", 2), ("e", 1)], "file_id string, parse_status int")
+    asked = spark.createDataFrame([("a", None), ("b", 3), ("c", 1), ("d", 2), ("e", 3)], "file_id string, seen int")
+    got = {r["file_id"]: (r["outcome"], r["parse_status"]) for r in taken(asked, state).collect()}
+    assert got == {"a": ("inserted", 1), "b": ("updated", 1), "c": ("repeated", 1), "d": ("done", 2), "e": ("conflict", 1)}
+
+
+def test_errors(spark):
+    from pyspark.sql import functions as F
+
+    from inkspan.operators.structure import MESSAGES, RETRYABLE, error_columns, error_text, is_retryable
+
+    df = spark.createDataFrame([(5003, "m", None, "file_url"), (5001, "m", "why", None), (None, "m", None, "unheard of")], "code int, message string, cause string, cls string")
+    rows = df.select(error_text(F.col("code"), F.col("message"), F.col("cause")).alias("t"), is_retryable(F.col("code")).alias("r"), *error_columns(F.col("cls"))).collect()
+    assert [r["t"] for r in rows[:2]] == ["[Code:5003]m", "[Code:5001]m, why"] and [r["r"] for r in rows] == [True, False, False] and 5003 in RETRYABLE
+    assert [(r["parse_fail"], r["parse_status"]) for r in rows] == [MESSAGES["file_url"], ("", 2), MESSAGES["parse"]]
+
+
+@pytest.mark.parametrize("line,comment", [("// x", True), ("# x", True), ("'x", True), ("-- x", True), ("/* x", True), ('"""x', True), ("<!-- x", True), ("% x", True), ("(* x", True), (" # x", False), ("*x", False), ("x // y", False), ("", False)])
+def test_comments(spark, line, comment):
+    from pyspark.sql import functions as F
+
+    from inkspan.operators.code import is_comment
+
+    assert value(spark, is_comment(F.lit(line))) == comment
+
+
+def test_code_blocks_and_their_lines(spark):
+    from inkspan.operators import code
+
+    def block(d, b, texts, indent, size, height):
+        return [(d, b, i, t, 10.0 + indent * (i % 2 or i > 1), 0.0, height, [size]) for i, t in enumerate(texts)]
+
+    body = ["def f():", "x = 1", "", "  ", "return x", "# done"]
+    rows = block(1, 0, body, 10.0, 4.0, 4.0) + block(1, 1, body, 0.0, 4.0, 4.0) + block(1, 2, ["plain text of the page"] * 30, 0.0, 10.0, 12.0) + block(1, 3, ["...", "--", "??", "!!", "++"], 10.0, 4.0, 4.0)
+    df = spark.createDataFrame(rows, "doc_id long, block_id int, line_id int, text string, x0 double, y0 double, y1 double, sizes array<double>")
+    got = {r["block_id"]: (r["lines"], r["is_code"]) for r in code.code_blocks(df, ("doc_id", "block_id")).collect()}
+    assert got == {0: (6, True), 1: (6, False), 2: (30, False), 3: (5, False)}  # the last has no word characters
+    first = df.filter("block_id = 0").selectExpr("*", "text as first_text", "0.0D as first_x0", "5.0D * length(text) as first_x1")
+    assert code.indented_blocks(first, ("doc_id", "block_id"), "line_id").first()["text"] == "def f():\n  x = 1\n  \n  return x\n  # done\n"
+
+
+def test_text_of_few_characters_a_page(spark):
+    from inkspan.operators.pages import has_no_text
+
+    pages = {1: [["  ", "x" * 49], [" "]], 2: [["x" * 50, "y" * 49]], 3: [["a", "", "b" * 47]], 4: [["  a ", ""], ["", "b" * 94, "  "]], 5: [[""]]}
+    rows = [(d, p, i, x) for d, ps in pages.items() for p, ls in enumerate(ps) for i, x in enumerate(ls)]
+    df = spark.createDataFrame(rows, "doc_id long, page_id int, line_id int, line string")
+    want = {d: len("".join("\n".join(ls) for ls in ps).strip()) / len(ps) < 50 for d, ps in pages.items()}
+    assert {r["doc_id"]: r["no_text"] for r in has_no_text(df).collect()} == want and set(want.values()) == {True, False}
+
+
+GRID = [(r, c, r + 1, c + 1) for r in range(3) for c in range(2)]
+
+
+def cells(*boxes):
+    return [(chr(97 + i), b) for i, b in enumerate(boxes)]
+
+
+def test_cells_are_filled_by_alignment():
+    fill = folds.fill_cells
+    at = lambda r, c: (100.0 * c, 20.0 * r, 100.0 * c + 80, 20.0 * r + 15)
+    assert fill(GRID, cells(*[at(r, c) for r in range(3) for c in range(2)])) == (list("abcdef"), True)
+    # Nothing at row 1, column 0: what comes next stands in the other column.
+    assert fill(GRID, cells(at(0, 0), at(0, 1), at(1, 1), at(2, 0), at(2, 1))) == (["a", "b", "", "c", "d", "e"], True)
+    # A second piece of the cell before.
+    assert fill(GRID[:2], cells(at(0, 0), (0.0, 30.0, 80.0, 45.0))) == (["ab", ""], True)
+    assert fill(GRID, cells(at(0, 0), at(0, 1), (500.0, 500.0, 600.0, 510.0)))[1] is False
+    assert fill([], cells(at(0, 0))) == ([], True) and fill(GRID, []) == ([""] * 6, True)
+
+
+def test_indel_ratio():
+    from inkspan.operators.phrases import indel_similar
+
+    assert indel_similar("", "") and not indel_similar("", "a") and indel_similar("abcdefghij", "abcdefghix") and not indel_similar("abcdefghij", "abcdefghxy")

@@ -52,8 +52,57 @@ def test_document_pipeline(spark):
             lines.append((1, p, i, t, 0.0, 10.0 * i, 50.0, 10.0 * i + 8))
         regions += [(1, p, 0, "header", 0.0, 0.0, 60.0, 9.0), (1, p, 1, "doc_title" if p == 0 else "text", 0.0, 9.5, 60.0, 19.0), (1, p, 2, "text", 0.0, 19.5, 60.0, 30.0)]
     box = "x0 double, y0 double, x1 double, y1 double"
-    e, md, _ = convert(spark.createDataFrame(lines, f"doc_id long, page_id int, line_id int, line string, {box}"), spark.createDataFrame(regions, f"doc_id long, page_id int, region_id int, label string, {box}"))
-    got = [(r["label"], r["text"]) for r in e.orderBy("global_index").collect()]
-    assert got[0] == ("doc_title", "A title") and "Running head" not in md.first()["markdown"] and md.first()["markdown"].startswith("## A title")
+    toc = spark.createDataFrame([(1, 2, 0, 1, "a title"), (1, 2, 1, 1, "other")], "doc_id long, page_id int, ord int, level int, title string")
+    made = convert(spark.createDataFrame(lines, f"doc_id long, page_id int, line_id int, line string, {box}"), spark.createDataFrame(regions, f"doc_id long, page_id int, region_id int, label string, {box}"), toc=toc)
+    got = [(r["label"], r["text"], r["title_level"]) for r in made.elements.orderBy("global_index").collect()]
+    md = made.markdown.first()["markdown"]
+    assert got[0] == ("doc_title", "A title", 0) and "Running head" not in md and md.startswith("# A title")
     # A line on two of three pages is a running one.
-    assert got[1:] == [("text", "first part of a and more of it last one.")]
+    assert got[1:] == [("text", "first part of a and more of it last one.", -1)]
+    assert [(r["language"], r["kind"]) for r in made.kinds.collect()] == [("garbage", "book")]
+    ids = [r["global_index"] for r in made.elements.orderBy("global_index").collect()]
+    assert [(r["id"], r["parent"]) for r in made.tree.orderBy("id").collect()] == [(ids[0], None), (ids[1], ids[0])]
+
+
+def test_recognised_content_takes_the_place_of_lines(spark):
+    box = "x0 double, y0 double, x1 double, y1 double"
+    lines = spark.createDataFrame([(1, 0, 0, "a b", 0.0, 0.0, 50.0, 8.0), (1, 0, 1, "c d", 0.0, 10.0, 50.0, 18.0)], f"doc_id long, page_id int, line_id int, line string, {box}")
+    regions = spark.createDataFrame([(1, 0, 0, "table", 0.0, 0.0, 60.0, 20.0)], f"doc_id long, page_id int, region_id int, label string, {box}")
+    html = spark.createDataFrame([(1, 0, 0, "<table></table>")], "doc_id long, page_id int, region_id int, content string")
+    assert [r["text"] for r in convert(lines, regions, html).elements.collect()] == ["<table></table>"]
+
+
+def test_pages_of_files_in_a_range(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4 five")
+    (tmp_path / "b.png").write_bytes(bytes.fromhex("89504E470D0A"))
+    pages = lambda *r: sorted((x["name"], x["page_id"]) for x in files.load_pages(spark, str(tmp_path), lambda kind, data: 5, *r).collect())
+    assert pages() == [("a", i) for i in range(5)] + [("b", 0)] and pages(1, 2) == [("a", 1), ("a", 2)]
+
+
+def test_models_of_one_seam_do_not_mix(spark):
+    df = spark.createDataFrame([(1, 0)], "doc_id long, page_id int").coalesce(1)
+
+    def predict(model, f):
+        return pd.DataFrame([(d, p, 0, model, 0.9, [[0.0, 0.0]] * 4) for d, p in zip(f["doc_id"], f["page_id"], strict=True)], columns=models.OUTPUTS["recognition"].names)
+
+    for name in (None, "first", "second"):
+        assert models.run_model(df, "recognition", lambda name=name: f"m{name}", predict, name).first()["text"] == f"m{name}"
+
+
+def test_text_is_mended():
+    assert models.mended("cafÃ© naÃ¯ve â€œxâ€\x9d") == "café naïve “x”" and models.mended("ñó é plain") == "ñó é plain"
+    assert models.mended("Ã\x83Â©") == "é"  # twice
+
+
+def test_greedy_decoding():
+    table = [[0, 5, 9, 1], [9, 9, 0, 1], [0, 0, 1, 9], [0, 0, 0, 9]]
+    step = lambda seqs: [table[s[-1]] for s in seqs]
+    assert models.greedy_decode(step, [[0], [1]], 5, 3) == [[0, 2, 3], [1, 0, 2, 3]]
+    assert models.greedy_decode(step, [[0]], 4, 3, allowed=[1, 3], blocked=[3]) == [[0, 1, 1, 1]]
+    assert models.greedy_decode(step, [[0, 1]], 2, 3) == [[0, 1]]
+
+
+def test_scores_of_all_boxes_compete(spark):
+    df = spark.createDataFrame([(1, 0, [0.9, 0.2]), (1, 1, [0.9, 0.5]), (2, 0, [0.1, 0.3])], "doc_id long, idx int, scores array<double>")
+    got = [(r["doc_id"], r["idx"], r["label_id"], r["rank"]) for r in models.top_scores(df, ["doc_id"], "scores", 3).orderBy("doc_id", "rank").collect()]
+    assert got == [(1, 0, 0, 1), (1, 1, 0, 2), (1, 1, 1, 3)]
