@@ -111,6 +111,13 @@ def discard(*tables: DataFrame) -> None:
             fs.cancelDeleteOnExit(p)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Takes a stored table out of the scope that would delete it."""
+    for tables in _OPEN:
+        tables[:] = [x for x in tables if x is not df]
+    return df
+
+
 @contextlib.contextmanager
 def scope():
     """Deletes, at its end, every table stored meanwhile: for what has been written elsewhere by then."""

@@ -214,9 +214,10 @@ def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFra
     members (bucket long, item long); sketches (item, n, sketch array<long>, the `sketch` smallest hashes in
     order), both stored tables; texts_of(items) gives (item, text), one row each, for a table of items, and
     sets_from the hashes of each of the texts in a byte vector."""
-    # A leader is the item of the smallest set: in a group of edited copies, the one with the fewest edits.
+    # A leader is an item of the smallest set: in a group of edited copies, one with the fewest edits. (Which of
+    # several is settled as the table is written.)
     sized = stored(members.join(sketches.select("item", "n"), "item"))
-    heads = stored(sized.groupBy("bucket").agg(F.min(F.struct("n", "item")).alias("h"), F.count("*").alias("c")).select("bucket", F.col("h.item").alias("a"), F.col("h.n").alias("na"), "c"))
+    heads = stored(sized.groupBy("bucket").agg(F.min_by("item", "n").alias("a"), F.min("n").alias("na"), F.count("*").alias("c")))
     stars = sized.withColumnsRenamed({"item": "b", "n": "nb"}).join(heads, "bucket").filter("a <> b")
     stars = stored(stars.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct())
     sk = lambda r: sketches.select(F.col("item").alias(r), F.col("sketch").alias(f"_{r}"))
