@@ -31,6 +31,26 @@ def best(items: Column, score: Callable[[Column], Column], keep: Callable[[Colum
     return F.array_max(scored)
 
 
+def cell_texts(cells: DataFrame, glyphs: DataFrame, page: Column, image: Column, least: float = 0.3) -> DataFrame:
+    """(doc_id, page_id, table_id, cell_id, text): what lies in each cell by at least `least` of its own area, in order.
+
+    cells (doc_id, page_id, table_id, cell_id, box: in the table's picture; turned: degrees by which that was turned,
+    w, h: its size so turned; x, y: where the table is in the page's picture). glyphs (doc_id, page_id, table_id, pos,
+    text, is_char, box: in page points); page and image are the page's box in points and pixels. Where a cell has
+    characters, spans that came without theirs are left out."""
+    from inkspan.functions import geometry as G
+
+    own = F.when(F.col("turned") == 0, F.col("box")).otherwise(G.rotate(F.col("box"), F.col("turned"), F.col("w"), F.col("h")))
+    placed = cells.withColumn("_own", own).withColumn("_cell", G.box(F.col("_own.x0") + F.col("x"), F.col("_own.y0") + F.col("y"), F.col("_own.x1") + F.col("x"), F.col("_own.y1") + F.col("y")))
+    scaled = glyphs.withColumn("_glyph", G.rescale(F.col("box"), page, image)).select("doc_id", "page_id", "table_id", "pos", "text", "is_char", "_glyph")
+    df = with_page_items(placed, scaled, ("pos", "text", "is_char", "_glyph"), ("doc_id", "page_id", "table_id"))
+    inside = F.filter("items", lambda x: G.overlap_share(x["_glyph"], F.col("_cell")) >= least)
+    df = df.select("doc_id", "page_id", "table_id", "cell_id", inside.alias("g"))
+    chars = F.filter("g", lambda x: x["is_char"])
+    taken = F.when(F.size(chars) > 0, chars).otherwise(F.col("g"))
+    return df.select("doc_id", "page_id", "table_id", "cell_id", F.array_join(F.transform(taken, lambda x: x["text"]), "").alias("text"))
+
+
 def insert_points(regions: DataFrame, lines: DataFrame, share: Callable[[Column, Column], Column], least: float = 0.7) -> DataFrame:
     """regions (doc_id, page_id, x0..y1) with `line_id`, where what replaces them goes: their first line, of those that
     lie in them by more than `least` (share(region's box, line)); without one, the line whose corner is nearest, or

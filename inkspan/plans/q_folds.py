@@ -141,3 +141,14 @@ def _(t):
             yield f[["doc_id", "line_no"]].assign(ids=[",".join(map(str, x)) for x in made])
 
     return t.doc_lines().select("doc_id", "line_no").mapInPandas(run, "doc_id long, line_no int, ids string")
+
+
+@query("w08_stitched_paragraphs")
+def _(t):
+    """A line is a block: of one line and of its words as spans."""
+    label = _pick(("text", "text", "text_title", "text", "table"), (F.col("doc_id") + F.col("line_no")) % 5)
+    lines = F.array(F.struct(F.col("x1"), F.lit(0.0).alias("y0"), (F.lit(12.0) + F.col("line_no") % 4).alias("y1")))
+    spans = F.transform(F.split("line", " ", -1), lambda w, i: F.struct(w.alias("text"), (400 + 300 * (F.col("line_no") % 6 == 5).cast("int")).alias("weight")))
+    text = F.when(F.col("line_no") % 2 == 0, F.regexp_replace("line", r"[.?!]\s*$", "")).otherwise(F.col("line"))
+    df = t.layout_lines().select("doc_id", "page_id", F.col("line_no").alias("global_index"), label.alias("label"), F.lit(100.0).alias("y0"), text.alias("text"), lines.alias("lines"), spans.alias("spans"))
+    return folds.stitched(df)

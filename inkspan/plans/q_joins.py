@@ -82,6 +82,18 @@ def _(t):
     return df.groupBy("doc_id", "page_id", "region_id").agg(R.ordered_concat(["line_id"], "line", " ").alias("text"))
 
 
+@query(
+    "j06_table_cells",
+    ", g as (select doc_id, page_id, line_id as pos, line as text, doc_id % 3 = 0 or line_id % 2 = 0 as is_char, 2 * x0 as x0, 2 * y0 as y0, 2 * x1 as x1, 2 * y1 as y1 from layout_lines), c as (select doc_id, page_id, region_id as cell_id, 2 * x0 as x0, 2 * y0 as y0, 2 * x1 as x1, 2 * y1 as y1 from regions), i as (select c.doc_id, c.page_id, cell_id, pos, text, is_char, bool_or(is_char) over (partition by c.doc_id, c.page_id, cell_id) as chars from c join g using (doc_id, page_id) where case when least(g.x1, c.x1) < greatest(g.x0, c.x0) or least(g.y1, c.y1) < greatest(g.y0, c.y0) then 0.0 when g.x1 = g.x0 then 1.0 else (least(g.x1, c.x1) - greatest(g.x0, c.x0)) * (least(g.y1, c.y1) - greatest(g.y0, c.y0)) / ((g.x1 - g.x0) * (g.y1 - g.y0)) end >= 0.3), t as (select doc_id, page_id, cell_id, string_agg(text, '' order by pos) as text from i where is_char or not chars group by 1, 2, 3) select c.doc_id, c.page_id, cell_id, coalesce(text, '') as text from c left join t using (doc_id, page_id, cell_id)",
+)
+def _(t):
+    """Regions as cells of a table whose picture begins 20 pixels in and is turned by a quarter, at two pixels a point."""
+    quarter = G.box(2 * F.col("y0") - 20, 1200 - (2 * F.col("x1") - 20), 2 * F.col("y1") - 20, 1200 - (2 * F.col("x0") - 20))
+    cells = t.regions().select("doc_id", "page_id", F.lit(0).alias("table_id"), F.col("region_id").alias("cell_id"), quarter.alias("box"), F.lit(90).alias("turned"), F.lit(900.0).alias("w"), F.lit(1200.0).alias("h"), F.lit(20.0).alias("x"), F.lit(20.0).alias("y"))
+    glyphs = t.layout_lines().select("doc_id", "page_id", F.lit(0).alias("table_id"), F.col("line_id").alias("pos"), F.col("line").alias("text"), ((F.col("doc_id") % 3 == 0) | (F.col("line_id") % 2 == 0)).alias("is_char"), LINE().alias("box"))
+    return R.cell_texts(cells, glyphs, G.box(0, 0, 600, 800), G.box(0, 0, 1200, 1600)).drop("table_id")
+
+
 FORMULAS = "f as (select * from regions where label in ('formula', 'figure'))"
 
 

@@ -227,3 +227,27 @@ def test_indel_ratio():
     from inkspan.operators.phrases import indel_similar
 
     assert indel_similar("", "") and not indel_similar("", "a") and indel_similar("abcdefghij", "abcdefghix") and not indel_similar("abcdefghij", "abcdefghxy")
+
+
+def test_paragraphs_are_stitched(spark):
+    line = lambda x1=50.0, h=10.0: {"x1": x1, "y0": 0.0, "y1": h}
+    span = lambda t, w=400: {"text": t, "weight": w}
+    two = lambda t, w=400: [span(t, w), span("x", w)]
+    rows = [
+        (0, 0, "text", 50.0, "begins here", [line()], two("a")),
+        (1, 0, "table", 60.0, "t", [line()], two("t")),
+        (2, 1, "text", 10.0, "goes on over a table and a page.", [line()], two("b")),
+        (3, 1, "text", 5.0, "after a sentence", [line()], two("c")),
+        (4, 1, "text", 30.0, "further down", [line()], two("d")),
+        (5, 2, "text", 0.0, "bold", [line()], two("e", 700)),
+        (6, 3, "text", 0.0, "bold goes on", [line()], two("f", 700)),
+        (7, 4, "text", 0.0, "small", [line(h=6.0)], two("g", 700)),
+        (8, 5, "text_title", 0.0, "Title", [line()], two("h")),
+        (9, 6, "text", 0.0, "after a title", [line(), line(x1=10.0)], two("i")),
+        (10, 7, "text", 0.0, "after a short last line", [line()], [span("j")]),
+        (11, 8, "text", 0.0, "one span says nothing", [line()], two("k")),
+        (12, 9, "text", 0.0, "(1) a list", [line()], two("l")),
+    ]
+    df = spark.createDataFrame([(1, *r) for r in rows], "doc_id long, global_index int, page_id int, label string, y0 double, text string, lines array<struct<x1:double,y0:double,y1:double>>, spans array<struct<text:string,weight:int>>")
+    got = {r["global_index"]: r["text"] for r in folds.stitched(df).collect()}
+    assert got == {0: "begins here goes on over a table and a page.", 1: "t", 3: "after a sentence", 4: "further down", 5: "bold bold goes on", 7: "small", 8: "Title", 9: "after a title", 10: "after a short last line", 11: "one span says nothing", 12: "(1) a list"}
