@@ -204,4 +204,4 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     out = identify(docs, fit(docs.filter(~held)))
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")

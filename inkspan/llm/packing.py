@@ -76,9 +76,11 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
                 length = np.minimum(n[row] - start, capacity)
                 at = (bounds[row] + start).tolist()
                 crcs = [zlib.crc32(ids[a : a + k]) for a, k in zip(at, length.tolist(), strict=True)]
-                for k, v in zip(parts, (keys[row], piece, start, length, crcs), strict=True):
-                    parts[k].append(v)
-            yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v) if v else [], pa.int32() if k == "piece" else pa.int64()) for k, v in parts.items()})
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                for k, v, kind in zip(parts, (keys.take(pa.array(row)), piece, start, length, crcs), kinds, strict=True):
+                    parts[k].append(v if isinstance(v, pa.Array) else pa.array(v, kind))
+            if parts["piece"]:
+                yield pa.RecordBatch.from_pydict({k: pa.concat_arrays(v) for k, v in parts.items()})
         if forget:
             encode.forget()
 
@@ -89,13 +91,16 @@ def pack_pieces(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SH
     """Adds sequence_id and offset to pieces (a stored table: it is counted, then dealt)."""
     shards = max(1, round(cut.count() / shard_pieces))
 
-    def place(frame):
-        frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        bins, offsets = sum_of_squares(frame["length"].to_numpy(), capacity)
-        return frame.assign(sequence_id=frame["shard"].to_numpy(np.int64) * (1 << 40) + bins, offset=offsets).drop(columns="shard")
+    def place(table):
+        import pyarrow as pa
+
+        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        bins, offsets = sum_of_squares(table["length"].to_numpy(), capacity)
+        shard = table["shard"][0].as_py() if len(table) else 0
+        return table.drop_columns(["shard"]).append_column("sequence_id", pa.array(shard * (1 << 40) + bins)).append_column("offset", pa.array(offsets))
 
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return dealt.groupBy("shard").applyInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pack_documents(df: DataFrame, **how) -> DataFrame:
@@ -105,6 +110,6 @@ def pack_documents(df: DataFrame, **how) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens, one row per piece.
 
-    A document without text is the end id alone; equal documents are packed like others; an empty table
-    gives no rows."""
+    A document without text is the end id alone; equal documents, rows of equal doc_id and rows without one are
+    packed like others, each by itself; an empty table gives no rows."""
     return pack_documents(documents(spark, sf_dir))

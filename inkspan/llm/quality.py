@@ -55,13 +55,14 @@ def _repeat_words(words: Column) -> Column:
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with the measurements and `failed_rules` (a long of failure bits)."""
+    """df with the measurements and `failed_rules` (a long of failure bits). A column of df that has the name of one
+    gives way to it; `apply_quality` keeps all of df's. Each row is judged by itself; a null text has no words."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, WS, "")) > 0)
     out = df.withColumns(
         {
-            "_words": n_words(t),
-            "_lines": lines,
+            "__words": n_words(t),
+            "__lines": lines,
             "word_chars": F.length(F.translate(t, WS, "")).cast("long"),
             "n_symbols": _count(t, SYMBOLS),
             "n_marks": _count(t, "!"),
@@ -71,12 +72,12 @@ def ledger(df: DataFrame, text: str = "text") -> DataFrame:
     )
     out = out.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "n_text_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": _repeat_words(F.col("_words")).cast("long"),
+            "n_words": F.size("__words").cast("long"),
+            "n_text_lines": F.size("__lines").cast("long"),
+            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+            "n_repeat_words": _repeat_words(F.col("__words")).cast("long"),
         }
-    ).drop("_words", "_lines")
+    ).drop("__words", "__lines")
     c = F.col
     failures = {
         "too_few_words": c("n_words") < 50,

@@ -236,12 +236,13 @@ def encoder(vocabulary: str = VOCABULARY, keep: int = KEEP) -> Encoder:
     return _ENCODERS[vocabulary, keep]
 
 
-def encoded(batch, encode: Encoder, end: int | None, limit: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """doc_ids, ids and bounds of an Arrow batch's rows, as much at a time as a CPU's cache holds; a null text is empty."""
-    keys = batch.column("doc_id").to_numpy(zero_copy_only=False)
+def encoded(batch, encode: Encoder, end: int | None, limit: int = 1 << 18) -> Iterator[tuple]:
+    """doc_ids (an Arrow array: they may be null), ids and bounds of an Arrow batch's rows, as much at a time as a
+    CPU's cache holds; a null text is empty."""
+    keys = batch.column("doc_id")
     data, offsets = utf8(batch.column("text"))
     for a, b in row_slices(offsets, limit):
-        yield keys[a:b], *encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end)
+        yield keys.slice(a, b - a), *encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end)
 
 
 def bits_of(vocabulary_size: int) -> int:
@@ -284,12 +285,13 @@ def write_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
         bits = bits_of(encode.size)
         schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first_token", pa.int64()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("bits", pa.int32()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("payload", pa.binary())])
         block = done = size = 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple] = []
 
         def flush():
             nonlocal block, done, size
-            keys, lengths, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-            row = [shard, block, done, keys[0], keys[-1], bits, len(ids), keys, np.cumsum(lengths), pack(ids, bits)]
+            keys = pa.concat_arrays([k for k, _, _ in held])
+            lengths, ids = (np.concatenate(x) for x in list(zip(*held, strict=True))[1:])
+            row = [shard, block, done, keys[0].as_py(), keys[-1].as_py(), bits, len(ids), keys.to_pylist(), np.cumsum(lengths), pack(ids, bits)]
             out = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
             block, done, size = block + 1, done + len(ids), 0
             held.clear()
@@ -301,7 +303,7 @@ def write_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
                 while at < len(keys):
                     stop = min(len(keys), int(np.searchsorted(bounds, bounds[at] + BLOCK_TOKENS - size, "left")))
                     stop = max(stop, at + 1)
-                    held.append((keys[at:stop], np.diff(bounds[at : stop + 1]), ids[bounds[at] : bounds[stop]]))
+                    held.append((keys.slice(at, stop - at), np.diff(bounds[at : stop + 1]), ids[bounds[at] : bounds[stop]]))
                     size, at = size + int(bounds[stop] - bounds[at]), stop
                     if size >= BLOCK_TOKENS:
                         yield flush()
@@ -356,8 +358,8 @@ def document_tokens(blocks: DataFrame, ids: bool = False) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of all documents, then returns what the files hold of each.
 
-    A null text is empty and has the end id alone; equal doc_ids keep a row each; an empty table writes
-    no block and returns no row."""
+    A null text is empty and has the end id alone; equal doc_ids keep a row each; rows without a doc_id come
+    first; an empty table writes no block and returns no row."""
     path = scratch_folder(spark, "tokens")
     write_tokens(documents(spark, sf_dir), path)
     return document_tokens(owned(read_tokens(spark, path), path))

@@ -100,3 +100,25 @@ def test_sum_of_squares_takes_the_best_gap():
             assert not options
         fill[b] = o + s
         assert fill[b] <= cap
+
+
+def test_repeated_rows_null_and_large_ids(spark, tmp_path, library):
+    rows = data.odd_rows()
+    path = data.write(spark, tmp_path, spark.createDataFrame(rows, data.SCHEMA).repartition(3))
+    want = sorted((d is not None, d or 0, len(library(t or "")), zlib.crc32(library(t or ""))) for d, t, *_ in rows)
+    got = [(r["doc_id"], r["n_tokens"], r["ids_crc32"], r["start"]) for r in tokens.op8_token_files(spark, path).collect()]
+    assert sorted((d is not None, d or 0, n, c) for d, n, c, _ in got) == want
+    start = 0
+    for d, n, _, s in sorted(got, key=lambda x: x[3]):
+        assert s == start
+        start += n
+    assert [(d is not None, d or 0) for d, *_ in sorted(got, key=lambda x: x[3])] == [x[:2] for x in want]
+    packed = packing.op3_best_fit_packing(spark, path).collect()
+    whole = {}
+    for r in packed:
+        whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["length"]
+    per = {}
+    for known, d, n, _ in want:
+        per[d if known else None] = per.get(d if known else None, 0) + n
+    assert whole == per
+    assert sum(r["piece"] == 0 for r in packed) == len(rows)
