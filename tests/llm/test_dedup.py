@@ -248,3 +248,36 @@ def test_passages_equal_brute_force(spark, least):
     df = spark.createDataFrame(data.odd_rows(), data.SCHEMA)
     got = {(r["doc_id"], r["start"], r["end"], r["n_repeated"], r["first_doc_id"]) for r in chunkdedup.repeated_passages(df, min_run=least[0], min_chunks=least[1]).collect()}
     assert got == chunk_runs(texts, *least)
+
+
+SF = "/root/testdata/sf0.001/documents.parquet"
+
+
+def links_by_lists(sets, percent=80):
+    """All pairs of sets at or above the threshold, by inverted lists."""
+    from collections import Counter
+
+    lists, out = {}, []
+    for k, s in sets.items():
+        met = Counter()
+        for x in s:
+            for other in lists.setdefault(x, []):
+                met[other] += 1
+            lists[x].append(k)
+        out += [(other, k) for other, n in met.items() if 100 * n >= percent * (len(s) + len(sets[other]) - n)]
+    return out
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(SF), reason="no test tables")
+def test_recall_of_links_on_documents(spark):
+    df = spark.read.parquet(SF.replace("0.001", "0.01"))
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df, words=4).collect()}
+    links = links_by_lists({d: shingles(t, 4) for d, t in texts.items()})
+    assert len(links) > 20 and sum(found[a] == found[b] for a, b in links) >= 0.99 * len(links)
+
+    df = spark.read.parquet(SF)
+    lines = {(r["doc_id"], i): x for r in df.collect() for i, x in lines_of(r["text"])}
+    links = links_by_lists({k: {x} if len(x) < 8 else {x[j : j + 8] for j in range(len(x) - 7)} for k, x in lines.items()})
+    found = {(r["doc_id"], r["line_no"]): (r["first_doc_id"], r["first_line_no"]) for r in linededup.line_classes(df).collect()}
+    assert len(links) > 100 and sum(found[a] == found[b] for a, b in links) >= 0.99 * len(links)
