@@ -36,7 +36,10 @@ def _(t):
     return folds.markdown_trees(markdown(e))
 
 
-@query("w17_table_grid")
+@query(
+    "w17_table_grid",
+    "select doc_id, r0::int as r0, c0::int as c0, r1::int as r1, c1::int as c1, text from (select doc_id, 0 r0, 0 c0, 1 + doc_id % 2 r1, 1 c1, lang as text from documents where lang is not null and source is not null union all select doc_id, 0, 1, 1, 2, 'b' from documents where lang is not null and source is not null union all select doc_id, 1, doc_id % 2, 2, doc_id % 2 + 1, source from documents where lang is not null and source is not null)",
+)
 def _(t):
     cell = F.concat(F.lit("<td rowspan="), (1 + F.col("doc_id") % 2).cast("string"), F.lit(">"), F.col("lang"), F.lit("</td>"))
     html = F.concat(F.lit("<table><tr>"), cell, F.lit("<td>b</td></tr><tr><td>"), F.col("source"), F.lit("</td></tr></table>"))
@@ -129,7 +132,10 @@ def _(t):
     return folds.table_columns(cells, [90.0 * i for i in range(6)])
 
 
-@query("o07_greedy_decode")
+@query(
+    "o07_greedy_decode",
+    "select doc_id, line_no, ids from doc_lines join (with recursive nx as (select s, c from range(20) a(s), range(3, 20) b(c) where c <> 7 qualify row_number() over (partition by s order by (31 * s + 17 * c) % 97 desc, c) = 1), r as (select k, k::varchar as ids, k as last, 1 as n from range(20) t(k) union all select k, ids || ',' || c, c, n + 1 from r join nx on s = last where n < 12 and (last <> 19 or n = 1)) select k, arg_max(ids, n) as ids from r group by 1) on k = line_no % 20",
+)
 def _(t):
     """Token ids after each line's number, by a score that depends on the last token alone."""
     from inkspan.operators.models import greedy_decode
