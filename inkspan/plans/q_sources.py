@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inkspan.functions import geometry as G
 from inkspan.operators import files as S
 from inkspan.operators import relational as R
+from inkspan.plans.q_joins import SHARE
 from inkspan.plans.registry import query
 
 KEYS = ("doc_id", "page_id", "line_id")
@@ -66,13 +67,6 @@ def _(t):
     return t.layout_lines().filter(F.col("page_id").between(1, 3)).select(*KEYS)
 
 
-@query("s13_structured_output", "select doc_id, page_id, count(*) as lines, string_agg(line_id || ':' || length(line), ',' order by line_id) as shape from layout_lines group by 1, 2")
-def _(t):
-    nested = t.layout_lines().groupBy("doc_id", "page_id").agg(F.sort_array(F.collect_list(F.struct("line_id", "line"))).alias("lines"))
-    shape = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["line_id"].cast("string"), F.length(x["line"]).cast("string"))), ",")
-    return nested.select("doc_id", "page_id", F.size("lines").cast("long").alias("lines"), shape.alias("shape"))
-
-
 @query("s14_plain_text", "select doc_id, string_agg(p, chr(10) order by page_id) as text from (select doc_id, page_id, regexp_replace(string_agg(line, chr(10) order by line_id), '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g') p from layout_lines group by 1, 2) group by 1")
 def _(t):
     from inkspan.functions.text import strip
@@ -182,3 +176,31 @@ def _(t):
 
     wrong = F.concat(F.col("line"), F.lit(" cafe\u0301 "), F.lit("é’ü".encode().decode("cp1252")))
     return repair_unicode(t.doc_lines().withColumn("line", wrong), "line").select("doc_id", "line_no", "line")
+
+
+@query("s13_structured_output", "select doc_id, page_id, string_agg(l, chr(10) order by line_id) as shape from (select doc_id, page_id, line_id, string_agg(replace(text, chr(160), ' ') || '@' || (100 * span_id + 30 * line_id)::varchar, '|' order by span_id) as l from spans group by 1, 2, 3) group by 1, 2")
+def _(t):
+    """A page's lines as blocks of one line."""
+    from inkspan.operators.pages import structured_pages
+
+    x = (10.0 * F.col("span_id") + 3.0 * F.col("line_id")) / 600
+    box = G.box(x, F.col("line_id") / 100.0, x + 0.01, (F.col("line_id") + 1) / 100.0)
+    df = t.spans().select(*KEYS, F.col("line_id").alias("block_id"), "span_id", "text", box.alias("box"), F.lit(600.0).alias("w"), F.lit(800.0).alias("h"))
+    pages = structured_pages(df, keep_chars=False, sort=True)
+    span = lambda p: F.concat(p["text"], F.lit("@"), F.round(p["box"]["x0"] * 10).cast("long").cast("string"))
+    line = lambda x: F.array_join(F.transform(x["spans"], span), "|")
+    return pages.select("doc_id", "page_id", F.array_join(F.flatten(F.transform("blocks", lambda b: F.transform(b["lines"], line))), "\n").alias("shape"))
+
+
+FIGURES = "g as (select *, row_number() over (partition by doc_id, page_id order by region_id) - 1 as n from regions where label = 'figure')"
+
+
+@query(
+    "s19_figure_lines",
+    f", {FIGURES}, h as (select l.doc_id, l.page_id, r.region_id, l.line_id from layout_lines l join g r using (doc_id, page_id) where {SHARE} > 0.7), f as (select doc_id, page_id, region_id, min(line_id) as line_id from h group by 1, 2, 3), near as (select r.doc_id, r.page_id, r.region_id, r.n, l.line_id from g r join layout_lines l using (doc_id, page_id) qualify row_number() over (partition by r.doc_id, r.page_id, r.region_id order by (l.x0 - r.x0) * (l.x0 - r.x0) + (l.y0 - r.y0) * (l.y0 - r.y0), l.line_id) = 1), m as (select n.doc_id, n.page_id, coalesce(f.line_id, n.line_id) as line_id, string_agg(chr(10) || chr(10) || '![' || n.page_id || '_image_' || n.n || '.png](' || n.page_id || '_image_' || n.n || '.png)' || chr(10) || chr(10), '' order by n.n) as mark from near n left join f using (doc_id, page_id, region_id) group by 1, 2, 3) select l.doc_id, l.page_id, l.line_id, case when exists (select 1 from h where h.doc_id = l.doc_id and h.page_id = l.page_id and h.line_id = l.line_id) then '' else l.line end || coalesce(m.mark, '') as line from layout_lines l left join m using (doc_id, page_id, line_id)",
+)
+def _(t):
+    from inkspan.operators.pages import with_figures
+
+    box = lambda x: G.box(x["x0"], x["y0"], x["x1"], x["y1"])
+    return with_figures(t.layout_lines(), t.regions().filter("label = 'figure'"), lambda figure, x: G.overlap_share(box(x), box(figure)))
