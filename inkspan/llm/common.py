@@ -88,6 +88,7 @@ def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
         df.write.option("compression", compression).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
+    discard(*df.__dict__.pop("_inkspan_reads", ()))
     return owned(spark.read.schema(df.schema).parquet(path), path)
 
 
@@ -101,6 +102,12 @@ def owned(df: DataFrame, path: str) -> DataFrame:
     return df
 
 
+def once_stored(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """df, which reads stored tables that go as soon as df itself is stored."""
+    df._inkspan_reads = tables
+    return df
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that nothing yet to run reads."""
     for df in tables:

@@ -262,11 +262,12 @@ def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFra
     component = lambda c: F.coalesce(f"_{c}", c).alias(c)
     of = lambda c: parts.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
     more = stored(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(component("a"), component("b")))
-    joined = components(more).select(F.col("id").alias("component"), F.col("component").alias("_whole"))
+    settled = stored(components(more))
+    joined = settled.select(F.col("id").alias("component"), F.col("component").alias("_whole"))
     grown = parts.join(joined, "component", "left").select("id", F.coalesce("_whole", "component").alias("component"))
     new = joined.select(F.col("component").alias("id"), F.col("_whole").alias("component")).join(parts, "id", "left_anti")
     out = stored(grown.union(new))
-    discard(links, blocks, found, dense, texts, wanted, parts, more)
+    discard(links, blocks, found, dense, texts, wanted, parts, more, settled)
     return out
 
 

@@ -39,9 +39,10 @@ def brute(items, percent=80):
     return {k: sets.find(k) for k in keys}
 
 
-@pytest.mark.parametrize("block", [links.BLOCK, 2])
-def test_near_duplicates(spark, tmp_path, monkeypatch, block):
+@pytest.mark.parametrize("block,small", [(links.BLOCK, components.SMALL), (2, 0)])
+def test_near_duplicates(spark, tmp_path, monkeypatch, block, small):
     monkeypatch.setattr(links, "BLOCK", block)  # small blocks split every group
+    monkeypatch.setattr(components, "SMALL", small)  # and links go through the rounds of stars
     want = brute({d: shingles(t, 4) for d, t, *_ in data.rows()})
     got = neardup.op10_minhash_near_dedup(spark, data.write(spark, tmp_path, data.frame(spark, True))).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == want and len(got) == len(want)
@@ -72,12 +73,13 @@ def test_kept_documents_keep_their_rows(spark):
     assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == sorted(d for d, c in want.items() if d == c)
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("small", [0, components.SMALL])
+def test_components_of_paths_and_stars(spark, small):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(300, 200), (200, 300), (7, 7)]
     df = spark.createDataFrame(edges, "a long, b long")
-    got = {r["id"]: r["component"] for r in components.components(df).collect()}
+    got = {r["id"]: r["component"] for r in components.components(df, small=small).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 160)}, 200: 200, 300: 200}
-    assert components.components(df.limit(0)).count() == 0
+    assert components.components(df.limit(0), small=small).count() == 0
 
 
 def lines_of(t):
