@@ -19,7 +19,7 @@ pass. Items are named by 64-bit hashes of the line's bytes.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.llm.common import WS, arrow_map, discard, documents, flag_in, join_found, maybe_in, mix, one_text_each, row_sets, row_slices, slice_hashes, stored, utf8
@@ -31,6 +31,11 @@ BANDS, ROWS = 10, 3
 SKETCH = 32
 #: Distinct shingles up to which all of a line's links are looked for by independent orders, and their bands.
 SHORT, SHORT_BANDS = 64, 16
+#: Entries of buckets travel as vectors, in 2^PART_BITS parts by the buckets' highest bits; a task deals out so many at
+#: a time, and another takes one part at a time, 16 bytes each.
+PART_BITS, HELD = 12, 1 << 20
+LINE_SCHEMA = "item long, doc_id long, line_no int, first boolean, part int, entries binary"
+LINE_COLUMNS = ["item", "doc_id", "line_no", "first", "part", "entries"]
 _FACTOR = 0x9E3779B97F4A7C15
 _ORDERS = mix(np.arange(1, SHORT_BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(_FACTOR)) | np.uint64(1)
 _BLANK = np.zeros(256, bool)
@@ -145,8 +150,22 @@ def text_lines(data: np.ndarray, offsets: np.ndarray):
 
 
 def _line_rows(batches, percent: int):
+    """Rows of lines (item, doc_id, line_no, first), and rows of what goes into buckets (part, entries)."""
     import pyarrow as pa
 
+    held, n = [], 0
+
+    def dealt():
+        entries = np.concatenate(held)
+        part = (entries[:, 0].view(np.uint64) >> np.uint64(64 - PART_BITS)).astype(np.int16)
+        order = np.argsort(part, kind="stable")
+        bounds = np.searchsorted(part[order], np.arange((1 << PART_BITS) + 1))
+        parts = np.flatnonzero(np.diff(bounds)).astype(np.int32)
+        ends = (16 * np.append(0, bounds[1:][parts])).astype(np.int32)
+        blobs = pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(entries[order]))])
+        none = [pa.nulls(len(parts), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.bool_())]
+        return pa.RecordBatch.from_arrays([*none, pa.array(parts), blobs], names=LINE_COLUMNS)
+
     for batch in batches:
         all_data, all_offsets = utf8(batch.column("text"))
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -156,15 +175,73 @@ def _line_rows(batches, percent: int):
             if not len(rows):
                 continue
             items = slice_hashes(data, starts, ends).view(np.int64)
-            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # bytes to characters
-            h, begins = char_shingles(code_points(data), chars[starts], chars[ends])
-            buckets, none = line_bands(h, begins, percent)
             order = np.lexsort((items, rows))  # stable: a document's first of each item comes first
             first = np.ones(len(rows), bool)
             first[order[1:]] = (items[order[1:]] != items[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
-            cols = {"item": items, "doc_id": ids[a:b][rows], "line_no": numbers.astype(np.int32), "first": first}
-            found = {f"b{i}": pa.array(np.ascontiguousarray(buckets[:, i]), mask=np.ascontiguousarray(none[:, i])) for i in range(BANDS + SHORT_BANDS)}
-            yield pa.RecordBatch.from_pydict({k: pa.array(np.ascontiguousarray(v)) for k, v in cols.items()} | found)
+            lines = [pa.array(np.ascontiguousarray(v)) for v in (items, ids[a:b][rows], numbers.astype(np.int32), first)]
+            yield pa.RecordBatch.from_arrays([*lines, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names=LINE_COLUMNS)
+            items, one = np.unique(items, return_index=True)  # equal lines go into equal buckets
+            starts, ends = starts[one], ends[one]
+            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # bytes to characters
+            buckets, none = line_bands(*char_shingles(code_points(data), chars[starts], chars[ends]), percent)
+            some = ~none
+            held.append(np.stack([buckets[some], np.repeat(items, some.sum(axis=1))], axis=1))
+            n += len(held[-1])
+            if n >= HELD:
+                yield dealt()
+                held, n = [], 0
+    if n:
+        yield dealt()
+
+
+def shared_buckets(entries: np.ndarray) -> np.ndarray:
+    """The distinct rows (bucket, item) of buckets that several items share."""
+
+    def runs(bucket: np.ndarray) -> np.ndarray:
+        again = np.concatenate([[False], bucket[1:] == bucket[:-1], [False]])
+        return again[1:] | again[:-1]
+
+    if not len(entries):
+        return entries
+    order = np.argsort(entries[:, 0])
+    some = entries[order[runs(entries[order, 0])]]  # few, as a rule
+    some = some[np.lexsort((some[:, 1], some[:, 0]))]
+    new = np.ones(len(some), bool)
+    new[1:] = (some[1:] != some[:-1]).any(axis=1)
+    some = some[new]
+    return some[runs(some[:, 0])] if len(some) else some
+
+
+def _member_rows(batches):
+    """(bucket, item) of the shared buckets, from rows (part, entries) in order of parts."""
+    import pyarrow as pa
+
+    held, last = [], None
+
+    def members():
+        some = shared_buckets(np.concatenate(held))
+        for a in range(0, len(some), 1 << 16):
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(some[a : a + (1 << 16), 0].copy()), "item": pa.array(some[a : a + (1 << 16), 1].copy())})
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = batch.column("part").to_numpy()
+        column = batch.column("entries")
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        entries = np.frombuffer(column.buffers()[2], np.int64, (ends[-1] - ends[0]) // 8, ends[0]).reshape(-1, 2)
+        if held and part[0] != last:
+            yield from members()
+            held = []
+        last = part[-1]
+        cut = (ends[np.searchsorted(part, last)] - ends[0]) // 16  # the last part may go on in the next batch
+        if cut:
+            held.append(entries[:cut])
+            yield from members()
+            held = []
+        held.append(entries[cut:].copy())
+    if held:
+        yield from members()
 
 
 def line_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,16 +269,15 @@ def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     """One row for each line that holds a word: doc_id, line_no, first_doc_id and first_line_no (the line
     that stands for its class) and kept (it is that line)."""
     docs = one_text_each(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id")
-    names = [f"b{i}" for i in range(BANDS + SHORT_BANDS)]
-    lines = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent), "item long, doc_id long, line_no int, first boolean, " + ", ".join(f"{b} long" for b in names)))
-    # One row for each text of a line: its bands (equal lines have equal ones), where it occurs first, how often.
-    # min_by sees a doc_id once for each item, so it has no ties.
+    made = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent), LINE_SCHEMA))
+    lines = made.filter("part is null").select("item", "doc_id", "line_no", "first")
+    # Buckets of one item lead nowhere.
+    dealt = made.filter("part is not null").select("part", "entries").repartition("part").sortWithinPartitions("part")
+    members = stored(arrow_map(dealt, _member_rows, "bucket long, item long"))
+    # One row for each text of a line: where it occurs first, how often. min_by sees a doc_id once for each item,
+    # so it has no ties.
     once = F.when(F.col("first"), F.col("doc_id"))
-    items = stored(lines.groupBy("item").agg(*[F.max(b).alias(b) for b in names], F.min("doc_id").alias("doc_id"), F.min_by("line_no", once).alias("line_no"), F.count("*").alias("c")))
-    entries = items.select("item", F.explode(F.array(*names)).alias("bucket")).filter("bucket is not null")
-    # Buckets of one item lead nowhere. lag and lead look at neighbours alone, however large a bucket is.
-    w = Window.partitionBy("bucket").orderBy("item")
-    members = stored(entries.withColumns({"_p": F.lag("item").over(w), "_n": F.lead("item").over(w)}).filter("_p is not null or _n is not null").select("bucket", "item"))
+    items = stored(lines.groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.min_by("line_no", once).alias("line_no"), F.count("*").alias("c")))
     involved = stored(members.select("item").distinct())
     places = items.select("item", "doc_id", "line_no")
     at = stored(maybe_in(places, "item", involved).join(involved, "item", "left_semi"))

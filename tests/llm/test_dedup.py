@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from inkspan.llm import chunkdedup, components, linededup, links, neardup
@@ -283,3 +285,29 @@ def test_recall_of_links_on_documents(spark):
     links = links_by_lists({k: {x} if len(x) < 8 else {x[j : j + 8] for j in range(len(x) - 7)} for k, x in lines.items()})
     found = {(r["doc_id"], r["line_no"]): (r["first_doc_id"], r["first_line_no"]) for r in linededup.line_classes(df).collect()}
     assert len(links) > 100 and sum(found[a] == found[b] for a, b in links) >= 0.99 * len(links)
+
+
+def test_bucket_entries_travel_as_vectors():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    base = [data.words(rng, 30) for _ in range(40)]
+    texts = ["\n".join(rng.choice(base) + rng.choice(["", "", " x", data.words(rng, 20)]) for _ in range(30)) for _ in range(60)]
+    want: dict[int, set[int]] = {}
+    for t in texts:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        _, _, starts, ends = linededup.text_lines(raw, np.array([0, len(raw)]))
+        items = linededup.slice_hashes(raw, starts, ends).view(np.int64)
+        buckets, none = linededup.line_bands(*linededup.char_shingles(linededup.code_points(raw), starts, ends))
+        for i, b, no in zip(items.tolist(), buckets, none, strict=True):
+            for x in b[~no].tolist():
+                want.setdefault(x, set()).add(i)
+    made = [list(linededup._line_rows([pa.RecordBatch.from_pydict({"doc_id": pa.array(range(a, a + 20)), "text": pa.array(texts[a : a + 20])})], 80)) for a in (0, 20, 40)]
+    rows = pa.Table.from_batches([b for task in made for b in task])
+    assert rows.num_rows <= 60 * 30 + 3 * (1 << linededup.PART_BITS)  # no row for each bucket of a line
+    entries = rows.filter(pa.compute.is_valid(rows["part"])).select(["part", "entries"]).sort_by("part").combine_chunks()
+    for step in (7, 10_000):  # a part goes over batches
+        got = [(b, i) for batch in linededup._member_rows(entries.to_batches(max_chunksize=step)) for b, i in zip(batch["bucket"].to_pylist(), batch["item"].to_pylist(), strict=True)]
+        assert sorted(got) == sorted((b, i) for b, items in want.items() if len(items) > 1 for i in items) and got
