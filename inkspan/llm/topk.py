@@ -4,13 +4,16 @@
    before the shuffle.
 2. The index is written once, a row for each shard of at most SHARD documents: its terms (64-bit hashes of
    words), their postings and impacts' parts. A shard's documents are in an order that puts like ones
-   together, so that the largest impact of a term in a block of BLOCK documents says much about the block.
+   together, so that the largest impact of a term in a block of BLOCK documents says much about the block, and so
+   that a query meets the columns of its own kind of documents only.
 3. Queries go in blocks of at most QUERY_TERMS terms, with the corpus' statistics of their terms, to all tasks.
-   A task reads shards and takes queries in batches of like ones. Of a shard's terms, the frequent ones
-   (MaxScore's non-essential lists) form a matrix of impacts, the others stay lists. For each query the lists of
-   its rarer terms are added up by document; with the block maxima of its frequent terms this bounds every
-   document, and documents under the k-th best score so far are passed over, in whole blocks where no pivot
-   document is left. Blocks are taken by falling bound; what remains gets its frequent terms by a product of matrices.
+   A task reads shards and takes queries in batches of like ones. A shard's documents lie in sections of one kind
+   (`kinds`; languages, as a rule). Of a section's terms, the frequent ones (MaxScore's non-essential lists) form a
+   matrix of impacts, the others stay lists. For each query the lists of its rarer terms are added up by document;
+   with the largest impacts of its frequent terms this bounds each section, block and document, and what is under
+   the k-th best score so far is passed over: sections, blocks, and documents where none is a pivot. Blocks are
+   taken by falling bound; what remains gets its frequent terms by a product of matrices. One shard of AHEAD is
+   searched first, by all tasks; the k-th scores found there are where the tasks for the others start from.
 4. Bounds and sums are 32-bit with a margin; the documents near the k-th score are scored again in 64 bits, in
    the order of terms. A task keeps its k best of each query from shard to shard, and the merge of all tasks' is
    by score, then doc_id. As every score uses the global statistics, the merge is exact.
@@ -38,8 +41,38 @@ QUERY_TERMS, SHARD, POSTINGS, BLOCK, BATCH = 1 << 20, 4096, 3 << 20, 64, 256
 DENSE, COLUMNS = 48, 2048
 #: Blocks that are scored together; the share by which sums of 32 bits may be off.
 WAVE, MARGIN = 16, 2e-5
-#: Postings that are added up at a time.
-PART = 1 << 20
+#: Leading words that are looked at for kinds of documents; documents of a section; one shard of so many is searched first.
+LEADS, SECTION, AHEAD = 64, 256, 16
+#: Postings that are added up at a time; terms whose frequencies a task adds up.
+PART, COUNTED = 1 << 20, 1 << 20
+
+
+def kinds(rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """A number of each of n rows, by their terms: rows that share their most frequent words, as those of one language
+    do, have the same. It orders and groups rows, no more."""
+    lead = np.zeros(n, np.int64)
+    by_count = np.lexsort((terms, counts, rows))
+    lead[rows[by_count]] = terms[by_count]  # the last of a row stays
+    words, size = np.unique(lead, return_counts=True)
+    words = words[np.argsort(-size, kind="stable")[:LEADS]]
+    order = np.argsort(words)
+    at = np.minimum(np.searchsorted(words[order], terms), len(words) - 1)
+    some = words[order][at] == terms if len(words) else np.zeros(len(terms), bool)
+    uses = np.zeros((n, len(words)), np.int32)
+    uses[rows[some], order[at[some]]] = counts[some]
+    heads, kind = [], np.zeros(len(words), np.int64)
+    for i, word in enumerate(words.tolist()):  # a word goes with the head that most of the rows it leads hold too
+        held = (uses[lead == word][:, heads] > 0).mean(axis=0) if heads else np.zeros(1)
+        if heads and held.max() >= 0.5:
+            kind[i] = held.argmax()
+        else:
+            kind[i] = len(heads)
+            heads.append(i)
+    votes = np.zeros((n, len(heads) + 1), np.int64)
+    for i in range(len(words)):
+        votes[:, kind[i]] += uses[:, i]
+    votes[:, -1] = votes[:, :-1].max(axis=1, initial=0) == 0
+    return votes.argmax(axis=1)
 
 
 def term_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,15 +100,40 @@ def _batches(batches):
 
 
 def _count_rows(batches):
+    """(term, df) of what a task reads, added up while it is at most COUNTED terms; a last row without a term has
+    the documents and words."""
     import pyarrow as pa
 
+    held, n, docs, words = [], 0, 0, 0
+
+    def added():
+        t, c = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(t)
+        t, c = t[order], c[order]
+        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        return t[first], np.add.reduceat(c, first)
+
+    def rows(t, c):
+        for a in range(0, len(t), 1 << 16):
+            zeros = np.zeros(len(t[a : a + (1 << 16)]), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(t[a : a + (1 << 16)]), pa.array(c[a : a + (1 << 16)]), pa.array(zeros), pa.array(zeros)], names=["term", "df", "docs", "words"])
+
     for ids, _, terms, _, lengths in _batches(batches):
+        docs, words = docs + len(ids), words + int(lengths.sum())
         t, c = np.unique(terms, return_counts=True)
-        n = len(t) + 1
-        first = np.zeros(n, np.int64)
-        docs, words = first.copy(), first.copy()
-        docs[-1], words[-1] = len(ids), lengths.sum()
-        yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(t, 0), mask=np.arange(n) == n - 1), "df": pa.array(np.append(c, 0)), "docs": pa.array(docs), "words": pa.array(words)})
+        if not len(t):
+            continue
+        held.append((t, c))
+        n += len(t)
+        if n >= COUNTED:
+            held = [added()]
+            n = len(held[0][0])
+            if 2 * n >= COUNTED:
+                yield from rows(*held[0])
+                held, n = [], 0
+    if held:
+        yield from rows(*added())
+    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0]), pa.array([docs]), pa.array([words])], names=["term", "df", "docs", "words"])
 
 
 def _query_rows(batches):
@@ -86,8 +144,8 @@ def _query_rows(batches):
 
 
 class Queries:
-    """A block of queries: their ids, and terms by query with weights, over a sorted vocabulary. Queries whose
-    commonest word is the same stand together."""
+    """A block of queries: their ids, and terms by query with weights, over a sorted vocabulary. Queries of a
+    kind stand together."""
 
     def __init__(self, ids, terms, counts, df, n_docs: int):
         order = np.lexsort((terms, ids))
@@ -98,15 +156,20 @@ class Queries:
         weights = counts * np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
         self.vocabulary, terms = np.unique(terms, return_inverse=True)
         names, first, number = np.unique(ids, return_index=True, return_inverse=True)
-        lead = np.zeros(len(names), np.int64)
-        by_count = np.lexsort((terms, counts, number))
-        lead[number[by_count]] = terms[by_count]  # the last of a query stays
         size = np.diff(np.append(first, len(ids)))
-        order = np.lexsort((size, lead))
+        order = np.lexsort((size, kinds(number, terms, counts, len(names))))
         self.ids = names[order]
         self.bounds = np.concatenate([[0], np.cumsum(size[order])])
         at = np.arange(len(ids)) + np.repeat(first[order] - self.bounds[:-1], size[order])
         self.terms, self.weights = terms[at], weights[at]
+        #: What the k-th score of each is at least.
+        self.floors = np.zeros(len(names))
+
+    def start_from(self, found) -> None:
+        """Takes the k-th scores in a part of the documents, an Arrow table (query_id, score)."""
+        order = np.argsort(self.ids)
+        at = order[np.searchsorted(self.ids[order], found.column("query_id").to_numpy())]
+        self.floors[at] = found.column("score").to_numpy()
 
 
 class Best:
@@ -129,22 +192,24 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def build(ids, rows, terms, counts, lengths) -> dict[str, np.ndarray]:
-    """A shard's index: ids and lengths of documents in their new order; terms, and where each one's postings
-    begin; documents and counts of postings, by term, then document."""
-    lead = np.full(len(ids), 0, np.int64)
-    by_count = np.lexsort((terms, counts, rows))
-    lead[rows[by_count]] = terms[by_count]  # the most frequent word tells languages apart
-    order = np.lexsort((lengths, lead))
+    """A shard's index: ids and lengths of documents in their new order, and where sections of one kind end; terms,
+    and where each one's postings begin; documents and counts of postings, by term, then document."""
+    kind = kinds(rows, terms, counts, len(ids))
+    size = np.bincount(kind)
+    kind[size[kind] < SECTION] = len(size)  # small ones together, at the end
+    order = np.lexsort((lengths, kind))
     place = np.empty(len(ids), np.int64)
     place[order] = np.arange(len(ids))
     rows = place[rows]
     by_term = np.lexsort((rows, terms))
     terms = terms[by_term]
     first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.zeros(0, np.int64)
-    return {"ids": ids[order], "lengths": lengths[order].astype(np.int32), "terms": terms[first], "starts": np.append(first, len(terms)).astype(np.int32), "docs": rows[by_term].astype(np.uint16), "counts": counts[by_term].astype(np.int32)}
+    size = np.bincount(kind)
+    made = {"ids": ids[order], "lengths": lengths[order], "sections": np.cumsum(size[size > 0]), "terms": terms[first], "starts": np.append(first, len(terms)), "docs": rows[by_term], "counts": counts[by_term]}
+    return {k: v.astype(INDEX[k]) for k, v in made.items()}
 
 
-INDEX = {"ids": np.int64, "lengths": np.int32, "terms": np.int64, "starts": np.int32, "docs": np.uint16, "counts": np.int32}
+INDEX = {"ids": np.int64, "lengths": np.int32, "sections": np.int32, "terms": np.int64, "starts": np.int32, "docs": np.uint16, "counts": np.int32}
 
 
 def _index_rows(batches):
@@ -176,11 +241,23 @@ def _index_rows(batches):
         yield shard()
 
 
+class Section:
+    """Documents of one kind in a shard: a matrix of the impacts of their frequent terms, and its block maxima."""
+
+    def __init__(self, start: int, blocks: int, columns: int):
+        self.start, self.blocks = start, blocks
+        self.matrix = np.zeros((blocks * BLOCK, columns), np.float32)
+
+    def close(self) -> None:
+        self.maxima = self.matrix.reshape(self.blocks, BLOCK, -1).max(axis=1)
+        self.peaks = self.maxima.max(axis=0)
+
+
 class Shard:
-    """A shard's index as far as a block of queries needs it."""
+    """A shard's index as far as a block of queries needs it. Sections begin with a block, so there are places
+    without a document."""
 
     def __init__(self, index: dict[str, np.ndarray], queries: Queries, average: float):
-        self.ids, n = index["ids"], len(index["ids"])
         at = np.searchsorted(index["terms"], queries.vocabulary)
         at[at == len(index["terms"])] = 0
         hit = index["terms"][at] == queries.vocabulary if len(index["terms"]) else np.zeros(len(at), bool)
@@ -189,77 +266,113 @@ class Shard:
         starts = index["starts"].astype(np.int64)
         first, size = starts[at[hit]], np.diff(starts)[at[hit]]
         where = _ranges(first, size)
-        self.docs, counts = index["docs"][where], index["counts"][where]
+        docs, counts = index["docs"][where], index["counts"][where]
         norm = K1 * (1 - B + B * index["lengths"] / average)
-        self.impacts = counts * (K1 + 1) / (counts + norm[self.docs])
-        self.starts = np.concatenate([[0], np.cumsum(size)])
-        self.size = size
+        impacts = counts * (K1 + 1) / (counts + norm[docs])
+        ends = index["sections"].astype(np.int64)
+        n_docs = np.diff(ends, prepend=0)
+        blocks = -(-n_docs // BLOCK)
+        starts = BLOCK * (np.cumsum(blocks) - blocks)
+        place = np.arange(len(index["ids"])) + np.repeat(starts - (ends - n_docs), n_docs)
+        self.width = int(blocks.sum()) * BLOCK
+        self.ids = np.zeros(self.width, np.int64)
+        self.ids[place] = index["ids"]
+        docs = place[docs]
         # By document, for full scores: terms in the order of the queries' vocabulary.
-        order = np.argsort(self.docs, kind="stable")
-        self.row_terms = np.repeat(np.flatnonzero(hit), size)[order]
-        self.row_impacts = self.impacts[order]
-        self.row_starts = np.searchsorted(self.docs[order], np.arange(n + 1))
-        # The matrix of frequent terms, and its block maxima.
-        self.blocks = -(-n // BLOCK)
-        often = np.flatnonzero(size * DENSE > n)
-        often = often[np.argsort(-size[often], kind="stable")[:COLUMNS]]
-        self.column = np.full(len(size) + 1, -1)  # the last stands for terms that are not here
-        self.column[often] = np.arange(len(often))
-        self.matrix = np.zeros((self.blocks * BLOCK, len(often)), np.float32)
-        some = _ranges(self.starts[often], size[often])
-        self.matrix[self.docs[some], np.repeat(np.arange(len(often)), size[often])] = self.impacts[some]
-        self.maxima = self.matrix.reshape(self.blocks, BLOCK, len(often)).max(axis=1)
+        order = np.argsort(docs.astype(np.uint16) if self.width <= 1 << 16 else docs, kind="stable")
+        term = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.row_terms, self.row_impacts, row = term[order], impacts[order], docs[order]
+        self.row_starts = np.searchsorted(row, np.arange(self.width + 1))
+        # Each section's frequent terms make its matrix; the other postings stay lists.
+        rare = np.ones(len(docs), bool)
+        self.sections, self.columns = [], np.full((len(blocks), len(size)), -1, np.int32)
+        for columns, start, b, n in zip(self.columns, starts.tolist(), blocks.tolist(), n_docs.tolist(), strict=True):
+            here = slice(self.row_starts[start], self.row_starts[start + b * BLOCK])
+            held = np.bincount(self.row_terms[here], minlength=len(size))
+            often = np.flatnonzero(held * DENSE > n)
+            often = often[np.argsort(-held[often], kind="stable")[:COLUMNS]]
+            columns[often] = np.arange(len(often))
+            column = columns[self.row_terms[here]]
+            some = np.flatnonzero(column >= 0)
+            made = Section(start, b, len(often))
+            made.matrix[row[here][some] - start, column[some]] = self.row_impacts[here][some]
+            made.close()
+            self.sections.append(made)
+            rare[order[here][some]] = False
+        self.docs, self.impacts = docs[rare], impacts[rare]
+        self.size = np.bincount(term[rare], minlength=len(size))
+        self.starts = np.cumsum(self.size) - self.size
 
     def search(self, queries: Queries, best: Best) -> None:
         for lo in range(0, len(queries.ids), BATCH):
             self._batch(queries, best, lo, min(lo + BATCH, len(queries.ids)))
 
     def _batch(self, queries: Queries, best: Best, lo: int, hi: int) -> None:
-        n, width = hi - lo, self.blocks * BLOCK
+        n, width = hi - lo, self.width
         a, b = queries.bounds[lo], queries.bounds[hi]
         row = np.repeat(np.arange(n), np.diff(queries.bounds[lo : hi + 1]))
-        number, weight = self.number[queries.terms[a:b]], queries.weights[a:b]
-        column = self.column[number]
-        rare = (number >= 0) & (column < 0)
-        if not (number >= 0).any():
+        number = self.number[queries.terms[a:b]]
+        here = number >= 0
+        if not here.any():
             return
-        size, first, base, w = self.size[number[rare]], self.starts[number[rare]], row[rare] * width, weight[rare]
-        sums, cuts = np.zeros(n * width), np.searchsorted(np.cumsum(size), np.arange(PART, int(size.sum()) + PART, PART))
+        row, number, weight = row[here], number[here], queries.weights[a:b][here]
+        size = self.size[number]
+        rare = np.flatnonzero(size)
+        size, first, base, w = size[rare], self.starts[number[rare]], row[rare] * width, weight[rare]
+        sums, cuts = None, np.searchsorted(np.cumsum(size), np.arange(PART, int(size.sum()) + PART, PART))
         for x, y in zip([0, *(cuts[:-1] + 1).tolist()], [*(cuts[:-1] + 1).tolist(), len(size)], strict=True):  # bounded vectors
             where = _ranges(first[x:y], size[x:y])
-            sums += np.bincount(np.repeat(base[x:y], size[x:y]) + self.docs[where], np.repeat(w[x:y], size[x:y]) * self.impacts[where], n * width)
-        sums = sums.astype(np.float32).reshape(n, width)
-        often = column >= 0
-        weights = np.zeros((n, self.matrix.shape[1]), np.float32)
-        weights[row[often], column[often]] = weight[often]
-        bounds = weights @ self.maxima.T
-        tops = bounds + sums.reshape(n, self.blocks, BLOCK).max(axis=2)
-        # The k-th best so far; what a document needs at least, and something of it at all.
-        floor = np.maximum(best.scores[lo:hi, -1], 0).astype(np.float32) * np.float32(1 - MARGIN)
-        order = np.argsort(-tops.max(axis=0), kind="stable")
+            part = np.bincount(np.repeat(base[x:y], size[x:y]) + self.docs[where], np.repeat(w[x:y], size[x:y]) * self.impacts[where], n * width)
+            sums = part if sums is None else sums + part
+        sums = (np.zeros(n * width, np.float32) if sums is None else sums.astype(np.float32)).reshape(n, width // BLOCK, BLOCK)
+        # The k-th best so far, which a document needs at least, and something of it at all.
+        floor = np.maximum(np.maximum(best.scores[lo:hi, -1], queries.floors[lo:hi]).astype(np.float32) * np.float32(1 - MARGIN), np.finfo(np.float32).tiny)
+        found = []
+        for section, columns in zip(self.sections, self.columns, strict=True):
+            column = columns[number]
+            often = np.flatnonzero(column >= 0)
+            column, holder, held = column[often], row[often], weight[often]
+            part = sums[:, section.start // BLOCK :][:, : section.blocks]
+            tops = part.max(axis=2)
+            # The best that any document of the section can have; few queries go on to those of another kind.
+            most = np.bincount(holder, held * section.peaks[column], n) + tops.max(axis=1)
+            mine = np.flatnonzero(most * (1 + MARGIN) >= floor)
+            if not len(mine):
+                continue
+            place = np.full(n, -1)
+            place[mine] = np.arange(len(mine))
+            asks = place[holder] >= 0
+            weights = np.zeros((len(mine), section.matrix.shape[1]), np.float32)
+            weights[place[holder[asks]], column[asks]] = held[asks]
+            bounds = weights @ section.maxima.T
+            found.append((section, mine, weights, bounds, (bounds + tops[mine]) * np.float32(1 + MARGIN), part))
         kept_q, kept_d, kept_s = [], [], []
         highest = np.full((n, best.k), -np.inf, np.float32)
-        for at in range(0, self.blocks, WAVE):
-            wave = order[at : at + WAVE]
-            open_ = (tops[:, wave] * np.float32(1 + MARGIN) >= floor[:, None]) & (tops[:, wave] > 0)
-            asked = np.flatnonzero(open_.any(axis=1))
-            wave = wave[open_.any(axis=0)]
-            if not len(asked):
-                continue
-            docs = (wave[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            part = sums[asked[:, None], docs]
-            pivots = (part + np.repeat(bounds[asked[:, None], wave], BLOCK, axis=1)) * np.float32(1 + MARGIN) >= floor[asked][:, None]
-            left = np.flatnonzero(pivots.any(axis=0))
-            docs = docs[left]
-            scores = part[:, left] + weights[asked] @ self.matrix[docs].T
-            if scores.shape[1] >= best.k:
-                high = np.concatenate([highest[asked], np.partition(scores, scores.shape[1] - best.k, axis=1)[:, -best.k :]], axis=1)
-                highest[asked] = np.partition(high, best.k, axis=1)[:, best.k :]
-                floor[asked] = np.maximum(floor[asked], highest[asked].min(axis=1) * np.float32(1 - MARGIN))
-            i, j = np.nonzero((scores >= floor[asked][:, None]) & (scores > 0))
-            kept_q.append(asked[i])
-            kept_d.append(docs[j])
-            kept_s.append(scores[i, j])
+        for section, mine, weights, bounds, tops, sums in sorted(found, key=lambda x: -len(x[1])):
+            order = np.argsort(-tops.max(axis=0), kind="stable")
+            for at in range(0, section.blocks, WAVE):
+                wave = order[at : at + WAVE]
+                open_ = tops[:, wave] >= floor[mine][:, None]
+                some = np.flatnonzero(open_.any(axis=1))
+                wave = wave[open_.any(axis=0)]
+                if not len(some):
+                    continue
+                asked = mine[some]
+                part = sums[asked[:, None], wave]
+                pivots = (part + bounds[some[:, None], wave][:, :, None]) * np.float32(1 + MARGIN) >= floor[asked][:, None, None]
+                left = np.flatnonzero(pivots.any(axis=0).reshape(-1))
+                docs = (wave[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)[left]
+                scores = part.reshape(len(some), -1)[:, left] + weights[some] @ section.matrix[docs].T
+                i, j = np.nonzero(scores >= floor[asked][:, None])
+                kept_q.append(asked[i])
+                kept_d.append(docs[j] + section.start)
+                kept_s.append(scores[i, j])
+                if len(i) and len(left) > best.k:
+                    raised = np.unique(i)
+                    high = np.partition(scores[raised], len(left) - best.k, axis=1)[:, -best.k :]
+                    raised = asked[raised]
+                    highest[raised] = np.partition(np.concatenate([highest[raised], high], axis=1), best.k, axis=1)[:, best.k :]
+                    floor[raised] = np.maximum(floor[raised], highest[raised].min(axis=1) * np.float32(1 - MARGIN))
         if not kept_q:
             return
         q, d, s = np.concatenate(kept_q), np.concatenate(kept_d), np.concatenate(kept_s)
@@ -267,17 +380,19 @@ class Shard:
         q, d = q[near], d[near]
         order = np.argsort(q, kind="stable")
         q, d = q[order], d[order]
-        full = np.zeros(len(queries.vocabulary))
+        full = np.zeros(len(self.size) + 1)  # the last is for terms that are not here
         ends = np.searchsorted(q, np.arange(n + 1))
         for k in np.flatnonzero(np.diff(ends)).tolist():
             mine = slice(queries.bounds[lo + k], queries.bounds[lo + k + 1])
-            full[queries.terms[mine]] = queries.weights[mine]
+            terms = self.number[queries.terms[mine]]
+            full[terms] = queries.weights[mine]
+            full[-1] = 0
             docs = d[ends[k] : ends[k + 1]]
             begin, size = self.row_starts[docs], self.row_starts[docs + 1] - self.row_starts[docs]
             where = _ranges(begin, size)
             scores = np.add.reduceat(full[self.row_terms[where]] * self.row_impacts[where], np.cumsum(size) - size)
             best.add(lo + k, self.ids[docs], scores)
-            full[queries.terms[mine]] = 0
+            full[terms] = 0
 
 
 def _search_rows(queries: Queries, average: float, k: int):
@@ -295,6 +410,18 @@ def _search_rows(queries: Queries, average: float, k: int):
     return run
 
 
+def _search(index: DataFrame, queries: Queries, average: float, k: int) -> DataFrame:
+    sent = index.sparkSession.sparkContext.broadcast(queries)
+    rows = stored(arrow_map(index, lambda b: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
+    sent.destroy()
+    return rows
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def search(df: DataFrame, queries: DataFrame, k: int = K, doc_id: str = "doc_id", text: str = "text", query_id: str = "query_id", query: str = "query") -> DataFrame:
     """(query_id, rank, doc_id, score): the k best rows of df for each row of queries."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null")
@@ -309,18 +436,20 @@ def search(df: DataFrame, queries: DataFrame, k: int = K, doc_id: str = "doc_id"
     discard(counts)
     blocks = max(1, -(-terms.count() // QUERY_TERMS))
     index = stored(arrow_map(docs, _index_rows, ", ".join(f"{c} binary" for c in INDEX)), "zstd")
-    spark, found = df.sparkSession, None
+    some = F.pmod(F.xxhash64("ids"), F.lit(AHEAD)) == 0
+    halves = [index.filter(some), index.filter(~some)] if index.count() >= 2 * AHEAD else [index]
+    found = None
     for i in range(blocks):
         got = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).toArrow()
         block = Queries(*[got.column(c).to_numpy() for c in ("query_id", "term", "n", "df")], n)
         del got
-        sent = spark.sparkContext.broadcast(block)
-        rows = stored(arrow_map(index, lambda b, sent=sent: _search_rows(sent.value, average, k)(b), "query_id long, doc_id long, score double"))
-        sent.destroy()
-        found = rows if found is None else found.union(rows)
+        for half in halves:
+            rows = _search(half, block, average, k)
+            found = rows if found is None else found.union(rows)
+            if half is not halves[-1]:
+                block.start_from(_ranked(rows, k).filter(F.col("rank") == k).select("query_id", "score").toArrow())
     discard(terms, index)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    return _ranked(found, k).select("query_id", "rank", "doc_id", "score")
 
 
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

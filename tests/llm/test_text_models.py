@@ -217,6 +217,70 @@ def test_topk_equals_brute_force(spark, monkeypatch, sizes):
     assert topk.search(data.empty(spark), frame, query_id="doc_id", query="text").count() == 0
 
 
+def _index(texts):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    (made,) = topk._index_rows([batch])
+    (_, rows, terms, counts, lengths), = topk._batches([batch])
+    df = dict(zip(*np.unique(terms, return_counts=True), strict=True))
+    queries = topk.Queries(rows, terms, counts, np.array([df[t] for t in terms.tolist()]), len(texts))
+    return made, queries, float(lengths.mean())
+
+
+def test_topk_multiplies_within_kinds_of_documents():
+    rng = np.random.default_rng(3)
+    kinds = [[f"{c}{i}" for i in range(200)] for c in "abc"]
+    texts = [" ".join([k[0], k[0], k[0], *rng.choice(k[1:], 30).tolist()]) for k in kinds for _ in range(320)]
+    made, queries, average = _index(rng.permutation(texts).tolist())
+    shard = topk.Shard({c: np.frombuffer(made.column(c)[0].as_buffer(), t) for c, t in topk.INDEX.items()}, queries, average)
+    assert len(shard.sections) == 3 and len(shard.number) == 600
+    assert sum(s.matrix.size for s in shard.sections) <= 960 * 600 / 3  # a query's columns against its own kind alone
+
+
+def test_topk_tasks_start_from_scores_found_elsewhere(spark, monkeypatch):
+    texts = [f"one two {'three ' * (i % 7)} w{i % 11} w{i % 13}" for i in range(80)]
+    made, queries, average = _index(texts)
+    whole = topk._search_rows(queries, average, 3)
+    (rows,) = whole([made])
+    found = rows.to_pandas().groupby("query_id").score.min().rename("score").reset_index()
+    import pyarrow as pa
+
+    queries.start_from(pa.Table.from_pandas(found))
+    queries.floors += 1e-3 * queries.floors  # as if better ones were known
+    (fewer,) = whole([made])
+    least = dict(zip(found["query_id"], found["score"], strict=True))
+    assert 0 < fewer.num_rows < rows.num_rows and all(r["score"] > least[r["query_id"]] for r in fewer.to_pylist())
+    # Shards (one a task) searched in two parts give what one search gives.
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    want = topk.search(frame, frame, k=4, query_id="doc_id", query="text").sort("query_id", "rank").collect()
+    parts, search = [], topk._search
+    monkeypatch.setattr(topk, "AHEAD", 2)
+    monkeypatch.setattr(topk, "_search", lambda index, *how: parts.append(index.count()) or search(index, *how))
+    assert topk.search(frame, frame, k=4, query_id="doc_id", query="text").sort("query_id", "rank").collect() == want
+    assert len(parts) == 2 and sum(parts) == 8 and all(parts)
+
+
+def test_topk_adds_up_frequencies_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"w{i % 3} w{i % 5} v{i} v{i // 2}" for i in range(40)] + [None, ""]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array([i]), "text": pa.array([t], pa.string())}) for i, t in enumerate(texts)]
+    want = Counter()
+    for batch in batches:
+        for _, _, terms, _, _ in topk._batches([batch]):
+            want.update(terms.tolist())
+    for most in (8, 24, 1 << 20):
+        monkeypatch.setattr(topk, "COUNTED", most)
+        rows = [r for batch in topk._count_rows(batches) for r in batch.to_pylist()]
+        got = Counter()
+        for r in rows:
+            got[r["term"]] += r["df"]
+        assert got.pop(None) == 0 and got == want
+        assert (sum(r["docs"] for r in rows), sum(r["words"] for r in rows)) == (42, 160)
+    assert len(rows) == len(want) + 1  # each term once, not once for each slice of texts
+
+
 def test_repeated_rows_null_and_large_ids(spark, tmp_path):
     rows = data.odd_rows()
     df = spark.createDataFrame(rows, data.SCHEMA).repartition(3)
