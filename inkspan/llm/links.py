@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import arrow_map, discard, pair_sizes, row_sets, row_slices, stored, utf8
+from inkspan.llm.common import HASH_BITS, ROWS, arrow_map, discard, pair_sizes, row_sets, row_slices, stored, utf8
 from inkspan.llm.components import components
 
 #: Hashes of each row of a byte vector (repeated ones too), one row after another, and where each row's begin.
@@ -40,9 +40,10 @@ def slack(k, percent: int):
     return p * k - 4.5 * (p * (1 - p) * k) ** 0.5
 
 
-def shared(sets: list[np.ndarray], others: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """Sizes of all intersections, as a matrix; values in one set alone take no part."""
-    values, counts = np.unique(np.concatenate([*sets, *others]), return_counts=True)
+def shared(sets: list[np.ndarray], others: list[np.ndarray], again: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections, as a matrix; values in one set alone take no part. again: which of the sets
+    stand among the others too; an intersection of one with itself has no meaning."""
+    values, counts = np.unique(np.concatenate([*others, *[s for s, no in zip(sets, again.tolist(), strict=True) if not no]]), return_counts=True)
     values = values[counts > 1]
     out = np.zeros((len(sets), len(others)), np.float32)
 
@@ -58,7 +59,8 @@ def shared(sets: list[np.ndarray], others: list[np.ndarray], columns: int = 4096
         return out
     (ra, ca), (rb, cb) = at(sets), at(others)
     for c in range(0, len(values), columns):
-        left, right = np.zeros((len(sets), columns), np.float32), np.zeros((len(others), columns), np.float32)
+        width = min(columns, len(values) - c)
+        left, right = np.zeros((len(sets), width), np.float32), np.zeros((len(others), width), np.float32)
         i, j = (ca >= c) & (ca < c + columns), (cb >= c) & (cb < c + columns)
         left[ra[i], ca[i] - c] = 1
         right[rb[j], cb[j] - c] = 1
@@ -66,22 +68,78 @@ def shared(sets: list[np.ndarray], others: list[np.ndarray], columns: int = 4096
     return out
 
 
-def forest(pairs: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Rows of pairs that join components a and b not yet joined."""
-    root: dict[int, int] = {}
+def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Rows of pairs (a, b) that join what the others have not joined: each round, the first pair of each group."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    group, left, out = np.arange(len(names)), np.arange(len(a)), [np.zeros(0, np.int64)]
+    while True:
+        x, y = group[at[left]], group[at[len(a) + left]]
+        apart = x != y
+        x, y, left = x[apart], y[apart], left[apart]
+        if not len(left):
+            return np.sort(np.concatenate(out))
+        first = np.full(len(names), len(left))
+        for side in (x, y):
+            np.minimum.at(first, side, np.arange(len(left)))
+        picked = np.unique(first[first < len(left)])
+        out.append(left[picked])
+        root = list(range(len(names)))
+        for p, q in zip(x[picked].tolist(), y[picked].tolist(), strict=True):
+            while root[p] != p:
+                root[p] = p = root[root[p]]
+            while root[q] != q:
+                root[q] = q = root[root[q]]
+            root[max(p, q)] = min(p, q)
+        root = np.array(root)
+        while (root[root] != root).any():
+            root = root[root]
+        group = root[group]
+
+
+def likely(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], percent: int, sketch: int) -> np.ndarray:
+    """Whether the sets of which these are the sketches (sorted ranges of two lists) may be linked: few in common
+    settles most pairs; the rest are estimated on the union's sketch."""
+    n, out = len(one[1]) - 1, []
+    for lo in range(0, n, ROWS // 2):  # rows and hashes stay within signed integers
+        hi = min(lo + ROWS // 2, n)
+        sizes = [np.diff(begins[lo : hi + 1]) for _, begins in (one, two)]
+        keys = np.concatenate([flat[begins[lo] : begins[hi]] | np.repeat(np.arange(hi - lo) << HASH_BITS, size) for (flat, begins), size in zip((one, two), sizes, strict=True)])
+        keys.sort()
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        both = ~np.append(new[1:], True)[new]
+        row = keys[new] >> HASH_BITS
+        union = np.bincount(row, minlength=hi - lo)
+        first = np.arange(len(row)) - np.repeat(np.cumsum(union) - union, union) < sketch
+        common = np.bincount(row[both], minlength=hi - lo)
+        out.append((common >= np.floor(slack(percent / 100 * np.minimum(*sizes), percent))) & (np.bincount(row[both & first], minlength=hi - lo) >= slack(np.minimum(union, sketch), percent)))
+    return np.concatenate(out) if out else np.zeros(0, bool)
+
+
+def _likely_rows(percent: int, sketch: int):
+    def run(batches):
+        import pyarrow as pa
 
-    def find(x):
-        while root.get(x, x) != x:
-            root[x] = x = root.get(root[x], root[x])
-        return x
+        for batch in batches:
+            lists = [(np.asarray(c.flatten()), np.asarray(c.offsets) - c.offsets[0].as_py()) for c in (batch.column("_a"), batch.column("_b"))]
+            good = pa.array(likely(*lists, percent, sketch))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(good) for c in "ab"], names=["a", "b"])
 
-    out = []
-    for i in pairs.tolist():
-        x, y = find(int(a[i])), find(int(b[i]))
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append(i)
-    return out
+    return run
+
+
+def _sets_of(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, sets_from: SetsFrom) -> tuple[np.ndarray, np.ndarray]:
+    """sets_from for texts of which those with equal ids are equal, and stand together as a rule."""
+    new = np.concatenate([[True], ids[1:] != ids[:-1]])
+    if new.all():
+        return sets_from(data, offsets)
+    kept = np.flatnonzero(new)
+    data = data[np.repeat(new, np.diff(offsets))]
+    flat, begins = sets_from(data, np.concatenate([[0], np.cumsum(np.diff(offsets)[kept])]))
+    which = np.cumsum(new) - 1
+    size = np.diff(begins)[which]
+    ends = np.cumsum(size)
+    return flat[np.arange(int(ends[-1])) + np.repeat(begins[which] - (ends - size), size)], np.concatenate([[0], ends])
 
 
 def _exact(pairs: DataFrame, texts: DataFrame, sets_from: SetsFrom, percent: int) -> DataFrame:
@@ -93,7 +151,8 @@ def _exact(pairs: DataFrame, texts: DataFrame, sets_from: SetsFrom, percent: int
         for batch in batches:
             (da, oa), (db, ob) = utf8(batch.column("_a")), utf8(batch.column("_b"))
             for lo, hi in row_slices(oa + ob, 1 << 19):
-                common, both = pair_sizes(sets_from(da[oa[lo] : oa[hi]], oa[lo : hi + 1] - oa[lo]), sets_from(db[ob[lo] : ob[hi]], ob[lo : hi + 1] - ob[lo]))
+                one, two = batch.column("a").slice(lo, hi - lo).to_numpy(), batch.column("b").slice(lo, hi - lo).to_numpy()
+                common, both = pair_sizes(*[_sets_of(ids, d[o[lo] : o[hi]], o[lo : hi + 1] - o[lo], sets_from) for ids, d, o in ((one, da, oa), (two, db, ob))])
                 good = pa.array(100 * common >= percent * (both - common))
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo).filter(good) for c in "ab"], names=["a", "b"])
 
@@ -173,6 +232,7 @@ def _compare(percent: int, full: bool, sketch: int):
         possible = (component[ia][:, None] != component[ib][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
         # Two items that are both rows meet twice.
         rows = item[ia]
+        again = np.isin(rows, item[ib])
         possible &= ~np.isin(item[ib], rows)[None, :] | (rows[:, None] < item[ib][None, :])
         x, y = np.nonzero(possible)
         if not len(x):
@@ -181,7 +241,7 @@ def _compare(percent: int, full: bool, sketch: int):
             plain = {p: frozenset(sets[p].tolist()) for p in {*ia[x].tolist(), *ib[y].tolist()}}
             common = np.array([len(plain[p] & plain[q]) for p, q in zip(ia[x].tolist(), ib[y].tolist(), strict=True)])
         else:
-            common = shared([sets[p] for p in ia.tolist()], [sets[q] for q in ib.tolist()])[x, y]
+            common = shared([sets[p] for p in ia.tolist()], [sets[q] for q in ib.tolist()], again)[x, y]
         na, nb = n[ia[x]], n[ib[y]]
         exact = 100 * common >= percent * (na + nb - common)
         if full:
@@ -190,7 +250,7 @@ def _compare(percent: int, full: bool, sketch: int):
             good = np.where(np.maximum(na, nb) <= sketch, exact, common >= retained(np.minimum(np.minimum(na, nb), sketch), percent, sketch))
         x, y = ia[x[good]], ib[y[good]]
         if full:
-            keep = forest(np.arange(len(x)), component[x], component[y])
+            keep = forest(component[x], component[y])
             x, y = x[keep], y[keep]
         elif len(x) > FEW * len(item):
             yield (*key, 0, 0, True)
@@ -221,13 +281,7 @@ def classes(members: DataFrame, sketches: DataFrame, texts_of: Callable[[DataFra
     stars = sized.withColumnsRenamed({"item": "b", "n": "nb"}).join(heads, "bucket").filter("a <> b")
     stars = stored(stars.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct())
     sk = lambda r: sketches.select(F.col("item").alias(r), F.col("sketch").alias(f"_{r}"))
-    union = F.slice(F.sort_array(F.array_union("_a", "_b")), 1, sketch)
-    p = percent / 100
-    least = lambda k: p * k - 4.5 * F.sqrt(p * (1 - p) * k)
-    common = F.array_intersect("_a", "_b")
-    # Few in common settles most pairs; the rest are estimated on the union's sketch.
-    near = stars.join(sk("b"), "b").join(sk("a"), "a").filter(F.size(common) >= F.floor(least(p * F.least(F.size("_a"), F.size("_b")))))
-    near = stored(near.filter(F.size(F.array_intersect(common, union)) >= least(F.size(union))).select("a", "b"))
+    near = stored(arrow_map(stars.join(sk("b"), "b").join(sk("a"), "a").select("a", "b", "_a", "_b"), _likely_rows(percent, sketch), "a long, b long"))
     discard(stars)
     wanted = stored(near.select(F.col("a").alias("item")).union(near.select("b")).distinct())
     texts = stored(texts_of(wanted))

@@ -311,3 +311,63 @@ def test_bucket_entries_travel_as_vectors():
     for step in (7, 10_000):  # a part goes over batches
         got = [(b, i) for batch in linededup._member_rows(entries.to_batches(max_chunksize=step)) for b, i in zip(batch["bucket"].to_pylist(), batch["item"].to_pylist(), strict=True)]
         assert sorted(got) == sorted((b, i) for b, items in want.items() if len(items) > 1 for i in items) and got
+
+
+def _ranges_of(sets):
+    return np.concatenate([np.zeros(0, np.int64), *[np.sort(s) for s in sets]]).astype(np.int64), np.cumsum([0, *map(len, sets)])
+
+
+@pytest.mark.parametrize("sketch", [8, 32])
+def test_likely_pairs_by_sketches(sketch):
+    rng = np.random.default_rng(1)
+    one = [np.unique(rng.integers(0, 1 << 52, rng.integers(1, 90)))[:sketch] for _ in range(300)]
+    two = [np.unique(np.concatenate([s[rng.random(len(s)) < 0.85], rng.integers(0, 1 << 52, 1 + i % 9)]))[:sketch] for i, s in enumerate(one)]
+    want = []
+    for a, b in zip(one, two, strict=True):
+        common, union = {*a.tolist()} & {*b.tolist()}, sorted({*a.tolist()} | {*b.tolist()})[:sketch]
+        least = lambda k: 0.8 * k - 4.5 * (0.8 * (1 - 0.8) * k) ** 0.5
+        want.append(len(common) >= np.floor(least(0.8 * min(len(a), len(b)))) and len(common & {*union}) >= least(len(union)))
+    got = links.likely(_ranges_of(one), _ranges_of(two), 80, sketch)
+    assert got.tolist() == want and (sketch == 8 or 0 < sum(want) < 300)
+    assert links.likely(_ranges_of(one * 20), _ranges_of(two * 20), 80, sketch).tolist() == want * 20
+    assert not len(links.likely(_ranges_of([]), _ranges_of([]), 80, sketch))
+
+
+def test_forest_joins_all_with_the_fewest_pairs():
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 0), (2, 1), (40, 25), (40, 400), (500, 450)):
+        a, b = rng.integers(0, n, m) * 7 - 9, rng.integers(0, n, m) * 7 - 9
+        picked = links.forest(a, b)
+
+        def classes(rows):
+            sets = Sets()
+            for i in rows:
+                sets.join(int(a[i]), int(b[i]))
+            return {x: sets.find(x) for x in {*a.tolist(), *b.tolist()}}
+
+        want = classes(range(m))
+        assert classes(picked.tolist()) == want and len(picked) == len(want) - len({*want.values()})
+
+
+def test_shared_leaves_out_what_one_item_holds(monkeypatch):
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 40, 30)
+    others = [np.unique(np.concatenate([rng.choice(common, 20), rng.integers(0, 1 << 50, 200)])) for _ in range(12)]
+    sets = [*others[:4], np.unique(np.concatenate([common, rng.integers(0, 1 << 50, 50)]))]
+    again = np.array([True] * 4 + [False])
+    widths, zeros = [], np.zeros
+    monkeypatch.setattr(links.np, "zeros", lambda shape, *how: widths.append(shape) or zeros(shape, *how))
+    got = links.shared(sets, others, again)
+    for i, s in enumerate(sets):
+        for j, t in enumerate(others):
+            assert i == j < 4 or got[i, j] == len(np.intersect1d(s, t))
+    assert max(w[1] for w in widths if isinstance(w, tuple)) <= 40  # not the 200 of each alone
+
+
+def test_texts_of_equal_ids_are_cut_once():
+    ids, texts = np.array([5, 5, 5, 9, 5, 7, 7]), [b"abcdefghij", b"abcdefghij", b"abcdefghij", "é1234567890".encode(), b"abcdefghij", b"xy", b"xy"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    seen = []
+    got = links._sets_of(ids, data, offsets, lambda d, o: seen.append(len(o) - 1) or linededup.line_sets(d, o))
+    want = linededup.line_sets(data, offsets)
+    assert seen == [4] and (got[0] == want[0]).all() and (got[1] == want[1]).all()
