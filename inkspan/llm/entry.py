@@ -16,6 +16,9 @@ MODULES = {
     "op8_token_files": "tokens",
     "op9_substring_dedup": "chunkdedup",
     "op10_minhash_near_dedup": "neardup",
+    "op11_prefix_trie": "trie",
+    "op12_fill_in_middle": "fim",
+    "op13_bpe_codec": "bpe",
 }
 
 
