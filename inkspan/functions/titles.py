@@ -48,7 +48,7 @@ NOT_TITLES = (
     r"^\[[abcdefghijk]\].+",
     r"^\[\s?\d+\s?\].+",
 )
-LOWEST = r"(要点：|推荐阅读资料|学习目标|病例|要点提示|学习要点|参\s*考\s*文\s*献|参考资料|教学要求|通讯作者|收稿日期|教学内容|阅读文献|关键词|微信扫描|【中图分类号】|Summary|【摘要】|\[摘要\]|思考题|练习题|分析题|参考书|学生自测题|推荐网站|问题与思考|推荐书目|教学目标|内容提示|内容提要|知识点|小贴士|临床病例|二至丸|习题|KEY POINTS)"
+LOWEST = r"(要点：|推荐阅读资料|学习目标|病例|要点提示|学习要点|参\s*考\s*文\s*献|参考资料|教学要求|通讯作者|收稿日期教学内容|阅读文献|关键词|微信扫描|【中图分类号】|Summary|【摘要】|\[摘要\]|思考题|练习题|分析题|参考书|学生自测题|推荐网站|问题与思考|推荐书目|教学目标|内容提示|内容提要|知识点|小贴士|临床病例|二至丸|习题|KEY POINTS)"
 STARTS = (
     r"^(第[一1](篇|部分|讲)[^。]{0,30})", r"^(第[一1]章[^。]{0,30})", r"^(第[一1]节[^。]{0,30})", r"^[-一][、，].+", r"^[\(（][-一][）\)].+", r"^1\s*[\.﹒．]?\s*\D+",
     r"^1(\s*[\.﹒．]\s*1){1,4}\s*(?!\s*[\.﹒．]\s*\d+)+", r"^[\(（]1[）\)].+", r"^①.+",
@@ -91,27 +91,31 @@ def starts_level(c: Column) -> Column:
     return reduce(lambda a, b: a | b, [c.rlike(p) for p in STARTS])
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value evaluated once, however often it is used: as the element of an array. Within a
+    higher-order function Spark shares nothing else."""
+    return F.transform(F.array(value), use)[0]
+
+
 def title_slot(text: Column, attr: Column) -> Column:
     """Slot of a title's form: 0 to 13 by pattern, 14 and 15 unmarked, 16 lowest, -1 no title."""
-    t = title_text(text)
-    found = F.coalesce(*[F.when(t.rlike(SLOTS[i]), i) for i in range(13, 1, -1)], F.lit(-1))
-    early = F.when(t.rlike(SLOTS[0]), 0).when(t.rlike(SLOTS[1]), 1)
     by_attr = F.when(attr == "text_title", 15).when(attr == "doc_title", 14).otherwise(-1)
-    bare = F.regexp_replace(t, r"^\d{1,3}\s*[\.﹒．]\s*", "")
+    unmarked = F.when(attr == "doc_title", 15).when(attr == "text_title", 14).otherwise(-1)
     titled = attr.isin("doc_title", "text_title")
-    # Bound once: each pattern runs at most once a text.
-    bound = F.struct(early.alias("early"), found.alias("found"), not_title(t).alias("veto"))
-
-    def choose(x: Column) -> Column:
-        return (
-            F.when(~contains_chinese(t) & t.contains("=+-√≤"), -1)
-            .when(x["early"].isNotNull(), F.when(F.length(F.regexp_replace(t, "[A-Za-z]+", "")) < 35, x["early"]).otherwise(-1))
-            .when(x["found"].isin(3, 4, 6), F.when(x["veto"] > 0, by_attr).otherwise(x["found"]))
-            .when(x["found"] == 7, F.when(x["veto"].isin(2, 3, 4), -1).when(not_title(bare) > 0, 6).otherwise(7))
-            .when(x["found"] > -1, x["found"]).when(titled & t.rlike(LOWEST), 16).otherwise(F.when(attr == "doc_title", 15).when(attr == "text_title", 14).otherwise(-1))
+
+    def slot(t: Column) -> Column:
+        found = F.coalesce(*[F.when(t.rlike(SLOTS[i]), i) for i in range(13, 1, -1)], F.lit(-1))
+        early = F.when(t.rlike(SLOTS[0]), 0).when(t.rlike(SLOTS[1]), 1)
+        bare = F.regexp_replace(t, r"^\d{1,3}\s*[\.﹒．]\s*", "")
+        shaped = lambda f: (
+            F.when(f.isin(3, 4, 6), F.when(not_title(t) > 0, by_attr).otherwise(f))
+            .when(f == 7, _bound(not_title(t), lambda v: F.when(v.isin(2, 3, 4), -1).when(not_title(bare) > 0, 6).otherwise(7)))
+            .when(f > -1, f).when(titled & t.rlike(LOWEST), 16).otherwise(unmarked)
         )
+        short = F.length(F.regexp_replace(t, "[A-Za-z]+", "")) < 35
+        return F.when(~contains_chinese(t) & t.contains("=+-√≤"), -1).otherwise(_bound(early, lambda e: F.when(e.isNotNull(), F.when(short, e).otherwise(-1)).otherwise(_bound(found, shaped))))
 
-    return F.transform(F.array(bound), choose)[0]
+    return _bound(title_text(text), slot)
 
 
 def title_text(text: Column) -> Column:

@@ -82,10 +82,23 @@ def _(t):
     return df.groupBy("doc_id", "page_id", "region_id").agg(R.ordered_concat(["line_id"], "line", " ").alias("text"))
 
 
-@query(
-    "j06_table_cells",
-    ", g as (select doc_id, page_id, line_id as pos, line as text, doc_id % 3 = 0 or line_id % 2 = 0 as is_char, 2 * x0 as x0, 2 * y0 as y0, 2 * x1 as x1, 2 * y1 as y1 from layout_lines), c as (select doc_id, page_id, region_id as cell_id, 2 * x0 as x0, 2 * y0 as y0, 2 * x1 as x1, 2 * y1 as y1 from regions), i as (select c.doc_id, c.page_id, cell_id, pos, text, is_char, bool_or(is_char) over (partition by c.doc_id, c.page_id, cell_id) as chars from c join g using (doc_id, page_id) where case when least(g.x1, c.x1) < greatest(g.x0, c.x0) or least(g.y1, c.y1) < greatest(g.y0, c.y0) then 0.0 when g.x1 = g.x0 then 1.0 else (least(g.x1, c.x1) - greatest(g.x0, c.x0)) * (least(g.y1, c.y1) - greatest(g.y0, c.y0)) / ((g.x1 - g.x0) * (g.y1 - g.y0)) end >= 0.3), t as (select doc_id, page_id, cell_id, string_agg(text, '' order by pos) as text from i where is_char or not chars group by 1, 2, 3) select c.doc_id, c.page_id, cell_id, coalesce(text, '') as text from c left join t using (doc_id, page_id, cell_id)",
-)
+#: Lines and regions once each; a cell takes its glyphs where it has one, else all that lies in it.
+TABLE_CELLS = """,
+ll as materialized (select doc_id, page_id, line_id, line, x0, y0, x1, y1 from layout_lines),
+rr as materialized (select doc_id, page_id, region_id, x0, y0, x1, y1 from regions),
+hit as (
+  select r.doc_id, r.page_id, r.region_id, line_id, line, r.doc_id % 3 = 0 or line_id % 2 = 0 as is_char
+  from rr r join ll l using (doc_id, page_id)
+  where case when least(l.x1, r.x1) < greatest(l.x0, r.x0) or least(l.y1, r.y1) < greatest(l.y0, r.y0) then 0.0 when l.x1 = l.x0 then 1.0
+    else (least(l.x1, r.x1) - greatest(l.x0, r.x0)) * (least(l.y1, r.y1) - greatest(l.y0, r.y0)) / ((l.x1 - l.x0) * (l.y1 - l.y0)) end >= 0.3),
+t as (
+  select doc_id, page_id, region_id, string_agg(line, '' order by line_id) filter (where is_char) as chars, string_agg(line, '' order by line_id) as whole
+  from hit group by 1, 2, 3)
+select doc_id, page_id, region_id as cell_id, coalesce(chars, whole, '') as text from rr left join t using (doc_id, page_id, region_id)
+"""
+
+
+@query("j06_table_cells", TABLE_CELLS)
 def _(t):
     """Regions as cells of a table whose picture begins 20 pixels in and is turned by a quarter, at two pixels a point."""
     quarter = G.box(2 * F.col("y0") - 20, 1200 - (2 * F.col("x1") - 20), 2 * F.col("y1") - 20, 1200 - (2 * F.col("x0") - 20))

@@ -64,6 +64,12 @@ def test_title_slots(spark, text, slot):
     assert value(spark, T.title_slot(F.lit(text), F.lit("text"))) == slot
 
 
+@pytest.mark.parametrize("text, attr, slot", [("收稿日期", "doc_title", 15), ("教学内容", "text_title", 14), ("收稿日期教学内容", "doc_title", 16), ("教学要求", "text_title", 16), ("关键词", "text", -1)])
+def test_lowest_titles(spark, text, attr, slot):
+    """Two words that stand without a bar between them in the fixed pattern count only together."""
+    assert value(spark, T.title_slot(F.lit(text), F.lit(attr))) == slot
+
+
 def test_chinese_numbers(spark):
     want = {"零": 0, "十": 10, "十一": 11, "二十": 20, "九十九": 99, "一百": 100, "x": None}
     got = spark.createDataFrame(list(want.items()), "s string, n int").select("n", T.chinese_number(F.col("s")).alias("v")).collect()
