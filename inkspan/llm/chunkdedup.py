@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import arrow_map, documents, join_found, one_text_each, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.common import arrow_map, documents, join_found, one_text_each, own_columns, row_slices, slice_hashes, stored, utf8
 
 MIN, MAX = 16, 1024
 #: One position in 2 ** BITS is a candidate: chunks have MIN + 2 ** BITS bytes on average.
@@ -139,10 +139,10 @@ def drop_repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     that stands for them are cut."""
     cuts = repeated_passages(df, doc_id, text, **how).groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("cuts"))).alias("_cuts")).select(F.col("doc_id").alias("_doc"), "_cuts")
     starts = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: c[1]))
-    ends = F.concat(F.transform("_cuts", lambda c: c[0]), F.array(F.length(text)))
-    kept = F.array_join(F.zip_with(starts, ends, lambda a, b: F.substring(F.col(text), a + 1, b - a)), "")
-    out = join_found(df, cuts, doc_id, text).withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(kept))
-    return out.select(*df.columns)
+    t = F.col("_row").getField(text)
+    ends = F.concat(F.transform("_cuts", lambda c: c[0]), F.array(F.length(t)))
+    kept = F.array_join(F.zip_with(starts, ends, lambda a, b: F.substring(t, a + 1, b - a)), "")
+    return join_found(df, cuts, doc_id, text).select(*own_columns(df, {text: F.when(F.col("_cuts").isNull(), t).otherwise(kept)}))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,16 +177,28 @@ def one_text_each(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return docs.join(again, key, "left_anti").unionByName(first.select(*docs.columns))
 
 
+def as_rows(df: DataFrame) -> DataFrame:
+    """df with all its columns in one, `_row`: whatever they are called, they meet no other name in a join."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
+def own_columns(df: DataFrame, new: dict[str, Column] | None = None) -> list[Column]:
+    """What `as_rows` packed, with new values for some of df's columns."""
+    return [((new or {}).get(c, F.col("_row").getField(c))).alias(c) for c in df.columns]
+
+
 def join_found(df: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """df left-joined with what was found in the texts that `one_text_each` takes: found has `_doc`, the key,
-    and columns of its own. Of rows with equal keys, those with that text get them."""
-    again = repeated(df, key)
-    on = F.col(key) == F.col("_doc")
+    """`as_rows` of df, left-joined with what was found in the texts that `one_text_each` takes: found has `_doc`,
+    the key, and columns of its own. Of rows with equal keys, those with that text get them."""
+    keyed = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
+    again = repeated(keyed, "_key")
+    mine = F.col("_row").getField(key), F.col("_row").getField(text)
+    on = mine[0] == F.col("_doc")
     if again is not None:
-        taken = one_text_each(df.join(again, key, "left_semi").select(key, text), key, text)
-        found = found.join(taken.select(F.col(key).alias("_doc"), F.xxhash64(text).alias("_taken")), "_doc", "left")
-        on &= F.coalesce(F.xxhash64(text) == F.col("_taken"), F.lit(True))
-    return df.join(found, on, "left")
+        taken = one_text_each(keyed.join(again, "_key", "left_semi"), "_key", "_text")
+        found = found.join(taken.select(F.col("_key").alias("_doc"), F.xxhash64("_text").alias("_taken")), "_doc", "left")
+        on &= F.coalesce(F.xxhash64(mine[1]) == F.col("_taken"), F.lit(True))
+    return as_rows(df).join(found, on, "left")
 
 
 def fields(schema: str) -> T.StructType:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import WS, arrow_map, discard, documents, flag_in, join_found, maybe_in, mix, one_text_each, row_sets, row_slices, slice_hashes, stored, utf8
+from inkspan.llm.common import WS, arrow_map, discard, documents, flag_in, join_found, maybe_in, mix, one_text_each, own_columns, row_sets, row_slices, slice_hashes, stored, utf8
 from inkspan.llm.links import classes
 
 WIDTH = 8
@@ -31,10 +31,11 @@ BANDS, ROWS = 10, 3
 SKETCH = 32
 #: Distinct shingles up to which all of a line's links are looked for by independent orders, and their bands.
 SHORT, SHORT_BANDS = 64, 16
-#: Entries of buckets travel as vectors, in 2^PART_BITS parts by the buckets' highest bits; a task deals out so many at
-#: a time, and another takes one part at a time, 16 bytes each.
-PART_BITS, HELD = 12, 1 << 20
-LINE_SCHEMA = "item long, doc_id long, line_no int, first boolean, part int, entries binary"
+#: Entries of buckets travel as vectors, in parts by the buckets' highest bits: as many parts as make PART entries each,
+#: from the counted lines. A task deals out HELD entries at a time; another takes one part at a time, 16 bytes
+#: an entry, and never holds more than MOST entries beside one for each bucket of the part.
+PART, HELD, MOST = 1 << 18, 1 << 20, 1 << 21
+LINE_SCHEMA = "item long, doc_id long, line_no int, first boolean, part long, entries binary"
 LINE_COLUMNS = ["item", "doc_id", "line_no", "first", "part", "entries"]
 _FACTOR = 0x9E3779B97F4A7C15
 _ORDERS = mix(np.arange(1, SHORT_BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(_FACTOR)) | np.uint64(1)
@@ -149,7 +150,20 @@ def text_lines(data: np.ndarray, offsets: np.ndarray):
     return rows[some], numbers[some], starts[some], ends[: len(starts)][some]
 
 
-def _line_rows(batches, percent: int):
+def part_bits(lines: int, part: int = PART) -> int:
+    """Bits that number the parts: a line has at most BANDS + SHORT_BANDS entries."""
+    return max(4, min(40, (lines * (BANDS + SHORT_BANDS) // part).bit_length()))
+
+
+def _distinct(entries: np.ndarray) -> np.ndarray:
+    """The distinct rows, sorted by bucket, then item."""
+    entries = entries[np.lexsort((entries[:, 1], entries[:, 0]))]
+    new = np.ones(len(entries), bool)
+    new[1:] = (entries[1:] != entries[:-1]).any(axis=1)
+    return entries[new]
+
+
+def _line_rows(batches, percent: int, bits: int):
     """Rows of lines (item, doc_id, line_no, first), and rows of what goes into buckets (part, entries)."""
     import pyarrow as pa
 
@@ -157,14 +171,13 @@ def _line_rows(batches, percent: int):
 
     def dealt():
         entries = np.concatenate(held)
-        part = (entries[:, 0].view(np.uint64) >> np.uint64(64 - PART_BITS)).astype(np.int16)
+        part = (entries[:, 0].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        bounds = np.searchsorted(part[order], np.arange((1 << PART_BITS) + 1))
-        parts = np.flatnonzero(np.diff(bounds)).astype(np.int32)
-        ends = (16 * np.append(0, bounds[1:][parts])).astype(np.int32)
-        blobs = pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(entries[order]))])
-        none = [pa.nulls(len(parts), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.bool_())]
-        return pa.RecordBatch.from_arrays([*none, pa.array(parts), blobs], names=LINE_COLUMNS)
+        starts = np.flatnonzero(np.diff(part[order], prepend=-1))
+        ends = (16 * np.append(starts, len(order))).astype(np.int32)
+        blobs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(entries[order]))])
+        none = [pa.nulls(len(starts), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.bool_())]
+        return pa.RecordBatch.from_arrays([*none, pa.array(part[order][starts]), blobs], names=LINE_COLUMNS)
 
     for batch in batches:
         all_data, all_offsets = utf8(batch.column("text"))
@@ -179,7 +192,7 @@ def _line_rows(batches, percent: int):
             first = np.ones(len(rows), bool)
             first[order[1:]] = (items[order[1:]] != items[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
             lines = [pa.array(np.ascontiguousarray(v)) for v in (items, ids[a:b][rows], numbers.astype(np.int32), first)]
-            yield pa.RecordBatch.from_arrays([*lines, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names=LINE_COLUMNS)
+            yield pa.RecordBatch.from_arrays([*lines, pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], names=LINE_COLUMNS)
             items, one = np.unique(items, return_index=True)  # equal lines go into equal buckets
             starts, ends = starts[one], ends[one]
             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # bytes to characters
@@ -204,44 +217,92 @@ def shared_buckets(entries: np.ndarray) -> np.ndarray:
     if not len(entries):
         return entries
     order = np.argsort(entries[:, 0])
-    some = entries[order[runs(entries[order, 0])]]  # few, as a rule
-    some = some[np.lexsort((some[:, 1], some[:, 0]))]
-    new = np.ones(len(some), bool)
-    new[1:] = (some[1:] != some[:-1]).any(axis=1)
-    some = some[new]
+    some = _distinct(entries[order[runs(entries[order, 0])]])  # few, as a rule
     return some[runs(some[:, 0])] if len(some) else some
 
 
-def _member_rows(batches):
-    """(bucket, item) of the shared buckets, from rows (part, entries) in order of parts."""
+class PartMembers:
+    """Members of one part's shared buckets, from its entries a vector at a time. Up to `most` entries wait; then
+    what is known to share a bucket goes out, and one entry of each bucket stays to meet what follows. Entries
+    that went out before may do so again then, which `again` says."""
+
+    def __init__(self, most: int = MOST):
+        self.most, self.held, self.n = most, [], 0
+        self.seen, self.out = np.zeros((0, 2), np.int64), np.zeros(0, bool)  # an entry a bucket; whether it went out
+        self.again = False
+
+    def add(self, entries: np.ndarray):
+        for a in range(0, len(entries), max(1, self.most)):
+            self.held.append(entries[a : a + self.most])
+            self.n += len(self.held[-1])
+            if self.n >= self.most:
+                yield from self._settle(last=False)
+
+    def end(self):
+        if not self.again:
+            if self.held:
+                yield shared_buckets(np.concatenate(self.held))
+        else:
+            yield from self._settle(last=True)
+
+    def _settle(self, last: bool):
+        self.again = True
+        new = _distinct(np.concatenate([np.zeros((0, 2), np.int64), *self.held]))
+        self.held, self.n = [], 0
+        at = np.searchsorted(self.seen[:, 0], new[:, 0])
+        met = at < len(self.seen)
+        met[met] = self.seen[at[met], 0] == new[met, 0]
+        known = met.copy()
+        known[met] = self.seen[at[met], 1] == new[met, 1]
+        bucket = new[:, 0]
+        near = np.concatenate([[False], bucket[1:] == bucket[:-1], [False]])
+        goes = (near[1:] | near[:-1] | met) & ~known
+        fresh = np.flatnonzero(goes & met)
+        first = np.unique(at[fresh])
+        first = first[~self.out[first]]
+        yield np.concatenate([new[goes], self.seen[first]])
+        self.out[first] = True
+        if not last:
+            lead = np.flatnonzero(~met & ~near[:-1])  # the first entry of a bucket not seen before
+            seen = np.concatenate([self.seen, new[lead]])
+            out = np.concatenate([self.out, goes[lead]])
+            order = np.argsort(seen[:, 0], kind="stable")
+            self.seen, self.out = seen[order], out[order]
+
+
+def _member_rows(batches, most: int = MOST):
+    """(bucket, item, again) of the shared buckets, from rows (part, entries) in order of parts."""
     import pyarrow as pa
 
-    held, last = [], None
-
-    def members():
-        some = shared_buckets(np.concatenate(held))
+    def rows(some: np.ndarray, again: bool):
         for a in range(0, len(some), 1 << 16):
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(some[a : a + (1 << 16), 0].copy()), "item": pa.array(some[a : a + (1 << 16), 1].copy())})
+            x = some[a : a + (1 << 16)]
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(x[:, 0].copy()), "item": pa.array(x[:, 1].copy()), "again": pa.array(np.full(len(x), again))})
 
+    held, last = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         part = batch.column("part").to_numpy()
         column = batch.column("entries")
-        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
         entries = np.frombuffer(column.buffers()[2], np.int64, (ends[-1] - ends[0]) // 8, ends[0]).reshape(-1, 2)
-        if held and part[0] != last:
-            yield from members()
-            held = []
-        last = part[-1]
-        cut = (ends[np.searchsorted(part, last)] - ends[0]) // 16  # the last part may go on in the next batch
-        if cut:
-            held.append(entries[:cut])
-            yield from members()
-            held = []
-        held.append(entries[cut:].copy())
-    if held:
-        yield from members()
+        starts = np.flatnonzero(np.diff(part, prepend=part[:1] - 1))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=True):
+            if held is not None and part[a] != last:
+                for some in held.end():
+                    yield from rows(some, held.again)
+                held = None
+            if held is None:
+                held, last = PartMembers(most), part[a]
+            mine = entries[(ends[a] - ends[0]) // 16 : (ends[b] - ends[0]) // 16]
+            if b == len(part):  # may go on in the next batch, whose buffers are others
+                mine = mine.copy()
+            for some in held.add(mine):
+                yield from rows(some, True)
+    if held is not None:
+        for some in held.end():
+            yield from rows(some, held.again)
 
 
 def line_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,15 +326,20 @@ def _sketch_rows(batches):
             yield pa.RecordBatch.from_pydict({"item": pa.array(ids[a:b]), "n": pa.array(n), "sketch": pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), flat)})
 
 
-def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, part: int = PART, most: int = MOST) -> DataFrame:
     """One row for each line that holds a word: doc_id, line_no, first_doc_id and first_line_no (the line
     that stands for its class) and kept (it is that line)."""
     docs = one_text_each(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id")
-    made = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent), LINE_SCHEMA))
+    lines = docs.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0
+    bits = part_bits(lines, part)
+    made = stored(arrow_map(docs, lambda batches: _line_rows(batches, percent, bits), LINE_SCHEMA))
     lines = made.filter("part is null").select("item", "doc_id", "line_no", "first")
     # Buckets of one item lead nowhere.
     dealt = made.filter("part is not null").select("part", "entries").repartition("part").sortWithinPartitions("part")
-    members = stored(arrow_map(dealt, _member_rows, "bucket long, item long"))
+    shared = stored(arrow_map(dealt, lambda batches: _member_rows(batches, most), "bucket long, item long, again boolean"))
+    members = shared.filter("not again").select("bucket", "item")
+    if not shared.filter("again").isEmpty():  # of parts that were settled bit by bit
+        members = stored(members.union(shared.filter("again").select("bucket", "item").distinct()))
     # One row for each text of a line: where it occurs first, how often. min_by sees a doc_id once for each item,
     # so it has no ties.
     once = F.when(F.col("first"), F.col("doc_id"))
@@ -287,7 +353,7 @@ def line_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     sketches = stored(arrow_map(texts, _sketch_rows, "item long, n long, sketch array<long>"))
 
     found = classes(members, sketches, lambda some: maybe_in(texts, "item", some).join(some, "item", "left_semi"), line_sets, percent, SKETCH)
-    discard(at, involved, members, texts, sketches)
+    discard(at, involved, members, shared, texts, sketches)
     # The first line of each class: of the classes found, and of items that occur again.
     linked = stored(maybe_in(places, "item", found.select("id")).join(found.withColumnRenamed("id", "item"), "item"))
     by_doc = linked.groupBy("component", "doc_id").agg(F.min("line_no").alias("line_no"))
@@ -308,13 +374,15 @@ def drop_duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     that loses every line that holds a word is a copy throughout: its row stays, without them, only if
     `emptied`. Of rows of equal doc_id, those with the text that stands for them lose lines."""
     gone = line_classes(df, doc_id, text, **how).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_lines")).select(F.col("doc_id").alias("_doc"), "_lines")
-    left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("_lines"), i)), "\n")
-    out = join_found(df, gone, doc_id, text).withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left))
-    if n_chars and n_chars in df.columns:
-        out = out.withColumn(n_chars, F.when(F.col("_lines").isNull(), F.col(n_chars)).otherwise(F.length(text).cast(df.schema[n_chars].dataType)))
+    t, none = F.col("_row").getField(text), F.col("_lines").isNull()
+    left = F.array_join(F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains(F.col("_lines"), i)), "\n")
+    out = join_found(df, gone, doc_id, text).withColumn("_left", F.when(none, t).otherwise(left))
     if not emptied:
-        out = out.filter(F.col("_lines").isNull() | (F.length(F.translate(text, WS, "")) > 0))
-    return out.select(*df.columns)
+        out = out.filter(none | (F.length(F.translate("_left", WS, "")) > 0))
+    new = {text: F.col("_left")}
+    if n_chars and n_chars in df.columns:
+        new[n_chars] = F.when(none, F.col("_row").getField(n_chars)).otherwise(F.length("_left").cast(df.schema[n_chars].dataType))
+    return out.select(*own_columns(df, new))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

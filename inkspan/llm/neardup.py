@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import LOWER, arrow_map, discard, documents, maybe_in, mix, one_text_each, repeated, row_sets, row_slices, slice_hashes, stored, utf8, word_bounds
+from inkspan.llm.common import LOWER, arrow_map, as_rows, discard, documents, maybe_in, mix, one_text_each, own_columns, repeated, row_sets, row_slices, slice_hashes, stored, utf8, word_bounds
 from inkspan.llm.links import SKETCH, classes
 
 
@@ -126,7 +126,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """Rows of df without those that another of their component stands for; rows of equal doc_id stay or go together."""
     gone = near_duplicates(df, doc_id, text, **how).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    return as_rows(df).join(gone, F.col("_row").getField(doc_id) == F.col("_gone"), "left_anti").select(*own_columns(df))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

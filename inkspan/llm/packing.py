@@ -99,7 +99,9 @@ def pack_pieces(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SH
         shard = table["shard"][0].as_py() if len(table) else 0
         return table.drop_columns(["shard"]).append_column("sequence_id", pa.array(shard * (1 << 40) + bins)).append_column("offset", pa.array(offsets))
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
+    # All that a piece is, and a number of the row for what is equal in that: rows without a doc_id spread like others.
+    key = F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", F.monotonically_increasing_id())
+    dealt = cut.withColumn("shard", F.pmod(key, F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 

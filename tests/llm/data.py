@@ -54,7 +54,7 @@ def one_each(rows):
 def frame(spark, extra=False):
     df = spark.createDataFrame(rows(), SCHEMA)
     if extra:  # clashing names
-        for c in ("item", "bucket", "n", "a", "b", "_row", "hashes", "score", "piece"):
+        for c in ("item", "bucket", "n", "a", "b", "_row", "hashes", "score", "piece", "_lines", "_doc", "_gone", "_cuts", "_taken", "_maybe", "_bucket", "_left", "_key"):
             df = df.selectExpr("*", f"1 as {c}")
     return df.repartition(3)
 

@@ -134,7 +134,9 @@ def test_repeated_passages(spark, tmp_path):
         assert len(passage.encode()) == r["n_bytes"] >= chunkdedup.MIN_RUN
         inner = passage[20:60]
         assert sum(t.count(inner) for t in rows.values()) > 1
-    out = {r["doc_id"]: r["text"] for r in chunkdedup.drop_repeated_passages(data.frame(spark, True)).collect()}
+    cut = chunkdedup.drop_repeated_passages(data.frame(spark, True))
+    assert cut.columns == data.frame(spark, True).columns
+    out = {r["doc_id"]: r["text"] for r in cut.collect()}
     assert out[0] == rows[0] and len(out[1]) < 50 and out[13] is None and out[21] == rows[21]
 
 
@@ -304,13 +306,53 @@ def test_bucket_entries_travel_as_vectors():
         for i, b, no in zip(items.tolist(), buckets, none, strict=True):
             for x in b[~no].tolist():
                 want.setdefault(x, set()).add(i)
-    made = [list(linededup._line_rows([pa.RecordBatch.from_pydict({"doc_id": pa.array(range(a, a + 20)), "text": pa.array(texts[a : a + 20])})], 80)) for a in (0, 20, 40)]
+    made = [list(linededup._line_rows([pa.RecordBatch.from_pydict({"doc_id": pa.array(range(a, a + 20)), "text": pa.array(texts[a : a + 20])})], 80, 6)) for a in (0, 20, 40)]
     rows = pa.Table.from_batches([b for task in made for b in task])
-    assert rows.num_rows <= 60 * 30 + 3 * (1 << linededup.PART_BITS)  # no row for each bucket of a line
+    assert rows.num_rows <= 60 * 30 + 3 * (1 << 6)  # no row for each bucket of a line
     entries = rows.filter(pa.compute.is_valid(rows["part"])).select(["part", "entries"]).sort_by("part").combine_chunks()
     for step in (7, 10_000):  # a part goes over batches
         got = [(b, i) for batch in linededup._member_rows(entries.to_batches(max_chunksize=step)) for b, i in zip(batch["bucket"].to_pylist(), batch["item"].to_pylist(), strict=True)]
         assert sorted(got) == sorted((b, i) for b, items in want.items() if len(items) > 1 for i in items) and got
+    for most in (1, 5, 40):  # parts settled bit by bit
+        batches = list(linededup._member_rows(entries.to_batches(max_chunksize=11), most))
+        rows = [r for batch in batches for r in zip(*(batch[c].to_pylist() for c in ("bucket", "item", "again")), strict=True)]
+        sure = [r[:2] for r in rows if not r[2]]
+        assert len(sure) == len(set(sure)) and any(r[2] for r in rows)
+        assert sorted({r[:2] for r in rows}) == sorted(set(got))
+
+
+def test_a_task_holds_a_bounded_number_of_entries():
+    """However many entries a bucket or a part has: those waiting, and one of each bucket."""
+    rng = np.random.default_rng(3)
+    hot = np.stack([np.zeros(30_000, np.int64), rng.integers(0, 20_000, 30_000)], axis=1)
+    rest = np.stack([rng.integers(1, 400, 9_000), rng.integers(0, 50, 9_000)], axis=1)
+    entries = rng.permutation(np.concatenate([hot, rest]))
+    part = linededup.PartMembers(most=500)
+    out, held = [], 0
+    for a in range(0, len(entries), 170):
+        out += list(part.add(entries[a : a + 170]))
+        held = max(held, part.n)
+    out += list(part.end())
+    assert held < 1000 and len(part.seen) <= 400
+    want = {}
+    for b, i in entries.tolist():
+        want.setdefault(b, set()).add(i)
+    assert {tuple(r) for some in out for r in some.tolist()} == {(b, i) for b, items in want.items() if len(items) > 1 for i in items}
+
+
+def test_parts_follow_the_lines(spark):
+    assert [linededup.part_bits(n) for n in (0, 10**3, 10**6, 10**9, 10**12)] == [4, 4, 7, 17, 27]
+    df = data.frame(spark)
+    rows = lambda **how: sorted(tuple(r) for r in linededup.line_classes(df, **how).collect())
+    assert rows(part=8, most=3) == rows()
+
+
+def test_rows_without_an_id_spread_over_shards(spark):
+    from inkspan.llm import packing
+
+    cut = spark.range(10_000).selectExpr("cast(null as long) as doc_id", "0 as piece", "0L as start", "5L as length", "7L as ids_crc32").repartition(4)
+    shards = packing.pack_pieces(cut, shard_pieces=500).selectExpr("sequence_id >> 40 as shard").groupBy("shard").count().collect()
+    assert len(shards) == 20 and max(r["count"] for r in shards) < 750
 
 
 def _ranges_of(sets):
