@@ -1,12 +1,13 @@
 """Fill-in-middle as relations: units of texts, requests for cuts, offsets.
 
 A text's units are its matches, from left to right, of a word with the white space before it, or of white space
-that ends the text. Documents to be cut are written once, each under a key of its own, with the two ordinals
-at which they are cut. Their units are exploded with positions; a window sums lengths over the units of a
-document; the requests (two rows a document) join the units by document and ordinal; an aggregate brings a
-document's two offsets together; substrings make the output. Everything is keyed by the row's own key, so
-that no source, doc_id or group of copies decides how many rows a task has. Documents that stay as they are
-are neither written nor shuffled: their units are only counted.
+that ends the text. Documents to be cut are dealt out once, whole, each under a key of its own, with the two
+ordinals after which they are cut. There units are exploded with positions and lengths, and requests with the
+ordinal of the unit they ask for. A window sums lengths over a document's rows in the order of ordinals: a request
+stands right behind its unit and so meets the sum up to it, which joins the two by ordinal in one sort, without a
+second pass over units. An aggregate brings a document's offsets together; substrings make the output. As every
+row has its own key, no source, doc_id or group of copies decides how many rows a task has. Documents that stay
+as they are are not shuffled: their units are only counted.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import documents, stored
+from inkspan.llm.common import documents
 
 UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
 #: Marks of prefix, suffix and middle; a text that holds one of them is left plain.
@@ -30,11 +31,16 @@ def draws(doc_id: Column, seed: int = SEED) -> list[Column]:
     return [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)]
 
 
-def units(docs: DataFrame, text: Column) -> DataFrame:
-    """_key, _ordinal (from 0) and _end of each unit of the rows of docs: the code points up to and with it."""
-    each = docs.select("_key", F.posexplode(F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))).alias("_ordinal", "_unit"))
-    before = Window.partitionBy("_key").orderBy("_ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return each.select("_key", "_ordinal", F.sum(F.length("_unit")).over(before).alias("_end"))
+def requested(docs: DataFrame, text: Column, cuts: Column, kept: Column) -> DataFrame:
+    """A row for each request of the rows of docs (`_key`, unique): _key, _which (its place in cuts), _end (code points of
+    the first cut units) and, with the first request, _kept."""
+    unit = lambda u: F.struct(F.lit(None).cast("long").alias("at"), F.length(u).alias("n"), F.lit(-1).alias("which"))
+    request = lambda c, i: F.struct((c - 1).alias("at"), F.lit(0).alias("n"), i.alias("which"))
+    both = F.concat(F.transform(F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)), unit), F.transform(cuts, request))
+    rows = docs.select("_key", kept.alias("_doc"), F.posexplode(both).alias("_place", "_x"))
+    rows = rows.select("_key", F.coalesce("_x.at", "_place").alias("_ordinal"), F.col("_x.n").alias("_n"), F.col("_x.which").alias("_which"), F.when(F.col("_x.which") == 0, F.col("_doc")).alias("_kept"))
+    upto = Window.partitionBy("_key").orderBy("_ordinal", "_which").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_end", F.sum("_n").over(upto)).filter("_which >= 0").select("_key", "_which", "_end", "_kept")
 
 
 def fill_in_middle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "fim", rate: int = RATE, spm: int = SPM, seed: int = SEED) -> DataFrame:
@@ -56,16 +62,14 @@ def fill_in_middle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     plain = result(rows.filter(~cut).withColumn("_n", n), F.lit("plain"), null, null, t)
 
     at = [F.col("_h0") % (F.col("_n") + 1), F.col("_h1") % (F.col("_n") + 1)]
-    kept = stored(
+    dealt = (
         rows.filter(cut).withColumn("_n", n)
-        .select("_row", "_n", F.monotonically_increasing_id().alias("_key"), F.array(F.least(*at), F.greatest(*at)).alias("_cuts"), (F.col("_h3") % 100 < spm).alias("_spm"))
+        .select(F.monotonically_increasing_id().alias("_key"), F.struct("_row", "_n", (F.col("_h3") % 100 < spm).alias("_spm")).alias("_doc"), F.array(F.least(*at), F.greatest(*at)).alias("_cuts"))
+        .repartition("_key")
     )
-    requests = kept.select("_key", F.posexplode("_cuts").alias("_which", "_after")).filter("_after > 0")  # a cut before the first unit is at 0
-    dealt = kept.select("_key", F.col("_row").getField(text).alias("_text")).repartition("_key")
-    met = requests.join(units(dealt, F.col("_text")), ["_key"]).filter("_ordinal = _after - 1")
-    end = lambda i: F.coalesce(F.max(F.when(F.col("_which") == i, F.col("_end"))), F.lit(0)).cast("long")
-    offsets = met.groupBy("_key").agg(end(0).alias("_a"), end(1).alias("_b"))
-    joined = kept.join(offsets, "_key", "left").withColumns({"_a": F.coalesce("_a", F.lit(0).cast("long")), "_b": F.coalesce("_b", F.lit(0).cast("long"))})
+    met = requested(dealt, F.col("_doc._row").getField(text), F.col("_cuts"), F.col("_doc"))
+    end = lambda i: F.max(F.when(F.col("_which") == i, F.col("_end")))
+    joined = met.groupBy("_key").agg(F.first("_kept", True).alias("_doc"), end(0).alias("_a"), end(1).alias("_b")).select("_doc.*", "_a", "_b")
     part = lambda start, length: F.substring(t, (start + 1).cast("int"), length.cast("int"))
     a, b = F.col("_a"), F.col("_b")
     prefix, middle, suffix = part(F.lit(0), a), part(a, b - a), part(b, F.length(t) - b)
