@@ -8,7 +8,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 #: Modules that register queries when imported.
-MODULES = ("q_geometry", "q_text", "q_joins", "q_aggregates", "q_sequences", "q_sources", "q_structure", "q_folds", "q_tables", "q_rasters", "q_segments", "q_sweep")
+MODULES = ("q_geometry", "q_text", "q_joins", "q_aggregates", "q_sequences", "q_sources", "q_structure", "q_folds", "q_tables", "q_rasters", "q_segments", "q_sweep", "q_ruled")
 
 
 def query(name: str, sql: str | None = None):
