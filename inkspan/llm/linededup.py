@@ -151,8 +151,9 @@ def text_lines(data: np.ndarray, offsets: np.ndarray):
 
 
 def part_bits(lines: int, part: int = PART) -> int:
-    """Bits that number the parts: a line has at most BANDS + SHORT_BANDS entries."""
-    return max(4, min(40, (lines * (BANDS + SHORT_BANDS) // part).bit_length()))
+    """Bits that number the parts: a line has at most BANDS + SHORT_BANDS entries. Never fewer than 12, so that what a task
+    deals out to one part at a time stays a few KB."""
+    return max(12, min(40, (lines * (BANDS + SHORT_BANDS) // part).bit_length()))
 
 
 def _distinct(entries: np.ndarray) -> np.ndarray:

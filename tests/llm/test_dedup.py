@@ -341,7 +341,7 @@ def test_a_task_holds_a_bounded_number_of_entries():
 
 
 def test_parts_follow_the_lines(spark):
-    assert [linededup.part_bits(n) for n in (0, 10**3, 10**6, 10**9, 10**12)] == [4, 4, 7, 17, 27]
+    assert [linededup.part_bits(n) for n in (0, 10**3, 10**6, 10**9, 10**12)] == [12, 12, 12, 17, 27]
     df = data.frame(spark)
     rows = lambda **how: sorted(tuple(r) for r in linededup.line_classes(df, **how).collect())
     assert rows(part=8, most=3) == rows()
