@@ -28,7 +28,7 @@ _BACK = [np.array([pow(int(b), -k, 1 << 64) for k in range(4)], np.uint64) for b
 #: Turns shared at most, conversations of a family, ids of a block under a digest, nodes of a run of shards.
 SHARED, FAMILY, BLOCK, RUN = 4, 20, 1 << 16, 1 << 16
 #: Bounds of a shard's turns, least and largest, and the part of all turns in between; nodes of a band of upper levels.
-LEAST, MOST, PARTS, BAND = 1 << 12, 1 << 21, 1 << 14, 1 << 20
+LEAST, MOST, PARTS, BAND = 1 << 10, 1 << 21, 1 << 14, 1 << 20
 
 
 class Louds:
