@@ -84,10 +84,7 @@ def mended(text: str) -> str:
         except UnicodeError:
             return m[0]
 
-    for _ in range(3):  # it may have happened more than once
-        again = _WESTERN.sub(anew, text)
-        if again == text:
-            break
+    while (again := _WESTERN.sub(anew, text)) != text:  # it may have happened more than once; each time text gets shorter
         text = again
     return unicodedata.normalize("NFC", text)
 
