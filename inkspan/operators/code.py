@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ def code_blocks(lines: DataFrame, block: Sequence[str], doc_id: str = "doc_id")
         F.count("*").alias("lines"), F.sum(word_characters(F.col("text"))).alias("_chars"), F.sum("_in").alias("_in"), F.try_divide(F.sum(total), F.sum(F.size("sizes"))).alias("_mean"), F.avg(height).alias("_high")
     )
     small = (F.col("_mean") <= 0.8 * F.col("_size")) & (F.col("_high") < 0.8 * F.col("_height"))
-    code = (F.col("lines") > 3) & has_short_lines(F.col("_chars"), F.col("lines")) & (F.col("_in") > 0.7 * F.col("lines")) & small
+    code = (F.col("lines") > 3) & has_short_lines(F.col("_chars"), F.col("lines")) & (F.col("_in") > F.lit(Decimal("0.7")) * F.col("lines")) & small
     return per.join(of_doc, doc_id).select(*block, "lines", F.coalesce(code, F.lit(False)).alias("is_code"))
 
 

@@ -257,3 +257,10 @@ def test_paragraphs_are_stitched(spark):
     df = spark.createDataFrame([(1, *r) for r in rows], "doc_id long, global_index int, page_id int, label string, y0 double, text string, lines array<struct<x1:double,y0:double,y1:double>>, spans array<struct<text:string,weight:int>>")
     got = {r["global_index"]: r["text"] for r in folds.stitched(df).collect()}
     assert got == {0: "begins here goes on over a table and a page.", 1: "t", 3: "after a sentence", 4: "further down", 5: "bold bold goes on", 7: "small", 8: "Title", 9: "after a title", 10: "after a short last line", 11: "one span says nothing", 12: "(1) a list"}
+
+
+def test_share_of_a_replacement_is_exact(spark):
+    from inkspan.operators.pages import replacement_is_good
+
+    good = lambda new, old: value(spark, replacement_is_good(F.lit(1), F.repeat(F.lit("x"), F.lit(new)), F.repeat(F.lit("y"), F.lit(old))))
+    assert not good(63, 90) and good(64, 90) and not good(7, 10) and good(8, 10)
