@@ -69,6 +69,15 @@ def intersection_share(a: Column, b: Column, margin: float = 0) -> Column:
     return F.when(area(a) == 0, 0.0).otherwise(F.try_divide(intersection_area(a, b, m), area(a)))
 
 
+def covered_over(a: Column, others: Column, share: float) -> Column:
+    """Whether the areas that others (an array of boxes) have in common with a are over that share of its own. Areas are
+    added up, not shares: their sum is exact for coordinates in halves and does not hang on the order. A box without
+    area that one of them touches is covered."""
+    common = F.aggregate(F.transform(others, lambda o: intersection_area(a, o)), F.lit(0.0), lambda s, v: s + v)
+    touches = lambda o: (a["x0"] <= o["x1"]) & (a["x1"] >= o["x0"]) & (a["y0"] <= o["y1"]) & (a["y1"] >= o["y0"])
+    return F.when(area(a) == 0, F.exists(others, touches)).otherwise(common > share * area(a))
+
+
 def should_merge(a: Column, b: Column, tolerance: float = 5) -> Column:
     """b goes on to the right of a on the same line."""
     near = lambda x, y: F.abs(x - y) < tolerance

@@ -152,8 +152,7 @@ def _(t):
 )
 def _(t):
     df = R.with_page_items(t.regions(), t.layout_lines(), BOX)
-    total = F.aggregate(F.transform("items", lambda x: G.overlap_share(LINE(), item_box(x))), F.lit(0.0), lambda a, v: a + v)
-    found = F.count_if(total > 0.5)
+    found = F.count_if(G.covered_over(LINE(), F.col("items"), 0.5))
     return df.groupBy("doc_id", "page_id").agg(F.count("*").alias("total"), found.alias("found"), (found / F.count("*") > 0.4).alias("covered"))
 
 

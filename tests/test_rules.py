@@ -264,3 +264,19 @@ def test_share_of_a_replacement_is_exact(spark):
 
     good = lambda new, old: value(spark, replacement_is_good(F.lit(1), F.repeat(F.lit("x"), F.lit(new)), F.repeat(F.lit("y"), F.lit(old))))
     assert not good(63, 90) and good(64, 90) and not good(7, 10) and good(8, 10)
+
+
+def test_half_covered_is_not_over_half(spark, tmp_path):
+    """Shares 0.23, 0.2533 and 0.0167 of a region make a half; added up in doubles from the first, more than that."""
+    from inkspan.plans import registry
+
+    text = "\n".join(["x"] * 16 + ["a" * 69, "b" * 80, "c" * 5])
+    spark.createDataFrame([(2812, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["page_id"]: r["found"] for r in registry.queries()["j10_line_coverage"](spark, str(tmp_path)).collect()}
+    assert found[2] == 0
+
+
+def test_covered_over(spark):
+    over = lambda a, *others: value(spark, G.covered_over(G.box(*a), F.array(*[G.box(*o) for o in others]), 0.5))
+    assert not over((0, 0, 10, 10), (0, 0, 5, 4), (0, 0, 5, 6)) and over((0, 0, 10, 10), (0, 0, 5, 4), (0, 0, 5, 6), (9, 9, 20, 20))
+    assert over((5, 5, 5, 5), (0, 0, 10, 10)) and not over((5, 5, 5, 5), (6, 0, 10, 10))
