@@ -215,11 +215,10 @@ def _(t):
 def _(t):
     """Detected lines are the page's regions."""
     from inkspan.functions import geometry as G
-    from inkspan.plans.q_joins import BOX, LINE, item_box
+    from inkspan.plans.q_joins import BOX, LINE
 
     text = blanked(t).groupBy("doc_id", "page_id").agg(R.ordered_concat(["line_id"], "line", "\n").alias("text"))
     found = R.with_page_items(t.regions(), t.layout_lines(), BOX)
-    total = F.aggregate(F.transform("items", lambda x: G.overlap_share(LINE(), item_box(x))), F.lit(0.0), lambda a, v: a + v)
-    cover = found.groupBy("doc_id", "page_id").agg(F.count("*").alias("n"), (F.count_if(total > 0.5) / F.count("*") > 0.4).alias("covered"))
+    cover = found.groupBy("doc_id", "page_id").agg(F.count("*").alias("n"), (F.count_if(G.covered_over(LINE(), F.col("items"), 0.5)) / F.count("*") > 0.4).alias("covered"))
     df = text.join(P.has_no_text(blanked(t)), "doc_id").join(cover, ["doc_id", "page_id"])
     return df.select("doc_id", "page_id", P.should_recognize(F.col("no_text"), F.col("text"), F.col("covered"), F.col("n")).alias("recognize"))
