@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -227,20 +229,27 @@ def is_unsupported_font(name: Column) -> Column:
 
 
 def utf16_ids(c: Column, offset: int = 3) -> Column:
-    """UTF-16 code units of a text, each plus the offset."""
-    h = F.hex(F.encode(c, "UTF-16LE"))
-    n = (F.length(h) / 4).cast("int")
-    unit = lambda i: F.conv(F.concat(F.substring(h, i * 4 + 3, F.lit(2)), F.substring(h, i * 4 + 1, F.lit(2))), 16, 10).cast("int") + offset
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), unit))
+    """UTF-16 code units of a text, each plus the offset. A text is read once, in one piece of memory: places in a
+    string of characters cost as much as what stands before them."""
+
+    @F.arrow_udf("array<int>")
+    def ids(texts: pa.Array) -> pa.Array:
+        given = texts.is_valid().to_numpy(zero_copy_only=False)
+        units = [t.encode("utf-16-le") for t in texts.fill_null("").to_pylist()]
+        ends = np.concatenate([[0], np.cumsum([len(u) // 2 for u in units])]).astype(np.int32)
+        values = np.frombuffer(b"".join(units), "<u2").astype(np.int32) + offset
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(~given))
+
+    return ids(c)
 
 
 def byte_ids(c: Column, length: int, pad: int = 0, offset: int = 3) -> Column:
     """Ids of UTF-8 bytes, cut or padded to a length, with their mask."""
     h = F.hex(F.encode(c, "UTF-8"))
     n = F.least(F.lit(length), (F.length(h) / 2).cast("int"))
-    at = lambda i: F.conv(F.substring(h, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + offset
-    where = F.sequence(F.lit(0), F.lit(length - 1))
-    return F.struct(F.transform(where, lambda i: F.when(i < n, at(i)).otherwise(pad)).alias("ids"), F.transform(where, lambda i: F.when(i < n, 1).otherwise(0)).alias("mask"), n.alias("length"))
+    ids = F.transform(F.regexp_extract_all(F.substring(h, 1, 2 * length), F.lit(".."), F.lit(0)), lambda b: F.conv(b, 16, 10).cast("int") + offset)
+    rest = F.lit(length) - n
+    return F.struct(F.concat(ids, F.array_repeat(F.lit(pad), rest)).alias("ids"), F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), rest)).alias("mask"), n.alias("length"))
 
 
 # ---- formulas --------------------------------------------------------------------------------
