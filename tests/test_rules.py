@@ -280,3 +280,30 @@ def test_covered_over(spark):
     over = lambda a, *others: value(spark, G.covered_over(G.box(*a), F.array(*[G.box(*o) for o in others]), 0.5))
     assert not over((0, 0, 10, 10), (0, 0, 5, 4), (0, 0, 5, 6)) and over((0, 0, 10, 10), (0, 0, 5, 4), (0, 0, 5, 6), (9, 9, 20, 20))
     assert over((5, 5, 5, 5), (0, 0, 10, 10)) and not over((5, 5, 5, 5), (6, 0, 10, 10))
+
+
+def test_long_lines_become_ids_in_one_pass(spark):
+    """A million characters, one of them beyond the basic plane; places in the text were sought from its start for each."""
+    text = "aé中" * 333_333 + "😀"
+    df = spark.createDataFrame([(text,), ("",), (None,)], "t string").select(X.utf16_ids(F.col("t")).alias("ids"), X.byte_ids(F.col("t"), 8)["ids"].alias("b"))
+    long, empty, none = df.collect()
+    assert long["ids"][:3] == [100, 0xE9 + 3, 0x4E2D + 3] and long["ids"][-2:] == [0xD83D + 3, 0xDE00 + 3] and len(long["ids"]) == 1_000_001
+    assert empty["ids"] == [] and none["ids"] is None and long["b"] == [b + 3 for b in text.encode()[:8]] and empty["b"] == [0] * 8
+
+
+def test_table_columns_equal_the_placed_rows(spark):
+    """Cells go right of each other whatever the separators; no row is handed to Python."""
+    rows = [[(0.0, "a"), (50.0, " "), (400.0, "b")], [(50.0, "c")], [(0.0, ""), (1.0, "\x1f"), (2.0, "d"), (3.0, "\u3000")]]
+    df = spark.createDataFrame([(1, 0, k, x, t) for k, r in enumerate(rows) for x, t in r], "doc_id long, page_id int, row_no int, x0 double, text string")
+    out = folds.table_columns(df)
+    got = {(r["row_no"], r["column"]): r["text"] for r in out.collect()}
+    for separators in ([10, 60, 100], []):
+        assert got == {(k, j): x for k, row in enumerate(folds.cells_to_columns(rows, separators)) for j, x in enumerate(row)}
+    assert "Pandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_separators_of_many_pages_in_one_batch(spark):
+    segments = [(100, 0, 50), (100, 60, 90), (120, 10, 40), (300, 0, 10)]
+    out = folds.separator_lines(spark.createDataFrame([(1, p, *s) for p in range(3) for s in segments], "doc_id long, page_id int, x int, y0 int, y1 int"))
+    assert sorted(tuple(r) for r in out.collect()) == sorted((1, p, *s) for p in range(3) for s in [(0, 0, 90), (300, 0, 10)])
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
