@@ -13,7 +13,7 @@ WIDTH, HEIGHT = 60, 40
 
 def page_heat(t):
     """A raster a page: two rows of pixels a line, as long as it; every third gap between lines has a bridge."""
-    lines = t.layout_lines().groupBy(*PAGE).agg(F.sort_array(F.collect_list(F.struct("line_id", F.length("line").alias("n")))).alias("l"))
+    lines = t.spread(t.layout_lines().select(*PAGE, "line_id", F.length("line").alias("n")), *PAGE).groupBy(*PAGE).agg(F.sort_array(F.collect_list(F.struct("line_id", "n"))).alias("l"))
 
     def pixel(x, y):
         k, r = F.floor(y / 5).cast("int"), y % 5
