@@ -171,7 +171,7 @@ def _(t):
 def _(t):
     from inkspan.operators.phrases import common_titles
 
-    return common_titles(t.doc_lines().select("doc_id", "line_no", F.col("line").alias("title")))
+    return common_titles(t.spread(t.doc_lines(), "doc_id").select("doc_id", "line_no", F.col("line").alias("title")))
 
 
 TABLES = "tb as (select doc_id, page_id, line_id, string_split(line, ' ')[1] as id from layout_lines where line_id = 0 and length(string_split(line, ' ')[1]) > 2)"

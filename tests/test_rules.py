@@ -307,3 +307,41 @@ def test_separators_of_many_pages_in_one_batch(spark):
     out = folds.separator_lines(spark.createDataFrame([(1, p, *s) for p in range(3) for s in segments], "doc_id long, page_id int, x int, y0 int, y1 int"))
     assert sorted(tuple(r) for r in out.collect()) == sorted((1, p, *s) for p in range(3) for s in [(0, 0, 90), (300, 0, 10)])
     assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_common_titles_are_those_of_all_pairs(spark):
+    """Held against every pair by a plain table of common subsequences; pairs are never rows of a join."""
+    import random
+
+    from inkspan.operators.phrases import common_titles
+
+    def distance(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return len(a) + len(b) - 2 * row[-1]
+
+    rng, rows = random.Random(7), []
+    for doc in range(12):
+        seeds = ["".join(rng.choice("abcdefgh \u4e00") for _ in range(rng.choice([0, 1, 9, 20, 60]))) for _ in range(3)]
+        for n in range(rng.choice([2, 5, 25])):
+            s = list(rng.choice(seeds))
+            for _ in range(rng.randint(0, 1 + len(s) // 8)):
+                if rng.random() < 0.5 and s:
+                    s.pop(rng.randrange(len(s)))
+                else:
+                    s.insert(rng.randint(0, len(s)), rng.choice("abxy"))
+            rows.append((doc, n, None if rng.random() < 0.04 else "".join(s)))
+    want = set()
+    for doc, n, a in rows:
+        mine = [b for d, _, b in rows if d == doc]
+        like = [b for b in mine if a is not None and b is not None and distance(a, b) <= 0.1 * (len(a) + len(b)) + 1e-9]
+        if len(like) - 1 >= max(3.0, 0.05 * len(mine)):
+            want.add((doc, n))
+    df = common_titles(spark.createDataFrame(rows, "doc_id long, line_no int, title string"))
+    assert want and {(r[0], r[1]) for r in df.collect()} == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "levenshtein" not in plan
