@@ -74,8 +74,11 @@ class Tables:
     def decorated_lines(self) -> DataFrame:
         return self.doc_lines().select("doc_id", "line_no", F.concat(_pick(PREFIXES, F.col("line_no") % 16), F.col("line")).alias("line"))
 
-    def spans(self) -> DataFrame:
-        words = self.layout_lines().select("doc_id", "page_id", "line_id", F.posexplode(F.split("line", " ", -1)).alias("span_id", "text"))
+    def spans(self, page_by_page: bool = False) -> DataFrame:
+        """Words of lines; if page_by_page, of lines that are shuffled by page, so that groups within pages need no shuffle of words."""
+        lines = self.layout_lines().select("doc_id", "page_id", "line_id", "line")
+        lines = self.spread(lines, "doc_id", "page_id") if page_by_page else lines
+        words = lines.select("doc_id", "page_id", "line_id", F.posexplode(F.split("line", " ", -1)).alias("span_id", "text"))
         return words.withColumns(span_style(F.col("span_id")))
 
     def page_lines(self) -> DataFrame:

@@ -31,3 +31,8 @@ def test_each_row_over_several_steps(spark):
 def test_lines_of_words_are_shuffled_before_words(spark):
     plan = registry.queries()["w07_merge_spans"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Generate") == 1
+
+
+def test_a_page_of_spans_is_made_after_its_lines_have_met(spark):
+    plan = registry.queries()["s13_structured_output"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
