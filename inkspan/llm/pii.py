@@ -2,21 +2,22 @@
 
 The rules find emails, IP addresses, card numbers and phone numbers (leftmost, non-overlapping within a
 kind; a match that fails its test is dropped). The network finds these in other forms too, and secrets (keys,
-tokens), for which there is no rule. It reads characters in overlapping windows and tags each window by a Viterbi
-search over CRF transitions. Windows are reconciled over the whole text: each character takes its tag from the
-window in which it stands most central, runs of tags that go on over windows are one span whatever its length,
-and one weighted choice keeps spans from overlapping. Rule spans always stay; a network span is added where
+tokens), for which there is no rule. It reads the classes of all characters of the whole text, a run of letters of one
+case, with a blank after it, in one step (`steps`: nothing is lost, RUN letters at most are a step), in overlapping
+windows, and tags each window by a Viterbi search over CRF transitions. Windows are reconciled over the whole text: each step takes its tag
+from the window in which it stands most central, runs of tags that go on over windows are one span whatever its
+length, and one weighted choice keeps spans from overlapping. Rule spans always stay; a network span is added where
 it meets none of them and its mean marginal is at least CERTAIN.
 
 Training happens in numpy on labelled spans: windows of a bounded sample of documents (SAMPLE) with the
 spans that the rules find there, and spans and look-alikes drawn from a plain grammar (`drawn`) and set into
-those documents' texts. Windows with long digits or hexadecimal runs that no rule labels are not shown, for
-nobody has said what these are. Every labelled form holds a digit, an at sign or a bracket, so the network reads
-windows around these characters (anchors), all of them and of the whole text; elsewhere no span can be.
+those documents' texts, and windows anywhere in texts of any kind. Windows with long digits or hexadecimal runs that
+no rule labels are not shown, for nobody has said what these are. Windows around a digit, an at sign or a bracket
+(anchors), where most forms are, have a share of their own in training; in reading, no position is left out.
 
-A null text is empty and has no spans; equal texts have equal spans; a corpus without any text with an anchor
-leaves the rules alone; an empty table gives no rows. Each row is read by itself, whatever its doc_id; further
-columns are kept by `redact`.
+A null text is empty and has no spans; equal texts have equal spans; a corpus without any text leaves the rules
+alone; an empty table gives no rows. Each row is read by itself, whatever its doc_id; further columns are kept by
+`redact`.
 """
 
 from __future__ import annotations
@@ -33,9 +34,12 @@ from inkspan.llm.common import arrow_map, documents, utf8
 #: Kinds of rules, then those that the network alone knows.
 KINDS = ("email", "ip", "card", "phone", "secret")
 RULED = 4
-#: Of about READ documents, those with an anchor, SAMPLE at most, are trained on; windows, passes over them.
-READ, SAMPLE, WINDOWS, EPOCHS = 6000, 600, 3000, 12
+#: Of about READ documents, SAMPLE at most with an anchor and the beginnings (PART) of as many of any kind are trained
+#: on; windows, passes over them.
+READ, SAMPLE, PART, WINDOWS, EPOCHS = 6000, 600, 8192, 3000, 12
+#: Steps of a window in training and from one to the next; in reading, where EDGE steps on each side are the neighbours'.
 WIDTH, STRIDE, HIDDEN = 64, 32, 24
+LONG, EDGE = 256, 16
 CERTAIN = 0.8
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -81,24 +85,54 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 # ---- the network -----------------------------------------------------------------------------
 
 _SINGLE = " \n@.-+()_%=\"[]:/,#'"
-CLASSES = 6 + len(_SINGLE)
-
-
-def classes(text: str) -> np.ndarray:
-    """Class of each character; 0 pads."""
-    p = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    return _CLASS[np.minimum(p, 255)] if len(p) else np.zeros(0, np.int64)
+#: Classes of letters (lower, upper, beyond Latin), of which a run is one step, as is a capital with the small letters after
+#: it, with one blank after it if there is one; and letters of a step at most.
+_LETTERS, RUN = (2, 3, 5, 0), 16  # the last for capitals with small letters
+_BLANK = 6 + len(_SINGLE) + len(_LETTERS) * RUN  # numbers of runs with a blank begin here
+CLASSES = _BLANK + len(_LETTERS) * RUN
+
+
+def steps(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts one after another as steps: the class and length of each as one number (0 pads), its first character;
+    and each text's first step and character (and one past the last)."""
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    c = _CLASS[np.minimum(np.frombuffer("".join(texts).encode("utf-32-le"), "<u4"), 255)]
+    if not len(c):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(len(at), np.int64), at
+    merged = _MERGED[c]
+    new = ~merged
+    new[1:] |= c[1:] != c[:-1]
+    new[1:] &= (c[1:] != 6) | ~merged[:-1]
+    new[at[:-1][at[:-1] < len(c)]] = True
+    new[1:] &= (c[1:] != 2) | (c[:-1] != 3) | ~new[:-1]
+    new[at[:-1][at[:-1] < len(c)]] = True
+    first = np.flatnonzero(new)
+    blank = np.append(first[1:], len(c)) - 1
+    blank = (blank > first) & (c[blank] == 6)
+    length = np.diff(first, append=len(c)) - blank
+    if length.max() > RUN:
+        parts = -(-length // RUN)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        first, blank = np.repeat(first, parts) + RUN * nth, np.repeat(blank, parts) & (nth == np.repeat(parts, parts) - 1)
+        length = np.diff(first, append=len(c)) - blank
+    kind = c[first]
+    kind[(kind == 3) & (length > 1) & (c[np.minimum(first + 1, len(c) - 1)] == 2)] = 0
+    return np.where(_MERGED[kind], _FIRST[kind] + length - 1 + blank * (CLASSES - _BLANK), kind).astype(np.uint8), first, np.searchsorted(first, at), at
 
 
 def _class_table() -> np.ndarray:
-    t = np.full(256, 5, np.int64)
-    for c in range(128):
+    t = np.full(256, 5, np.uint8)
+    for c in [*range(128), *(c for c in range(128, 256) if chr(c).isalpha())]:
         s = chr(c)
         t[c] = 1 if s.isdigit() else 2 if s.islower() else 3 if s.isupper() else 6 + _SINGLE.index(s) if s in _SINGLE else 4
     return t
 
 
 _CLASS = _class_table()
+_MERGED, _FIRST = np.zeros(6 + len(_SINGLE), bool), np.zeros(6 + len(_SINGLE), np.int64)
+_MERGED[list(_LETTERS)] = True  # no character has class 0
+#: Number of a run of one letter of each, from where those of two and so on go on.
+_FIRST[list(_LETTERS)] = [6 + len(_SINGLE) + i * RUN for i in range(len(_LETTERS))]
 LABELS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
 _FORBIDDEN = np.zeros((LABELS, LABELS), np.float32)
 for _k in range(len(KINDS)):
@@ -145,16 +179,19 @@ class Tagger:
     def _back(self, x, d, hs, cs, gates, dh_out, grads):
         h = HIDDEN
         dh = dc = np.zeros((x.shape[1], h), np.float32)
-        gx, gh = np.zeros_like(self.p[f"x{d}"]), np.zeros_like(self.p[f"h{d}"])
+        gh = np.zeros_like(self.p[f"h{d}"])
+        kinds = np.zeros((x.size, CLASSES), np.float32)
+        kinds[np.arange(x.size), x.reshape(-1)] = 1
+        das = np.empty((*x.shape, 4 * h), np.float32)
         for t in range(len(x) - 1, -1, -1):
             s, g, tc = gates[t]
             dh = dh + dh_out[t]
             i, f, o = s[:, :h], s[:, h : 2 * h], s[:, 2 * h :]
             dc = dc + dh * o * (1 - tc * tc)
-            da = np.concatenate([dc * g * i * (1 - i), dc * cs[t] * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], axis=1)
-            gx += (x[t][:, None] == np.arange(CLASSES)).astype(np.float32).T @ da
+            da = das[t] = np.concatenate([dc * g * i * (1 - i), dc * cs[t] * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], axis=1)
             gh += hs[t].T @ da
             dh, dc = da @ self.p[f"h{d}"].T, dc * f
+        gx = kinds.T @ das.reshape(x.size, -1)
         grads[f"x{d}"], grads[f"h{d}"], grads[f"c{d}"] = gx, gh, gx.sum(axis=0)
 
     def emissions(self, x, keep=False):
@@ -162,6 +199,51 @@ class Tagger:
         both = np.concatenate([f[0][1:], b[0][1:][::-1]], axis=2)
         return both @ self.p["o"] + self.p["ob"], both, f, b
 
+    def read(self, x):
+        """Emissions as in `emissions`, but time, label, window: for reading alone. One activation serves all gates (a logistic
+        is a tanh of half its argument), halves are left to the weights, and nothing but outputs is kept."""
+        h, n = HIDDEN, x.shape[1]
+        out = np.repeat(self.p["ob"][None, :, None], len(x), 0)
+        half = np.repeat(np.array([0.5, 0.5, 0.5, 1], np.float32), h)
+        for d, y, o in (("f", x, self.p["o"][:h]), ("b", x[::-1], self.p["o"][h:])):
+            table, weights = np.ascontiguousarray(((self.p[f"x{d}"] + self.p[f"c{d}"]) * half).T), np.ascontiguousarray((self.p[f"h{d}"] * half * np.float32(0.5)).T)
+            hs, c, z, a = np.zeros((len(x) + 1, h, n), np.float32), np.zeros((h, n), np.float32), *np.empty((2, 4 * h, n), np.float32)
+            tc = np.empty_like(c)
+            for t in range(len(x)):
+                np.take(table, y[t], axis=1, out=z, mode="clip")
+                np.matmul(weights, hs[t], out=a)
+                a += z
+                np.tanh(a, out=a)
+                a[: 3 * h] += 1
+                g = a[3 * h :]
+                g *= a[:h]
+                c *= a[h : 2 * h]
+                c += g
+                c *= 0.5
+                np.multiply(a[2 * h : 3 * h], np.tanh(c, out=tc), out=hs[t + 1])
+            made = np.matmul((o * np.float32(0.5)).T, hs[1:])
+            out = out + (made if d == "f" else made[::-1])
+        return out
+
+    def doubtful(self, e):
+        """Windows of `read` whose best path may hold a span: an upper bound of what a run of tags gains over
+        none, kind by kind, of the better of a kind's two labels wherever both can go on, is not below zero."""
+        trans = self.p["t"] + _FORBIDDEN - self.p["t"][0, 0]
+        on = np.maximum(trans[1::2, 2::2].diagonal(), trans[2::2, 2::2].diagonal())[:, None]
+        from_none, from_any = trans[0, 1::2][:, None], trans[1:, 1::2].max(axis=0)[:, None]
+        off = np.maximum(trans[1::2, 0], trans[2::2, 0])[:, None]
+        begins, goes = (e[:, k::2] - e[:, :1] for k in (1, 2))
+        s = begins[0]
+        most = (s + off).max(axis=0)
+        for t in range(1, len(e)):
+            fresh = np.maximum(s.max(axis=0) + from_any, from_none)
+            fresh += begins[t]
+            s = s + on
+            s += goes[t]
+            np.maximum(s, fresh, out=s)
+            np.maximum(most, (s + off).max(axis=0), out=most)
+        return np.maximum(most, s.max(axis=0)) > -1e-3
+
     def marginals(self, e):
         """Label marginals and the normaliser's parts."""
         trans = self.p["t"] + _FORBIDDEN
@@ -225,13 +307,11 @@ def window_starts(anchors: np.ndarray, length: int) -> list[int]:
     return (grid[grid * STRIDE < length] * STRIDE).tolist()
 
 
-def _anchors(text: str) -> np.ndarray:
-    p = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    return np.flatnonzero(_ANCHOR[np.minimum(p, 255)])
-
-
-_ANCHOR = np.zeros(256, bool)
-_ANCHOR[[*range(48, 58), *map(ord, "@([")]] = True
+#: Digits and the class numbers of an at sign and brackets: the steps that most forms hold.
+_ANCHOR = np.zeros(CLASSES, bool)
+_ANCHOR[[1, *(6 + _SINGLE.index(c) for c in "@([")]] = True
+_RULED = np.zeros(CLASSES, bool)  # what every rule needs one of
+_RULED[[1, 6 + _SINGLE.index("@")]] = True
 
 
 def choose(spans: list[tuple[float, int, int, int]]) -> list[tuple[int, int, int]]:
@@ -253,58 +333,63 @@ def choose(spans: list[tuple[float, int, int, int]]) -> list[tuple[int, int, int
 
 def find_spans(texts: list[str], tagger: Tagger | None, batch: int = 512) -> list[list[tuple[int, int, int]]]:
     """All spans of each text, by kind, then start."""
-    rules = [rule_spans(t) for t in texts]
-    if tagger is None:
+    codes, first, begins, at = steps(texts)
+    ruled = np.concatenate([[0], np.cumsum(_RULED[codes])])[begins]
+    rules = [rule_spans(t) if a < b else [] for t, a, b in zip(texts, ruled[:-1], ruled[1:], strict=True)]
+    if tagger is None or not len(codes):
         return rules
-    windows = [(i, s) for i, t in enumerate(texts) for s in window_starts(_anchors(t), len(t))]
-    if not windows:
-        return rules
-    tags, sure = np.zeros((len(windows), WIDTH), np.int8), np.zeros((len(windows), WIDTH), np.float32)
-    for k in range(0, len(windows), batch):
-        part = windows[k : k + batch]
-        x = np.zeros((WIDTH, len(part)), np.int64)
-        for j, (i, s) in enumerate(part):
-            c = classes(texts[i][s : s + WIDTH])
-            x[: len(c), j] = c
-        e = tagger.emissions(x)[0]
-        best = tagger.viterbi(e)
-        tags[k : k + len(part)] = best.T
-        sure[k : k + len(part)] = np.take_along_axis(tagger.marginals(e)[0], best[:, :, None], 2)[:, :, 0].T
-    found: dict[int, list] = {}
-    for i, start, tag, mark in _stitched(windows, tags, sure):
-        if tag.any():
-            found.setdefault(i, []).extend((w, k, a, b) for w, k, a, b in _runs(texts[i], start, tag, mark) if w >= CERTAIN)
-    for i, spans in found.items():
-        fresh = [x for x in spans if not any(x[2] < d and c < x[3] for _, c, d in rules[i])]
+    for i, tag, sure in _tagged(codes, begins, tagger, batch):
+        edges = np.append(first[begins[i] : begins[i + 1]], at[i + 1]) - at[i]
+        found = [(w, k, int(edges[a]), int(edges[b]) - int(codes[begins[i] + b - 1] >= _BLANK)) for w, k, a, b in _runs(tag, sure) if w >= CERTAIN]
+        fresh = [x for x in found if not any(x[2] < d and c < x[3] for _, c, d in rules[i])]
         if fresh:
             rules[i] = sorted(rules[i] + choose(fresh))
     return rules
 
 
-def _stitched(windows, tags, sure):
-    """(text, start, tags, marginals) of each run of neighbouring windows; a character's are those of the window
-    in which it is most central."""
-    edge = (WIDTH - STRIDE) // 2
-    first = 0
-    for k in range(1, len(windows) + 1):
-        if k < len(windows) and windows[k] == (windows[k - 1][0], windows[k - 1][1] + STRIDE):
-            continue
-        inner = slice(edge, edge + STRIDE)
-        cut = lambda v: np.concatenate([v[first, :edge], v[first:k, inner].reshape(-1), v[k - 1, edge + STRIDE :]])  # noqa: B023, E731
-        yield *windows[first], cut(tags), cut(sure)
-        first = k
-
-
-def _runs(text: str, start: int, tags: np.ndarray, sure: np.ndarray) -> list[tuple[float, int, int, int]]:
-    """(mean marginal, kind, start, end) of the spans of tags; what stands without its beginning begins itself."""
+def _tagged(codes: np.ndarray, begins: np.ndarray, tagger: Tagger, batch: int):
+    """(text, tags, marginals) of the steps of each text with any tag. Windows of LONG steps begin LONG - 2 * EDGE steps
+    apart, so every step of a text is read; a shorter one is filled up to the next multiple of WIDTH."""
+    n, own = np.diff(begins), LONG - 2 * EDGE
+    count = np.where(n > 0, np.maximum(-(-(n - 2 * EDGE) // own), 1), 0)
+    text = np.repeat(np.arange(len(n)), count)
+    start = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * own
+    left = np.minimum(n[text] - start, LONG)
+    wide = -(-left // WIDTH) * WIDTH
+    padded = np.concatenate([codes, np.zeros(LONG, np.uint8)])
+    found: dict[int, list] = {}
+    for width in np.unique(wide).tolist():
+        of = np.flatnonzero(wide == width)
+        steps_ = np.arange(width)[:, None]
+        for k in range(0, len(of), batch):
+            part = of[k : k + batch]
+            x = np.where(steps_ < left[part], padded[begins[text[part]] + start[part] + steps_], 0).astype(np.intp)
+            e = tagger.read(x)
+            some = np.flatnonzero(tagger.doubtful(e))
+            if not len(some):
+                continue
+            e = np.ascontiguousarray(e[:, :, some].transpose(0, 2, 1))
+            best = tagger.viterbi(e)
+            any_ = np.flatnonzero(best.any(axis=0))
+            if len(any_):
+                sure = np.take_along_axis(tagger.marginals(e[:, any_])[0], best[:, any_, None], 2)[:, :, 0]
+                for j, w in enumerate(part[some[any_]].tolist()):
+                    found.setdefault(int(text[w]), []).append((int(start[w]), best[:, any_[j]].astype(np.int8), sure[:, j].astype(np.float32)))
+    for i, windows in sorted(found.items()):
+        tags, marks = np.zeros(n[i], np.int8), np.zeros(n[i], np.float32)
+        for s, tag, mark in windows:
+            a = EDGE if s else 0
+            b = min(LONG - EDGE if s + LONG < n[i] else LONG, n[i] - s)
+            tags[s + a : s + b], marks[s + a : s + b] = tag[a:b], mark[a:b]
+        if tags.any():
+            yield i, tags, marks
+
+
+def _runs(tags: np.ndarray, sure: np.ndarray) -> list[tuple[float, int, int, int]]:
+    """(mean marginal, kind, first step, one past the last) of the spans of tags; what stands without its beginning begins itself."""
     kinds = (tags.astype(np.int64) + 1) // 2  # 0, then 1 for the first kind
     new = np.flatnonzero(np.concatenate([[True], (kinds[1:] != kinds[:-1]) | ((tags[1:] % 2 == 1))]))
-    out = []
-    for a, b in zip(new.tolist(), [*new[1:].tolist(), len(tags)], strict=True):
-        end = min(start + b, len(text))
-        if kinds[a] and end > start + a:
-            out.append((float(sure[a:b].mean()), int(kinds[a]) - 1, start + a, end))
-    return out
+    return [(float(sure[a:b].mean()), int(kinds[a]) - 1, a, b) for a, b in zip(new.tolist(), [*new[1:].tolist(), len(tags)], strict=True) if kinds[a]]
 
 
 def drawn(rng, kind: int | None = None) -> tuple[int | None, str]:
@@ -315,11 +400,13 @@ def drawn(rng, kind: int | None = None) -> tuple[int | None, str]:
     word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, n(2, 9)))
     of = lambda letters, k: "".join(letters[int(i)] for i in rng.integers(0, len(letters), k))
     hexa, wide = "0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    letters = wide[10:]
     kind = kind if kind is not None else n(-1, len(KINDS) - 1)
     if kind == 0:
         name, host = pick([word(), f"{word()}.{word()}", f"{word()}_{d(2)}", f"{word()}.{d(2)}", f"{word()}{d(3)}"]), pick([f"{word()}.com", f"{word()}.example.org", f"mail{d(1)}.{word()}.net"])
+        shouted = host.replace(".", " DOT ")
         dotted = host.replace(".", pick([" (dot) ", "(dot)", " [dot] "]))
-        return 0, pick([f"{name}@{host}", f"{name}@[{host}]", f"{name} @ {host}", f"{name}(at){host}", f"{name} (at) {host}", f"{name}[at]{host}", f"{name} [at] {dotted}", f"{name} (at) {dotted}", f"{name}@[{word()}{word()}.{host}]"])
+        return 0, pick([f"{name}@{host}", f"{name}@[{host}]", f"{name} @ {host}", f"{name}(at){host}", f"{name} (at) {host}", f"{name}[at]{host}", f"{name} [at] {dotted}", f"{name} (at) {dotted}", f"{name}@[{word()}{word()}.{host}]", f"{name} AT {shouted}", f"{name}{{at}}{host}"])
     if kind == 1:
         part = [str(n(0, 255)) for _ in range(4)]
         return 1, pick([".".join(part), " . ".join(part), "[.]".join(part), "(.)".join(part), ":".join(of(hexa, 4) for _ in range(8))])
@@ -328,8 +415,8 @@ def drawn(rng, kind: int | None = None) -> tuple[int | None, str]:
     if kind == 3:
         return 3, pick([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"0{d(2)} {d(4)} {d(4)}", f"+{d(1)} ({d(3)}) {d(3)}-{d(4)}", f"+{d(2)} {d(3)} {d(3)} {d(3)}", f"00{d(2)} {d(3)} {d(6)}"])
     if kind == 4:
-        s = pick([of(hexa, 40), of(hexa, 32), of(hexa, 64), of(wide, n(24, 44)), f"sk-{of(wide, n(20, 40))}", of(hexa, 40).upper(), f"{of(wide, 8)}-{of(wide, 24)}"])
-        return 4, s if any(c.isdigit() for c in s) else s[:-1] + "7"
+        s = pick([of(hexa, 40), of(hexa, 32), of(hexa, 64), of(wide, n(24, 44)), f"sk-{of(wide, n(20, 40))}", of(hexa, 40).upper(), f"{of(wide, 8)}-{of(wide, 24)}", of(letters, n(24, 44))])
+        return 4, s
     year = str(n(1800, 2100))
     return None, pick([year, d(1), d(2), d(3), d(n(4, 9)), f"{d(1)}.{d(1)}", f"{d(2)}.{d(2)}", f"{d(1)}.{d(1)}.{d(2)}", f"{year}-{d(2)}-{d(2)}", f"{d(2)}.{d(2)}.{year}", f"{d(2)}/{d(2)}/{year}", f"{d(2)}:{d(2)}", f"{d(2)}:{d(2)}:{d(2)}", f"${d(2)}.{d(2)}", f"{d(1)},{d(3)},{d(3)}", f"{d(2)}%", f"{word()}{d(1)}", f"v{d(1)}.{d(1)}.{d(1)}", f"@{word()}", f"({word()})", f"[{d(1)}]", f"({year})", f"{d(3)}-{d(3)}", f"({word()} {word()})", f"{word()}-{d(2)}"])
 
@@ -369,50 +456,63 @@ def set_in(text: str, rng, items: int = 2) -> tuple[str, list[tuple[int, int, in
 _UNSAID = re.compile(r"[0-9](?:[ .()/-]{0,2}[0-9]){9,}|[0-9A-Za-z_-]*[0-9][0-9A-Za-z_-]{19,}")
 
 
-def training_windows(texts: list[str], windows: int = WINDOWS, seed: int = 3) -> tuple[np.ndarray, np.ndarray] | None:
+def training_windows(texts: list[str], windows: int = WINDOWS, seed: int = 3, plain: list[str] | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+    """`windows` windows around anchors and drawn items, and a third as many anywhere in `plain` (the texts, if not given)."""
     rng = np.random.Generator(np.random.PCG64(seed))
     xs, ys = [], []
 
-    def add(text, spans, start, unsaid=()):
-        if any(a < start + WIDTH and start < b for a, b in unsaid):
+    def add(read, spans, start, unsaid=()):
+        codes, first = read
+        at = first[start : start + WIDTH]
+        if any(a <= at[-1] and at[0] < b for a, b in unsaid):
             return
         x, y = np.zeros(WIDTH, np.int64), np.zeros(WIDTH, np.int64)
-        c = classes(text[start : start + WIDTH])
-        x[: len(c)] = c
+        x[: len(at)] = codes[start : start + WIDTH]
         for k, a, b in spans:  # of a span that began before the window, the rest
-            y[max(a - start, 0) : max(b - start, 0)] = 2 + 2 * k
-            if 0 <= a - start < WIDTH:
-                y[a - start] = 1 + 2 * k
-            elif a < start < b:
-                y[0] = 1 + 2 * k
+            inside = np.flatnonzero((at >= a) & (at < b))
+            if len(inside):
+                y[inside] = 2 + 2 * k
+                y[inside[0]] = 1 + 2 * k
         xs.append(x)
         ys.append(y)
 
-    if not texts:
+    def known(text):
+        spans = rule_spans(text)
+        return spans, [m.span() for m in _UNSAID.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+
+    texts, plain = [t for t in texts if t], [t for t in (texts if plain is None else plain) if t]
+    if not texts and not plain:
         return None
+    hosts = texts or plain
     for text in texts:
-        spans = rule_spans(text)
-        unsaid = [m.span() for m in _UNSAID.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
-        for s in window_starts(_anchors(text), len(text)):
-            add(text, spans, s, unsaid)
+        read, (spans, unsaid) = steps([text])[:2], known(text)
+        for s in window_starts(np.flatnonzero(_ANCHOR[read[0]]), len(read[0])):
+            add(read, spans, s, unsaid)
     keep = rng.permutation(len(xs))[: windows // 3].tolist()
     xs, ys = [xs[i] for i in keep], [ys[i] for i in keep]
     while len(xs) < windows:
-        text, spans = set_in(texts[int(rng.integers(0, len(texts)))], rng)
-        for s in window_starts(_anchors(text), len(text)):
-            add(text, spans, s)
-        if not _anchors(text).size:  # nothing was drawn with an anchor
-            add(text, spans, 0)
-    return np.array(xs[:windows]).T, np.array(ys[:windows]).T
+        text, spans = set_in(hosts[int(rng.integers(0, len(hosts)))], rng)
+        read = steps([text])[:2]
+        where = np.flatnonzero(_ANCHOR[read[0]] | np.any([(read[1] >= a) & (read[1] < b) for _, a, b in spans] or [False], axis=0))
+        for s in window_starts(where, len(read[0])) or [0] * bool(text):
+            add(read, spans, s)
+    xs, ys = xs[:windows], ys[:windows]
+    for i in rng.integers(0, len(plain), windows // 3).tolist() if plain else ():
+        read = steps([plain[i]])[:2]
+        spans, unsaid = known(plain[i])
+        add(read, spans, STRIDE * int(rng.integers(0, -(-len(read[0]) // STRIDE))), unsaid)
+    return np.array(xs).T, np.array(ys).T
 
 
 def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", read: int = READ, sample: int = SAMPLE) -> Tagger | None:
-    """A tagger from at most `sample` documents with an anchor, of about `read` documents by a hash of doc_id."""
+    """A tagger from at most `sample` documents with an anchor and the beginnings of as many of any kind, of about `read`
+    documents by a hash of doc_id."""
     n = df.count()
     share = min(1.0, read / max(n, 1))
-    some = df.filter((F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))) & F.col(text).rlike(r"[0-9@(\[]"))
-    got = [r[0] for r in some.select(F.col(text), F.xxhash64(doc_id).alias("_h")).orderBy("_h", text).limit(sample).collect()]
-    made = training_windows(got)
+    some = df.filter((F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))) & (F.length(text) > 0))
+    first = lambda rows, part: [r[0] for r in rows.select(part.alias("_t"), F.xxhash64(doc_id).alias("_h")).orderBy("_h", "_t").limit(sample).collect()]
+    marked = first(some.filter(F.col(text).rlike(r"[0-9@(\[]")), F.col(text))
+    made = training_windows(marked, plain=first(some, F.substring(text, 1, PART)))
     return None if made is None else Tagger().train(*made)
 
 
@@ -420,14 +520,21 @@ def _said(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
+#: Texts, and bytes unless one text has more, that are read at once.
+_ROWS, _BYTES = 256, 1 << 21
+
+
 def _with_spans(column, tagger):
-    """Texts with an anchor, and their spans, by row."""
+    """Texts that are not empty, and their spans, by row."""
     data, offsets = utf8(column)
-    sums = np.concatenate([[0], np.cumsum(_ANCHOR[data])])
-    at = np.flatnonzero(sums[offsets[1:]] > sums[offsets[:-1]]).tolist()
-    for k in range(0, len(at), 256):
-        texts = [data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in at[k : k + 256]]
-        yield from zip(at[k : k + 256], texts, find_spans(texts, tagger), strict=True)
+    at = np.flatnonzero(offsets[1:] > offsets[:-1])
+    k = 0
+    while k < len(at):
+        end = min(k + _ROWS, max(k + 1, int(np.searchsorted(offsets[at + 1], offsets[at[k]] + _BYTES, "right"))))
+        rows = at[k:end].tolist()
+        texts = [data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in rows]
+        yield from zip(rows, texts, find_spans(texts, tagger), strict=True)
+        k = end
 
 
 def detect(df: DataFrame, tagger: Tagger | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -442,6 +549,8 @@ def detect(df: DataFrame, tagger: Tagger | None, doc_id: str = "doc_id", text: s
             counts, shas, spans = np.zeros((n, RULED), np.int64), [none] * n, [""] * n
             every, secrets = np.zeros(n, np.int64), np.zeros(n, np.int64)
             for i, t, found in _with_spans(batch.column("text"), tagger):
+                if not found:
+                    continue
                 base = rule_spans(t)
                 for k, _, _ in base:
                     counts[i, k] += 1
@@ -463,6 +572,8 @@ def redact(df: DataFrame, tagger: Tagger | None, text: str = "text", n_chars: st
             at = batch.schema.get_field_index(text)
             new = {}
             for i, t, spans in _with_spans(batch.column(at), tagger):
+                if not spans:
+                    continue
                 done, parts = 0, []
                 for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
                     if a >= done:
@@ -470,7 +581,7 @@ def redact(df: DataFrame, tagger: Tagger | None, text: str = "text", n_chars: st
                         done = b
                     elif b > done:  # overlaps the span before it: nothing of it stays
                         done = b
-                new[i] = "".join([*parts, t[done:]]) if spans else t
+                new[i] = "".join([*parts, t[done:]])
             texts = batch.column(at).to_pylist()
             for i, t in new.items():
                 texts[i] = t

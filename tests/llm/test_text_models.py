@@ -292,3 +292,36 @@ def test_repeated_rows_null_and_large_ids(spark, tmp_path):
     got = topk.search(df, df.filter("doc_id = 7"), k=6, query_id="doc_id", query="text").orderBy("rank").collect()
     # The text of 7 also stands under 7 again, under 2^62 + 7 and under the largest id.
     assert [r["doc_id"] for r in got[:4]] == [7, 7, (1 << 62) + 7, (1 << 63) - 1] and len({r["score"] for r in got[:4]}) == 1
+
+
+def test_whole_texts_are_read(tagger):
+    """Forms without a digit, an at sign or a bracket, and every step of texts of any length as by the network on all of it."""
+    import random
+
+    rng = random.Random(8)
+    for k in range(20):
+        secret = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40))
+        before = data.words(rng, rng.randint(3, 300))
+        t = f'{before} token = "{secret}" {data.words(rng, 50)}'
+        assert (4, len(before) + 10, len(before) + 50) in pii.find_spans([t], tagger)[0], k
+    texts = ["", "Straße ÄÖ  x" + "y" * 40 + " Q", "Abc", "aB", "日本 語", "".join(rng.choice("aB1 é.") for _ in range(900))]
+    codes, first, begins, at = pii.steps(texts)
+    assert begins.tolist()[:2] == [0, 0] and begins[-1] == len(codes) and at[-1] == sum(map(len, texts)) and (codes > 0).all()
+    ends = [*first[1:].tolist(), at[-1]]
+    shapes = {}  # a number says all classes of its characters
+    for c, a, b in zip(codes.tolist(), first.tolist(), ends, strict=True):
+        kinds = tuple(pii._CLASS[min(ord(x), 255)] for x in "".join(texts)[a:b])
+        assert shapes.setdefault(c, kinds) == kinds
+
+
+def test_reading_equals_the_network_and_search(tagger):
+    x = np.random.Generator(np.random.PCG64(2)).integers(1, pii.CLASSES, (128, 60))
+    made = tagger.read(x)
+    assert np.abs(made.transpose(0, 2, 1) - tagger.emissions(x)[0]).max() < 1e-4
+    rng = np.random.Generator(np.random.PCG64(6))
+    for shift in (0, 2, 4, 6, 8):
+        e = rng.standard_normal((20, pii.LABELS, 400)).astype(np.float32)
+        e[:, 0] += shift
+        tagged = tagger.viterbi(np.ascontiguousarray(e.transpose(0, 2, 1))).any(axis=0)
+        assert not (tagged & ~tagger.doubtful(e)).any()
+    assert not tagger.doubtful(e).all()
