@@ -15,6 +15,22 @@ def test_files_and_annotations(spark, tmp_path):
     assert [tuple(r) for r in files.read_annotations(spark, str(p), "val").collect()] == [("f", "<p>")]
 
 
+def test_large_files_are_listed_without_their_content(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name, head in (("sub/big one.pdf", b"%PDF-1.4"), ("100%25.gz", b"PK\x03\x04"), ("c.png", bytes.fromhex("89504E470D0A1A0A"))):
+        with open(tmp_path / name, "wb") as f:
+            f.write(head)
+            if name != "c.png":
+                f.truncate((1 << 31) + 5)  # more than a row holds
+    (tmp_path / ".hidden").write_bytes(b"x")
+    want = [("100%25", "zip", (1 << 31) + 5), ("big one", "pdf", (1 << 31) + 5), ("c", "png", 8)]
+    assert sorted((r["name"], r["kind"], r["n_bytes"]) for r in files.list_files(spark, str(tmp_path)).collect()) == want
+    every = files.list_files(spark, str(tmp_path), whole=-1)
+    assert sorted((r["name"], r["kind"], r["n_bytes"]) for r in every.collect()) == want
+    pages = files.load_pages(spark, str(tmp_path), lambda kind, n: 3 + n % 3, 1, 3, by_size=True)
+    assert sorted((r["name"], r["page_id"]) for r in pages.collect()) == [("100%25", 1), ("100%25", 2), ("100%25", 3), ("big one", 1), ("big one", 2), ("big one", 3)]
+
+
 def test_failures_are_rows(spark):
     df = spark.createDataFrame([("1", "good", None), ("2", "bad", None), ("3", None, "eHk="), ("4", None, None)], "file_id string, url string, file_content string")
 
