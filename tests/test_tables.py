@@ -105,3 +105,17 @@ def test_tables_without_lines_and_one_shuffle_a_side(spark):
     assert df.first()["rows"] == [] and A.cells_of(df, ("doc_id",)).count() == 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and plan.count("Exchange") <= 3
+
+
+def test_lines_meet_tables_without_their_glyphs(spark):
+    """What is shuffled is the column named; rows are made once, whatever is exploded of them."""
+    from inkspan.plans import q_tables
+    from inkspan.plans.derive import Tables
+
+    df = A.cells_of(q_tables.tables_read(Tables(spark, "/root/testdata/sf0.001")), q_tables.TABLE)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1, plan.count("aggregate(")
+    shuffled = [line for line in plan.split("\n") if "collect_list(" in line]
+    assert len(shuffled) == 1 and "line, line" in shuffled[0] and "char" not in shuffled[0] and "glyphs" not in shuffled[0]
+    old = A.read_tables(Tables(spark, "/root/testdata/sf0.001").regions().withColumnRenamed("region_id", "table_id"), q_tables.glyph_lines(Tables(spark, "/root/testdata/sf0.001")), q_tables.PAGE_WIDTH)
+    assert df.exceptAll(A.cells_of(old, q_tables.TABLE)).count() == 0 and df.count() > 0
