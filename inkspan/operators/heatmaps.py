@@ -8,50 +8,66 @@ rectangle has the same hull as the corners of its grown runs, so no mask is draw
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inkspan.functions import geometry as G
-from inkspan.operators.relational import PAGE, with_page_items
+from inkspan.operators.relational import PAGE
+from inkspan.schemas import data_type
 
 #: What counts as text and as blank, the mean heat of a page's hottest tenth that they are made for,
 #: the bounds that scaled ones are kept in, and the least pixels of a box.
 TEXT, BLANK, TYPICAL, TEXT_BOUNDS, BLANK_BOUNDS, LEAST_PIXELS = 0.6, 0.35, 0.7, (0.15, 0.8), (0.1, 0.6), 10
 
 
-def thresholds(heat: Column, text: float = TEXT, blank: float = BLANK) -> Column:
-    """Struct of text and blank: scaled by the square root of the mean of the hottest tenth against a typical one."""
-    flat = F.flatten(heat)
-    n = F.size(flat)
-    top = F.slice(F.sort_array(flat, asc=False), 1, n - F.floor(n * 0.9).cast("int"))
-    mean = F.aggregate(top, F.lit(0.0), lambda a, v: a + v) / F.size(top)
-    scale = F.sqrt(F.least(F.greatest(mean / TYPICAL, F.lit(0.0)), F.lit(1.0)))
-    clip = lambda v, low, high: F.least(F.greatest(v * scale, F.lit(low)), F.lit(high))
-    return F.struct(clip(F.lit(text), *TEXT_BOUNDS).alias("text"), clip(F.lit(blank), *BLANK_BOUNDS).alias("blank"))
-
-
-def pixel_runs(heat: Column, blank: Column) -> Column:
-    """Runs (y, x0, x1, n, peak, total) of pixels above `blank`, from top to bottom and left to right."""
-
-    def of_line(row: Column, y: Column) -> Column:
-        size = F.size(row)
-        hot = lambda x: F.coalesce(F.get(row, x) > blank, F.lit(False))  # noqa: E731  null beyond either end
-        at = F.filter(F.sequence(F.lit(0), size - 1), lambda x: hot(x) & ~hot(x - 1))
-        to = F.filter(F.sequence(F.lit(0), size - 1), lambda x: hot(x) & ~hot(x + 1))
-
-        def run(a: Column, b: Column) -> Column:
-            values = F.slice(row, a + 1, b - a + 1)
-            total = F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
-            return F.struct(y.alias("y"), a.alias("x0"), b.alias("x1"), (b - a + 1).cast("long").alias("n"), F.array_max(values).alias("peak"), total.alias("total"))
-
-        return F.when(size > 0, F.zip_with(at, to, run)).otherwise(F.array().cast("array<struct<y:int,x0:int,x1:int,n:bigint,peak:double,total:double>>"))
-
-    return F.flatten(F.transform(heat, of_line))
+class _Maps:
+    """A batch's heatmaps as one flat array of pixels with the beginnings of lines and pages; missing heat is below all."""
+
+    def __init__(self, heat: pa.Array):
+        lines = heat.flatten()
+        per_page, per_line = (a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for a in (heat, lines))
+        self.v = lines.flatten().cast(pa.float64()).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+        self.line_at = np.concatenate([[0], np.cumsum(per_line)])
+        self.page_of_line = np.repeat(np.arange(len(heat)), per_page)
+        self.first_line = np.concatenate([[0], np.cumsum(per_page)])[:-1]
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(self.page_of_line, per_line, len(heat)).astype(np.int64))])
+
+
+def thresholds(maps: _Maps, text: float = TEXT, blank: float = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Text and blank of each page: scaled by the square root of the mean of the hottest tenth against a typical one."""
+    sizes, scale = np.diff(maps.at), np.zeros(len(maps.at) - 1)
+    for n in np.unique(sizes[sizes > 0]):
+        for pages in np.array_split(at := np.flatnonzero(sizes == n), -(-len(at) * n // 2**22)):
+            k = n - int(n * 0.9)
+            top = np.sort(np.partition(maps.v[maps.at[pages][:, None] + np.arange(n)], n - k, axis=1)[:, n - k :], axis=1)[:, ::-1]
+            mean = np.cumsum(top, axis=1)[:, -1] / k  # added up from the hottest on
+            scale[pages] = np.sqrt(np.fmin(np.maximum(mean / TYPICAL, 0.0), 1.0))
+    return tuple(np.clip(v * scale, *bounds) for v, bounds in ((text, TEXT_BOUNDS), (blank, BLANK_BOUNDS)))
+
+
+def pixel_runs(maps: _Maps, blank: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Pages, and y, x0, x1, n, peak, total, of runs of pixels above `blank`, from top to bottom and left to right."""
+    v = maps.v
+    hot = np.concatenate([[False], (v > np.repeat(blank, np.diff(maps.at))) | np.isnan(v), [False]])
+    # Where a line begins, the pixel before it is another's: a run never goes over such a border.
+    border = np.zeros(len(v) + 1, bool)
+    border[maps.line_at] = True
+    a = np.flatnonzero(hot[1:-1] & (~hot[:-2] | border[:-1]))
+    b = np.flatnonzero(hot[1:-1] & (~hot[2:] | border[1:]))
+    line = np.searchsorted(maps.line_at, a, "right") - 1
+    page, n = maps.page_of_line[line], b - a + 1
+    total = np.zeros(len(a))
+    for j in range(n.max(initial=0)):  # each run from its left end
+        more = np.flatnonzero(n > j)
+        total[more] += v[a[more] + j]
+    peak = np.maximum.reduceat(np.append(v, -np.inf), np.stack([a, b + 1], axis=1).ravel())[::2] if len(a) else np.zeros(0)
+    return page, {"y": line - maps.first_line[page], "x0": a - maps.line_at[line], "x1": b - maps.line_at[line], "n": n, "peak": peak, "total": total}
 
 
 def run_components(y: list[int], x0: list[int], x1: list[int]) -> list[int]:
@@ -77,9 +93,27 @@ def run_components(y: list[int], x0: list[int], x1: list[int]) -> list[int]:
     return [find(i) for i in range(len(y))]
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _components(runs: pd.Series) -> pd.Series:
-    return pd.Series([run_components(*([r[c] for r in rs] for c in ("y", "x0", "x1"))) for rs in runs])
+_RUNS = "array<struct<component: int, y: int, x0: int, x1: int, n: long, peak: double, total: double>>"
+
+
+@cache
+def _runs_of(text: float, blank: float) -> Callable[[Column], Column]:
+    @F.arrow_udf(data_type(f"struct<map: struct<w: int, h: int, text: double>, runs: {_RUNS}>"))
+    def run(heat: pa.Array) -> pa.Array:
+        maps = _Maps(heat)
+        warm, cold = thresholds(maps, text, blank)
+        page, found = pixel_runs(maps, cold)
+        at = np.searchsorted(page, np.arange(len(heat) + 1))
+        y, x0, x1 = (found[c].tolist() for c in ("y", "x0", "x1"))
+        component = [i for a, b in pairwise(at.tolist()) for i in run_components(y[a:b], x0[a:b], x1[a:b])]
+        kinds = {"component": pa.int32(), "y": pa.int32(), "x0": pa.int32(), "x1": pa.int32(), "n": pa.int64(), "peak": pa.float64(), "total": pa.float64()}
+        rows = pa.StructArray.from_arrays([pa.array(v, kinds[c]) for c, v in ({"component": component} | found).items()], list(kinds))
+        high, lines = heat.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.diff(maps.line_at)
+        wide = np.append(lines, 0)[np.where(high > 0, maps.first_line, -1)]  # of the first line
+        size = pa.StructArray.from_arrays([pa.array(wide, pa.int32()), pa.array(high, pa.int32()), pa.array(warm)], ["w", "h", "text"])
+        return pa.StructArray.from_arrays([size, pa.ListArray.from_arrays(pa.array(at, pa.int32()), rows)], ["map", "runs"])
+
+    return run
 
 
 def components(heatmaps: DataFrame, text: float = TEXT, blank: float = BLANK, keep: bool = False) -> DataFrame:
@@ -88,11 +122,9 @@ def components(heatmaps: DataFrame, text: float = TEXT, blank: float = BLANK, ke
     With `keep`, also its runs (line y, columns x0 to x1), the map's size, and the page's text threshold.
 
     Keys are unique, a row a page; a page without heat has no components."""
-    df = heatmaps.select(*PAGE, "heat", thresholds(F.col("heat"), text, blank).alias("_t")).filter(F.size("heat") > 0)
-    size = F.struct(F.size(F.col("heat")[0]).alias("w"), F.size("heat").alias("h"), F.col("_t.text").alias("text")).alias("map")
-    df = df.select(*PAGE, size, pixel_runs(F.col("heat"), F.col("_t.blank")).alias("_runs"))
-    runs = df.select(*PAGE, "map", F.explode(F.arrays_zip("_runs", _components("_runs").alias("component"))).alias("_r"))
-    runs = runs.select(*PAGE, "map", F.col("_r.component").alias("component"), "_r._runs.*")
+    # Heat is named once: an expression that makes it would run again for each further use, a filter's also.
+    df = heatmaps.select(*PAGE, _runs_of(text, blank)(F.col("heat")).alias("_f"))
+    runs = df.select(*PAGE, "_f.map", F.explode("_f.runs").alias("_r")).select(*PAGE, "map", "_r.*")
     extent = [F.min("x0").alias("x"), F.min("y").alias("y"), (F.max("x1") - F.min("x0") + 1).alias("w"), (F.max("y") - F.min("y") + 1).alias("h")]
     more = [F.first("map").alias("map"), F.collect_list(F.struct("y", "x0", "x1")).alias("runs")] if keep else []
     return runs.groupBy(*PAGE, "component").agg(F.sum("n").alias("size"), *extent, F.max("peak").alias("peak"), (F.sum("total") / F.sum("n")).alias("mean"), *more)
@@ -101,9 +133,13 @@ def components(heatmaps: DataFrame, text: float = TEXT, blank: float = BLANK, ke
 def smallest_rectangle(points: np.ndarray) -> np.ndarray:
     """Corners of the smallest rectangle round points, clockwise as seen on a page (y down). One of its sides lies on
     a side of their hull; of equal rectangles, the first in the hull's order from its leftmost corner."""
-    points = np.unique(points, axis=0).astype(float)
+    ends: dict = {}
+    for x, y in points.tolist():  # the hull is that of each line's ends
+        low, high = ends.get(y, (x, x))
+        ends[y] = (x if x < low else low, x if x > high else high)
+    points = sorted({(float(x), float(y)) for y, pair in ends.items() for x in pair})
 
-    def chain(order: np.ndarray) -> list:
+    def chain(order: list) -> list:
         out: list = []
         for p in order:
             while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
@@ -111,7 +147,7 @@ def smallest_rectangle(points: np.ndarray) -> np.ndarray:
             out.append(p)
         return out
 
-    hull = points if len(points) < 3 else np.array(chain(points)[:-1] + chain(points[::-1])[:-1])
+    hull = np.array(points if len(points) < 3 else chain(points)[:-1] + chain(points[::-1])[:-1])
     sides = np.roll(hull, -1, axis=0) - hull
     length = np.hypot(*sides.T)
     along = sides[length > 0] / length[length > 0][:, None] if (length > 0).any() else np.array([[1.0, 0.0]])
@@ -133,10 +169,18 @@ def box_of(points: np.ndarray) -> np.ndarray:
     return np.roll(box, -int(np.argmin(np.round(box.sum(1), 6))), axis=0)
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-def _boxes(xs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for x, y in xs:
-        yield pd.Series([box_of(np.stack([a, b], axis=1)).tolist() for a, b in zip(x, y, strict=True)])
+@F.arrow_udf(data_type("array<array<double>>"))
+def _boxes(runs: pa.Array, wide: pa.Array, high: pa.Array, before: pa.Array, behind: pa.Array) -> pa.Array:
+    """Boxes of components: of the corners of their runs (y, x0, x1), grown by so many pixels before and behind and kept
+    within the map."""
+    n = runs.value_lengths().to_numpy(zero_copy_only=False)
+    flat = runs.flatten()
+    y, x0, x1 = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("y", "x0", "x1"))
+    w, h, a, b = (np.repeat(v.to_numpy(zero_copy_only=False), n) for v in (wide, high, before, behind))
+    left, right, top, low = (np.clip(v, 0, most - 1) for v, most in ((x0 - a, w), (x1 + b, w), (y - a, h), (y + b, h)))
+    corners = np.stack([np.stack([x, v], axis=1) for v in (top, low) for x in (left, right)], axis=1).astype(float)
+    at = np.concatenate([[0], np.cumsum(n)]).tolist()
+    return pa.array([box_of(corners[i:j].reshape(-1, 2)).tolist() for i, j in pairwise(at)], pa.list_(pa.list_(pa.float64())))
 
 
 def detected_boxes(heatmaps: DataFrame, text: float = TEXT, blank: float = BLANK, least: int = LEAST_PIXELS) -> DataFrame:
@@ -149,13 +193,8 @@ def detected_boxes(heatmaps: DataFrame, text: float = TEXT, blank: float = BLANK
     # A kernel of 1 + grow pixels whose middle is its (1 + grow) // 2-th: how far it reaches before and behind a pixel.
     behind = F.floor((grow + 1) / 2).cast("int")
     before = grow - behind
-    fit = lambda v, high: F.greatest(F.lit(0), F.least(v, high - 1)).cast("double")
-    ends = lambda r: F.array(fit(r["x0"] - before, c("map.w")), fit(r["x1"] + behind, c("map.w")))
-    rows = lambda r: F.array(fit(r["y"] - before, c("map.h")), fit(r["y"] + behind, c("map.h")))
-    xs = F.flatten(F.transform("runs", lambda r: F.concat(ends(r), ends(r))))
-    ys = F.flatten(F.transform("runs", lambda r: F.flatten(F.transform(rows(r), lambda y: F.array(y, y)))))
     page = Window.partitionBy(*PAGE)
-    boxes = found.select(*PAGE, "component", "mean", _boxes(xs, ys).alias("polygon"))
+    boxes = found.select(*PAGE, "component", "mean", _boxes("runs", "map.w", "map.h", before, behind).alias("polygon"))
     best = F.max("mean").over(page)
     return boxes.select(*PAGE, (F.row_number().over(page.orderBy("component")) - 1).alias("box_no"), "polygon", F.when(best > 0, c("mean") / best).otherwise(c("mean")).alias("confidence"))
 
@@ -167,7 +206,8 @@ def placed_boxes(boxes: DataFrame, raster: tuple[float, float], image: tuple[flo
     fit = lambda v, most: F.greatest(F.least(v.cast("long"), F.lit(int(most))), F.lit(0)).cast("double")
     scaled = boxes.withColumn("polygon", F.transform("polygon", lambda p: F.array(fit(p[0] * wide, image[0]), fit(p[1] * high, image[1]))))
     scaled = scaled.withColumn("box", G.from_polygon(F.col("polygon")))
-    df = with_page_items(scaled, scaled, ("box_no", "polygon", "box"), name="_others")
+    # A window, not a join of the boxes with themselves: what they come from is made once.
+    df = scaled.withColumn("_others", F.collect_list(F.struct("box_no", "polygon", "box")).over(Window.partitionBy(*PAGE)))
 
     def holds(o: Column) -> Column:
         a, b = o["box"], F.col("box")

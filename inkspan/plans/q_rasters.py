@@ -15,15 +15,24 @@ def page_heat(t):
     """A raster a page: two rows of pixels a line, as long as it; every third gap between lines has a bridge."""
     lines = t.spread(t.layout_lines().select(*PAGE, "line_id", F.length("line").alias("n")), *PAGE).groupBy(*PAGE).agg(F.sort_array(F.collect_list(F.struct("line_id", "n"))).alias("l"))
 
-    def pixel(x, y):
-        k, r = F.floor(y / 5).cast("int"), y % 5
-        n = F.get("l", k)["n"]
-        first = 2 + F.col("doc_id") % 3
-        in_line = n.isNotNull() & r.isin(1, 2) & (x >= first) & (x <= F.least(F.lit(57), F.lit(2) + F.floor(n / 8)))
-        bridge = r.isin(0, 3, 4) & (x == 12 + k) & ((F.col("doc_id") + F.col("page_id") + k) % 3 == 0)
-        return F.when(in_line, F.lit(0.9) - F.lit(0.1) * ((x + k) % 4)).when(bridge, 0.5).otherwise(0.05)
+    first = (2 + F.col("doc_id") % 3).cast("int")
+    # A row of pixels is one literal, not an expression a pixel.
+    row = lambda heat: F.split(F.lit(",".join(repr(heat(x)) for x in range(WIDTH))), ",").cast("array<double>")
+    blank = row(lambda x: 0.05)
+    upto = lambda row, n: F.slice(row, F.lit(1), n)
+    beyond = lambda row, n: F.slice(row, n + 1, F.lit(WIDTH))
 
-    raster = F.transform(F.sequence(F.lit(0), F.lit(HEIGHT - 1)), lambda y: F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda x: pixel(x, y)))
+    # A line's rows of pixels are equal, as are its gap's; each is put together of stretches of constant rows.
+    def rows(k):
+        n = F.get("l", F.lit(k))["n"]
+        bright = row(lambda x: 0.9 - 0.1 * ((x + k) % 4))
+        end = F.least(F.lit(58), F.lit(3) + F.floor(n / 8).cast("int"))
+        text = F.when(n.isNotNull() & (end > first), F.concat(upto(blank, first), F.slice(bright, first + 1, F.greatest(end - first, F.lit(0))), beyond(blank, end))).otherwise(blank)
+        bridged = row(lambda x: 0.5 if x == 12 + k else 0.05)
+        gap = F.when((F.col("doc_id") + F.col("page_id") + k) % 3 == 0, bridged).otherwise(blank)
+        return F.array(gap, text)
+
+    raster = F.flatten(F.transform(F.array(*[rows(k) for k in range(HEIGHT // 5)]), lambda p: F.array(p[0], p[1], p[1], p[0], p[0])))
     return lines.select(*PAGE, raster.alias("heat"))
 
 

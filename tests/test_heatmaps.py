@@ -181,3 +181,19 @@ def test_runs_travel_not_pixels(spark):
     assert H.components(frame(spark, [])).count() == 0
     empty = spark.createDataFrame([(1, 0, [])], "doc_id long, page_id int, heat array<array<double>>")
     assert H.components(empty).count() == 0 and H.detected_boxes(empty).count() == 0
+
+
+def test_rasters_are_made_once_and_no_pixel_is_an_expression(spark):
+    """A join of boxes with themselves made them twice, and each pixel was a call of an expression."""
+    from inkspan.plans import registry
+
+    for name in ("m01_heatmap_components", "m01_detected_boxes"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") == 1 and "zip_with" not in plan and "aggregate(" not in plan
+
+
+def test_ragged_and_missing_heat(spark):
+    heats = [[[0.9, None, 0.9], [], [0.9]], None, [[], [0.9, 0.9]], [[0.9] * 4, [float("nan")] * 2]]
+    df = spark.createDataFrame([(i, 0, h) for i, h in enumerate(heats)], "doc_id long, page_id int, heat array<array<double>>")
+    got = sorted((r["doc_id"], r["component"], r["size"], r["x"], r["y"], r["w"], r["h"]) for r in H.components(df).collect())
+    assert got == [(0, 0, 1, 0, 0, 1, 1), (0, 1, 1, 2, 0, 1, 1), (0, 2, 1, 0, 2, 1, 1), (2, 0, 2, 0, 1, 2, 1), (3, 0, 6, 0, 0, 4, 2)]
